@@ -4,13 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tickloom.llm.byte_bpe import encode_documents
 from tickloom.llm.mixing import mix_sources
 from tickloom.llm.sharding import byte_shards
 from tickloom.session import table
 
 
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+        keep_ids=False,
+    )
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, mixed so that a source's share follows the square root of its size."""
     return mix_sources(table(spark, sf_dir, "documents"), power=0.5).select(
@@ -23,6 +34,7 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_byte_bpe": op4_byte_bpe,
     "op5_mixing": op5_mixing,
     "op8_sharding": op8_sharding,
 }
