@@ -6,13 +6,22 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tickloom.llm.byte_bpe import encode_documents
+from tickloom.llm.host_rules import judge_documents
+from tickloom.llm.lang_id import identify
 from tickloom.llm.mixing import mix_sources
 from tickloom.llm.sharding import byte_shards
+from tickloom.llm.token_orc import read_tokens, token_index, tokens_path, write_tokens
+from tickloom.llm.topk_fagin import top_k
 from tickloom.session import table
 
 
+def op2_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(
         table(spark, sf_dir, "documents"),
@@ -29,17 +38,50 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queries are the vectors whose id is divisible by 100; all vectors are candidates."""
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document's host is its source."""
+    return judge_documents(table(spark, sf_dir, "documents"), F.col("source"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_shards(table(spark, sf_dir, "documents"), 24)
 
 
+def op10_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    path = tokens_path(docs)
+    write_tokens(docs, path, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_index(read_tokens(spark, path))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_lang_id": op2_lang_id,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_mixing": op5_mixing,
+    "op6_topk": op6_topk,
+    "op7_host_rules": op7_host_rules,
     "op8_sharding": op8_sharding,
+    "op10_token_orc": op10_token_orc,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op6_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id AND q.vec_id % 100 = 0
+        ),
+        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+    """,
     "op5_mixing": """
         WITH counts AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
         rates AS (
