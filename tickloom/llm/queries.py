@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.byte_bpe import encode_documents
 from tickloom.llm.host_rules import judge_documents
+from tickloom.llm.hyperminhash import near_duplicates
 from tickloom.llm.lang_id import identify
 from tickloom.llm.mixing import mix_sources
 from tickloom.llm.sharding import byte_shards
@@ -52,6 +53,10 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_shards(table(spark, sf_dir, "documents"), 24)
 
 
+def op9_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), n_words=2, percent=80)
+
+
 def op10_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     path = tokens_path(docs)
@@ -66,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_topk": op6_topk,
     "op7_host_rules": op7_host_rules,
     "op8_sharding": op8_sharding,
+    "op9_hyperminhash": op9_hyperminhash,
     "op10_token_orc": op10_token_orc,
 }
 
