@@ -14,6 +14,7 @@ from tickloom.llm.hyperminhash import near_duplicates
 from tickloom.llm.lang_id import identify
 from tickloom.llm.mixing import mix_sources
 from tickloom.llm.sharding import byte_shards
+from tickloom.llm.suffix_dedup import remove_repeats
 from tickloom.llm.token_orc import read_tokens, token_index, tokens_path, write_tokens
 from tickloom.llm.topk_fagin import top_k
 from tickloom.session import table
@@ -23,6 +24,10 @@ def op2_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"), keep_text=False)
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(
         table(spark, sf_dir, "documents"),
@@ -66,6 +71,7 @@ def op10_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_lang_id": op2_lang_id,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_mixing": op5_mixing,
     "op6_topk": op6_topk,
