@@ -4,17 +4,18 @@ from __future__ import annotations
 
 import base64
 import json
-import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from hashlib import sha256
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.chunks import CHUNK_BYTES, by_bucket, chunk_documents, in_chunks, packed, parts_for, text_bytes, unpacked
+from tickloom.llm.units import as_text, one_line, split_units
 
 #: Bytes of text for each bucket of words.
 BUCKET_BYTES = 24_000_000
@@ -22,9 +23,6 @@ BUCKET_BYTES = 24_000_000
 RANK_MAPS = 8192
 NO_RANK = 2**31 - 1
 
-_INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
-_ODD_SPACE = re.compile(r"^\s|\s$|\s | \s")
-
 
 def load_ranks(path: str) -> dict[bytes, int]:
     """Byte strings and their ranks from a vocabulary file with a line of base64 and rank for each."""
@@ -32,16 +30,6 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
-def spaced_units(text: str) -> list[str]:
-    """The text cut before each single space between two other characters.
-
-    No match of a pre-tokenizer whose words may start with one space, and whose runs of white space stand alone, can
-    reach across such a cut, so the units can be split into words one by one.
-    """
-    parts = _INNER_SPACE.split(text) if _ODD_SPACE.search(text) else text.split(" ")
-    return [parts[0], *[" " + p for p in parts[1:]]]
-
-
 # -- the fold ---------------------------------------------------------------------------------------------------------
 
 
@@ -119,19 +107,55 @@ def _encode_word(word: Column, ranks: Column) -> Column:
 
 
 class _Words:
-    """The distinct words of a chunk's texts, and each text as a list of units, each unit as a list of words."""
+    """The distinct words of a chunk's texts, the words of each distinct unit, and the units of each text."""
+
+    def __init__(self, raw: pa.Array, pattern: str):
+        units, self.units, self.sizes = split_units(as_text(raw))
+        self._find_words(units, pattern)
 
-    def __init__(self, texts: list[str], pattern: str):
+    def _find_words(self, units: list[str], pattern: str) -> None:
+        """Units without inner white space are searched in one go, a line for each; line ends are words of their own."""
         import regex
 
         find = regex.compile(pattern).findall
-        self.units: dict[str, int] = {}
-        self.texts = []
-        for text in texts:
-            self.texts.append([self.units.setdefault(u, len(self.units)) for u in spaced_units(text)] if text else [])
-        index: dict[str, int] = {}
-        self.unit_words = [[index.setdefault(w, len(index)) for w in find(u)] for u in self.units]
-        self.words = [w.encode() for w in index]
+        plain = list(map(one_line, units))
+        found = pa.array(find("\n".join([u for u, p in zip(units, plain, strict=True) if p])), pa.string())
+        ends = np.append(np.flatnonzero(pc.equal(found, "\n").to_numpy(zero_copy_only=False)), len(found))
+        sizes = np.diff(ends, prepend=-1) - 1
+        single = [find(u) for u, p in zip(units, plain, strict=True) if not p]
+        words = pa.concat_arrays([found, pa.array([w for x in single for w in x], pa.string())]).dictionary_encode()
+        index = words.indices.to_numpy().astype(np.int64)
+        # where the words of each unit start in index, and how many there are
+        first, self.unit_sizes = np.zeros(len(units), np.int64), np.zeros(len(units), np.int64)
+        plain = np.array(plain, bool)
+        if plain.any():
+            first[plain], self.unit_sizes[plain] = np.append(0, ends[:-1] + 1), sizes
+        lengths = np.fromiter(map(len, single), np.int64, len(single))
+        first[~plain], self.unit_sizes[~plain] = len(found) + np.cumsum(lengths) - lengths, lengths
+        before = np.cumsum(self.unit_sizes) - self.unit_sizes
+        self.unit_words = index[np.repeat(first - before, self.unit_sizes) + np.arange(self.unit_sizes.sum())]
+        self.words = words.dictionary.cast(pa.binary())
+
+
+def _joined(values: pa.Array, at: np.ndarray, sizes: np.ndarray, between: str | bytes) -> pa.Array:
+    """For each size: so many of values[at], joined."""
+    offsets = np.zeros(len(sizes) + 1, np.int32)
+    np.cumsum(sizes, out=offsets[1:])
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), values.take(pa.array(at))), between)
+
+
+def _ranges(starts: np.ndarray, counts: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
+    """The places start, start + 1, ... of each range, or of each range at a place of at."""
+    if at is not None:
+        starts, counts = starts[at], counts[at]
+    before = np.cumsum(counts) - counts
+    return np.repeat(starts - before, counts) + np.arange(counts.sum())
+
+
+def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    ends = np.append(0, np.cumsum(values))
+    upto = np.cumsum(sizes)
+    return ends[upto] - ends[upto - sizes]
 
 
 def _chunk_words(pattern: str, n_buckets: int):
@@ -142,7 +166,7 @@ def _chunk_words(pattern: str, n_buckets: int):
             {
                 "bucket": pa.array([b for b, _ in out], pa.int32()),
                 "chunk": pa.array([key[0].as_py()] * len(out), pa.int32()),
-                "words": pa.array([packed(w=pa.array([words[i] for i in at], pa.binary())) for _, at in out], pa.binary()),
+                "words": pa.array([packed(w=words.take(pa.array(at))) for _, at in out], pa.binary()),
             }
         )
 
@@ -173,38 +197,41 @@ def _answer_chunks(key: tuple[pa.Scalar, ...], encoded: pa.Table, asked: pa.Tabl
     )
 
 
-def _encode_chunk(pattern: str, n_buckets: int, pieces: dict[int, bytes], keep_ids: bool):
+def _encode_chunk(pattern: str, n_buckets: int, pieces: list[bytes], keep_ids: bool):
     def run(key: tuple[pa.Scalar, ...], docs: pa.Table, answers: pa.Table) -> pa.Table:
-        ids, texts, null = chunk_documents(docs)
+        ids, texts = chunk_documents(docs)
         chunk = _Words(texts, pattern)
         got = dict(zip(answers["bucket"].to_pylist(), answers["answer"].to_pylist(), strict=True))
-        word_ids: list[list[int]] = [[]] * len(chunk.words)
-        for bucket, at in by_bucket(chunk.words, n_buckets):
-            for i, found in zip(at, unpacked(got[bucket])["ids"].to_pylist(), strict=True):
-                word_ids[i] = found
-        unit_ids = [[t for w in words for t in word_ids[w]] for words in chunk.unit_words]
-        sizes = np.fromiter(map(len, unit_ids), np.int64, len(unit_ids))
-        names = [" ".join(map(str, u)).encode() for u in unit_ids]
-        raw = [b"".join([pieces[t] for t in u]) for u in unit_ids]
-        out: dict[str, list] = {"id": [], "n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
-        token_ids, decoded = [], []
-        for i, units in enumerate(chunk.texts):
-            out["id"].append(None if null[i] else int(ids[i]))
-            out["n_tokens"].append(int(sizes[units].sum()) if units else 0)
-            out["ids_sha256"].append(sha256(b" ".join([names[u] for u in units])).hexdigest())
-            whole = b"".join([raw[u] for u in units])
-            out["decoded_sha256"].append(sha256(whole).hexdigest())
-            if keep_ids:
-                token_ids.append([t for u in units for t in unit_ids[u]])
-                decoded.append(whole)
+        buckets = by_bucket(chunk.words, n_buckets)
+        place = np.zeros(len(chunk.words), np.int64)
+        if buckets:
+            place[np.concatenate([at for _, at in buckets])] = np.arange(len(place))
+        empty = pa.array([], pa.list_(pa.int32()))
+        found = pa.concat_arrays([empty, *[unpacked(got[b])["ids"].combine_chunks() for b, _ in buckets]])
+        tokens, counts = found.flatten(), pc.list_value_length(found).to_numpy(zero_copy_only=False).astype(np.int64)
+        every = np.arange(len(tokens))
+        # from tokens to words, from words to units, from units to texts
+        words = chunk.unit_words
+        names = _joined(tokens.cast(pa.string()), every, counts, " ").take(pa.array(place))
+        names = _joined(names, words, chunk.unit_sizes, " ")
+        names = _joined(names, chunk.units, chunk.sizes, " ")
+        raw = _joined(pa.array(pieces, pa.binary()).take(tokens), every, counts, b"").take(pa.array(place))
+        raw = _joined(raw, words, chunk.unit_sizes, b"")
+        raw = _joined(raw, chunk.units, chunk.sizes, b"")
+        in_units = _sums(counts[place][words], chunk.unit_sizes)
         columns = {
-            "id": pa.array(out["id"], pa.int64()),
-            "n_tokens": pa.array(out["n_tokens"], pa.int64()),
-            "ids_sha256": pa.array(out["ids_sha256"], pa.string()),
-            "decoded_sha256": pa.array(out["decoded_sha256"], pa.string()),
+            "id": pa.array(ids, pa.int64()),
+            "n_tokens": pa.array(_sums(in_units[chunk.units], chunk.sizes)),
+            "ids_sha256": pa.array([sha256(x.as_buffer()).hexdigest() for x in names.cast(pa.binary())], pa.string()),
+            "decoded_sha256": pa.array([sha256(x.as_buffer()).hexdigest() for x in raw], pa.string()),
         }
         if keep_ids:
-            columns |= {"token_ids": pa.array(token_ids, pa.list_(pa.int32())), "decoded": pa.array(decoded, pa.binary())}
+            starts = np.cumsum(counts) - counts
+            at = _ranges(starts[place][words], counts[place][words])
+            at = at[_ranges(np.cumsum(in_units) - in_units, in_units, chunk.units)]
+            ends = np.append(0, np.cumsum(columns["n_tokens"].to_numpy())).astype(np.int32)
+            columns["token_ids"] = pa.ListArray.from_arrays(pa.array(ends), tokens.take(pa.array(at)))
+            columns["decoded"] = raw
         return pa.table(columns)
 
     return run
@@ -242,7 +269,9 @@ def encode_documents(
         .applyInArrow(_answer_chunks, "chunk int, bucket int, answer binary")
     )
     schema = "id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", token_ids array<int>, decoded binary" * keep_ids
-    pieces = {v: k for k, v in ranks.items()}
+    pieces = [b""] * (max(ranks.values()) + 1)
+    for piece, i in ranks.items():
+        pieces[i] = piece
     done = (
         chunks.groupBy("chunk")
         .cogroup(answers.groupBy("chunk"))

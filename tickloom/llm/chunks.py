@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from math import ceil
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -68,35 +70,41 @@ def _pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _flush(held)
 
 
-def in_chunks(docs: DataFrame, id_col: str, text_col: str, n_chunks: int) -> DataFrame:
-    """Rows (chunk, docs): compressed groups of (id long, text binary); the rows of a chunk together hold its documents.
+def in_chunks(docs: DataFrame, id_col: str, text_col: str, n_chunks: int, carry: list[str] = ()) -> DataFrame:
+    """Rows (chunk, docs): compressed groups of (id long, text binary, carried columns); the rows of a chunk together
+    hold its documents.
 
     The chunk is a hash of id and text: a task that runs again deals each document as before. Null texts are empty.
     """
     text = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
-    slim = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"))
+    carried = [F.col(c).alias(f"carried_{i}") for i, c in enumerate(carry)]
+    slim = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), *carried)
     slim = slim.withColumn("chunk", F.pmod(F.xxhash64("id", "text"), F.lit(n_chunks)).cast("int"))
     return slim.mapInArrow(_pack, "chunk int, docs binary")
 
 
-def chunk_documents(rows: pa.Table) -> tuple[np.ndarray, list[str], list[bool]]:
-    """Ids, texts and whether the id is null, of the rows of one chunk, in the order of id and text."""
-    blobs = rows["docs"].to_pylist()
-    if not blobs:
-        return np.zeros(0, np.int64), [], []
-    whole = pa.concat_tables([unpacked(b) for b in blobs])
-    null = whole["id"].is_null().to_pylist()
-    ids = whole["id"].fill_null(0).to_numpy()
-    texts = whole["text"].to_pylist()
-    order = sorted(range(len(ids)), key=lambda i: (ids[i], null[i], texts[i]))
-    return ids[order], [texts[i].decode("utf-8", "replace") for i in order], [null[i] for i in order]
+def chunk_table(rows: pa.Table) -> pa.Table:
+    """The documents of one chunk in the order of id and text, null ids last: id, text (binary), carried columns."""
+    whole = pa.concat_tables([unpacked(b) for b in rows["docs"].to_pylist()]).combine_chunks()
+    ids, texts = whole["id"].to_pylist(), whole["text"].to_pylist()
+    order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, texts[i]))
+    return whole.take(pa.array(order, pa.int64())).combine_chunks()
 
 
-def by_bucket(words: list[bytes], n_buckets: int) -> list[tuple[int, list[int]]]:
-    """For each bucket that has words: the positions of its words, in byte order. The same words give the same answer."""
-    from zlib import crc32
+def chunk_documents(rows: pa.Table) -> tuple[list[int | None], pa.Array]:
+    """Ids and texts of chunk_table."""
+    if not rows.num_rows:
+        return [], pa.array([], pa.binary())
+    whole = chunk_table(rows)
+    return whole["id"].to_pylist(), pa.concat_arrays(whole["text"].chunks)
+
 
-    found: dict[int, list[int]] = {}
-    for i in sorted(range(len(words)), key=words.__getitem__):
-        found.setdefault(crc32(words[i]) % n_buckets, []).append(i)
-    return sorted(found.items())
+def by_bucket(words: pa.Array, n_buckets: int) -> list[tuple[int, np.ndarray]]:
+    """For each bucket that has words: the positions of its words, in byte order. The same words give the same answer."""
+    if not len(words):
+        return []
+    order = pc.sort_indices(words).to_numpy().astype(np.int64)
+    bucket = np.fromiter(map(crc32, words.to_pylist()), np.int64, len(words))[order] % n_buckets
+    inner = np.argsort(bucket, kind="stable")
+    cuts = np.flatnonzero(np.diff(bucket[inner])) + 1
+    return [(int(bucket[at[0]]), order[at]) for at in np.split(inner, cuts)]

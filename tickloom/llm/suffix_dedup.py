@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.chunks import chunk_documents, in_chunks, packed, parts_for, text_bytes, unpacked
+from tickloom.llm.chunks import chunk_documents, chunk_table, in_chunks, packed, parts_for, text_bytes, unpacked
 
 #: Leading bytes that suffixes must share to meet.
 SEED = 24
@@ -27,7 +27,7 @@ BUCKET_BYTES = 16_000_000
 #: Seeds in more documents than this are dealt by whole windows instead, as their suffixes could fill a bucket.
 HOT_DOCUMENTS = 2000
 #: Documents that the splitters are sampled from.
-SAMPLED = 400
+SAMPLED = 100
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _HASH_BITS = 48
@@ -70,7 +70,10 @@ def anchored_runs(b: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, n
         least = np.where(right, least[step:], least[:-step])
         covered += step
     first = np.flatnonzero(np.diff(place, prepend=-1))
-    return hashes[place[first]] >> np.uint64(64 - _HASH_BITS), place[first], first, np.append(first[1:], len(place))
+    # the least hashes are small numbers: scattered anew, they fill all buckets alike
+    own = (hashes[place[first]] * _BASE) ^ _BASE
+    own = ((own ^ (own >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)) >> np.uint64(64 - _HASH_BITS)
+    return own, place[first], first, np.append(first[1:], len(place))
 
 
 def multikey_order(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -100,11 +103,10 @@ class _Chunk:
     """The documents of a chunk in the order of their ids, and the runs of their windows."""
 
     def __init__(self, rows: pa.Table, length: int):
-        ids, texts, null = chunk_documents(rows)
-        order = sorted(range(len(ids)), key=lambda i: (NO_ID if null[i] else int(ids[i])))
-        self.ids = [NO_ID if null[i] else int(ids[i]) for i in order]
-        self.null = [null[i] for i in order]
-        self.texts = [texts[i].encode("utf-8", "surrogatepass") for i in order]
+        ids, texts = chunk_documents(rows)
+        self.null = [i is None for i in ids]
+        self.ids = [NO_ID if i is None else i for i in ids]
+        self.texts = texts.to_pylist()
         self.length = length
 
     def runs(self):
@@ -325,7 +327,7 @@ def _compare(length: int):
     return run
 
 
-def _cut(length: int, keep_text: bool):
+def _cut(length: int, keep_text: bool, n_carried: int):
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table, found: pa.Table) -> pa.Table:
         chunk = _Chunk(rows, length)
         tables = [unpacked(x) for x in found["ranges"].to_pylist()]
@@ -354,16 +356,23 @@ def _cut(length: int, keep_text: bool):
             "n_spans": pa.array(spans, pa.int64()),
             "kept_sha256": pa.array(digests, pa.string()),
         }
-        return pa.table(columns | ({"kept": pa.array(kept, pa.binary())} if keep_text else {}))
+        if keep_text:
+            columns["kept"] = pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string())
+        if n_carried:
+            whole = chunk_table(rows)
+            columns |= {f"carried_{i}": whole[f"carried_{i}"] for i in range(n_carried)}
+        return pa.table(columns)
 
     return run
 
 
 def sample_splitters(docs: DataFrame, n: int, length: int, id_col: str, text_col: str) -> list[bytes]:
-    """At most n - 1 seeds that cut the suffixes of a sample of SAMPLED documents (those of the least hash) evenly."""
+    """At most n - 1 seeds that cut the suffixes of a sample evenly: the first 5,000 characters of SAMPLED
+    documents, those of the least hash. Splitters set where suffixes meet, not whether they do.
+    """
     if n < 2:
         return []
-    some = docs.select(F.substring(F.col(text_col), 1, 100_000).cast("binary").alias("text"), F.xxhash64(id_col, text_col).alias("h"))
+    some = docs.select(F.substring(F.col(text_col), 1, 5000).cast("binary").alias("text"), F.xxhash64(id_col, text_col).alias("h"))
     seeds: list[bytes] = []
     for row in some.filter("text IS NOT NULL").orderBy("h").limit(SAMPLED).collect():
         text = bytes(row["text"])
@@ -373,7 +382,12 @@ def sample_splitters(docs: DataFrame, n: int, length: int, id_col: str, text_col
 
 
 def remove_repeats(
-    docs: DataFrame, length: int = 50, keep_text: bool = True, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    length: int = 50,
+    keep_text: bool = True,
+    carry: list[str] = (),
+    id_col: str = "doc_id",
+    text_col: str = "text",
 ) -> DataFrame:
     """Remove each byte of a text that is covered by a string of length bytes that starts in a smaller document too.
 
@@ -385,13 +399,14 @@ def remove_repeats(
     over HOT_DOCUMENTS documents are dealt by the whole window instead. All matches are confirmed byte by byte.
 
     A null text is empty. A null id counts as larger than all ids; rows of equal ids do not remove each other's bytes.
-    Extra columns are ignored. Returns id_col, n_bytes, n_removed, n_spans (runs of removed bytes), kept_sha256, and
-    with keep_text the remaining bytes, kept.
+    Extra columns are ignored but for those named in carry. Returns id_col, n_bytes, n_removed, n_spans (runs of removed
+    bytes), kept_sha256 (of the remaining bytes), with keep_text the remaining text, kept, without the bytes of characters
+    that a cut went through, and the carried columns.
     """
     total = text_bytes(docs, text_col)
     n_chunks, n_buckets = parts_for(total, CHUNK_BYTES), parts_for(total, BUCKET_BYTES)
     splitters = sample_splitters(docs, n_buckets, length, id_col, text_col)
-    chunks = in_chunks(docs, id_col, text_col, n_chunks)
+    chunks = in_chunks(docs, id_col, text_col, n_chunks, carry)
     seeds = chunks.groupBy("chunk").applyInArrow(_chunk_seeds(length, n_buckets), "bucket int, chunk int, seeds binary")
     grades = seeds.groupBy("bucket").applyInArrow(_repeated_seeds, "chunk int, bucket int, grades binary")
     suffixes = (
@@ -400,6 +415,7 @@ def remove_repeats(
         .applyInArrow(_chunk_suffixes(length, n_buckets, splitters), "bucket int, chunk int, kind int, suffixes binary")
     )
     ranges = suffixes.groupBy("bucket").applyInArrow(_compare(length), "chunk int, ranges binary")
-    schema = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_text
-    done = chunks.groupBy("chunk").cogroup(ranges.groupBy("chunk")).applyInArrow(_cut(length, keep_text), schema)
-    return done.withColumnRenamed("id", id_col)
+    schema = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept string" * keep_text
+    schema += "".join(f", carried_{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(carry))
+    done = chunks.groupBy("chunk").cogroup(ranges.groupBy("chunk")).applyInArrow(_cut(length, keep_text, len(carry)), schema)
+    return done.withColumnsRenamed({"id": id_col} | {f"carried_{i}": c for i, c in enumerate(carry)})
