@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -13,13 +14,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tickloom.llm.byte_bpe import spaced_units
+from tickloom.llm.units import as_text, split_units
 from tickloom.session import shared_dir, written
 
 #: A Python worker remembers the ids of at most this many units of text, then starts afresh.
-REMEMBERED = 400_000
+REMEMBERED = 500_000
 #: Documents of one call of the tokenizer.
-AT_ONCE = 512
+AT_ONCE = 4096
+#: Signs that end a unit.
+SIGNS = ".,;:!?"
 
 #: One tokenizer for each worker and file, with what it has encoded.
 _loaded: dict[str, tuple[object, dict[str, bytes]]] = {}
@@ -36,20 +39,37 @@ def _tokenizer(path: str):
     return _loaded[path]
 
 
-def encode_texts(texts: list[str], path: str, end_id: int) -> list[bytes]:
-    """Ids of each text and the end id, as little-endian 32-bit integers.
+def _learn(tokenizer, known: dict[str, bytes], new: list[str]) -> None:
+    """Encode new units. A sign after a letter or digit at a unit's end is a word of its own, so both parts are looked up."""
+    ended = [u for u in new if u[-1] in SIGNS and u[-2:-1].isalnum()]
+    parts = {p for u in ended for p in (u[:-1], u[-1])}.union(new).difference(ended)
+    parts = [p for p in parts if p not in known]
+    for part, found in zip(parts, tokenizer.encode_batch_fast(parts, add_special_tokens=False), strict=True):
+        known[part] = array("i", found.ids).tobytes()
+    for unit in ended:
+        known[unit] = known[unit[:-1]] + known[unit[-1]]
 
-    Each distinct unit of a text (see spaced_units) is given to the tokenizer once and remembered.
-    """
+
+def encode_texts(texts: pa.Array, path: str, end_id: int) -> pa.ListArray:
+    """Ids of each text and the end id. Each distinct unit of a text is given to the tokenizer once and remembered."""
     tokenizer, known = _tokenizer(path)
-    end = np.array([end_id], "<u4").tobytes()
-    units = [spaced_units(t) if t else [] for t in texts]
+    units, index, sizes = split_units(texts)
     if len(known) > REMEMBERED:
         known.clear()
-    new = list({u for text in units for u in text}.difference(known))
-    for unit, found in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-        known[unit] = np.array(found.ids, "<u4").tobytes()
-    return [b"".join(map(known.__getitem__, text)) + end for text in units]
+    new = [u for u in units if u not in known]
+    _learn(tokenizer, known, new)
+    encoded = list(map(known.__getitem__, units))
+    counts = np.fromiter(map(len, encoded), np.int64, len(encoded)) // 4
+    starts = np.cumsum(counts) - counts
+    # the end id stands after the ids of all units, as a unit of its own at the end of each text
+    flat = np.append(np.frombuffer(b"".join(encoded), "<i4"), np.int32(end_id))
+    counts, starts = np.append(counts, 1), np.append(starts, len(flat) - 1)
+    index = np.insert(index, np.cumsum(sizes), len(encoded))
+    each = counts[index]
+    before = np.cumsum(each) - each
+    ids = flat[np.repeat(starts[index] - before, each) + np.arange(each.sum())]
+    ends = np.append(0, np.cumsum(each))[np.append(0, np.cumsum(sizes + 1))]
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))
 
 
 def _encode(path: str, end_id: int):
@@ -57,12 +77,7 @@ def _encode(path: str, end_id: int):
         for batch in batches:
             for at in range(0, batch.num_rows, AT_ONCE):
                 some = batch.slice(at, AT_ONCE)
-                got = encode_texts([x or "" for x in some.column("text").to_pylist()], path, end_id)
-                sizes = np.fromiter((len(x) // 4 for x in got), np.int32, len(got))
-                offsets = np.zeros(len(got) + 1, np.int32)
-                np.cumsum(sizes, out=offsets[1:])
-                ids = np.frombuffer(b"".join(got), "<u4").astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))
+                lists = encode_texts(as_text(some.column("text")), path, end_id)
                 yield pa.record_batch({"doc_id": some.column("id"), "ids": lists})
 
     return run
@@ -80,7 +95,7 @@ def write_tokens(
     repeated rows are kept, extra columns are ignored. An empty table gives files without rows.
     """
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    slim = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("text"))
     placed = slim.repartitionByRange(n, F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first())
     encoded = placed.mapInArrow(_encode(tokenizer_path, end_id), "doc_id long, ids array<int>")
     (
