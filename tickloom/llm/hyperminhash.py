@@ -13,13 +13,15 @@ from pyspark.sql import functions as F
 
 from tickloom.session import written
 
-#: Minima of a document, in BANDS bands of ROWS: two sets of similarity 0.8 share no band once in 20 million times.
-BANDS, ROWS = 32, 4
+#: Minima of a document, in BANDS bands of ROWS: two sets of similarity 0.8 share no band once in 200,000 times.
+BANDS, ROWS = 40, 6
 REGISTERS = BANDS * ROWS
 #: Bits kept after the leading one of a minimum.
 MANTISSA = 10
 #: Pairs whose estimate is further below the threshold than this (over four standard errors) are not compared in full.
-SLACK = 0.15
+SLACK = 0.12
+#: Members of a band that are compared in one task.
+BLOCK = 2048
 AT_ONCE = 128
 #: A task remembers the hashes of at most this many words, then starts afresh.
 REMEMBERED = 300_000
@@ -170,6 +172,63 @@ def _confirm(n_words: int, percent: int):
     return run
 
 
+def _open_pairs(rows: pa.Table, least: float) -> Iterator[tuple[int, np.ndarray]]:
+    """Of a group of band members: each member with those after it that it may be linked to and is not connected with.
+
+    A pair counts in the first band that its members share, and where their blocks are the group's two blocks.
+    """
+    values = np.frombuffer(b"".join(rows["registers"].to_pylist()), "<u2").reshape(-1, REGISTERS)
+    keys = band_keys(values)
+    sizes, labels = rows["n"].to_numpy(), rows["label"].to_numpy()
+    blocks, nth = rows["block"].to_numpy(), rows["nth"][0].as_py()
+    apart = rows["p"][0].as_py() != rows["q"][0].as_py()
+    for i in range(len(values) - 1):
+        j = np.flatnonzero(labels[i + 1 :] != labels[i]) + i + 1
+        if apart:
+            j = j[blocks[j] != blocks[i]]
+        if nth:
+            j = j[~(keys[j, :nth] == keys[i, :nth]).any(1)]
+        if len(j):
+            guess = estimate(values[j], values[i], sizes[j], np.full(len(j), sizes[i]))
+            j = j[guess >= least]
+        if len(j):
+            yield i, j
+
+
+_MEMBER = "band long, nth int, p int, q int, block int, id long, label long, n long, registers binary"
+
+
+def _marked(least: float):
+    def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        mark = np.zeros(rows.num_rows, bool)
+        for i, j in _open_pairs(rows, least):
+            mark[i] = True
+            mark[j] = True
+        return rows.filter(pa.array(mark))
+
+    return run
+
+
+def _linked(n_words: int, percent: int, least: float):
+    def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        known: dict[bytes, int] = {}
+        texts = [shingle_set(t or b"", n_words, known) for t in rows["text"].to_pylist()]
+        ids, labels = rows["id"].to_pylist(), rows["label"].to_pylist()
+        found: dict[tuple[int, int], tuple[int, int]] = {}
+        for i, others in _open_pairs(rows, least):
+            for j in others.tolist():
+                # one link between two components joins them
+                if (labels[i], labels[j]) in found:
+                    continue
+                both = len(np.intersect1d(texts[i], texts[j], assume_unique=True))
+                if 100 * both >= percent * (len(texts[i]) + len(texts[j]) - both):
+                    found[labels[i], labels[j]] = found[labels[j], labels[i]] = (ids[i], ids[j])
+        pairs = sorted(set(found.values()))
+        return pa.table({"a": pa.array([a for a, _ in pairs], pa.int64()), "b": pa.array([b for _, b in pairs], pa.int64())})
+
+    return run
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """id and label for each node of edges (a, b): the least node that it can reach.
 
@@ -207,8 +266,9 @@ def near_duplicates(
     Equal sets form a class, and only a class's least id goes on. Its registers are cut into bands; classes that share a
     band are candidates. First each member of a band is compared with the band's least member, which is linear in the
     band's size however hot it is; pairs whose estimate is well below the threshold go, and the others are confirmed on
-    the full sets. Then only members of one band that are not connected yet are compared with each other, so no link
-    between candidates is lost. Ids must be unique; rows without one are returned as a component of their own (null).
+    the full sets. Then members of one band that are not connected yet are compared with each other in blocks of BLOCK
+    members, inside the task that holds the two blocks: nothing is emitted for a pair but a confirmed link, and no
+    link between candidates is lost. Ids must be unique; rows without one are returned as a component of their own (null).
     Repeated rows count as copies of one document. Extra columns are ignored; an empty table gives no rows.
     """
     slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
@@ -223,7 +283,7 @@ def near_duplicates(
     bands = written(
         classes.select(F.col("rep").alias("id"), "registers")
         .mapInArrow(_to_bands, "id long, bands array<long>")
-        .select("id", F.explode("bands").alias("band")),
+        .select("id", F.posexplode("bands").alias("nth", "band")),
         "bands",
     )
     shared = written(
@@ -248,16 +308,22 @@ def near_duplicates(
     labels = connected(links)
 
     # what is left: members of one band in different components, neither of them the band's least
-    wide = bands.join(shared.filter("members > 2"), "band").filter("id <> lead").select("band", "id")
-    placed = wide.join(labels, "id", "left").select("band", "id", F.coalesce("label", "id").alias("label"))
+    least = percent / 100 - SLACK
+    wide = bands.join(shared.filter("members > 2"), "band").filter("id <> lead")
+    placed = wide.join(labels, "id", "left").select("band", "nth", "members", "id", F.coalesce("label", "id").alias("label"))
     mixed = placed.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi")
-    placed = written(placed.join(mixed.select("band"), "band", "left_semi"), "unconnected")
-    other = placed.select("band", F.col("id").alias("b"), F.col("label").alias("other"))
-    rest = (
-        placed.withColumnRenamed("id", "a").join(other, "band").filter("label <> other AND a < b").select("a", "b").distinct()
-    ).join(stars, ["a", "b"], "left_anti")
-    more = confirmed(rest)
-    labels = connected(links.unionByName(more))
+    placed = placed.join(mixed.select("band"), "band", "left_semi").join(sides, "id")
+    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    placed = placed.withColumn("p", F.least("block", "other")).withColumn("q", F.greatest("block", "other"))
+    names = [c.split(" ")[0] for c in _MEMBER.split(", ")]
+    marked = placed.select(*names).groupBy("band", "p", "q").applyInArrow(_marked(least), _MEMBER)
+    marked = written(marked, "open-pairs")
+    if not marked.isEmpty():
+        more = marked.join(slim.select("id", "text"), "id").select(*names, "text")
+        more = more.groupBy("band", "p", "q").applyInArrow(_linked(n_words, percent, least), "a long, b long")
+        labels = connected(links.unionByName(written(more.distinct(), "confirmed")))
 
     named = sketched.join(classes.select("set_key", "rep"), "set_key", "left").join(
         labels.withColumnRenamed("id", "rep"), "rep", "left"
