@@ -104,7 +104,8 @@ def train_languages(docs: DataFrame, text_col: str = "text", lang_col: str = "la
     before scaling, against the best bit's.
     """
     slim = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter("text IS NOT NULL AND lang IS NOT NULL")
-    counted = slim.mapInArrow(_language_counts, "lang string, counts binary")
+    counted = slim.mapInArrow(_language_counts, "lang string, counts binary").withColumn("salt", F.spark_partition_id() % 16)
+    counted = counted.groupBy("lang", "salt").applyInArrow(_sum_counts, "lang string, counts binary")
     rows = counted.groupBy("lang").applyInArrow(_sum_counts, "lang string, counts binary").collect()
     rows = sorted(rows, key=lambda r: r["lang"])
     languages = [r["lang"] for r in rows]
@@ -165,6 +166,28 @@ def predict_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc_
     return found.withColumnRenamed("id", id_col)
 
 
+def _keep(shared, min_score: float, text_at: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model: LanguageModel = shared.value
+        for batch in batches:
+            keep = []
+            for text in batch.column(text_at).to_pylist():
+                counts = ngram_counts(text) if has_letters(text) else None
+                keep.append(counts is not None and model.decode(counts.astype(np.float32), int(counts.sum()))[1] >= min_score)
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def keep_identified(docs: DataFrame, model: LanguageModel, min_score: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of docs whose language is identified: a text with letters and a score of min_score or more.
+
+    All columns pass as they are.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    return docs.mapInArrow(_keep(shared, min_score, docs.columns.index(text_col)), docs.schema)
+
+
 def identify(docs: DataFrame, folds: int = 4, fold: int = 2, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """Learn from the labelled documents outside one fold and predict all: id_col, held_out and predict_languages."""
     model = train_languages(docs.filter(~held_out(id_col, folds, fold)), text_col, lang_col)

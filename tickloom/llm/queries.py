@@ -12,6 +12,7 @@ from tickloom.llm.byte_bpe import encode_documents
 from tickloom.llm.host_rules import judge_documents
 from tickloom.llm.hyperminhash import near_duplicates
 from tickloom.llm.lang_id import identify
+from tickloom.llm.maxent_lm import score_documents
 from tickloom.llm.mixing import mix_sources
 from tickloom.llm.sharding import byte_shards
 from tickloom.llm.suffix_dedup import remove_repeats
@@ -20,6 +21,10 @@ from tickloom.llm.topk_fagin import top_k
 from tickloom.session import table
 
 
+def op1_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def op2_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
@@ -70,6 +75,7 @@ def op10_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_maxent_lm": op1_maxent_lm,
     "op2_lang_id": op2_lang_id,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_byte_bpe": op4_byte_bpe,
