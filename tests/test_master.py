@@ -173,3 +173,11 @@ def test_snapshots(spark, tmp_path):
     assert S.snapshot_log_row(contracts, day("2026-07-01")).first()["row_count"] == 4
     S.append_manifest(one.select("universe_snapshot_id"), f"{tmp_path}/manifest")
     assert spark.read.json(f"{tmp_path}/manifest").count() == 1
+
+
+def test_scalars(spark):
+    from tickloom.functions.scalars import config_hash, short_id
+
+    a, b = (F.create_map(*[F.lit(x) for kv in pairs for x in kv]) for pairs in ([("x", "1"), ("y", "2")], [("y", "2"), ("x", "1")]))
+    row = spark.range(1).select(config_hash(a).alias("a"), config_hash(b).alias("b"), short_id(F.lit(1), F.lit("u")).alias("s")).first()
+    assert row["a"] == row["b"] and len(row["a"]) == 16 and len(row["s"]) == 8

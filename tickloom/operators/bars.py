@@ -6,11 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-
-def bucket_start(time: Column, interval_s: int) -> Column:
-    """The start of the bucket that holds time, on whole epoch seconds."""
-    seconds = F.unix_seconds(time.cast("timestamp"))
-    return F.timestamp_seconds(seconds - F.pmod(seconds, F.lit(interval_s)))
+from tickloom.functions.scalars import bucket_start
 
 
 def build_bars(ticks: DataFrame, interval_s: int = 60, time_col: str = "event_time", zero_price_fill: bool = False) -> DataFrame:

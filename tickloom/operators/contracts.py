@@ -6,17 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tickloom.functions.scalars import strike_key, strike_text
+
 #: Exchanges, and the pattern of symbols.
 EXCHANGES = ("NSE", "BSE", "NFO", "BFO", "MCX")
 SYMBOL = "^[A-Z0-9]+$"
 
 
-def strike_text(strike: Column) -> Column:
-    """A strike with one decimal at least and four at most, never in powers of ten."""
-    fixed = strike.cast("decimal(18,4)").cast("string")
-    return F.regexp_replace(fixed, r"(\.\d)(\d*?)0+$", "$1$2")
-
-
 def contract_key(df: DataFrame) -> DataFrame:
     """Add contract_key: exchange|symbol|expiry|strike|type."""
     parts = [F.col("exchange"), F.col("symbol"), F.col("expiry_date").cast("string"), strike_text(F.col("strike_price")), F.col("option_type")]
@@ -59,18 +55,13 @@ def validate_contracts(df: DataFrame, known: DataFrame | None = None, pattern: s
     return df.withColumn("reasons", reasons).withColumn("is_valid", F.size("reasons") == 0).drop("_known")
 
 
-def _strike_key(strike: Column) -> Column:
-    """Strikes are doubles: they are joined as whole hundredths."""
-    return F.round(strike * 100).cast("long")
-
-
 LOOKUP = ["symbol", "expiry_date", "strike_key", "option_type"]
 
 
 def resolve_security_ids(contracts: DataFrame, master: DataFrame) -> DataFrame:
     """Add security_id by symbol, expiry, strike and type: the least id of several; contracts without one go."""
-    ids = master.withColumn("strike_key", _strike_key(F.col("strike_price"))).groupBy(*LOOKUP).agg(F.min("security_id").alias("security_id"))
-    wanted = contracts.withColumn("strike_key", _strike_key(F.col("strike_price")))
+    ids = master.withColumn("strike_key", strike_key(F.col("strike_price"))).groupBy(*LOOKUP).agg(F.min("security_id").alias("security_id"))
+    wanted = contracts.withColumn("strike_key", strike_key(F.col("strike_price")))
     return wanted.join(ids, LOOKUP).drop("strike_key")
 
 
@@ -78,8 +69,8 @@ def verify_contracts(keys: DataFrame, master: DataFrame, date: Column) -> DataFr
     """For each contract_key whether a row of the master that is valid at date has it; a malformed key is false."""
     from tickloom.operators.instruments import valid_at
 
-    listed = valid_at(master, date).withColumn("strike_key", _strike_key(F.col("strike_price"))).select("exchange", *LOOKUP).distinct()
-    asked = parse_contract_key(keys).select("contract_key", "parsed.*").withColumn("strike_key", _strike_key(F.col("strike_price")))
+    listed = valid_at(master, date).withColumn("strike_key", strike_key(F.col("strike_price"))).select("exchange", *LOOKUP).distinct()
+    asked = parse_contract_key(keys).select("contract_key", "parsed.*").withColumn("strike_key", strike_key(F.col("strike_price")))
     found = asked.drop("strike_price").join(listed.withColumn("_found", F.lit(True)), ["exchange", *LOOKUP], "left")
     return found.select("contract_key", F.coalesce("_found", F.lit(False)).alias("listed"))
 

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tickloom.functions.scalars import ratio
+
 BLOCK = 256
 
 
@@ -20,10 +22,6 @@ def _keys(session_col: str | None) -> list[str]:
     return ["security_id", session_col] if session_col else ["security_id"]
 
 
-def _guarded(numerator: Column, denominator: Column, otherwise: Column) -> Column:
-    return F.when(denominator == 0, otherwise).otherwise(numerator / denominator)
-
-
 def true_range() -> Column:
     before = F.col("close_before")
     spread = F.col("high") - F.col("low")
@@ -39,7 +37,7 @@ def wilder(df: DataFrame, columns: dict[str, str], period: int, first: int, keys
     null.
     """
     keys = list(keys)
-    ratio = (period - 1) / period
+    keep = (period - 1) / period
     start = first + period - 1
     seed_rows = F.col("n").between(first, start)
     whole = Window.partitionBy(*keys)
@@ -50,20 +48,20 @@ def wilder(df: DataFrame, columns: dict[str, str], period: int, first: int, keys
         seed = F.sum(F.when(seed_rows, F.col(x))).over(whole) / period
         df = df.withColumn(f"_y_{y}", F.when(F.col("n") == start, seed).when(F.col("n") > start, F.col(x) / period))
     for y in columns.values():
-        running = F.sum(F.col(f"_y_{y}") * F.pow(F.lit(ratio), -F.col("_j"))).over(inside)
-        df = df.withColumn(f"_s_{y}", F.when(k >= 0, running * F.pow(F.lit(ratio), F.col("_j"))))
+        running = F.sum(F.col(f"_y_{y}") * F.pow(F.lit(keep), -F.col("_j"))).over(inside)
+        df = df.withColumn(f"_s_{y}", F.when(k >= 0, running * F.pow(F.lit(keep), F.col("_j"))))
     last = df.filter((F.col("_j") == BLOCK - 1) & (k >= 0)).select(
         *keys, (F.col("_block") + 1).alias("_block"), *[F.col(f"_s_{y}").alias(f"_e_{y}") for y in columns.values()]
     )
     ends = Window.partitionBy(*keys).orderBy("_block")
-    decay = ratio**BLOCK
+    decay = keep**BLOCK
     for y in columns.values():
         one, two = (F.coalesce(F.lag(f"_e_{y}", n).over(ends), F.lit(0.0)) for n in (1, 2))
         last = last.withColumn(f"_c_{y}", F.col(f"_e_{y}") + one * decay + two * decay * decay)
     last = last.select(*keys, "_block", *[f"_c_{y}" for y in columns.values()])
     df = df.join(last, [*keys, "_block"], "left")
     for y in columns.values():
-        carried = F.coalesce(F.col(f"_c_{y}") * F.pow(F.lit(ratio), F.col("_j") + 1), F.lit(0.0))
+        carried = F.coalesce(F.col(f"_c_{y}") * F.pow(F.lit(keep), F.col("_j") + 1), F.lit(0.0))
         df = df.withColumn(y, F.when(F.col("n") >= start, F.col(f"_s_{y}") + carried))
     helpers = ["_block", "_j", *[f"_{p}_{y}" for p in "ysc" for y in columns.values()]]
     return df.drop(*helpers)
@@ -96,9 +94,9 @@ def compute_features(
     mean = F.avg("volume").over(recent)
     df = (
         df.withColumn("returns", F.when(F.col("close_before") != 0, change / F.col("close_before")))
-        .withColumn("range", _guarded(F.col("high") - F.col("low"), F.col("close"), F.lit(0.0)))
-        .withColumn("vwap", _guarded(F.sum(typical * F.col("volume")).over(upto), F.sum("volume").over(upto), F.lit(0.0)))
-        .withColumn("rvol", F.when(F.col("n") >= rvol_rows, _guarded(F.col("volume"), mean, F.lit(0.0))))
+        .withColumn("range", ratio(F.col("high") - F.col("low"), F.col("close"), F.lit(0.0)))
+        .withColumn("vwap", ratio(F.sum(typical * F.col("volume")).over(upto), F.sum("volume").over(upto), F.lit(0.0)))
+        .withColumn("rvol", F.when(F.col("n") >= rvol_rows, ratio(F.col("volume"), mean, F.lit(0.0))))
         .withColumn("oi_change", F.when(F.col("oi_before") != 0, (F.col("oi_close") - F.col("oi_before")) / F.col("oi_before")))
         .withColumn("gain", F.greatest(change, F.lit(0.0)))
         .withColumn("loss", F.greatest(-change, F.lit(0.0)))

@@ -6,18 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Date formats of vendors' expiry fields, and instrument types that have an expiry or a strike.
-EXPIRY_FORMATS = ("yyyy-MM-dd", "dd-MM-yyyy", "dd/MM/yyyy", "dd MMM yyyy", "dd-MMM-yyyy")
+from tickloom.functions.scalars import parse_expiry
+
+#: Instrument types that have an expiry, and those that have a strike.
 DERIVATIVES = ("FUTSTK", "FUTIDX", "OPTSTK", "OPTIDX", "OPTFUT", "FUTCUR", "OPTCUR", "FUTCOM")
 OPTIONS = ("OPTSTK", "OPTIDX", "OPTFUT", "OPTCUR")
 
 
-def parse_expiry(text: Column) -> Column:
-    """The first of EXPIRY_FORMATS that fits (a time of day after the date is ignored), else null."""
-    day = F.split(F.trim(text), "[ T](?=[0-9]{1,2}:)")[0]
-    return F.coalesce(*[F.try_to_date(day, f) for f in EXPIRY_FORMATS])
-
-
 def normalize_instruments(df: DataFrame) -> DataFrame:
     """Parse expiry_date; no expiry without a derivative, no strike (0) or option type without an option; names in capitals."""
     kind = F.col("instrument_type")

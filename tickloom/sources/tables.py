@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.functions.scalars import utc_date
 from tickloom.sources import schemas
 
 #: Columns of a vendor's instrument file and what they are called here.
@@ -16,10 +17,6 @@ MASTER_COLUMNS = {
 NUMBERS = {"strike_price": "double", "tick_size": "double", "lot_size": "int", "underlying_security_id": "bigint"}
 
 
-def utc_date(ns: Column) -> Column:
-    return F.timestamp_seconds(F.floor(ns / 1_000_000_000)).cast("date")
-
-
 def write_bronze(events: DataFrame, path: str) -> None:
     """Append decoded events as ticks, a folder for each UTC date of capture. The payload's security id wins over the envelope's."""
     p = lambda c: F.col(f"decoded.{c}")
