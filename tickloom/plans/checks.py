@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.operators import audit as A
+from tickloom.operators import bars as B
 from tickloom.operators import coverage as C
+from tickloom.operators import research as R
 from tickloom.operators import validation as V
 from tickloom.plans.feed import PACKETS_SQL, packets
 from tickloom.plans.market import _FEATURES, features
 from tickloom.plans.master import MASTER, master
-from tickloom.plans.views import DAILY_SQL, daily_bars, naive
+from tickloom.plans.views import AS_OF, DAILY_SQL, TICKS_SQL, bars_sql, daily_bars, naive, ticks
 
 QUERIES, ORACLES = {}, {}
 
@@ -184,3 +186,74 @@ def classification_metrics(spark, sf_dir):
     guessed = labelled(spark, sf_dir).withColumn("prediction", (F.dayofmonth("event_time") % 2).cast("int"))
     found = V.classification_metrics(guessed, ("security_id",))
     return found.withColumns({c: F.round(c, 6) for c in ("accuracy", "balanced_accuracy", "mcc")})
+
+
+# -- research ---------------------------------------------------------------------------------------------------------
+
+_SLOTS = f"""WITH {DAILY_SQL}, s AS (SELECT security_id AS slot, event_time, close, round(close, -2) AS strike FROM bars),
+c AS (SELECT *, coalesce(strike <> lag(strike) OVER w, false) AS segment_boundary FROM s WINDOW w AS (PARTITION BY slot ORDER BY event_time)),
+g AS (SELECT *, (sum(segment_boundary::INT) OVER (PARTITION BY slot ORDER BY event_time))::BIGINT AS rolling_segment_id FROM c)"""
+
+
+@query(
+    "rolling_segments",
+    _SLOTS + """ SELECT slot, event_time, strike, segment_boundary, rolling_segment_id, round((close - lag(close) OVER w) / nullif(lag(close) OVER w, 0), 6) AS returns
+    FROM g WINDOW w AS (PARTITION BY slot, rolling_segment_id ORDER BY event_time)""",
+)
+def rolling_segments(spark, sf_dir):
+    slots = daily_bars(spark, sf_dir).select(F.col("security_id").alias("slot"), "event_time", "close", F.round("close", -2).alias("strike"))
+    return naive(R.rolling_segments(slots).withColumn("returns", F.round("returns", 6)).drop("close"), "event_time")
+
+
+@query(
+    "silver_flags",
+    f"""WITH {TICKS_SQL} SELECT seq, row_number() OVER (PARTITION BY security_id, event_time, price, volume ORDER BY seq) > 1 AS is_duplicate,
+    epoch(TIMESTAMP '{AS_OF}')::BIGINT - epoch_us(event_time) // 1000000 > 300 AS is_late, coalesce(price <= 0, true) OR coalesce(volume < 0, false) AS is_invalid FROM ticks""",
+)
+def silver_flags(spark, sf_dir):
+    return R.silver_flags(ticks(spark, sf_dir), F.lit(AS_OF)).select("seq", "is_duplicate", "is_late", "is_invalid")
+
+
+@query(
+    "missing_minutes",
+    f"""WITH {TICKS_SQL}, {bars_sql(60)} SELECT security_id, event_time::DATE AS day, count(DISTINCT event_time) AS present,
+    ((epoch_us(max(event_time)) - epoch_us(min(event_time))) // 60000000 + 1)::BIGINT AS expected,
+    round(1 - count(DISTINCT event_time) / ((epoch_us(max(event_time)) - epoch_us(min(event_time))) // 60000000 + 1), 6) AS missing_rate FROM bars GROUP BY ALL""",
+)
+def missing_minutes(spark, sf_dir):
+    return R.missing_minutes(B.build_bars(ticks(spark, sf_dir), 60)).withColumn("missing_rate", F.round("missing_rate", 6))
+
+
+@query(
+    "oi_jumps",
+    f"""WITH {DAILY_SQL}, b AS (SELECT *, last_value(oi_close IGNORE NULLS) OVER (PARTITION BY security_id ORDER BY event_time ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS oi_before FROM bars)
+    SELECT security_id, event_time, oi_before, oi_close FROM b WHERE abs(oi_close - oi_before) > 0.5 * oi_before""",
+)
+def oi_jumps(spark, sf_dir):
+    return naive(R.oi_jumps(daily_bars(spark, sf_dir)).select("security_id", "event_time", "oi_before", "oi_close"), "event_time")
+
+
+def _later(m: int) -> str:
+    return f"""(first_value(close) OVER (PARTITION BY security_id ORDER BY epoch_us(event_time) // 1000000
+        RANGE BETWEEN {60 * m} FOLLOWING AND {60 * m + 86400} FOLLOWING) > close)::INT AS label_{m}"""
+
+
+@query("horizon_labels", f"WITH {TICKS_SQL}, {bars_sql(60)} SELECT security_id, event_time, {', '.join(map(_later, (5, 15, 30, 60)))} FROM bars")
+def horizon_labels(spark, sf_dir):
+    found = R.horizon_labels(B.build_bars(ticks(spark, sf_dir), 60), [5, 15, 30, 60])
+    return naive(found.select("security_id", "event_time", *[f"label_{m}" for m in (5, 15, 30, 60)]), "event_time")
+
+
+@query(
+    "combinatorial_folds",
+    f"""WITH {_ROWS}, p AS (SELECT *, row_number() OVER (ORDER BY prediction_time, row_id) - 1 AS position, count(*) OVER () AS n FROM rows),
+    o AS (SELECT *, least(floor(position * 8 / n), 7)::INT AS own FROM p), b AS (SELECT own AS g, min(prediction_time) AS low, max(evaluation_time) AS high FROM o GROUP BY 1),
+    s AS (SELECT row_number() OVER (ORDER BY a.g, c.g) - 1 AS split, a.g AS g1, c.g AS g2 FROM b a, b c WHERE a.g < c.g),
+    t AS (SELECT split, g1, g2, b.low, b.high FROM s JOIN b ON b.g IN (g1, g2)),
+    x AS (SELECT row_id, split, bool_or(own IN (g1, g2)) AS test, bool_or(prediction_time <= high + INTERVAL 30 MINUTE AND evaluation_time >= low - INTERVAL 30 MINUTE
+        OR prediction_time > high AND prediction_time <= high + INTERVAL 5 MINUTE) AS near FROM o, t GROUP BY ALL)
+    SELECT row_id, split::INT AS split, CASE WHEN test THEN 'test' WHEN near THEN 'purged' ELSE 'train' END AS role FROM x""",
+)
+def combinatorial_folds(spark, sf_dir):
+    """8 groups, 2 of them for tests: 28 splits."""
+    return R.combinatorial_folds(_rows(spark, sf_dir)).select("row_id", "split", "role")
