@@ -56,7 +56,8 @@ def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A document's host is its source."""
-    return judge_documents(table(spark, sf_dir, "documents"), F.col("source"))
+    judged = judge_documents(table(spark, sf_dir, "documents"), F.col("source"))
+    return judged.withColumn("host_rate", F.round("host_rate", 6))
 
 
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,6 +89,85 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_suffix_dedup": """
+        WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+        w AS (SELECT doc_id, p, substr(h, 2 * p + 1, 100) AS s FROM d, unnest(range(0, n - 49)) AS r(p) WHERE n >= 50),
+        f AS (SELECT s, min(doc_id) AS first FROM w GROUP BY s),
+        hit AS (SELECT w.doc_id, p FROM w JOIN f USING (s) WHERE first < w.doc_id),
+        starts AS (SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS before FROM hit),
+        runs AS (SELECT *, sum((before IS NULL OR p > before + 50)::INT) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM starts),
+        spans AS (SELECT doc_id, run, min(p) AS a, max(p) + 50 AS b FROM runs GROUP BY ALL),
+        kept AS (
+            SELECT doc_id, coalesce(lag(b) OVER w, 0) AS a, a AS b FROM spans WINDOW w AS (PARTITION BY doc_id ORDER BY a)
+            UNION ALL SELECT d.doc_id, coalesce(max(b), 0), any_value(n) FROM d LEFT JOIN spans USING (doc_id) GROUP BY d.doc_id
+        ),
+        rest AS (SELECT doc_id, string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' ORDER BY a) AS h FROM kept JOIN d USING (doc_id) GROUP BY 1),
+        sums AS (SELECT doc_id, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans FROM spans GROUP BY 1)
+        SELECT d.doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(rest.h)) AS kept_sha256
+        FROM d LEFT JOIN sums USING (doc_id) JOIN rest USING (doc_id)
+    """,
+    "op7_host_rules": r"""
+        WITH t AS (
+            SELECT doc_id, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+                list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+            FROM documents
+        ),
+        v AS (SELECT doc_id, i, array_to_string(list_slice(w, i, i + 4), ' ') AS s FROM t, unnest(range(1, len(w) - 3)) AS r(i)),
+        again AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, s) > 1 AS often FROM v),
+        covered AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM again, range(0, 5) AS r(k) WHERE often GROUP BY 1),
+        c AS (
+            SELECT t.doc_id, source, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+                length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+                coalesce(covered.n, 0) AS n_repeat_words FROM t LEFT JOIN covered USING (doc_id)
+        ),
+        j AS (
+            SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, base_failed OR 10 * n_symbols > n_words
+                OR word_chars < 3 * n_words OR word_chars > 12 * n_words OR 5 * n_dup_lines > n_words AS any_failed FROM c
+        ),
+        h AS (SELECT source, count(*) AS n, count_if(any_failed) AS failed FROM j GROUP BY 1),
+        s AS (
+            SELECT count(*) AS k, sum(n) AS n, sum(failed) / sum(n) AS m, sum(failed * failed / n) - sum(n) * (sum(failed) / sum(n)) ** 2 AS between,
+                sum(n) - sum(n * n) / sum(n) AS spread FROM h
+        ),
+        e AS (SELECT *, m * (1 - m) AS chance, CASE WHEN k > 1 AND spread > 0 THEN (between - (k - 1) * m * (1 - m)) / spread ELSE 0 END AS extra FROM s),
+        p AS (SELECT m, CASE WHEN extra > 0 AND chance > extra THEN chance / extra - 1 ELSE n / k END AS strength FROM e),
+        r AS (SELECT source, (failed + m * strength) / (n + strength) AS rate FROM h, p)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND rate <= 0.5 AS kept, j.source AS host,
+            round(rate, 6) AS host_rate FROM j JOIN r ON j.source IS NOT DISTINCT FROM r.source
+    """,
+    "op8_sharding": """
+        WITH crcs AS (
+            SELECT list(list_reduce(range(0, 8), lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b)::BIGINT ORDER BY b) AS t
+            FROM range(0, 256) AS r(b)
+        ),
+        d AS (SELECT doc_id, strlen(coalesce(text, '')) + 8 AS size, hex(encode(coalesce(text, ''))) AS h FROM documents),
+        c AS (
+            SELECT doc_id, size, xor(4294967295, list_reduce(
+                list_transform(range(0, size - 8), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT),
+                lambda a, x: xor(a >> 8, t[1 + xor(a & 255, x)]), 4294967295::BIGINT)) AS text_crc32
+            FROM d, crcs
+        ),
+        p AS (SELECT *, sum(size) OVER (ORDER BY doc_id) AS upto, sum(size) OVER () AS whole FROM c),
+        s AS (SELECT *, least(23, (2 * upto - size) * 24 // (2 * whole))::INT AS shard FROM p)
+        SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot, NULL::INT AS grown_shard FROM s
+    """,
+    "op9_hyperminhash": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+        ),
+        s AS (
+            SELECT DISTINCT doc_id, CASE WHEN len(w) = 1 THEN w[1] ELSE w[i] || ' ' || w[i + 1] END AS s
+            FROM w, unnest(range(1, greatest(len(w), least(len(w), 1) + 1))) AS r(i) WHERE len(w) > 0
+        ),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+        pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+        links AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * common >= 80 * (x.n + y.n - common)),
+        edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        reach(id, other) AS (SELECT a, b FROM edges UNION SELECT reach.id, edges.b FROM reach JOIN edges ON edges.a = reach.other),
+        least_of AS (SELECT id, min(other) AS least FROM reach GROUP BY 1)
+        SELECT doc_id, coalesce(n.n, 0) AS n_shingles, least(doc_id, coalesce(least, doc_id)) AS component_id, least(doc_id, coalesce(least, doc_id)) = doc_id AS kept
+        FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN least_of ON id = doc_id
+    """,
     "op6_topk": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
