@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 import zlib
-from array import array
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -17,54 +19,104 @@ from pyspark.sql.window import Window
 from tickloom.llm.units import as_text, split_units
 from tickloom.session import shared_dir, written
 
-#: A Python worker remembers the ids of at most this many units of text, then starts afresh.
-REMEMBERED = 500_000
-#: Documents of one call of the tokenizer.
-AT_ONCE = 4096
+#: A Python worker remembers the ids of at most this many units of text, then starts afresh (about 40 bytes each).
+REMEMBERED = 2_000_000
+#: Documents whose units are encoded together.
+AT_ONCE = 3072
 #: Signs that end a unit.
 SIGNS = ".,;:!?"
 
-#: One tokenizer for each worker and file, with what it has encoded.
-_loaded: dict[str, tuple[object, dict[str, bytes]]] = {}
 
+class _Known:
+    """Ids of units by the 128-bit hash of the unit, in sorted arrays."""
 
-def _tokenizer(path: str):
+    def __init__(self):
+        self.high, self.low = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.first, self.size = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.ids = np.zeros(0, np.int32)
+
+    @staticmethod
+    def hashes(units: list[str]) -> np.ndarray:
+        return np.frombuffer(b"".join([xxhash.xxh3_128_digest(u) for u in units]), ">u8").astype(np.uint64).reshape(-1, 2)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The entry of each hash, or -1."""
+        if not len(self.high):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.high, hashes[:, 0]), len(self.high) - 1)
+        return np.where((self.high[at] == hashes[:, 0]) & (self.low[at] == hashes[:, 1]), at, -1)
+
+    def add(self, hashes: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        order = np.argsort(hashes[:, 0])
+        starts = len(self.ids) + np.cumsum(sizes) - sizes
+        at = np.searchsorted(self.high, hashes[order, 0])
+        self.high, self.low = np.insert(self.high, at, hashes[order, 0]), np.insert(self.low, at, hashes[order, 1])
+        self.first, self.size = np.insert(self.first, at, starts[order]), np.insert(self.size, at, sizes[order])
+        self.ids = np.concatenate([self.ids, ids])
+
+    def take(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of entries in turn, and how many each has."""
+        sizes = self.size[at].astype(np.int64)
+        before = np.cumsum(sizes) - sizes
+        return self.ids[np.repeat(self.first[at] - before, sizes) + np.arange(sizes.sum())], sizes
+
+
+#: One tokenizer for each worker and file, a twin without a pattern for units of one word, and what they have encoded.
+_loaded: dict[str, list] = {}
+
+
+def _tokenizers(path: str) -> list:
     if path not in _loaded:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
-        _loaded[path] = (tokenizer, {})
+        whole = Tokenizer.from_file(path)
+        settings = json.loads(whole.to_str())
+        if (settings.get("pre_tokenizer") or {}).get("type") == "ByteLevel":
+            settings["pre_tokenizer"]["use_regex"] = False
+        word = Tokenizer.from_str(json.dumps(settings))
+        whole.encode_special_tokens = word.encode_special_tokens = True
+        _loaded[path] = [whole, word, _Known()]
     return _loaded[path]
 
 
-def _learn(tokenizer, known: dict[str, bytes], new: list[str]) -> None:
-    """Encode new units. A sign after a letter or digit at a unit's end is a word of its own, so both parts are looked up."""
-    ended = [u for u in new if u[-1] in SIGNS and u[-2:-1].isalnum()]
-    parts = {p for u in ended for p in (u[:-1], u[-1])}.union(new).difference(ended)
-    parts = [p for p in parts if p not in known]
-    for part, found in zip(parts, tokenizer.encode_batch_fast(parts, add_special_tokens=False), strict=True):
-        known[part] = array("i", found.ids).tobytes()
-    for unit in ended:
-        known[unit] = known[unit[:-1]] + known[unit[-1]]
+def _encode_new(whole, word, known: _Known, units: list[str]) -> None:
+    """Encode units that are not known. A sign after a letter or digit at a unit's end is a word of its own, so both parts
+    are looked up; units of letters alone are one word."""
+    ended = [u for u in units if u[-1] in SIGNS and u[-2:-1].isalnum()]
+    parts = list({p for u in ended for p in (u[:-1], u[-1])}.union(units).difference(ended))
+    hashes = known.hashes(parts)
+    missing = np.flatnonzero(known.find(hashes) < 0)
+    letters = [i for i in missing.tolist() if parts[i].removeprefix(" ").isalpha()]
+    alone = set(letters)
+    others = [i for i in missing.tolist() if i not in alone]
+    for tokenizer, some in ((word, letters), (whole, others)):
+        if some:
+            found = [e.ids for e in tokenizer.encode_batch_fast([parts[i] for i in some], add_special_tokens=False)]
+            sizes = np.fromiter(map(len, found), np.int32, len(found))
+            ids = np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum()))
+            known.add(hashes[some], ids, sizes)
+    if ended:
+        heads, signs = (known.take(known.find(known.hashes(x))) for x in ([u[:-1] for u in ended], [u[-1] for u in ended]))
+        ids = np.insert(heads[0], np.cumsum(heads[1]), signs[0])
+        known.add(known.hashes(ended), ids, (heads[1] + 1).astype(np.int32))
 
 
 def encode_texts(texts: pa.Array, path: str, end_id: int) -> pa.ListArray:
     """Ids of each text and the end id. Each distinct unit of a text is given to the tokenizer once and remembered."""
-    tokenizer, known = _tokenizer(path)
+    whole, word, known = _tokenizers(path)
     units, index, sizes = split_units(texts)
-    if len(known) > REMEMBERED:
-        known.clear()
-    new = [u for u in units if u not in known]
-    _learn(tokenizer, known, new)
-    encoded = list(map(known.__getitem__, units))
-    counts = np.fromiter(map(len, encoded), np.int64, len(encoded)) // 4
+    if len(known.high) > REMEMBERED:
+        known = _loaded[path][2] = _Known()
+    hashes = known.hashes(units)
+    new = np.flatnonzero(known.find(hashes) < 0)
+    if len(new):
+        _encode_new(whole, word, known, [units[i] for i in new])
+    flat, counts = known.take(known.find(hashes))
     starts = np.cumsum(counts) - counts
     # the end id stands after the ids of all units, as a unit of its own at the end of each text
-    flat = np.append(np.frombuffer(b"".join(encoded), "<i4"), np.int32(end_id))
-    counts, starts = np.append(counts, 1), np.append(starts, len(flat) - 1)
-    index = np.insert(index, np.cumsum(sizes), len(encoded))
+    flat, counts, starts = np.append(flat, np.int32(end_id)), np.append(counts, 1), np.append(starts, len(flat))
+    index = np.insert(index, np.cumsum(sizes), len(units))
     each = counts[index]
     before = np.cumsum(each) - each
     ids = flat[np.repeat(starts[index] - before, each) + np.arange(each.sum())]

@@ -11,6 +11,11 @@ import pyarrow.compute as pc
 _INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
+def listed(values: pa.Array | pa.ChunkedArray) -> list:
+    """Strings or binary values as a list, by way of NumPy, which is much faster than one by one."""
+    return values.to_numpy(zero_copy_only=False).tolist() if isinstance(values, pa.Array) else values.to_numpy().tolist()
+
+
 def spaced_units(text: str) -> list[str]:
     """The text cut before each single space between two other characters; an empty text has no units.
 
@@ -54,7 +59,7 @@ def split_units(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     used[code] = True
     index = (np.cumsum(used) - 1)[code]
     some = np.flatnonzero(used)
-    plain = coded.dictionary.take(pa.array(some // 2)).to_pylist()
+    plain = listed(coded.dictionary.take(pa.array(some // 2)))
     units = [" " + u if spaced else u for u, spaced in zip(plain, (some % 2).tolist(), strict=True)]
     if len(odd):
         number = {u: i for i, u in enumerate(units)}
