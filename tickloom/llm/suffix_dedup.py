@@ -18,16 +18,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.chunks import chunk_documents, chunk_table, in_chunks, packed, parts_for, text_bytes, unpacked
+from tickloom.llm.units import listed
 
 #: Leading bytes that suffixes must share to meet.
 SEED = 24
-CHUNK_BYTES = 8_000_000
+CHUNK_BYTES = 6_000_000
 #: Bytes of text for each bucket of hashes or of suffixes.
-BUCKET_BYTES = 16_000_000
+BUCKET_BYTES = 12_000_000
 #: Seeds in more documents than this are dealt by whole windows instead, as their suffixes could fill a bucket.
 HOT_DOCUMENTS = 2000
 #: Documents that the splitters are sampled from.
-SAMPLED = 100
+SAMPLED = 300
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _HASH_BITS = 48
@@ -106,7 +107,7 @@ class _Chunk:
         ids, texts = chunk_documents(rows)
         self.null = [i is None for i in ids]
         self.ids = [NO_ID if i is None else i for i in ids]
-        self.texts = texts.to_pylist()
+        self.texts = listed(texts)
         self.length = length
 
     def runs(self):
@@ -307,7 +308,7 @@ def _compare(length: int):
             else:
                 own.append((chunk, unpacked(blob)))
         if own:
-            contents = [c for _, t in own for c in t["content"].to_pylist()]
+            contents = [c for _, t in own for c in listed(t["content"])]
             off, docs = (np.concatenate([t[c].to_numpy() for _, t in own]).astype(np.int64) for c in ("off", "doc"))
             masks = np.split(repeated_windows(contents, off, docs, length), np.cumsum([t.num_rows for _, t in own])[:-1])
             for (chunk, t), mask in zip(own, masks, strict=True):
@@ -367,14 +368,16 @@ def _cut(length: int, keep_text: bool, n_carried: int):
 
 
 def sample_splitters(docs: DataFrame, n: int, length: int, id_col: str, text_col: str) -> list[bytes]:
-    """At most n - 1 seeds that cut the suffixes of a sample evenly: the first 5,000 characters of SAMPLED
-    documents, those of the least hash. Splitters set where suffixes meet, not whether they do.
+    """At most n - 1 seeds that cut the suffixes of a sample evenly: the first 5,000 characters of about
+    SAMPLED documents, chosen by a hash. Splitters set where suffixes meet, not whether they do.
     """
     if n < 2:
         return []
-    some = docs.select(F.substring(F.col(text_col), 1, 5000).cast("binary").alias("text"), F.xxhash64(id_col, text_col).alias("h"))
+    share = min(1.0, SAMPLED / max(1, docs.count()))
+    chosen = F.pmod(F.xxhash64(id_col, text_col), F.lit(1 << 30)) < int(share * (1 << 30))
+    some = docs.filter(chosen).select(F.substring(F.col(text_col), 1, 5000).cast("binary").alias("text"))
     seeds: list[bytes] = []
-    for row in some.filter("text IS NOT NULL").orderBy("h").limit(SAMPLED).collect():
+    for row in some.filter("text IS NOT NULL").collect():
         text = bytes(row["text"])
         seeds += [text[a : a + SEED] for a in anchored_runs(np.frombuffer(text, np.uint8), length)[1].tolist()]
     seeds.sort()
