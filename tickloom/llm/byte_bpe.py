@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.chunks import CHUNK_BYTES, by_bucket, chunk_documents, in_chunks, packed, parts_for, text_bytes, unpacked
-from tickloom.llm.units import as_text, one_line, split_units
+from tickloom.llm.units import as_text, listed, one_line, split_units
 
 #: Bytes of text for each bucket of words.
 BUCKET_BYTES = 24_000_000
@@ -176,17 +176,17 @@ def _chunk_words(pattern: str, n_buckets: int):
 def _distinct_words(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
     words: set[bytes] = set()
     for blob in rows["words"].to_pylist():
-        words.update(unpacked(blob)["w"].to_pylist())
+        words.update(listed(unpacked(blob)["w"]))
     return pa.table({"bucket": pa.array([key[0].as_py()] * len(words), pa.int32()), "word": pa.array(sorted(words), pa.binary())})
 
 
 def _answer_chunks(key: tuple[pa.Scalar, ...], encoded: pa.Table, asked: pa.Table) -> pa.Table:
     encoded = encoded.combine_chunks()
-    place = {w: i for i, w in enumerate(encoded["word"].to_pylist())}
+    place = {w: i for i, w in enumerate(listed(encoded["word"]))}
     ids = encoded["ids"].combine_chunks()
     answers = []
     for blob in asked["words"].to_pylist():
-        at = [place[w] for w in unpacked(blob)["w"].to_pylist()]
+        at = [place[w] for w in listed(unpacked(blob)["w"])]
         answers.append(packed(ids=ids.take(pa.array(at, pa.int32()))))
     return pa.table(
         {

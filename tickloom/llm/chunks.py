@@ -16,6 +16,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.llm.units import listed
+
 CHUNK_BYTES = 12_000_000
 #: A map task holds at most this many bytes of text before it hands on what it has.
 FLUSH_BYTES = 24_000_000
@@ -86,7 +88,7 @@ def in_chunks(docs: DataFrame, id_col: str, text_col: str, n_chunks: int, carry:
 def chunk_table(rows: pa.Table) -> pa.Table:
     """The documents of one chunk in the order of id and text, null ids last: id, text (binary), carried columns."""
     whole = pa.concat_tables([unpacked(b) for b in rows["docs"].to_pylist()]).combine_chunks()
-    ids, texts = whole["id"].to_pylist(), whole["text"].to_pylist()
+    ids, texts = whole["id"].to_pylist(), listed(whole["text"])
     order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, texts[i]))
     return whole.take(pa.array(order, pa.int64())).combine_chunks()
 
@@ -104,7 +106,7 @@ def by_bucket(words: pa.Array, n_buckets: int) -> list[tuple[int, np.ndarray]]:
     if not len(words):
         return []
     order = pc.sort_indices(words).to_numpy().astype(np.int64)
-    bucket = np.fromiter(map(crc32, words.to_pylist()), np.int64, len(words))[order] % n_buckets
+    bucket = np.fromiter(map(crc32, listed(words)), np.int64, len(words))[order] % n_buckets
     inner = np.argsort(bucket, kind="stable")
     cuts = np.flatnonzero(np.diff(bucket[inner])) + 1
     return [(int(bucket[at[0]]), order[at]) for at in np.split(inner, cuts)]

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.llm.units import listed
 from tickloom.session import written
 
 #: Characters counted as symbols.
@@ -55,7 +56,7 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, AT_ONCE):
             some = batch.slice(at, AT_ONCE)
-            got = [text_counts(x or b"") for x in some.column("text").to_pylist()]
+            got = [text_counts(x or b"") for x in listed(some.column("text"))]
             columns = list(zip(*got, strict=True))
             names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
             counted = {c: pa.array(v, pa.int64()) for c, v in zip(names, columns, strict=True)}

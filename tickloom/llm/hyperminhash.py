@@ -11,6 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.llm.units import listed
 from tickloom.session import written
 
 #: Minima of a document, in BANDS bands of ROWS: two sets of similarity 0.8 share no band once in 200,000 times.
@@ -107,7 +108,7 @@ def _sketch(n_words: int):
                 some = batch.slice(at, AT_ONCE)
                 if len(known) > REMEMBERED:
                     known = {}
-                sets = [shingle_set(t or b"", n_words, known) for t in some.column("text").to_pylist()]
+                sets = [shingle_set(t or b"", n_words, known) for t in listed(some.column("text"))]
                 full = [i for i, s in enumerate(sets) if len(s)]
                 rows: list[bytes | None] = [None] * len(sets)
                 if full:
@@ -128,7 +129,7 @@ def _sketch(n_words: int):
 def _to_bands(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
-            values = np.frombuffer(b"".join(batch.column("registers").to_pylist()), "<u2").reshape(-1, REGISTERS)
+            values = np.frombuffer(b"".join(listed(batch.column("registers"))), "<u2").reshape(-1, REGISTERS)
             keys = band_keys(values)
             offsets = pa.array(np.arange(len(keys) + 1, dtype=np.int32) * BANDS)
             yield pa.record_batch(
@@ -141,7 +142,7 @@ def _likely(least: float):
         for batch in batches:
             if batch.num_rows:
                 a, b = (
-                    np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, REGISTERS) for c in ("ra", "rb")
+                    np.frombuffer(b"".join(listed(batch.column(c))), "<u2").reshape(-1, REGISTERS) for c in ("ra", "rb")
                 )
                 guess = estimate(a, b, batch.column("na").to_numpy(), batch.column("nb").to_numpy())
                 keep = pa.array(guess >= least)
@@ -177,7 +178,7 @@ def _open_pairs(rows: pa.Table, least: float) -> Iterator[tuple[int, np.ndarray]
 
     A pair counts in the first band that its members share, and where their blocks are the group's two blocks.
     """
-    values = np.frombuffer(b"".join(rows["registers"].to_pylist()), "<u2").reshape(-1, REGISTERS)
+    values = np.frombuffer(b"".join(listed(rows["registers"])), "<u2").reshape(-1, REGISTERS)
     keys = band_keys(values)
     sizes, labels = rows["n"].to_numpy(), rows["label"].to_numpy()
     blocks, nth = rows["block"].to_numpy(), rows["nth"][0].as_py()
@@ -212,7 +213,7 @@ def _marked(least: float):
 def _linked(n_words: int, percent: int, least: float):
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         known: dict[bytes, int] = {}
-        texts = [shingle_set(t or b"", n_words, known) for t in rows["text"].to_pylist()]
+        texts = [shingle_set(t or b"", n_words, known) for t in listed(rows["text"])]
         ids, labels = rows["id"].to_pylist(), rows["label"].to_pylist()
         found: dict[tuple[int, int], tuple[int, int]] = {}
         for i, others in _open_pairs(rows, least):

@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.llm.units import listed
+
 UNKNOWN = "und"
 #: Hash buckets of byte pairs and of byte triples.
 PAIRS, TRIPLES = 4096, 8192
@@ -78,7 +80,7 @@ class LanguageModel:
 def _language_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[str, np.ndarray] = {}
     for batch in batches:
-        for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), strict=True):
+        for text, lang in zip(listed(batch.column("text")), listed(batch.column("lang")), strict=True):
             if has_letters(text):
                 counts = ngram_counts(text)
                 held[lang] = held[lang] + counts if lang in held else counts.astype(np.int64)
@@ -128,7 +130,7 @@ def _predict(shared):
             for at in range(0, batch.num_rows, AT_ONCE):
                 some = batch.slice(at, AT_ONCE)
                 langs, scores, flags = [], [], []
-                for text in some.column("text").to_pylist():
+                for text in listed(some.column("text")):
                     lang, score, ambiguous = UNKNOWN, 0.0, False
                     if has_letters(text):
                         counts = ngram_counts(text)
@@ -171,7 +173,7 @@ def _keep(shared, min_score: float, text_at: int):
         model: LanguageModel = shared.value
         for batch in batches:
             keep = []
-            for text in batch.column(text_at).to_pylist():
+            for text in listed(batch.column(text_at)):
                 counts = ngram_counts(text) if has_letters(text) else None
                 keep.append(counts is not None and model.decode(counts.astype(np.float32), int(counts.sum()))[1] >= min_score)
             yield batch.filter(pa.array(keep, pa.bool_()))
