@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tickloom.operators import coverage as C
 from tickloom.operators import events as E
-from tickloom.plans.views import AS_OF, TICKS_SQL, naive, ticks
+from tickloom.plans.views import TICKS_SQL, naive, ticks
 from tickloom.session import table
 
 QUERIES, ORACLES = {}, {}
