@@ -147,6 +147,19 @@ def leakage_pairs(spark, sf_dir):
     return V.temporal_leakage(r.filter("security_id % 2 = 0"), r.filter("security_id % 50 = 1")).select("row_id")
 
 
+@query(
+    "leakage_whole",
+    f"""WITH {_ROWS}, e AS (SELECT row_id, evaluation_time AS moment, prediction_time AS low, NULL::TIMESTAMP AS reach FROM rows WHERE security_id % 2 = 0
+        UNION ALL SELECT NULL, prediction_time, NULL, evaluation_time FROM rows WHERE security_id % 2 <> 0),
+    m AS (SELECT row_id, low, max(reach) OVER (ORDER BY moment RANGE UNBOUNDED PRECEDING) AS reach FROM e)
+    SELECT row_id FROM m WHERE row_id IS NOT NULL AND reach >= low""",
+)
+def leakage_whole(spark, sf_dir):
+    """leakage_pairs over all rows: those of even securities train, those of odd ones test."""
+    r = _rows(spark, sf_dir)
+    return V.temporal_leakage(r.filter("security_id % 2 = 0"), r.filter("security_id % 2 <> 0")).select("row_id")
+
+
 @query(
     "snapshot_invariants",
     f"""WITH {PACKETS_SQL}, s AS (SELECT seq, list_filter([CASE WHEN last_trade_volume % 19 = 0 THEN 'no_id' END, CASE WHEN depth = 0 THEN 'no_contracts' END,
