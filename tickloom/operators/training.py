@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from functools import reduce
+from multiprocessing.pool import ThreadPool
+from statistics import median
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
@@ -21,9 +24,22 @@ from tickloom.operators.validation import (
 )
 from tickloom.session import written
 
+#: The controls that must all hold.
+CONTROLS = ("as_is", "label_shuffle", "noise_features", "duplicate_rows", "missing_values", "reversed_time")
+#: Stands for a missing value in trees.
+MISSING = -1e300
+#: Models that are trained at the same time.
+AT_ONCE = 8
+
+
+def _vectors(df: DataFrame, features: list[str]) -> DataFrame:
+    """_features: the vector of features; a missing value lies below every other, so that one split tells it apart."""
+    ready = df.withColumns({f"_{c}": F.when(F.col(c).isNull() | F.isnan(c), MISSING).otherwise(F.col(c)) for c in features})
+    return VectorAssembler(inputCols=[f"_{c}" for c in features], outputCol="_features").transform(ready)
+
 
 def _fit(train: DataFrame, features: list[str], label: str, seed: int, trees: int, depth: int, validation: str | None = None):
-    ready = VectorAssembler(inputCols=features, outputCol="_features", handleInvalid="keep").transform(train)
+    ready = _vectors(train, features)
     learner = GBTClassifier(featuresCol="_features", labelCol=label, maxIter=trees, maxDepth=depth, stepSize=0.05 if trees > 50 else 0.1, seed=seed)
     if validation:
         learner = learner.setValidationIndicatorCol(validation)
@@ -31,51 +47,107 @@ def _fit(train: DataFrame, features: list[str], label: str, seed: int, trees: in
 
 
 def _predict(model, df: DataFrame, features: list[str]) -> DataFrame:
-    return model.transform(VectorAssembler(inputCols=features, outputCol="_features", handleInvalid="keep").transform(df))
+    return model.transform(_vectors(df, features))
 
 
 def negative_controls(
-    df: DataFrame, features: list[str], folds: int = 3, seeds: tuple[int, ...] = (7, 19), trees: int = 5, depth: int = 3, purge_s: int = 0
+    df: DataFrame, features: list[str], folds: int = 5, seeds: tuple[int, ...] = (7, 19, 42, 73, 101), trees: int = 50, depth: int = 3, purge_s: int = 1800
 ) -> DataFrame:
-    """Controls over purged folds: labels shuffled (for each seed), features of noise, and the data as it is.
+    """Controls over purged folds: labels shuffled (for each seed), features of noise, a tenth of the rows repeated after the
+    end, half of the values missing, time reversed, and the data as it is.
 
-    df: row_id, prediction_time, evaluation_time, label, features. Returns control, seed, accuracy, balanced_accuracy, mcc;
-    a shuffle or noise that does well shows a leak. Labels are shuffled by joining positions in time with positions in a
-    seeded random order.
+    df: row_id, prediction_time, evaluation_time, label, features. Returns control, seed, accuracy, balanced_accuracy, mcc,
+    fold_sd (deviation of the folds' accuracies), null_accuracy (that of the most frequent label) and rejected (by the
+    guard of time; reversed_time alone, which trains nothing). Labels are shuffled by joining positions in time with
+    positions in a seeded random order.
     """
-    df = written(df.select("row_id", "prediction_time", "evaluation_time", "label", *features), "controls")
-    folded = written(purged_kfold(df, folds, purge_s).filter("role <> 'purged'"), "folds")
-    placed = written(global_position(df.select("row_id", "label"), ["row_id"]), "positions")
+    placed = global_position(df.select("row_id", "prediction_time", "evaluation_time", "label", *features), ["prediction_time", "row_id"])
+    df = written(placed.withColumn("row_id", F.col("position")).drop("position"), "controls")
+    rows = df.drop("n_rows")
 
     def shuffled(seed: int) -> DataFrame:
         other = global_position(df.select("label", F.xxhash64("row_id", F.lit(seed)).alias("key"), "row_id"), ["key", "row_id"])
-        labels = placed.select("row_id", "position").join(other.select("position", F.col("label").alias("_label")), "position")
-        return folded.join(labels.select("row_id", "_label"), "row_id").withColumn("label", F.col("_label")).drop("_label")
-
-    cases = [("as_is", 0, folded)]
-    cases += [("label_shuffle", s, shuffled(s)) for s in seeds]
+        return rows.drop("label").join(other.select(F.col("position").alias("row_id"), "label"), "row_id")
+
+    def repeated() -> DataFrame:
+        last = F.broadcast(rows.agg(F.max("prediction_time").alias("_last")))  # one row
+        more = df.filter("row_id < n_rows / 10").join(last)
+        span = F.col("evaluation_time") - F.col("prediction_time")
+        at = F.col("_last") + F.make_dt_interval(mins=(F.col("row_id") + 1).cast("int"))
+        more = more.withColumn("evaluation_time", at + span).withColumn("prediction_time", at).withColumn("row_id", F.col("n_rows") + F.col("row_id"))
+        return rows.unionByName(more.select(*rows.columns))
+
+    def rejected() -> bool:
+        times = df.select((F.col("n_rows") - 1 - F.col("row_id")).alias("row_id"), "prediction_time", "evaluation_time")
+        try:
+            purged_kfold(times, folds, purge_s, order="row_id")
+        except LeakageError:
+            return True
+        return False
+
+    missing = {c: F.when(F.rand(seeds[0] * 1000 + i) >= 0.5, F.col(c)) for i, c in enumerate(features)}
     noise = {c: F.randn(seeds[0] * 100 + i) for i, c in enumerate(features)}
-    cases.append(("noise_features", seeds[0], folded.withColumns(noise)))
-    out = []
-    for name, seed, data in cases:
-        data = written(data, name)
-        scored = []
-        for fold in range(folds):
-            own = data.filter(F.col("fold") == fold)
-            model = _fit(own.filter("role = 'train'"), features, "label", seed or 42, trees, depth)
-            scored.append(_predict(model, own.filter("role = 'test'"), features).select("prediction", "label"))
-        metrics = classification_metrics(reduce(DataFrame.unionByName, scored))
-        out.append(metrics.select(F.lit(name).alias("control"), F.lit(seed).alias("seed"), "accuracy", "balanced_accuracy", "mcc"))
-    return written(reduce(DataFrame.unionByName, out), "control-metrics")
+    cases = [("as_is", 0, rows), *[("label_shuffle", s, shuffled(s)) for s in seeds]]
+    cases += [("noise_features", seeds[0], rows.withColumns(noise)), ("duplicate_rows", 0, repeated()), ("missing_values", seeds[0], rows.withColumns(missing))]
+
+    def folded(case: tuple[str, int, DataFrame]) -> tuple[str, int, DataFrame]:
+        return (*case[:2], written(purged_kfold(written(case[2], case[0]), folds, purge_s).filter("role <> 'purged'"), f"{case[0]}-folds"))
+
+    def scored(one: tuple[tuple[str, int, DataFrame], int]) -> DataFrame:
+        (name, seed, data), fold = one
+        own = data.filter(F.col("fold") == fold)
+        model = _fit(own.filter("role = 'train'"), features, "label", seed or 42, trees, depth)
+        found = _predict(model, own.filter("role = 'test'"), features)
+        return written(found.select(F.lit(name).alias("control"), F.lit(seed).alias("seed"), "fold", "prediction", "label"), "predictions")
+
+    with ThreadPool(AT_ONCE) as pool:
+        ready = pool.map(inheritable_thread_target(df.sparkSession)(folded), cases)
+        found = pool.map(inheritable_thread_target(df.sparkSession)(scored), [(case, fold) for case in ready for fold in range(folds)], chunksize=1)
+    guesses = written(reduce(DataFrame.unionByName, found), "guesses")
+    case = ("control", "seed")
+    spread = classification_metrics(guesses, (*case, "fold")).groupBy(*case).agg(F.stddev_pop("accuracy").alias("fold_sd"))
+    ones = (F.col("tp") + F.col("fn")) / (F.col("tp") + F.col("fn") + F.col("tn") + F.col("fp"))
+    metrics = classification_metrics(guesses, case).withColumn("null_accuracy", F.greatest(ones, 1 - ones)).join(spread, [*case])
+    metrics = metrics.select(*case, "accuracy", "balanced_accuracy", "mcc", "fold_sd", "null_accuracy", F.lit(None).cast("boolean").alias("rejected"))
+    time = df.sparkSession.createDataFrame([("reversed_time", 0, rejected())], "control string, seed int, rejected boolean")
+    return written(metrics.unionByName(time, allowMissingColumns=True), "control-metrics")
+
+
+def controls_failed(metrics: DataFrame) -> list[str]:
+    """Names of the controls that failed or are missing.
+
+    Median correlation of shuffled labels within 0.1 of none and no single one below -0.3; noise near one half; reversed
+    time rejected; repeated rows don't level the folds' accuracies (to under 0.01, or under a quarter of the spread as it
+    is, which on large data is small by itself); scores in spite of missing values; as it is, at most 0.05 below the null
+    model.
+    """
+    by = {}
+    for r in metrics.collect():  # a row for each control and seed
+        by.setdefault(r["control"], []).append(r)
+    sound = lambda x: x is not None and x == x
+
+    def holds(name: str) -> bool:
+        own = by[name]
+        if name == "reversed_time":
+            return all(r["rejected"] is True for r in own)
+        if not all(sound(r[c]) for r in own for c in ("accuracy", "balanced_accuracy", "mcc", "fold_sd", "null_accuracy")):
+            return False
+        if name == "label_shuffle":
+            return abs(median(r["mcc"] for r in own)) <= 0.1 and min(r["mcc"] for r in own) >= -0.3
+        if name == "noise_features":
+            return all(abs(r["balanced_accuracy"] - 0.5) <= 0.1 for r in own)
+        if name == "duplicate_rows":
+            return all("as_is" in by and r["fold_sd"] >= min(0.01, by["as_is"][0]["fold_sd"] / 4) for r in own)
+        if name == "as_is":
+            return all(r["accuracy"] >= r["null_accuracy"] - 0.05 for r in own)
+        return True
+
+    return [name for name in CONTROLS if name not in by or not holds(name)]
 
 
 def controls_passed(metrics: DataFrame) -> bool:
-    """Median correlation of shuffled labels within 0.1 of none and no single one below -0.3; noise near one half."""
-    rows = metrics.collect()  # a row for each control
-    shuffles = sorted(r["mcc"] for r in rows if r["control"] == "label_shuffle")
-    middle = shuffles[len(shuffles) // 2] if len(shuffles) % 2 else sum(shuffles[len(shuffles) // 2 - 1 : len(shuffles) // 2 + 1]) / 2
-    noise = [r["balanced_accuracy"] for r in rows if r["control"] == "noise_features"]
-    return abs(middle) <= 0.1 and min(shuffles) >= -0.3 and all(abs(x - 0.5) <= 0.1 for x in noise)
+    """Whether every control is there and held."""
+    return not controls_failed(metrics)
 
 
 def guarded_train(

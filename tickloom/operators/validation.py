@@ -60,12 +60,26 @@ def _overlaps(start: Column, end: Column, low: Column, high: Column) -> Column:
     return (start <= high) & (end >= low)
 
 
-def purged_kfold(df: DataFrame, k: int = 5, purge_s: int = 0, embargo_s: int = 0, keys: tuple[str, ...] = ("prediction_time", "row_id")) -> DataFrame:
+def assert_time_order(df: DataFrame, order: str) -> None:
+    """Raise LeakageError if prediction_time falls anywhere along the column order, whose values differ from row to row."""
+    rows = df.select(order, "prediction_time")
+    given = global_position(rows, [order]).select(order, F.col("position").alias("given"))
+    moved = global_position(rows, ["prediction_time", order]).join(given, order).filter("position <> given")
+    if not moved.isEmpty():
+        raise LeakageError(f"prediction_time is not monotonic in {order}")
+
+
+def purged_kfold(
+    df: DataFrame, k: int = 5, purge_s: int = 0, embargo_s: int = 0, keys: tuple[str, ...] = ("prediction_time", "row_id"), order: str | None = None
+) -> DataFrame:
     """(fold, role) of each row for k contiguous folds in time, the first n mod k of them one row longer.
 
     In fold f its rows are test; other rows are train unless their interval meets the test interval widened by purge_s on
-    both sides, or they start within embargo_s after it. There are k fold bounds, so they are broadcast.
+    both sides, or they start within embargo_s after it. There are k fold bounds, so they are broadcast. order: a column along
+    which time must not fall.
     """
+    if order:
+        assert_time_order(df, order)
     placed = global_position(event_intervals(df), list(keys))
     size, more = F.floor(F.col("n_rows") / k), F.col("n_rows") % k
     cut = more * (size + 1)
