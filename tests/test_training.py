@@ -63,3 +63,31 @@ def test_time_order(spark, rows):
     V.assert_time_order(rows, "row_id")
     with pytest.raises(V.LeakageError, match="monotonic"):
         V.purged_kfold(rows.selectExpr("499 - row_id AS row_id", "prediction_time", "evaluation_time"), order="row_id")
+
+
+def test_guarded_train_needs_controls(spark, rows):
+    split = V.chrono_split(rows, keys=("prediction_time", "row_id")).selectExpr("*", "concat('d-', role) AS dataset_id")
+    with pytest.raises(V.LeakageError, match="required"):
+        T.guarded_train(split, FEATURES)
+    bad = metrics(spark, label_shuffle={"mcc": 0.4})
+    with pytest.raises(V.LeakageError, match="label_shuffle"):
+        T.guarded_train(split, FEATURES, controls=bad)
+    found = T.guarded_train(split, FEATURES, folds=2, trees=3, depth=2, patience=1, controls=metrics(spark))[1].first()
+    assert found["negative_control_passed"] is True and 1 <= found["trees"] <= 3 and found["max_depth"] == 2
+    assert found["train_rows"] < 400
+
+
+def test_query_gives_controls_and_surveyed_sizes(spark, monkeypatch):
+    import inspect
+
+    from tickloom.plans import learn
+
+    seen = {}
+    monkeypatch.setattr(learn, "rows", lambda spark, sf_dir: spark.sql("SELECT 1L AS row_id, 1L AS security_id, current_timestamp() AS event_time"))
+    monkeypatch.setattr(learn.T, "negative_controls", lambda df, features: "controls")
+    monkeypatch.setattr(learn.T, "guarded_train", lambda df, features, **given: (None, seen.update(given)))
+    learn.guarded_train(spark, "")
+    assert seen == {"controls": "controls"}
+    monkeypatch.undo()
+    given = {k: p.default for k, p in inspect.signature(T.guarded_train).parameters.items()}
+    assert [given[k] for k in ("folds", "purge_s", "trees", "depth", "patience", "require_controls")] == [5, 1800, 200, 6, 20, True]

@@ -38,12 +38,9 @@ def _vectors(df: DataFrame, features: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=[f"_{c}" for c in features], outputCol="_features").transform(ready)
 
 
-def _fit(train: DataFrame, features: list[str], label: str, seed: int, trees: int, depth: int, validation: str | None = None):
-    ready = _vectors(train, features)
-    learner = GBTClassifier(featuresCol="_features", labelCol=label, maxIter=trees, maxDepth=depth, stepSize=0.05 if trees > 50 else 0.1, seed=seed)
-    if validation:
-        learner = learner.setValidationIndicatorCol(validation)
-    return learner.fit(ready)
+def _fit(train: DataFrame, features: list[str], label: str, seed: int, trees: int, depth: int, step: float = 0.1):
+    learner = GBTClassifier(featuresCol="_features", labelCol=label, maxIter=trees, maxDepth=depth, stepSize=step, seed=seed)
+    return learner.fit(_vectors(train, features))
 
 
 def _predict(model, df: DataFrame, features: list[str]) -> DataFrame:
@@ -150,34 +147,63 @@ def controls_passed(metrics: DataFrame) -> bool:
     return not controls_failed(metrics)
 
 
+def _stopped_early(train: DataFrame, held: DataFrame, features: list[str], label: str, seed: int, trees: int, depth: int, patience: int):
+    """A model of at most trees rounds, up to the one of least log loss on held before patience rounds brought no better one.
+
+    MLlib's own rule has no patience: the losses are looked at after 2 * patience rounds, and after twice as many each time
+    that patience did not run out. With the same seed, fewer rounds are the first ones of more.
+    """
+    rounds, ready = min(trees, 2 * patience), _vectors(held, features)
+    while True:
+        model = _fit(train, features, label, seed, rounds, depth, 0.05)
+        losses = model.evaluateEachIteration(ready)
+        best = 0
+        for i, loss in enumerate(losses):
+            if loss < losses[best]:
+                best = i
+            elif i - best >= patience:
+                break
+        else:
+            if rounds < trees:
+                rounds = min(trees, 2 * rounds)
+                continue
+        break
+    return (model if best + 1 == rounds else _fit(train, features, label, seed, best + 1, depth, 0.05)), best + 1
+
+
 def guarded_train(
-    df: DataFrame, features: list[str], folds: int = 5, purge_s: int = 0, trees: int = 20, depth: int = 6, seed: int = 42, controls: DataFrame | None = None
-):
+    df: DataFrame, features: list[str], folds: int = 5, purge_s: int = 1800, trees: int = 200, depth: int = 6, seed: int = 42,
+    controls: DataFrame | None = None, patience: int = 20, require_controls: bool = True,
+):
     """Train boosted trees if every guard holds; else raise LeakageError. Returns the model and a manifest (one row).
 
     df: row_id, dataset_id, role, prediction_time, evaluation_time, label, features. Guards: roles of the training and the
     evaluation rows, proper event intervals, no train row of a purged fold that meets its test interval, no train row that
-    meets an early_stopping one after those that do were purged, and passed negative controls if given. Trees stop early
-    on the early_stopping rows.
+    meets an early_stopping one after those that do were purged, and passed negative controls (negative_controls of the
+    same rows), unless require_controls is switched off. Trees stop early on the early_stopping rows, after patience rounds
+    without a better one.
     """
     assert_roles(df, "training")
     assert_roles(df.filter("role <> 'train'"), "eval_set")
+    if controls is None and require_controls:
+        raise LeakageError("negative controls are required")
+    failed = [] if controls is None else controls_failed(controls)
+    if failed and require_controls:
+        raise LeakageError(f"negative controls failed: {', '.join(failed)}")
+    passed = None if controls is None else not failed
     df = written(event_intervals(df), "training-rows")
     train, held = df.filter("role = 'train'"), df.filter("role = 'early_stopping'")
+    folded = written(purged_kfold(train.select("row_id", "prediction_time", "evaluation_time"), folds, purge_s), "training-folds")
     for fold in range(folds):
-        rows = purged_kfold(train.select("row_id", "prediction_time", "evaluation_time"), folds, purge_s).filter(F.col("fold") == fold)
+        rows = folded.filter(F.col("fold") == fold)
         if not temporal_leakage(rows.filter("role = 'train'"), rows.filter("role = 'test'")).isEmpty():
             raise LeakageError(f"fold {fold} leaks")
-    passed = None if controls is None else controls_passed(controls)
-    if passed is False:
-        raise LeakageError("a negative control learned something")
     leaks = temporal_leakage(train.select("row_id", "prediction_time", "evaluation_time"), held.select("row_id", "prediction_time", "evaluation_time"))
     purged = written(train.join(leaks.select("row_id"), "row_id", "left_anti"), "purged-train")
-    both = purged.withColumn("_held", F.lit(False)).unionByName(held.withColumn("_held", F.lit(True)))
-    model = _fit(both, features, "label", seed, trees, depth, "_held")
+    model, rounds = _stopped_early(purged, held, features, "label", seed, trees, depth, patience)
     metrics = classification_metrics(_predict(model, held, features).select("prediction", "label"))
     manifest = metrics.join(F.broadcast(dataset_fingerprint(purged.select("row_id", "label", *features)))).select(
-        F.lit("gbt").alias("model_type"), F.lit(seed).alias("seed"), F.lit(model.getNumTrees).alias("trees"), F.lit(depth).alias("max_depth"),
+        F.lit("gbt").alias("model_type"), F.lit(seed).alias("seed"), F.lit(rounds).alias("trees"), F.lit(depth).alias("max_depth"),
         F.lit(",".join(features)).alias("features"), F.col("rows").alias("train_rows"), F.concat_ws(":", F.col("mixed").cast("string"), "summed").alias("fingerprint"),
         "accuracy", "balanced_accuracy", "mcc", F.lit(passed).cast("boolean").alias("negative_control_passed"),
     )  # one row each

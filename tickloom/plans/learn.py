@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tickloom.operators import training as T
 from tickloom.operators import validation as V
 from tickloom.plans.checks import labelled
+from tickloom.session import written
 
 QUERIES, ORACLES = {}, {}
 FEATURES = ["returns", "range", "atr", "vwap", "rsi", "oi_change"]
@@ -29,7 +30,8 @@ def negative_controls(spark, sf_dir) -> DataFrame:
 
 def guarded_train(spark, sf_dir) -> DataFrame:
     split = V.chrono_split(rows(spark, sf_dir)).withColumn("dataset_id", F.concat(F.lit("daily-"), F.col("role")))
-    return T.guarded_train(split, FEATURES, folds=3, trees=10, depth=3)[1]
+    split = written(split, "split")
+    return T.guarded_train(split, FEATURES, controls=T.negative_controls(split, FEATURES))[1]
 
 
 QUERIES |= {"negative_controls": negative_controls, "guarded_train": guarded_train}
