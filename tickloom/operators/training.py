@@ -29,7 +29,7 @@ CONTROLS = ("as_is", "label_shuffle", "noise_features", "duplicate_rows", "missi
 #: Stands for a missing value in trees.
 MISSING = -1e300
 #: Models that are trained at the same time.
-AT_ONCE = 8
+AT_ONCE = 4
 
 
 def _vectors(df: DataFrame, features: list[str]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tickloom.plans.feed import ORACLES as ORACLES_FEED
-from tickloom.plans.feed import PACKETS_SQL, identified, packets
+from tickloom.plans.feed import PACKETS_SQL, _sets, identified, packets
 from tickloom.plans.market import _FEATURES
 from tickloom.plans.views import DAILY_SQL, TICKS_SQL, daily_bars, naive, ticks
 from tickloom.session import shared_dir, written
@@ -122,7 +122,7 @@ def stream_switches(spark, sf_dir):
 def stream_feed_health(spark, sf_dir):
     _stateful(spark)
     p = packets(spark, sf_dir).select("connection_id", F.col("ts").alias("event_time"), "security_id", (F.month("ts") % 2).alias("generation"))
-    return naive(_result(stateful.feed_health(_as_stream(p, "packets"), 30, 1800), "health"), "event_time")
+    return naive(_result(stateful.feed_health(_as_stream(p, "packets"), _sets(spark, sf_dir)["desired"], 30, 1800), "health"), "event_time")
 
 
 @query("stream_route", f"WITH {PACKETS_SQL} SELECT event_id, CASE WHEN decode_status = 'success' THEN 'kept' ELSE 'failed' END AS sink FROM ids")

@@ -44,6 +44,50 @@ class _JsonState(StatefulProcessor):
         pass
 
 
+class _TimedState(_JsonState):
+    """State with limits of time, which pass by the time of a later row or, if none comes, by the watermark.
+
+    What a limit brings is stamped with the limit, so it does not matter which of both passed it.
+    """
+
+    def limit(self, state: dict) -> tuple[float, bool] | None:
+        """Seconds at which the next limit passes, and whether that moment itself is past it; None if nothing is awaited."""
+        raise NotImplementedError
+
+    def passed(self, key, state: dict, at: pd.Timestamp) -> list[dict]:
+        """The events of the next limit; it must be no limit after that."""
+        raise NotImplementedError
+
+    def expire(self, key, state: dict, now: float) -> list[dict]:
+        out = []
+        while (found := self.limit(state)) and (now > found[0] or now == found[0] and found[1]):
+            out += self.passed(key, state, pd.Timestamp(round(found[0] * 1e6), unit="us"))
+        return out
+
+    def load(self) -> dict:
+        state = super().load()
+        if (timer := state.pop("timer", None)) is not None:
+            self.handle.deleteTimer(timer)
+        return state
+
+    def save(self, state: dict) -> None:
+        if found := self.limit(state):
+            state["timer"] = int(found[0] * 1000) + 1
+            self.handle.registerTimer(state["timer"])
+        super().save(state)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        state = self.load()
+        out = self.expire(key, state, expiredTimerInfo.getExpiryTimeInMs() / 1000)
+        self.save(state)
+        if out:
+            yield pd.DataFrame(out)
+
+
+def _timed(rows: DataFrame, key: str, processor: _TimedState, schema: str, late: str) -> DataFrame:
+    return rows.withWatermark("event_time", late).groupBy(key).transformWithStateInPandas(processor, schema, "Append", "EventTime")
+
+
 def _none(x):
     return None if x is None or x != x else x
 
@@ -170,9 +214,9 @@ def confirm_atm_shift(candidates: DataFrame, repeats: int = 3, min_ms: int = 200
 SWITCH = "underlying string, event_time timestamp, event_type string, generation long, state_before string, state_after string, security_ids array<long>"
 
 
-class SwitchState(_JsonState):
+class SwitchState(_TimedState):
     """The switch of an underlying's universe: requested, waiting for its contracts, switched; old contracts are released
-    after a time of grace. All times are those of the rows, so a replay gives the same timeline.
+    after a time of grace. All times are those of the rows and limits, so a replay gives the same timeline.
 
     Rows: kind 'request' (security_ids wanted), 'ready' (security_ids with a quote), 'tick' (time alone).
     """
@@ -180,29 +224,38 @@ class SwitchState(_JsonState):
     def __init__(self, ready_s: float, total_s: float, grace_s: float):
         self.ready_s, self.total_s, self.grace_s = ready_s, total_s, grace_s
 
+    def limit(self, state):
+        found = []
+        if release := state.get("release"):
+            found.append((release["at"], True))
+        if state.get("phase") == "WAITING":
+            found.append((state["since"] + (self.total_s if state["ready"] else min(self.ready_s, self.total_s)), False))
+        return min(found, default=None)
+
+    def passed(self, key, state, at):
+        release = state.get("release")
+        if release and self.limit(state) == (release["at"], True):
+            state.pop("release")
+            return [self._go(key, state, at, "RELEASED", state["phase"], release["ids"])]
+        return [self._go(key, state, at, "FAILED", "FAILED", state["desired"])]
+
+    def _go(self, key, state, at, kind: str, phase: str, ids: list[int]) -> dict:
+        before, state["phase"] = state["phase"], phase
+        return {
+            "underlying": key[0], "event_time": at, "event_type": kind, "generation": state["generation"],
+            "state_before": before, "state_after": phase, "security_ids": sorted(ids),
+        }
+
     def step(self, key, state, row):
-        now, out = row["event_time"].value / 1e9, []
+        now = row["event_time"].value / 1e9
         state.setdefault("phase", "STABLE")
         state.setdefault("active", [])
         state.setdefault("generation", 0)
+        out = self.expire(key, state, now)
 
         def go(kind: str, phase: str, ids: list[int]) -> None:
-            before, state["phase"] = state["phase"], phase
-            out.append(
-                {
-                    "underlying": key[0], "event_time": row["event_time"], "event_type": kind, "generation": state["generation"],
-                    "state_before": before, "state_after": phase, "security_ids": sorted(ids),
-                }
-            )
+            out.append(self._go(key, state, row["event_time"], kind, phase, ids))
 
-        release = state.get("release")
-        if release and now >= release["at"]:
-            state.pop("release")
-            go("RELEASED", state["phase"], release["ids"])
-        if state["phase"] == "WAITING":
-            waited = now - state["since"]
-            if waited > self.total_s or waited > self.ready_s and not state["ready"]:
-                go("FAILED", "FAILED", state["desired"])
         ids = [int(i) for i in (row["security_ids"] if row["security_ids"] is not None else [])]
         if row["kind"] == "request":
             if state["phase"] == "WAITING":
@@ -221,42 +274,45 @@ class SwitchState(_JsonState):
         return out
 
 
-def universe_switch_timeline(rows: DataFrame, ready_s: float = 10, total_s: float = 30, grace_s: float = 60) -> DataFrame:
-    return rows.groupBy("underlying").transformWithStateInPandas(SwitchState(ready_s, total_s, grace_s), SWITCH, "Append", "None")
+def universe_switch_timeline(rows: DataFrame, ready_s: float = 10, total_s: float = 30, grace_s: float = 60, late: str = "0 seconds") -> DataFrame:
+    return _timed(rows, "underlying", SwitchState(ready_s, total_s, grace_s), SWITCH, late)
 
 
 HEALTH = "connection_id string, event_time timestamp, state_before string, state_after string, distinct_ids long"
 
 
-class HealthState(_JsonState):
+class HealthState(_TimedState):
     """A connection: SUBSCRIBED, FIRST_PACKET, HEALTHY once enough different ids came in its generation, STALLED after a
     silence. A new generation starts anew."""
 
     def __init__(self, enough: int, silence_s: float):
         self.enough, self.silence_s = enough, silence_s
 
+    def limit(self, state):
+        return (state["last"] + self.silence_s, False) if state.get("phase") in ("FIRST_PACKET", "HEALTHY") else None
+
+    def passed(self, key, state, at):
+        return [self._go(key, state, at, "STALLED")]
+
+    def _go(self, key, state, at, phase: str) -> dict:
+        before, state["phase"] = state["phase"], phase
+        return {"connection_id": key[0], "event_time": at, "state_before": before, "state_after": phase, "distinct_ids": len(state["ids"])}
+
     def step(self, key, state, row):
-        now, out = row["event_time"].value / 1e9, []
+        out = self.expire(key, state, row["event_time"].value / 1e9)
         if state.get("generation") != int(row["generation"]):
             state.update(generation=int(row["generation"]), phase="SUBSCRIBED", ids=[])
-
-        def go(phase: str) -> None:
-            out.append(
-                {"connection_id": key[0], "event_time": row["event_time"], "state_before": state["phase"], "state_after": phase, "distinct_ids": len(state["ids"])}
-            )
-            state["phase"] = phase
-
-        if "last" in state and now - state["last"] > self.silence_s and state["phase"] in ("FIRST_PACKET", "HEALTHY"):
-            go("STALLED")
         if len(state["ids"]) < self.enough:
             state["ids"] = sorted({*state["ids"], int(row["security_id"])})
+        state["last"] = row["event_time"].value / 1e9
         if state["phase"] == "SUBSCRIBED":
-            go("FIRST_PACKET")
+            out.append(self._go(key, state, row["event_time"], "FIRST_PACKET"))
         if state["phase"] in ("FIRST_PACKET", "STALLED") and len(state["ids"]) >= self.enough:
-            go("HEALTHY")
-        state["last"] = now
+            out.append(self._go(key, state, row["event_time"], "HEALTHY"))
         return out
 
 
-def feed_health(packets: DataFrame, enough: int = 30, silence_s: float = 120) -> DataFrame:
-    return packets.groupBy("connection_id").transformWithStateInPandas(HealthState(enough, silence_s), HEALTH, "Append", "None")
+def feed_health(packets: DataFrame, desired: DataFrame, enough: int = 30, silence_s: float = 120, late: str = "0 seconds") -> DataFrame:
+    """Health of each connection by its packets of the desired ids (security_id); others count for nothing."""
+    wanted = packets.join(desired.select("security_id"), "security_id", "left_semi")
+    return _timed(wanted, "connection_id", HealthState(enough, silence_s), HEALTH, late)
