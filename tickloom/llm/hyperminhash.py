@@ -17,6 +17,8 @@ from tickloom.session import written
 #: Minima of a document, in BANDS bands of ROWS: two sets of similarity 0.8 share no band once in 200,000 times.
 BANDS, ROWS = 40, 6
 REGISTERS = BANDS * ROWS
+#: The least similarity, in percent, that the bands are made for.
+LEAST = 80
 #: Bits kept after the leading one of a minimum.
 MANTISSA = 10
 #: Pairs whose estimate is further below the threshold than this (over four standard errors) are not compared in full.
@@ -270,8 +272,11 @@ def near_duplicates(
     the full sets. Then members of one band that are not connected yet are compared with each other in blocks of BLOCK
     members, inside the task that holds the two blocks: nothing is emitted for a pair but a confirmed link, and no
     link between candidates is lost. Ids must be unique; rows without one are returned as a component of their own (null).
-    Repeated rows count as copies of one document. Extra columns are ignored; an empty table gives no rows.
+    Repeated rows count as copies of one document. Extra columns are ignored; an empty table gives no rows. A percent under
+    LEAST raises: there the bands would lose links.
     """
+    if percent < LEAST:
+        raise ValueError(f"{BANDS} bands of {ROWS} are made for a percent of {LEAST} or more, not {percent}")
     slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
     sketched = written(
         slim.mapInArrow(_sketch(n_words), "id long, n_shingles long, set_key binary, registers binary"), "sketches"
