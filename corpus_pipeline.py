@@ -39,7 +39,6 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """
     rest = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
     cut = remove_repeats(docs, carry=rest)
-    cut = remove_repeats(docs, carry=rest)
     return cut.withColumnRenamed("kept", "text").withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
