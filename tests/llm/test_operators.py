@@ -12,7 +12,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from tickloom.llm import suffix_dedup
+from tickloom.llm import hyperminhash, suffix_dedup
 from tickloom.llm.byte_bpe import encode_documents, load_ranks
 from tickloom.llm.host_rules import host_rates, judge_documents, repeated_words
 from tickloom.llm.hyperminhash import chance_collisions, connected, near_duplicates, registers
@@ -338,8 +338,10 @@ def plain_groups(rows, n):
     return {i: (len(sets[i]), find(i), find(i) == i) for i in ids}
 
 
-@pytest.mark.parametrize("n", [2, 5])
-def test_near_duplicates(spark, docs, rows, n):
+@pytest.mark.parametrize("n, blocks", [(2, (512, 400_000)), (5, (512, 400_000)), (5, (4, 900))])
+def test_near_duplicates(spark, docs, rows, monkeypatch, n, blocks):
+    monkeypatch.setattr(hyperminhash, "BLOCK", blocks[0])
+    monkeypatch.setattr(hyperminhash, "BLOCK_SHINGLES", blocks[1])
     rng = np.random.default_rng(n)
     base = [f"v{x}" for x in rng.integers(0, 500, 200)]
     more = []
@@ -356,7 +358,7 @@ def test_near_duplicates(spark, docs, rows, n):
 def test_near_duplicates_of_copies_and_none(spark, no_docs):
     df = spark.createDataFrame([(2, "a b c"), (2, "a b c"), (1, "a b c"), (None, "a b c")], "doc_id long, text string")
     got = sorted((str(r["doc_id"]), str(r["component_id"]), r["kept"]) for r in near_duplicates(df, 2).collect())
-    assert got[:3] == [("1", "1", True), ("2", "1", False), ("2", "1", False)]
+    assert got == [("1", "1", True), ("2", "1", False), ("2", "1", False), ("None", "None", True)]
     assert near_duplicates(no_docs).count() == 0
 
 

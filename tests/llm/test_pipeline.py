@@ -38,3 +38,17 @@ def test_registered():
 
     assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
     assert set(ORACLE_SQL) <= set(QUERIES)
+
+
+def test_repeated_rows_and_rows_without_ids(spark, docs):
+    long = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, long, "x"), (1, long, "x"), (2, long, "y"), (3, "other text of its own here", "x"), (None, long, "x"), (None, long, "x"), (None, None, "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n string")
+    got = sorted((r["doc_id"] or 0, r["text"] or "", r["n"]) for r in corpus_pipeline.near_dedup(spark, df, "").collect())
+    assert got == sorted([(1, long, "x"), (3, rows[3][1], "x"), (0, long, "x"), (0, "", "x")])
+
+
+def test_stages_of_an_empty_table(spark, no_docs):
+    whole = no_docs.select("doc_id", "text", "lang", "source", "n_chars")
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, whole, "").count() == 0

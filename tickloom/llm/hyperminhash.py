@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.units import listed
+from tickloom.llm.units import listed, slices
 from tickloom.session import written
 
 #: Minima of a document, in BANDS bands of ROWS: two sets of similarity 0.8 share no band once in 200,000 times.
@@ -23,9 +23,10 @@ LEAST = 80
 MANTISSA = 10
 #: Pairs whose estimate is further below the threshold than this (over four standard errors) are not compared in full.
 SLACK = 0.12
-#: Members of a band that are compared in one task.
-BLOCK = 2048
-AT_ONCE = 128
+#: Members of a band, and shingles of theirs, in one block; a task compares two blocks.
+BLOCK, BLOCK_SHINGLES = 512, 400_000
+#: What a task holds as Python values at once.
+AT_ONCE, BYTES_AT_ONCE = 256, 1 << 20
 #: A task remembers the hashes of at most this many words, then starts afresh.
 REMEMBERED = 300_000
 
@@ -106,8 +107,7 @@ def _sketch(n_words: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
         for batch in batches:
-            for at in range(0, batch.num_rows, AT_ONCE):
-                some = batch.slice(at, AT_ONCE)
+            for some in slices(batch, "text", BYTES_AT_ONCE, AT_ONCE):
                 if len(known) > REMEMBERED:
                     known = {}
                 sets = [shingle_set(t or b"", n_words, known) for t in listed(some.column("text"))]
@@ -215,7 +215,7 @@ def _marked(least: float):
 def _linked(n_words: int, percent: int, least: float):
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         known: dict[bytes, int] = {}
-        texts = [shingle_set(t or b"", n_words, known) for t in listed(rows["text"])]
+        texts = [shingle_set(t.as_py() or b"", n_words, known) for t in rows["text"]]
         ids, labels = rows["id"].to_pylist(), rows["label"].to_pylist()
         found: dict[tuple[int, int], tuple[int, int]] = {}
         for i, others in _open_pairs(rows, least):
@@ -269,11 +269,11 @@ def near_duplicates(
     Equal sets form a class, and only a class's least id goes on. Its registers are cut into bands; classes that share a
     band are candidates. First each member of a band is compared with the band's least member, which is linear in the
     band's size however hot it is; pairs whose estimate is well below the threshold go, and the others are confirmed on
-    the full sets. Then members of one band that are not connected yet are compared with each other in blocks of BLOCK
-    members, inside the task that holds the two blocks: nothing is emitted for a pair but a confirmed link, and no
-    link between candidates is lost. Ids must be unique; rows without one are returned as a component of their own (null).
-    Repeated rows count as copies of one document. Extra columns are ignored; an empty table gives no rows. A percent under
-    LEAST raises: there the bands would lose links.
+    the full sets. Then members of one band that are not connected yet are compared with each other in blocks of about
+    BLOCK members and BLOCK_SHINGLES shingles, inside the task that holds the two blocks: nothing is emitted for a pair but
+    a confirmed link, and no link between candidates is lost. Ids must be unique. Rows without one are linked with none,
+    each is a component of its own (null) and kept. Repeated rows count as copies of one document. Extra columns are
+    ignored; an empty table gives no rows. A percent under LEAST raises: there the bands would lose links.
     """
     if percent < LEAST:
         raise ValueError(f"{BANDS} bands of {ROWS} are made for a percent of {LEAST} or more, not {percent}")
@@ -316,12 +316,14 @@ def near_duplicates(
     # what is left: members of one band in different components, neither of them the band's least
     least = percent / 100 - SLACK
     wide = bands.join(shared.filter("members > 2"), "band").filter("id <> lead")
-    placed = wide.join(labels, "id", "left").select("band", "nth", "members", "id", F.coalesce("label", "id").alias("label"))
+    placed = wide.join(labels, "id", "left").select("band", "nth", "id", F.coalesce("label", "id").alias("label"))
     mixed = placed.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi")
     placed = placed.join(mixed.select("band"), "band", "left_semi").join(sides, "id")
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    placed = placed.withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
-    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    placed = written(placed, "unconnected")
+    wanted = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    placed = placed.join(placed.groupBy("band").agg(wanted.alias("blocks")), "band")
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     placed = placed.withColumn("p", F.least("block", "other")).withColumn("q", F.greatest("block", "other"))
     names = [c.split(" ")[0] for c in _MEMBER.split(", ")]
     marked = placed.select(*names).groupBy("band", "p", "q").applyInArrow(_marked(least), _MEMBER)
@@ -334,7 +336,8 @@ def near_duplicates(
     named = sketched.join(classes.select("set_key", "rep"), "set_key", "left").join(
         labels.withColumnRenamed("id", "rep"), "rep", "left"
     )
-    component = F.when(F.col("n_shingles") > 0, F.coalesce("label", "rep", "id")).otherwise(F.col("id"))
+    linked = (F.col("n_shingles") > 0) & F.col("id").isNotNull()
+    component = F.when(linked, F.coalesce("label", "rep", "id")).otherwise(F.col("id"))
     return named.select(
         F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("id")).alias("kept")
     )

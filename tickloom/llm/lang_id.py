@@ -9,14 +9,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import ArrowUDFType
 
-from tickloom.llm.units import listed
+from tickloom.llm.units import listed, slices
 
 UNKNOWN = "und"
 #: Hash buckets of byte pairs and of byte triples.
 PAIRS, TRIPLES = 4096, 8192
 FEATURES = PAIRS + TRIPLES
-AT_ONCE = 128
+#: What a task holds as Python strings at once.
+AT_ONCE, BYTES_AT_ONCE = 512, 1 << 20
+#: Labels beyond this are no list of languages; each costs the driver 100 KB.
+MOST_LANGUAGES = 1000
 
 #: ASCII characters that are no letters count as spaces.
 _SPACES = {c: " " for c in range(128) if not chr(c).isalpha()}
@@ -80,10 +84,14 @@ class LanguageModel:
 def _language_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[str, np.ndarray] = {}
     for batch in batches:
-        for text, lang in zip(listed(batch.column("text")), listed(batch.column("lang")), strict=True):
-            if has_letters(text):
-                counts = ngram_counts(text)
-                held[lang] = held[lang] + counts if lang in held else counts.astype(np.int64)
+        for some in slices(batch, "text", BYTES_AT_ONCE, AT_ONCE):
+            for text, lang in zip(listed(some.column("text")), listed(some.column("lang")), strict=True):
+                if has_letters(text):
+                    counts = ngram_counts(text)
+                    if lang in held:
+                        held[lang] += counts
+                    else:
+                        held[lang] = counts.astype(np.int64)
     for lang, counts in held.items():
         yield pa.record_batch({"lang": pa.array([lang]), "counts": pa.array([counts.astype("<i8").tobytes()], pa.binary())})
 
@@ -103,12 +111,14 @@ def train_languages(docs: DataFrame, text_col: str = "text", lang_col: str = "la
     sent depends on the number of languages alone. Bit b separates the languages with 1 at b from those with -1: its
     weights are the log ratio of the two sides' n-gram probabilities, languages on a side counting alike, scaled so
     that the language nearest to the border has an expected margin of 6. A bit's reliability is that expected margin
-    before scaling, against the best bit's.
+    before scaling, against the best bit's. More than MOST_LANGUAGES distinct labels raise.
     """
     slim = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter("text IS NOT NULL AND lang IS NOT NULL")
     counted = slim.mapInArrow(_language_counts, "lang string, counts binary").withColumn("salt", F.spark_partition_id() % 16)
     counted = counted.groupBy("lang", "salt").applyInArrow(_sum_counts, "lang string, counts binary")
-    rows = counted.groupBy("lang").applyInArrow(_sum_counts, "lang string, counts binary").collect()
+    rows = counted.groupBy("lang").applyInArrow(_sum_counts, "lang string, counts binary").limit(MOST_LANGUAGES + 1).collect()
+    if len(rows) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} distinct values of {lang_col}")
     rows = sorted(rows, key=lambda r: r["lang"])
     languages = [r["lang"] for r in rows]
     code = code_words(len(languages))
@@ -127,8 +137,7 @@ def _predict(shared):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: LanguageModel = shared.value
         for batch in batches:
-            for at in range(0, batch.num_rows, AT_ONCE):
-                some = batch.slice(at, AT_ONCE)
+            for some in slices(batch, "text", BYTES_AT_ONCE, AT_ONCE):
                 langs, scores, flags = [], [], []
                 for text in listed(some.column("text")):
                     lang, score, ambiguous = UNKNOWN, 0.0, False
@@ -168,15 +177,16 @@ def predict_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc_
     return found.withColumnRenamed("id", id_col)
 
 
-def _keep(shared, min_score: float, text_at: int):
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _identified(shared, min_score: float):
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model: LanguageModel = shared.value
-        for batch in batches:
+        for whole in texts:
             keep = []
-            for text in listed(batch.column(text_at)):
-                counts = ngram_counts(text) if has_letters(text) else None
-                keep.append(counts is not None and model.decode(counts.astype(np.float32), int(counts.sum()))[1] >= min_score)
-            yield batch.filter(pa.array(keep, pa.bool_()))
+            for some in slices(pa.record_batch({"text": whole}), "text", BYTES_AT_ONCE, AT_ONCE):
+                for text in listed(some.column("text")):
+                    counts = ngram_counts(text) if has_letters(text) else None
+                    keep.append(counts is not None and model.decode(counts.astype(np.float32), int(counts.sum()))[1] >= min_score)
+            yield pa.array(keep, pa.bool_())
 
     return run
 
@@ -184,10 +194,11 @@ def _keep(shared, min_score: float, text_at: int):
 def keep_identified(docs: DataFrame, model: LanguageModel, min_score: float = 0.5, text_col: str = "text") -> DataFrame:
     """The rows of docs whose language is identified: a text with letters and a score of min_score or more.
 
-    All columns pass as they are.
+    Only texts go to Python and only verdicts come back; all columns pass as they are.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.mapInArrow(_keep(shared, min_score, docs.columns.index(text_col)), docs.schema)
+    identified = F.arrow_udf(_identified(shared, min_score), "boolean", ArrowUDFType.SCALAR_ITER)
+    return docs.filter(identified(F.col(text_col)))
 
 
 def identify(docs: DataFrame, folds: int = 4, fold: int = 2, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

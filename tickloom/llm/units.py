@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +17,17 @@ def listed(values: pa.Array | pa.ChunkedArray) -> list:
     return values.to_numpy(zero_copy_only=False).tolist() if isinstance(values, pa.Array) else values.to_numpy().tolist()
 
 
+def slices(batch: pa.RecordBatch, column: str, most_bytes: int, most_rows: int) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of at most so many rows and so many bytes of one column; a longer value stands alone."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        before = int(size[at - 1]) if at else 0
+        upto = min(at + most_rows, max(at + 1, int(np.searchsorted(size, before + most_bytes, "right"))))
+        yield batch.slice(at, upto - at)
+        at = upto
+
+
 def spaced_units(text: str) -> list[str]:
     """The text cut before each single space between two other characters; an empty text has no units.
 
