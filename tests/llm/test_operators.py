@@ -12,12 +12,13 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from tickloom.llm import hyperminhash, suffix_dedup
+from tickloom.llm import hyperminhash, maxent_lm, suffix_dedup
 from tickloom.llm.byte_bpe import encode_documents, load_ranks
+from tickloom.llm.chunks import Exchange
 from tickloom.llm.host_rules import host_rates, judge_documents, repeated_words
 from tickloom.llm.hyperminhash import chance_collisions, connected, near_duplicates, registers
 from tickloom.llm.lang_id import code_words, identify, keep_identified, train_languages
-from tickloom.llm.maxent_lm import class_model, score_documents
+from tickloom.llm.maxent_lm import score_documents
 from tickloom.llm.mixing import mix_sources, source_rates
 from tickloom.llm.sharding import byte_shards, range_id
 from tickloom.llm.suffix_dedup import multikey_order, remove_repeats
@@ -33,36 +34,56 @@ def by_id(df):
 # -- op 1 -------------------------------------------------------------------------------------------------------------
 
 
-def test_scores_follow_the_counts(docs, rows):
-    got = by_id(score_documents(docs))
+def spy_on_models(monkeypatch):
+    """The models that score_documents broadcasts, the last one complete."""
+    seen, train = [], maxent_lm.train_classes
+    monkeypatch.setattr(maxent_lm, "train_classes", lambda *a, **k: seen.append(train(*a, **k)) or seen[-1])
+    return seen
+
+
+def plain_chance(model, counts, pairs, further, before, word):
+    """The chance of a word after two others, written out; the unknown word is None."""
+    n, v = sum(counts.values()), len(counts)
+    unknown = 1 / (n + v + 1)
+    rows = [zlib.crc32(before) % 4096, 4096 + zlib.crc32(further) % 4096, 8192 + (maxent_lm.class_of(before) * maxent_lm.CLASSES + maxent_lm.class_of(further)) % 4096]
+    z = model.weights[rows].astype(float).sum(0) + model.weights[-1]
+    classes = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+    q = unknown
+    if word in counts:
+        c = maxent_lm.class_of(word)
+        q = (1 - unknown) * classes[c] * (counts[word] + 1) / sum(k + 1 for w, k in counts.items() if maxent_lm.class_of(w) == c)
+    m = counts.get(before, 0)
+    mu = model.pair_weight[min(int(np.ceil(np.log2(m + 1))), maxent_lm.GRADES - 1)] if m else 0.0
+    return mu * pairs.get((before, word), 0) / max(m, 1) + (1 - mu) * q
+
+
+@pytest.mark.parametrize("chunk_bytes, fan", [(12_000_000, 256), (6000, 256), (4000, 2)])
+def test_scores_follow_the_counts(docs, rows, monkeypatch, chunk_bytes, fan):
+    seen = spy_on_models(monkeypatch)
+    got = by_id(score_documents(docs, chunk_bytes=chunk_bytes, fan=fan))
     tokens = {r[0]: (r[1] or "").encode().lower().split() + [b"\n"] for r in rows}
     out = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in tokens}
     counts = Counter(t for i, ts in tokens.items() if not out[i] for t in ts)
-    n, v = sum(counts.values()), len(counts)
+    pairs = Counter(p for i, ts in tokens.items() if not out[i] for p in zip([b"\n", *ts], ts))
+    n, v, model = sum(counts.values()), len(counts), seen[-1]
+    assert (model.tokens, model.types) == (n, v) and model.pair_weight.max() > 0
     for i, ts in tokens.items():
         r = got[i]
         assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (out[i], len(ts), sum(t in counts for t in ts), n)
         assert r["base_score"] == pytest.approx(sum(log10((counts[t] + 1) / (n + v + 1)) for t in ts))
+        if len(ts) < 200:
+            want = [plain_chance(model, counts, pairs, *c) for c in zip([b"\n", b"\n", *ts], [b"\n", *ts], ts)]
+            assert r["score"] == pytest.approx(sum(map(log10, want)), rel=1e-4)
+    for before, further in ((b"the", b"in"), (b"\n", b"\n"), (b"never-seen", b"der")):
+        assert sum(plain_chance(model, counts, pairs, further, before, w) for w in [*counts, None]) == pytest.approx(1)
     assert sum(got[i]["score"] for i in got) > sum(got[i]["base_score"] for i in got)
+    assert all(got[i]["score"] > got[i]["base_score"] for i in got if out[i] and got[i]["n_known"] > 50)
 
 
-def test_chances_of_all_words_sum_to_one(docs, rows):
-    from tickloom.llm import maxent_lm as m
-    from tickloom.llm.chunks import in_chunks
-
-    counted = in_chunks(docs, "doc_id", "text", 2).groupBy("chunk").applyInArrow(m._chunk_counts(7, 2, 3), "bucket int, chunk int, words binary")
-    counted = counted.groupBy("bucket").applyInArrow(m._sum_words, m._COUNTED).cache()
-    model = class_model(counted)
-    counts = Counter(
-        t for r in rows if zlib.crc32(str(r[0]).encode()) % 7 != 2 for t in (r[1] or "").encode().lower().split() + [b"\n"]
-    )
-    weight = np.zeros(m.CLASSES)
-    for t, c in counts.items():
-        weight[model.class_of(t)] += c + 1
-    weight[m.FREQUENT :] += 1  # the unknown words of the class
-    used = weight > 0
-    assert np.allclose(weight[used], model.class_weight[used])
-    assert (model.tokens, model.types) == (sum(counts.values()), len(counts))
+def test_rounds_move_the_model(docs):
+    start = maxent_lm.ClassModel(np.ones(maxent_lm.CLASSES), 1, 1)
+    one, four = (maxent_lm.train_classes(docs, start, rounds=k).weights for k in (1, 4))
+    assert np.abs(one).sum() > 0 and not np.allclose(one, four)
 
 
 def test_scores_of_no_documents(no_docs):
@@ -121,11 +142,14 @@ def plain_removal(rows, length=50):
     return out
 
 
-@pytest.mark.parametrize("sizes", [(8_000_000, 16_000_000, 2000), (3000, 4000, 2000), (3000, 4000, 1)])
-def test_repeats_go(docs, rows, monkeypatch, sizes):
-    for name, value in zip(("CHUNK_BYTES", "BUCKET_BYTES"), sizes):
+@pytest.mark.parametrize(
+    "sizes, fan",
+    [((8_000_000, 16_000_000, 2000, 65_536), 256), ((3000, 4000, 2000, 65_536), 256), ((3000, 4000, 1, 65_536), 256), ((3000, 1500, 1, 4), 3), ((3000, 4000, 2000, 3), 2)],
+)
+def test_repeats_go(docs, rows, monkeypatch, sizes, fan):
+    for name, value in zip(("CHUNK_BYTES", "BUCKET_BYTES", "MOST_RANGES"), (*sizes[:2], sizes[3]), strict=True):
         monkeypatch.setattr(suffix_dedup, name, value)
-    got = remove_repeats(docs, carry=["source", "chunk"])
+    got = remove_repeats(docs, carry=["source", "chunk"], fan=fan, hot=sizes[2])
     want = plain_removal([(r[0], (r[1] or "").encode()) for r in rows])
     found = by_id(got)
     assert {i: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for i, r in found.items()} == want
@@ -159,10 +183,11 @@ def test_multikey_order():
 # -- op 4 -------------------------------------------------------------------------------------------------------------
 
 
-def test_bpe_agrees_with_the_library(docs, rows):
+@pytest.mark.parametrize("fan", [256, 2])
+def test_bpe_agrees_with_the_library(docs, rows, fan):
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=load_ranks(path), special_tokens={})
-    got = by_id(encode_documents(docs, path, public_tokenizers.PATTERN, chunk_bytes=4000))
+    got = by_id(encode_documents(docs, path, public_tokenizers.PATTERN, chunk_bytes=4000, fan=fan))
     assert len(got) == len(rows)
     for i, text, *_ in rows:
         ids = library.encode_ordinary(text or "")
@@ -173,6 +198,19 @@ def test_bpe_agrees_with_the_library(docs, rows):
         assert r["decoded_sha256"] == hashlib.sha256((text or "").encode()).hexdigest()
 
 
+def test_bpe_of_very_long_words(spark):
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=load_ranks(path), special_tokens={})
+    rng = np.random.default_rng(4)
+    letters = lambda n: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyzé"), n))
+    texts = [letters(200_000), "a" * 100_001, "-" * 50_000 + "x", "x " + " " * 20_000 + "y", "日本" * 9000, "😀" * 3000, letters(600) + " " + letters(513)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = by_id(encode_documents(df, path, public_tokenizers.PATTERN))
+    for i, text in enumerate(texts):
+        assert got[i]["token_ids"] == library.encode_ordinary(text)
+        assert bytes(got[i]["decoded"]) == text.encode()
+
+
 def test_bpe_of_no_documents_and_copies(spark, no_docs):
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     assert encode_documents(no_docs, path, public_tokenizers.PATTERN).count() == 0
@@ -185,6 +223,17 @@ def test_units_join_to_the_text():
         assert "".join(spaced_units(text)) == text
 
 
+def test_steps_of_an_exchange_are_few_and_lead_everywhere():
+    for n, fan in ((1, 4), (5, 4), (16, 4), (17, 4), (300, 7), (10_000, 256)):
+        way = Exchange.of(n, fan)
+        assert way.size >= n and way.base <= fan and way.base**way.levels < 2 ** way.levels * n
+        for start, end in ((0, n - 1), (n - 1, 0), (n // 2, n // 3)):
+            node = start
+            for level in range(way.levels):
+                node = way.deal(node, level, np.array([end]))[0][0]
+            assert node == end
+
+
 # -- op 5 -------------------------------------------------------------------------------------------------------------
 
 
@@ -276,6 +325,17 @@ def test_bad_hosts_lose_their_documents(spark, no_docs):
     assert judge_documents(no_docs, F.col("source")).count() == 0
 
 
+def test_hosts_far_above_the_mean_lose_documents_that_pass(spark):
+    good, bad = " ".join(f"word{i}" for i in range(30)), "# * $"
+    rows = [(100 * h + i, bad if i < (12 if h == 3 else 2) else good, f"h{h}") for h in range(10) for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, host string")
+    got = by_id(judge_documents(df, F.col("host")))
+    assert {r["host"] for r in got.values() if not r["base_failed"] and not r["kept"]} == {"h3"}
+    assert all(r["kept"] for r in got.values() if r["host"] != "h3" and not r["base_failed"])
+    assert not any(r["kept"] for r in got.values() if r["host"] == "h3")
+    assert max(r["host_rate"] for r in got.values()) < 0.5
+
+
 def test_rates_shrink_to_the_mean(spark):
     rows = [(f"h{i}", j < i) for i in range(4) for j in range(4)] + [("one", True)]
     rates = {r["host"]: r["rate"] for r in host_rates(spark.createDataFrame(rows, "host string, any_failed boolean")).collect()}
@@ -385,13 +445,16 @@ def test_token_files(spark, docs, rows):
 
     path = public_tokenizers.path("byte_bpe_50k.json")
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    special = ["<|endoftext|>", "a <|endoftext|> b", "a<|endoftext|>b.", "x  <|endoftext|>\n<|endoftext|>, y", " <|endoftext|>.", "<|endoftext|", "Hello <|endoftext|>a."]
+    special += ["".join(map(str, np.random.default_rng(i).choice(np.array([" ", "<|endoftext|>", "ab", ".", "\n", "9", "é"]), 30))) for i in range(40)]
+    rows = [*[r[:2] for r in rows], *[(5000 + i, t) for i, t in enumerate(special)]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     where = tokens_path(docs)
     write_tokens(docs, where, path)
     tokens = read_tokens(spark, where)
     ids = {r["doc_id"]: r["ids"] for r in tokens.collect()}
     index, start = by_id(token_index(tokens)), 0
-    for i, text, *_ in sorted(rows):
+    for i, text in sorted(rows):
         want = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
         assert ids[i] == want
         crc = zlib.crc32(np.array(want, "<u4").tobytes())

@@ -6,6 +6,7 @@ import base64
 import json
 from collections.abc import Callable
 from hashlib import sha256
+from heapq import heapify, heappop, heappush
 from zlib import crc32
 
 import numpy as np
@@ -14,11 +15,26 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.chunks import CHUNK_BYTES, by_bucket, chunk_documents, in_chunks, packed, parts_for, text_bytes, unpacked
-from tickloom.llm.units import as_text, listed, one_line, split_units
-
-#: Bytes of text for each bucket of words.
-BUCKET_BYTES = 24_000_000
+from tickloom.llm.chunks import (
+    ANSWERED,
+    ASKED,
+    CHUNK_BYTES,
+    FAN,
+    Asks,
+    Exchange,
+    answered_back,
+    asked,
+    asked_further,
+    chunk_documents,
+    collected,
+    in_chunks,
+    parts_for,
+    text_bytes,
+)
+from tickloom.llm.units import as_text, listed, one_line, release, split_units
+
+#: Words of more bytes than this are cut, without effect on their ids.
+LONG = 512
 #: The rank map is a list of this many small maps, as Spark searches a map from its start.
 RANK_MAPS = 8192
 NO_RANK = 2**31 - 1
@@ -103,21 +119,75 @@ def _encode_word(word: Column, ranks: Column) -> Column:
     return _let(whole, lambda w: F.when(F.element_at(w, 1).isNotNull(), w).otherwise(folded))
 
 
+def merge_ends(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Where the pieces of a word end once all merges are done, by a heap of pairs: near linear in the word's length."""
+    n = len(word)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))  # the first bytes of the pieces beside each piece
+
+    def rank(first: int) -> int | None:
+        second = after[first]
+        return ranks.get(word[first : after[second]]) if second < n else None
+
+    heap = [(r, i, i + 2) for i in range(n - 1) if (r := ranks.get(word[i : i + 2])) is not None]
+    heapify(heap)
+    gone = bytearray(n)
+    while heap:
+        _, i, end = heappop(heap)
+        if gone[i] or after[i] == n or after[after[i]] != end:
+            continue  # one of the two pieces has changed since
+        j = after[i]
+        gone[j] = 1
+        after[i] = end
+        if end < n:
+            before[end] = i
+        for k in (before[i], i):
+            if k >= 0 and (r := rank(k)) is not None:
+                heappush(heap, (r, k, after[after[k]]))
+    return [after[i] for i in range(n) if not gone[i]]
+
+
+def safe_pieces(word: str, ranks: dict[bytes, int]) -> list[str]:
+    """A word as it is up to LONG bytes, else in pieces of about half of that, cut where its merges end.
+
+    No merge reaches across such a place, so the pieces' ids joined are the word's. The fold's work grows with the square of
+    a word's length, which this bounds. A cut inside a character is moved on to the next one that is none.
+    """
+    raw = word.encode()
+    if len(raw) <= LONG:
+        return [word]
+    pieces, at = [], 0
+    for end in merge_ends(raw, ranks):
+        if end == len(raw) or (end - at >= LONG // 2 and raw[end] & 0xC0 != 0x80):
+            pieces.append(raw[at:end].decode())
+            at = end
+    return pieces
+
+
 # -- around the fold: words of a chunk, and texts from the ids of its words ----------------------------------------------
 
 
 class _Words:
     """The distinct words of a chunk's texts, the words of each distinct unit, and the units of each text."""
 
-    def __init__(self, raw: pa.Array, pattern: str):
+    def __init__(self, raw: pa.Array, pattern: str, ranks: dict[bytes, int]):
         units, self.units, self.sizes = split_units(as_text(raw))
-        self._find_words(units, pattern)
+        self._find_words(units, pattern, ranks)
 
-    def _find_words(self, units: list[str], pattern: str) -> None:
-        """Units without inner white space are searched in one go, a line for each; line ends are words of their own."""
+    def _find_words(self, units: list[str], pattern: str, ranks: dict[bytes, int]) -> None:
+        """Units without inner white space are searched in one go, a line for each; line ends are words of their own.
+
+        Words ascend, and stand in for the pieces of a word longer than LONG, cut where no merge reaches across.
+        """
         import regex
 
-        find = regex.compile(pattern).findall
+        matches = regex.compile(pattern).findall
+
+        def find(text: str) -> list[str]:
+            found = matches(text)
+            if len(text) > LONG // 4 and any(len(w) > LONG // 4 and len(w.encode()) > LONG for w in found):
+                found = [p for w in found for p in safe_pieces(w, ranks)]
+            return found
+
         plain = list(map(one_line, units))
         found = pa.array(find("\n".join([u for u, p in zip(units, plain, strict=True) if p])), pa.string())
         ends = np.append(np.flatnonzero(pc.equal(found, "\n").to_numpy(zero_copy_only=False)), len(found))
@@ -133,8 +203,12 @@ class _Words:
         lengths = np.fromiter(map(len, single), np.int64, len(single))
         first[~plain], self.unit_sizes[~plain] = len(found) + np.cumsum(lengths) - lengths, lengths
         before = np.cumsum(self.unit_sizes) - self.unit_sizes
-        self.unit_words = index[np.repeat(first - before, self.unit_sizes) + np.arange(self.unit_sizes.sum())]
-        self.words = words.dictionary.cast(pa.binary())
+        raw = words.dictionary.cast(pa.binary())
+        order = pc.sort_indices(raw).to_numpy().astype(np.int64)
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        self.unit_words = rank[index[np.repeat(first - before, self.unit_sizes) + np.arange(self.unit_sizes.sum())]]
+        self.words = raw.take(pa.array(order))
 
 
 def _joined(values: pa.Array, at: np.ndarray, sizes: np.ndarray, between: str | bytes) -> pa.Array:
@@ -158,67 +232,48 @@ def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return ends[upto] - ends[upto - sizes]
 
 
-def _chunk_words(pattern: str, n_buckets: int):
+def _chunk_words(pattern: str, ranks: dict[bytes, int], way: Exchange):
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        words = _Words(chunk_documents(rows)[1], pattern).words
-        out = by_bucket(words, n_buckets)
-        return pa.table(
-            {
-                "bucket": pa.array([b for b, _ in out], pa.int32()),
-                "chunk": pa.array([key[0].as_py()] * len(out), pa.int32()),
-                "words": pa.array([packed(w=words.take(pa.array(at))) for _, at in out], pa.binary()),
-            }
-        )
+        release()
+        return asked(way, key[0].as_py(), 0, _Words(chunk_documents(rows)[1], pattern, ranks).words)
 
     return run
 
 
 def _distinct_words(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-    words: set[bytes] = set()
-    for blob in rows["words"].to_pylist():
-        words.update(listed(unpacked(blob)["w"]))
-    return pa.table({"bucket": pa.array([key[0].as_py()] * len(words), pa.int32()), "word": pa.array(sorted(words), pa.binary())})
-
-
-def _answer_chunks(key: tuple[pa.Scalar, ...], encoded: pa.Table, asked: pa.Table) -> pa.Table:
-    encoded = encoded.combine_chunks()
-    place = {w: i for i, w in enumerate(listed(encoded["word"]))}
-    ids = encoded["ids"].combine_chunks()
-    answers = []
-    for blob in asked["words"].to_pylist():
-        at = [place[w] for w in listed(unpacked(blob)["w"])]
-        answers.append(packed(ids=ids.take(pa.array(at, pa.int32()))))
-    return pa.table(
-        {
-            "chunk": asked["chunk"].combine_chunks().cast(pa.int32()),
-            "bucket": pa.array([key[0].as_py()] * asked.num_rows, pa.int32()),
-            "answer": pa.array(answers, pa.binary()),
-        }
-    )
+    words = Asks(rows).keys
+    return pa.table({"node": pa.array([key[0].as_py()] * len(words), pa.int64()), "word": words})
 
 
-def _encode_chunk(pattern: str, n_buckets: int, pieces: list[bytes], keep_ids: bool):
+def _answer_words(way: Exchange):
+    def run(key: tuple[pa.Scalar, ...], encoded: pa.Table, rows: pa.Table) -> pa.Table:
+        release()
+        asks, encoded = Asks(rows), encoded.combine_chunks()
+        order = pc.sort_indices(encoded["word"])  # keys of asks ascend
+        return asks.answered(way, key[0].as_py(), way.levels - 1, encoded["ids"].combine_chunks().take(order))
+
+    return run
+
+
+def _encode_chunk(pattern: str, ranks: dict[bytes, int], way: Exchange, pieces: list[bytes], keep_ids: bool):
     def run(key: tuple[pa.Scalar, ...], docs: pa.Table, answers: pa.Table) -> pa.Table:
+        release()
         ids, texts = chunk_documents(docs)
-        chunk = _Words(texts, pattern)
-        got = dict(zip(answers["bucket"].to_pylist(), answers["answer"].to_pylist(), strict=True))
-        buckets = by_bucket(chunk.words, n_buckets)
-        place = np.zeros(len(chunk.words), np.int64)
-        if buckets:
-            place[np.concatenate([at for _, at in buckets])] = np.arange(len(place))
-        empty = pa.array([], pa.list_(pa.int32()))
-        found = pa.concat_arrays([empty, *[unpacked(got[b])["ids"].combine_chunks() for b, _ in buckets]])
+        chunk = _Words(texts, pattern, ranks)
+        found = collected(way, key[0].as_py(), 0, chunk.words, answers)
+        if found is None:
+            found = pa.array([], pa.list_(pa.int32()))
         tokens, counts = found.flatten(), pc.list_value_length(found).to_numpy(zero_copy_only=False).astype(np.int64)
         every = np.arange(len(tokens))
         # from tokens to words, from words to units, from units to texts
         words = chunk.unit_words
-        names = _joined(tokens.cast(pa.string()), every, counts, " ").take(pa.array(place))
+        names = _joined(tokens.cast(pa.string()), every, counts, " ")
         names = _joined(names, words, chunk.unit_sizes, " ")
         names = _joined(names, chunk.units, chunk.sizes, " ")
-        raw = _joined(pa.array(pieces, pa.binary()).take(tokens), every, counts, b"").take(pa.array(place))
+        raw = _joined(pa.array(pieces, pa.binary()).take(tokens), every, counts, b"")
         raw = _joined(raw, words, chunk.unit_sizes, b"")
         raw = _joined(raw, chunk.units, chunk.sizes, b"")
-        in_units = _sums(counts[place][words], chunk.unit_sizes)
+        in_units = _sums(counts[words], chunk.unit_sizes)
         columns = {
             "id": pa.array(ids, pa.int64()),
             "n_tokens": pa.array(_sums(in_units[chunk.units], chunk.sizes)),
@@ -227,7 +282,7 @@ def _encode_chunk(pattern: str, n_buckets: int, pieces: list[bytes], keep_ids: b
         }
         if keep_ids:
             starts = np.cumsum(counts) - counts
-            at = _ranges(starts[place][words], counts[place][words])
+            at = _ranges(starts[words], counts[words])
             at = at[_ranges(np.cumsum(in_units) - in_units, in_units, chunk.units)]
             ends = np.append(0, np.cumsum(columns["n_tokens"].to_numpy())).astype(np.int32)
             columns["token_ids"] = pa.ListArray.from_arrays(pa.array(ends), tokens.take(pa.array(at)))
@@ -245,36 +300,36 @@ def encode_documents(
     id_col: str = "doc_id",
     text_col: str = "text",
     chunk_bytes: int = CHUNK_BYTES,
+    fan: int = FAN,
 ) -> DataFrame:
     """Token ids of every text by the given ranks, each match of pattern encoded on its own, and the decoded bytes.
 
     Documents are dealt into chunks; each chunk gives its distinct words; the distinct words of all chunks are encoded
     once each by a fold over their bytes (encode_word); the ids return to the chunks that asked, which put them in
-    the order of their texts and decode them by joining the pieces. Texts are shuffled once, compressed.
+    the order of their texts and decode them by joining the pieces. Texts are shuffled once, compressed; words travel in
+    steps of at most fan rows for each task (chunks.Exchange). The fold's work grows with the square of a word's length;
+    words over LONG bytes, however long, are cut first where no merge reaches across.
 
     Returns one row for each row of docs: id_col, n_tokens, ids_sha256 (of the decimal ids joined by spaces),
     decoded_sha256, and with keep_ids token_ids and decoded. A null or empty text has no tokens. Repeated rows give
     repeated rows; null ids stay null. Extra columns are ignored.
     """
     ranks = load_ranks(ranks_path)
-    total = text_bytes(docs, text_col)
-    n_chunks, n_buckets = parts_for(total, chunk_bytes), parts_for(total, max(1, chunk_bytes * BUCKET_BYTES // CHUNK_BYTES))
+    n_chunks = parts_for(text_bytes(docs, text_col), chunk_bytes)
+    way = Exchange.of(n_chunks, fan)
     chunks = in_chunks(docs, id_col, text_col, n_chunks)
-    words = chunks.groupBy("chunk").applyInArrow(_chunk_words(pattern, n_buckets), "bucket int, chunk int, words binary")
-    distinct = words.groupBy("bucket").applyInArrow(_distinct_words, "bucket int, word binary")
-    encoded = distinct.select("bucket", "word", encode_word(F.col("word"), rank_literal(ranks)).alias("ids"))
-    answers = (
-        encoded.groupBy("bucket")
-        .cogroup(words.groupBy("bucket"))
-        .applyInArrow(_answer_chunks, "chunk int, bucket int, answer binary")
-    )
+    asks = asked_further(chunks.groupBy("chunk").applyInArrow(_chunk_words(pattern, ranks, way), ASKED), way)
+    distinct = asks[-1].groupBy("node").applyInArrow(_distinct_words, "node long, word binary")
+    encoded = distinct.select("node", "word", encode_word(F.col("word"), rank_literal(ranks)).alias("ids"))
+    found = encoded.groupBy("node").cogroup(asks[-1].groupBy("node")).applyInArrow(_answer_words(way), ANSWERED)
+    answers = answered_back(asks, found, way)
     schema = "id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", token_ids array<int>, decoded binary" * keep_ids
     pieces = [b""] * (max(ranks.values()) + 1)
     for piece, i in ranks.items():
         pieces[i] = piece
     done = (
         chunks.groupBy("chunk")
-        .cogroup(answers.groupBy("chunk"))
-        .applyInArrow(_encode_chunk(pattern, n_buckets, pieces, keep_ids), schema)
+        .cogroup(answers.groupBy("node"))
+        .applyInArrow(_encode_chunk(pattern, ranks, way, pieces, keep_ids), schema)
     )
     return done.withColumnRenamed("id", id_col)

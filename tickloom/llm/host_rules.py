@@ -9,13 +9,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.units import listed
+from tickloom.llm.units import bounded, listed, release, slices
 from tickloom.session import written
 
 #: Characters counted as symbols.
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
-AT_ONCE = 256
+#: What a task holds as Python values at once.
+AT_ONCE, BYTES_AT_ONCE = 256, 1 << 20
 
 _SYMBOL_BYTES = np.zeros(256, bool)
 _SYMBOL_BYTES[list(SYMBOLS.encode())] = True
@@ -53,9 +54,9 @@ def text_counts(text: bytes) -> tuple[int, int, int, int, int]:
 
 
 def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    release()
     for batch in batches:
-        for at in range(0, batch.num_rows, AT_ONCE):
-            some = batch.slice(at, AT_ONCE)
+        for some in slices(batch, "text", BYTES_AT_ONCE, AT_ONCE):
             got = [text_counts(x or b"") for x in listed(some.column("text"))]
             columns = list(zip(*got, strict=True))
             names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -65,7 +66,7 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def document_counts(docs: DataFrame, host: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, host and the counts of text_counts for each document; a null text has no words."""
-    slim = docs.select(
+    slim = bounded(docs).select(
         F.col(id_col).alias("id"), host.cast("string").alias("host"), F.col(text_col).cast("binary").alias("text")
     )
     schema = "id long, host string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
@@ -84,7 +85,7 @@ def failed_rules() -> dict[str, Column]:
 
 
 def host_rates(counted: DataFrame) -> DataFrame:
-    """For each host: documents, those that fail a rule, and the failure rate shrunk towards the mean of all hosts.
+    """For each host: documents, those that fail a rule, the failure rate shrunk towards the mean of all hosts, and that mean.
 
     The beta prior is fitted to the hosts' rates by moments: m is the mean rate over documents, s the strength that
     explains the spread of the rates beyond chance, so rate = (failed + m s) / (n + s). With one host, or without any
@@ -101,28 +102,30 @@ def host_rates(counted: DataFrame) -> DataFrame:
     ).first()
     k, n = whole["k"], whole["n"] or 0
     if not n:
-        return hosts.withColumn("rate", F.lit(0.0))
+        return hosts.withColumn("rate", F.lit(0.0)).withColumn("mean", F.lit(0.0))
     mean = whole["failed"] / n
     between = whole["ff"] - n * mean * mean  # sum of n (rate - mean)^2
     spread = n - whole["nn"] / n
     chance = mean * (1 - mean)
     extra = (between - (k - 1) * chance) / spread if k > 1 and spread > 0 else 0.0
     strength = chance / extra - 1 if extra > 0 and chance > extra else n / k
-    return hosts.withColumn("rate", (F.col("failed") + F.lit(mean * strength)) / (F.col("n") + F.lit(strength)))
+    rate = (F.col("failed") + F.lit(mean * strength)) / (F.col("n") + F.lit(strength))
+    return hosts.withColumn("rate", rate).withColumn("mean", F.lit(mean))
 
 
 def judge_documents(
     docs: DataFrame,
     host: Column,
     max_rate: float = 0.5,
+    max_times: float = 2.0,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """Counts, base rule and verdict for each document.
 
     A document fails the base rule with fewer than 10 words, or with over 20 % of its words in repeated windows. A host is
-    bad if its shrunk rate of documents that fail any rule is over max_rate; documents of bad hosts are not kept, nor are
-    those that fail the base rule. Failures are counted by host inside each task first; texts are never shuffled.
+    bad if its shrunk rate of documents that fail any rule is over max_rate, or over max_times the mean rate of all
+    documents; documents of bad hosts are not kept, nor are those that fail the base rule. Failures are counted by host inside each task first; texts are never shuffled.
     Hosts meet documents by a broadcast if the written rates are below Spark's broadcast limit, else by a join that Spark
     splits where a host is hot.
 
@@ -140,7 +143,8 @@ def judge_documents(
         .withColumn("any_failed", any_failed),
         "host-documents",
     )
-    rates = written(host_rates(counted).select(F.col("host").alias("of_host"), F.col("rate").alias("host_rate")), "host-rates")
+    rates = host_rates(counted).withColumn("limit", F.least(F.lit(max_rate), F.lit(max_times) * F.col("mean")))
+    rates = written(rates.select(F.col("host").alias("of_host"), F.col("rate").alias("host_rate"), "limit"), "host-rates")
     return counted.join(rates, F.col("host").eqNullSafe(F.col("of_host")), "inner").select(
         F.col("id").alias(id_col),
         "n_words",
@@ -149,7 +153,7 @@ def judge_documents(
         "n_dup_lines",
         "n_repeat_words",
         "base_failed",
-        (~F.col("base_failed") & (F.col("host_rate") <= max_rate)).alias("kept"),
+        (~F.col("base_failed") & (F.col("host_rate") <= F.col("limit"))).alias("kept"),
         "host",
         "host_rate",
     )

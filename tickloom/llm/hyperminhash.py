@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.units import listed, slices
+from tickloom.llm.units import bounded, listed, release, slices
 from tickloom.session import written
 
 #: Minima of a document, in BANDS bands of ROWS: two sets of similarity 0.8 share no band once in 200,000 times.
@@ -105,6 +105,7 @@ def estimate(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.n
 
 def _sketch(n_words: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         known: dict[bytes, int] = {}
         for batch in batches:
             for some in slices(batch, "text", BYTES_AT_ONCE, AT_ONCE):
@@ -141,6 +142,7 @@ def _to_bands(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _likely(least: float):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             if batch.num_rows:
                 a, b = (
@@ -155,6 +157,7 @@ def _likely(least: float):
 
 def _confirm(n_words: int, percent: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         known: dict[bytes, int] = {}
         last, set_a = None, None
         for batch in batches:
@@ -203,6 +206,7 @@ _MEMBER = "band long, nth int, p int, q int, block int, id long, label long, n l
 
 def _marked(least: float):
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        release()
         mark = np.zeros(rows.num_rows, bool)
         for i, j in _open_pairs(rows, least):
             mark[i] = True
@@ -214,6 +218,7 @@ def _marked(least: float):
 
 def _linked(n_words: int, percent: int, least: float):
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        release()
         known: dict[bytes, int] = {}
         texts = [shingle_set(t.as_py() or b"", n_words, known) for t in rows["text"]]
         ids, labels = rows["id"].to_pylist(), rows["label"].to_pylist()
@@ -277,7 +282,7 @@ def near_duplicates(
     """
     if percent < LEAST:
         raise ValueError(f"{BANDS} bands of {ROWS} are made for a percent of {LEAST} or more, not {percent}")
-    slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
+    slim = bounded(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
     sketched = written(
         slim.mapInArrow(_sketch(n_words), "id long, n_shingles long, set_key binary, registers binary"), "sketches"
     )

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import ArrowUDFType
 
-from tickloom.llm.units import listed, slices
+from tickloom.llm.units import bounded, listed, release, slices
 
 UNKNOWN = "und"
 #: Hash buckets of byte pairs and of byte triples.
@@ -113,7 +113,7 @@ def train_languages(docs: DataFrame, text_col: str = "text", lang_col: str = "la
     that the language nearest to the border has an expected margin of 6. A bit's reliability is that expected margin
     before scaling, against the best bit's. More than MOST_LANGUAGES distinct labels raise.
     """
-    slim = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter("text IS NOT NULL AND lang IS NOT NULL")
+    slim = bounded(docs).select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter("text IS NOT NULL AND lang IS NOT NULL")
     counted = slim.mapInArrow(_language_counts, "lang string, counts binary").withColumn("salt", F.spark_partition_id() % 16)
     counted = counted.groupBy("lang", "salt").applyInArrow(_sum_counts, "lang string, counts binary")
     rows = counted.groupBy("lang").applyInArrow(_sum_counts, "lang string, counts binary").limit(MOST_LANGUAGES + 1).collect()
@@ -135,6 +135,7 @@ def train_languages(docs: DataFrame, text_col: str = "text", lang_col: str = "la
 
 def _predict(shared):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         model: LanguageModel = shared.value
         for batch in batches:
             for some in slices(batch, "text", BYTES_AT_ONCE, AT_ONCE):
@@ -172,13 +173,14 @@ def predict_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc_
     predicted alike; null ids stay null; extra columns are ignored.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    slim = bounded(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     found = slim.mapInArrow(_predict(shared), "id long, lang_pred string, score double, ambiguous boolean")
     return found.withColumnRenamed("id", id_col)
 
 
 def _identified(shared, min_score: float):
     def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        release()
         model: LanguageModel = shared.value
         for whole in texts:
             keep = []
@@ -198,7 +200,7 @@ def keep_identified(docs: DataFrame, model: LanguageModel, min_score: float = 0.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     identified = F.arrow_udf(_identified(shared, min_score), "boolean", ArrowUDFType.SCALAR_ITER)
-    return docs.filter(identified(F.col(text_col)))
+    return bounded(docs).filter(identified(F.col(text_col)))
 
 
 def identify(docs: DataFrame, folds: int = 4, fold: int = 2, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

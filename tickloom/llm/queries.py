@@ -131,8 +131,8 @@ ORACLE_SQL: dict[str, str] = {
         ),
         e AS (SELECT *, m * (1 - m) AS chance, CASE WHEN k > 1 AND spread > 0 THEN (between - (k - 1) * m * (1 - m)) / spread ELSE 0 END AS extra FROM s),
         p AS (SELECT m, CASE WHEN extra > 0 AND chance > extra THEN chance / extra - 1 ELSE n / k END AS strength FROM e),
-        r AS (SELECT source, (failed + m * strength) / (n + strength) AS rate FROM h, p)
-        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND rate <= 0.5 AS kept, j.source AS host,
+        r AS (SELECT source, (failed + m * strength) / (n + strength) AS rate, least(0.5, 2 * m) AS most FROM h, p)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND rate <= most AS kept, j.source AS host,
             round(rate, 6) AS host_rate FROM j JOIN r ON j.source IS NOT DISTINCT FROM r.source
     """,
     "op8_sharding": """

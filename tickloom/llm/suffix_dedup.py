@@ -9,7 +9,10 @@ found where suffixes with equal leading bytes meet, together with the bytes befo
 from __future__ import annotations
 
 from bisect import bisect_right
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from hashlib import sha256
+from math import ceil
 from zlib import crc32
 
 import numpy as np
@@ -17,22 +20,44 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.chunks import chunk_documents, chunk_table, in_chunks, packed, parts_for, text_bytes, unpacked
-from tickloom.llm.units import listed
+from tickloom.llm.chunks import (
+    ANSWERED,
+    ASKED,
+    FAN,
+    Asks,
+    Exchange,
+    answered_back,
+    asked,
+    asked_further,
+    chunk_documents,
+    chunk_table,
+    collected,
+    forwarded,
+    in_chunks,
+    parts_for,
+    sent,
+    text_bytes,
+    unpacked,
+)
+from tickloom.llm.units import bounded, listed, release, slices
 
 #: Leading bytes that suffixes must share to meet.
 SEED = 24
 CHUNK_BYTES = 6_000_000
-#: Bytes of text for each bucket of hashes or of suffixes.
+#: Bytes of text for each range of suffixes.
 BUCKET_BYTES = 12_000_000
-#: Seeds in more documents than this are dealt by whole windows instead, as their suffixes could fill a bucket.
+#: Suffixes of a seed in more documents than this could fill a range: they are split by longer prefixes, whole windows.
 HOT_DOCUMENTS = 2000
-#: Documents that the splitters are sampled from.
-SAMPLED = 300
+#: Splitters are sampled from this many documents, and so many more for each range; each gives at most so many seeds.
+SAMPLED, SAMPLED_EACH, SAMPLED_SEEDS = 300, 2, 16
+#: Splitters go to all tasks (24 bytes each); where more ranges are needed, each is dealt into equal parts by a hash.
+MOST_RANGES = 65_536
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _HASH_BITS = 48
 NO_ID = 2**63 - 1
+#: In place of an anchor's offset: a range of bytes that its chunk has settled already.
+SETTLED = -2
 
 
 def seed_hashes(b: np.ndarray) -> np.ndarray:
@@ -125,48 +150,41 @@ def _seeds(runs, ids: list[int]) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(np.concatenate([np.unique(np.concatenate(x)) for x in alike.values()]), return_counts=True)
 
 
-def _bucket_cuts(hashes: np.ndarray, n_buckets: int) -> np.ndarray:
-    edges = np.array([(i << _HASH_BITS) // n_buckets for i in range(n_buckets + 1)], np.uint64)
-    return np.searchsorted(hashes, edges)
-
-
-def _chunk_seeds(length: int, n_buckets: int):
+def _chunk_seeds(length: int, way: Exchange):
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        release()
         chunk = _Chunk(rows, length)
         hashes, counts = _seeds(chunk.runs(), chunk.ids)
-        cuts = _bucket_cuts(hashes, n_buckets)
-        buckets = [b for b in range(n_buckets) if cuts[b] < cuts[b + 1]]
-        blobs = []
-        for b in buckets:
-            some = slice(cuts[b], cuts[b + 1])
-            blobs.append(packed(step=pa.array(np.diff(hashes[some], prepend=np.uint64(0))), n=pa.array(counts[some].astype(np.uint32))))
-        return pa.table(
-            {
-                "bucket": pa.array(buckets, pa.int32()),
-                "chunk": pa.array([key[0].as_py()] * len(buckets), pa.int32()),
-                "seeds": pa.array(blobs, pa.binary()),
-            }
-        )
+        return asked(way, key[0].as_py(), 0, pa.array(hashes), n=counts.astype(np.uint32))
 
     return run
 
 
-def _repeated_seeds(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-    tables = [unpacked(x) for x in rows["seeds"].to_pylist()]
-    steps = [t["step"].to_numpy() for t in tables]
-    hashes = np.concatenate([np.cumsum(s, dtype=np.uint64) for s in steps])
-    counts = np.concatenate([t["n"].to_numpy() for t in tables])
-    _, index = np.unique(hashes, return_inverse=True)
-    documents = np.bincount(index, weights=counts)[index]
-    cuts = np.cumsum([len(s) for s in steps])[:-1]
-    grade = (documents > 1).astype(np.uint8) + (documents > HOT_DOCUMENTS).astype(np.uint8)
-    return pa.table(
-        {
-            "chunk": rows["chunk"].combine_chunks().cast(pa.int32()),
-            "bucket": pa.array([key[0].as_py()] * rows.num_rows, pa.int32()),
-            "grades": pa.array([packed(g=pa.array(g)) for g in np.split(grade, cuts)], pa.binary()),
-        }
-    )
+def _grade_seeds(way: Exchange, hot: int):
+    def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        """0 for seeds of one document, 1 for seeds of more, 2 for hot ones."""
+        release()
+        asks = Asks(rows)
+        documents = asks.sums["n"]
+        grade = (documents > 1).astype(np.uint8) + (documents > hot).astype(np.uint8)
+        return asks.answered(way, key[0].as_py(), way.levels - 1, pa.array(grade))
+
+    return run
+
+
+@dataclass(frozen=True)
+class Ranges:
+    """Ranges of strings between splitters, each in so many parts. A splitter is a seed, so equal seeds share a range."""
+
+    splitters: list[bytes]
+    parts: int
+
+    @property
+    def size(self) -> int:
+        return (len(self.splitters) + 1) * self.parts
+
+    def of(self, prefix: bytes) -> int:
+        return bisect_right(self.splitters, prefix) * self.parts + (crc32(prefix) % self.parts if self.parts > 1 else 0)
 
 
 def _spread(starts: list[int], ends: list[int], size: int) -> np.ndarray:
@@ -180,25 +198,23 @@ def _edges(covered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(steps > 0), np.flatnonzero(steps < 0)
 
 
-def _chunk_suffixes(length: int, n_buckets: int, splitters: list[bytes]):
+def _chunk_suffixes(length: int, way: Exchange, ranges: Ranges):
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table, answers: pa.Table) -> pa.Table:
-        chunk = _Chunk(rows, length)
+        release()
+        chunk, node = _Chunk(rows, length), key[0].as_py()
         runs = chunk.runs()
         hashes, _ = _seeds(runs, chunk.ids)
-        grade = np.zeros(len(hashes), np.uint8)
-        cuts = _bucket_cuts(hashes, n_buckets)
-        for b, blob in zip(answers["bucket"].to_pylist(), answers["grades"].to_pylist(), strict=True):
-            grade[cuts[b] : cuts[b + 1]] = unpacked(blob)["g"].to_numpy()
+        found = collected(way, node, 0, pa.array(hashes), answers)
+        grade = np.zeros(0, np.uint8) if found is None else found.to_numpy()
         first_id: dict[tuple[int, bytes], int] = {}
-        sent: dict[int, list[tuple[bytes, int, int, int, int]]] = {}
-        direct: list[tuple[int, int, int]] = []
+        dealt: dict[int, list[tuple[bytes, int, int, int, int, int]]] = {}
         for row, (own, anchors, first, last) in enumerate(runs):
             text, doc = chunk.texts[row], chunk.ids[row]
             grades = grade[np.searchsorted(hashes, own)] if len(own) else own
             starts, ends = [], []
             for i in np.flatnonzero(grades).tolist():
                 p, q, a = int(first[i]), int(last[i]), int(anchors[i])
-                # a hot seed's windows go one by one, each dealt by all its bytes
+                # a hot seed's windows go one by one, each to the range of all its bytes
                 pieces = [(p, q)] if grades[i] == 1 else [(x, x + 1) for x in range(p, q)]
                 for x, y in pieces:
                     content = text[x : y - 1 + length]
@@ -208,38 +224,30 @@ def _chunk_suffixes(length: int, n_buckets: int, splitters: list[bytes]):
                         starts.append(x)
                         ends.append(y - 1 + length)
                     else:
-                        at = bisect_right(splitters, content[off : off + SEED]) if off >= 0 else crc32(content) % (len(splitters) + 1)
-                        sent.setdefault(at, []).append((content, off, doc, row, x))
-            if starts:
-                direct += [(row, int(s), int(e)) for s, e in zip(*_edges(_spread(starts, ends, len(text))), strict=True)]
-        buckets, blobs, kinds = [], [], []
-        for at, entries in sorted(sent.items()):
+                        to = ranges.of(content[off : off + SEED] if off >= 0 else content)
+                        dealt.setdefault(to, []).append((content, off, doc, row, x, 0))
+            if starts:  # settled here; such ranges only pass through
+                runs_of = zip(*_edges(_spread(starts, ends, len(text))), strict=True)
+                dealt.setdefault(node % ranges.size, []).extend((b"", SETTLED, doc, row, int(s), int(e)) for s, e in runs_of)
+        for entries in dealt.values():
             entries.sort(key=lambda x: (x[0][max(x[1], 0) :], x[1]))
-            content, off, doc, row, x = zip(*entries, strict=True)
-            buckets.append(at)
-            kinds.append(0)
-            blobs.append(
-                packed(
-                    content=pa.array(content, pa.binary()),
-                    off=pa.array(off, pa.int8()),
-                    doc=pa.array(doc, pa.int64()),
-                    row=pa.array(row, pa.int32()),
-                    first=pa.array(x, pa.int32()),
-                )
-            )
-        if direct:
-            row, s, e = zip(*direct, strict=True)
-            buckets.append(crc32(str(key[0].as_py()).encode()) % (len(splitters) + 1))
-            kinds.append(1)
-            blobs.append(packed(row=pa.array(row, pa.int32()), start=pa.array(s, pa.int32()), end=pa.array(e, pa.int32())))
-        return pa.table(
+        ordered = sorted(dealt)
+        flat = [x for at in ordered for x in dealt[at]]
+        content, off, doc, row, start, end = zip(*flat, strict=True) if flat else ([],) * 6
+        to = np.repeat(np.array(ordered, np.int64), [len(dealt[at]) for at in ordered])
+        whole = pa.table(
             {
-                "bucket": pa.array(buckets, pa.int32()),
-                "chunk": pa.array([key[0].as_py()] * len(buckets), pa.int32()),
-                "kind": pa.array(kinds, pa.int32()),
-                "suffixes": pa.array(blobs, pa.binary()),
+                "to": pa.array(to),
+                "chunk": pa.array(np.full(len(flat), node, np.int64)),
+                "content": pa.array(content, pa.binary()),
+                "off": pa.array(off, pa.int8()),
+                "doc": pa.array(doc, pa.int64()),
+                "row": pa.array(row, pa.int32()),
+                "start": pa.array(start, pa.int32()),
+                "end": pa.array(end, pa.int32()),
             }
         )
+        return sent(way, node, 0, whole)
 
     return run
 
@@ -297,41 +305,37 @@ def repeated_windows(contents: list[bytes], off: np.ndarray, docs: np.ndarray, l
     return mask
 
 
-def _compare(length: int):
+def _compare(length: int, way: Exchange):
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        chunks, blobs = [], []
-        own: list[tuple[int, pa.Table]] = []
-        for chunk, kind, blob in zip(rows["chunk"].to_pylist(), rows["kind"].to_pylist(), rows["suffixes"].to_pylist(), strict=True):
-            if kind:
-                chunks.append(chunk)
-                blobs.append(blob)
-            else:
-                own.append((chunk, unpacked(blob)))
-        if own:
-            contents = [c for _, t in own for c in listed(t["content"])]
-            off, docs = (np.concatenate([t[c].to_numpy() for _, t in own]).astype(np.int64) for c in ("off", "doc"))
-            masks = np.split(repeated_windows(contents, off, docs, length), np.cumsum([t.num_rows for _, t in own])[:-1])
-            for (chunk, t), mask in zip(own, masks, strict=True):
-                at = np.flatnonzero(mask)
-                if not len(at):
-                    continue
-                bits = np.unpackbits(mask[at].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-                entry, nth = np.nonzero(bits)
-                start = t["first"].to_numpy()[at][entry] + nth
-                row = t["row"].to_numpy()[at][entry]
-                chunks.append(chunk)
-                blobs.append(
-                    packed(row=pa.array(row, pa.int32()), start=pa.array(start, pa.int32()), end=pa.array(start + length, pa.int32()))
-                )
-        return pa.table({"chunk": pa.array(chunks, pa.int32()), "ranges": pa.array(blobs, pa.binary())})
+        release()
+        whole = pa.concat_tables([unpacked(x) for x in rows["entries"].to_pylist()]).combine_chunks()
+        chunk, row, start, end, off, docs = (whole[c].to_numpy().astype(np.int64) for c in ("chunk", "row", "start", "end", "off", "doc"))
+        settled, own = np.flatnonzero(off == SETTLED), np.flatnonzero(off != SETTLED)
+        mask = repeated_windows(listed(whole["content"].take(pa.array(own))), off[own], docs[own], length)
+        at = np.flatnonzero(mask)
+        bits = np.unpackbits(mask[at].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        entry, nth = np.nonzero(bits)
+        entry = own[at[entry]]
+        first = start[entry] + nth
+        every = np.concatenate([settled, entry])
+        found = pa.table(
+            {
+                "to": pa.array(chunk[every]),
+                "row": pa.array(row[every].astype(np.int32)),
+                "start": pa.array(np.concatenate([start[settled], first]).astype(np.int32)),
+                "end": pa.array(np.concatenate([end[settled], first + length]).astype(np.int32)),
+            }
+        )
+        return sent(way, key[0].as_py(), 0, found)
 
     return run
 
 
 def _cut(length: int, keep_text: bool, n_carried: int):
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table, found: pa.Table) -> pa.Table:
+        release()
         chunk = _Chunk(rows, length)
-        tables = [unpacked(x) for x in found["ranges"].to_pylist()]
+        tables = [unpacked(x) for x in found["entries"].to_pylist()]
         ranges: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         if tables:
             row, start, end = (np.concatenate([t[c].to_numpy() for t in tables]) for c in ("row", "start", "end"))
@@ -367,20 +371,30 @@ def _cut(length: int, keep_text: bool, n_carried: int):
     return run
 
 
+def _some_seeds(length: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        for batch in batches:
+            for some in slices(batch, "text", 4 << 20, 1024):
+                seeds = []
+                for text in listed(some.column("text")):
+                    at = anchored_runs(np.frombuffer(text, np.uint8), length)[1]
+                    seeds += [text[a : a + SEED] for a in at[:: max(1, -(-len(at) // SAMPLED_SEEDS))].tolist()]
+                yield pa.record_batch({"seed": pa.array(seeds, pa.binary())})
+
+    return run
+
+
 def sample_splitters(docs: DataFrame, n: int, length: int, id_col: str, text_col: str) -> list[bytes]:
-    """At most n - 1 seeds that cut the suffixes of a sample evenly: the first 5,000 characters of about
-    SAMPLED documents, chosen by a hash. Splitters set where suffixes meet, not whether they do.
+    """At most n - 1 seeds that cut the suffixes of a sample evenly: some seeds of SAMPLED documents and SAMPLED_EACH more for
+    each range, chosen by a hash. Splitters set where suffixes meet, not whether they do.
     """
     if n < 2:
         return []
-    share = min(1.0, SAMPLED / max(1, docs.count()))
+    share = min(1.0, (SAMPLED + SAMPLED_EACH * n) / max(1, docs.count()))
     chosen = F.pmod(F.xxhash64(id_col, text_col), F.lit(1 << 30)) < int(share * (1 << 30))
-    some = docs.filter(chosen).select(F.substring(F.col(text_col), 1, 5000).cast("binary").alias("text"))
-    seeds: list[bytes] = []
-    for row in some.filter("text IS NOT NULL").collect():
-        text = bytes(row["text"])
-        seeds += [text[a : a + SEED] for a in anchored_runs(np.frombuffer(text, np.uint8), length)[1].tolist()]
-    seeds.sort()
+    some = bounded(docs).filter(chosen).select(F.col(text_col).cast("binary").alias("text")).filter("text IS NOT NULL")
+    seeds = sorted(bytes(r["seed"]) for r in some.mapInArrow(_some_seeds(length), "seed binary").collect())
     return sorted({seeds[i * len(seeds) // n] for i in range(1, n)}) if seeds else []
 
 
@@ -391,6 +405,8 @@ def remove_repeats(
     carry: list[str] = (),
     id_col: str = "doc_id",
     text_col: str = "text",
+    fan: int = FAN,
+    hot: int = HOT_DOCUMENTS,
 ) -> DataFrame:
     """Remove each byte of a text that is covered by a string of length bytes that starts in a smaller document too.
 
@@ -398,8 +414,9 @@ def remove_repeats(
     at such anchors, with the bytes that their windows need, are dealt into ranges by sampled splitters on their leading
     SEED bytes, sorted there by multikey quicksort and compared with their neighbours. A window that a smaller
     document of the same chunk has is settled in the chunk, so a passage travels once for each chunk and not once for
-    each copy. Equal leading bytes never lie on both sides of a splitter, so no comparison crosses a range; seeds in
-    over HOT_DOCUMENTS documents are dealt by the whole window instead. All matches are confirmed byte by byte.
+    each copy. Equal leading bytes never lie on both sides of a splitter, so no comparison crosses a range; suffixes of
+    seeds in over hot documents are split by longer prefixes, the bytes of whole windows. All matches are
+    confirmed byte by byte. Hashes and suffixes travel in steps of at most fan rows for each task (chunks.Exchange).
 
     A null text is empty. A null id counts as larger than all ids; rows of equal ids do not remove each other's bytes.
     Extra columns are ignored but for those named in carry. Returns id_col, n_bytes, n_removed, n_spans (runs of removed
@@ -407,18 +424,21 @@ def remove_repeats(
     that a cut went through, and the carried columns.
     """
     total = text_bytes(docs, text_col)
-    n_chunks, n_buckets = parts_for(total, CHUNK_BYTES), parts_for(total, BUCKET_BYTES)
-    splitters = sample_splitters(docs, n_buckets, length, id_col, text_col)
+    n_chunks, n_parts = parts_for(total, CHUNK_BYTES), parts_for(total, BUCKET_BYTES)
+    n_ranges = min(n_parts, MOST_RANGES)
+    ranges = Ranges(sample_splitters(docs, n_ranges, length, id_col, text_col), ceil(n_parts / n_ranges))
+    way = Exchange.of(max(n_chunks, ranges.size), fan)
     chunks = in_chunks(docs, id_col, text_col, n_chunks, carry)
-    seeds = chunks.groupBy("chunk").applyInArrow(_chunk_seeds(length, n_buckets), "bucket int, chunk int, seeds binary")
-    grades = seeds.groupBy("bucket").applyInArrow(_repeated_seeds, "chunk int, bucket int, grades binary")
+    asks = asked_further(chunks.groupBy("chunk").applyInArrow(_chunk_seeds(length, way), ASKED), way)
+    grades = answered_back(asks, asks[-1].groupBy("node").applyInArrow(_grade_seeds(way, hot), ANSWERED), way)
     suffixes = (
         chunks.groupBy("chunk")
-        .cogroup(grades.groupBy("chunk"))
-        .applyInArrow(_chunk_suffixes(length, n_buckets, splitters), "bucket int, chunk int, kind int, suffixes binary")
+        .cogroup(grades.groupBy("node"))
+        .applyInArrow(_chunk_suffixes(length, way, ranges), "node long, entries binary")
     )
-    ranges = suffixes.groupBy("bucket").applyInArrow(_compare(length), "chunk int, ranges binary")
+    compared = forwarded(suffixes, way).groupBy("node").applyInArrow(_compare(length, way), "node long, entries binary")
+    found = forwarded(compared, way)
     schema = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept string" * keep_text
     schema += "".join(f", carried_{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(carry))
-    done = chunks.groupBy("chunk").cogroup(ranges.groupBy("chunk")).applyInArrow(_cut(length, keep_text, len(carry)), schema)
+    done = chunks.groupBy("chunk").cogroup(found.groupBy("node")).applyInArrow(_cut(length, keep_text, len(carry)), schema)
     return done.withColumnsRenamed({"id": id_col} | {f"carried_{i}": c for i, c in enumerate(carry)})

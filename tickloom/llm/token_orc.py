@@ -16,13 +16,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tickloom.llm.units import as_text, split_units
+from tickloom.llm.units import as_text, bounded, release, slices, split_units
 from tickloom.session import shared_dir, written
 
 #: A Python worker remembers the ids of at most this many units of text, then starts afresh (about 40 bytes each).
-REMEMBERED = 2_000_000
-#: Documents whose units are encoded together.
-AT_ONCE = 3072
+REMEMBERED = 1_500_000
+#: Documents, and bytes of text, whose units are encoded together, and units that the tokenizer gets at once.
+AT_ONCE, BYTES_AT_ONCE, UNITS_AT_ONCE = 4096, 6 << 20, 16_384
 #: Signs that end a unit.
 SIGNS = ".,;:!?"
 
@@ -75,7 +75,6 @@ def _tokenizers(path: str) -> list:
         if (settings.get("pre_tokenizer") or {}).get("type") == "ByteLevel":
             settings["pre_tokenizer"]["use_regex"] = False
         word = Tokenizer.from_str(json.dumps(settings))
-        whole.encode_special_tokens = word.encode_special_tokens = True
         _loaded[path] = [whole, word, _Known()]
     return _loaded[path]
 
@@ -91,11 +90,14 @@ def _encode_new(whole, word, known: _Known, units: list[str]) -> None:
     alone = set(letters)
     others = [i for i in missing.tolist() if i not in alone]
     for tokenizer, some in ((word, letters), (whole, others)):
+        all_ids, all_sizes = [], []
+        for at in range(0, len(some), UNITS_AT_ONCE):
+            now = [parts[i] for i in some[at : at + UNITS_AT_ONCE]]
+            found = [e.ids for e in tokenizer.encode_batch_fast(now, add_special_tokens=False)]
+            all_sizes.append(np.fromiter(map(len, found), np.int32, len(found)))
+            all_ids.append(np.fromiter(chain.from_iterable(found), np.int32, int(all_sizes[-1].sum())))
         if some:
-            found = [e.ids for e in tokenizer.encode_batch_fast([parts[i] for i in some], add_special_tokens=False)]
-            sizes = np.fromiter(map(len, found), np.int32, len(found))
-            ids = np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum()))
-            known.add(hashes[some], ids, sizes)
+            known.add(hashes[some], np.concatenate(all_ids), np.concatenate(all_sizes))
     if ended:
         heads, signs = (known.take(known.find(known.hashes(x))) for x in ([u[:-1] for u in ended], [u[-1] for u in ended]))
         ids = np.insert(heads[0], np.cumsum(heads[1]), signs[0])
@@ -126,9 +128,9 @@ def encode_texts(texts: pa.Array, path: str, end_id: int) -> pa.ListArray:
 
 def _encode(path: str, end_id: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
-            for at in range(0, batch.num_rows, AT_ONCE):
-                some = batch.slice(at, AT_ONCE)
+            for some in slices(batch, "text", BYTES_AT_ONCE, AT_ONCE):
                 lists = encode_texts(as_text(some.column("text")), path, end_id)
                 yield pa.record_batch({"doc_id": some.column("id"), "ids": lists})
 
@@ -147,7 +149,7 @@ def write_tokens(
     repeated rows are kept, extra columns are ignored. An empty table gives files without rows.
     """
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    slim = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("text"))
+    slim = bounded(docs).select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("text"))
     placed = slim.repartitionByRange(n, F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first())
     encoded = placed.mapInArrow(_encode(tokenizer_path, end_id), "doc_id long, ids array<int>")
     (

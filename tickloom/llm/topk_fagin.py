@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tickloom.llm.chunks import parts_for
+from tickloom.llm.units import release
 from tickloom.session import written
 
 #: Vectors of one block of candidates, and queries of one block.
@@ -88,6 +89,7 @@ class SortedLists:
 
 def _search(k: int):
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table, asked: pa.Table) -> pa.Table:
+        release()
         out: list[tuple[int, int, int]] = []
         if rows.num_rows and asked.num_rows:
             dims = rows["dims"][0].as_py()

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
 _INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
@@ -17,6 +19,24 @@ def listed(values: pa.Array | pa.ChunkedArray) -> list:
     return values.to_numpy(zero_copy_only=False).tolist() if isinstance(values, pa.Array) else values.to_numpy().tolist()
 
 
+def release() -> None:
+    """Hand memory that a worker no longer uses back to the system: workers live on, and what they keep is lost to others."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def bounded(docs: DataFrame, most: str = "8m") -> DataFrame:
+    """docs, after Arrow batches of its session were bounded by bytes, as texts differ in length ten thousandfold and a
+    limit of rows bounds nothing. A limit other than Spark's own default stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    conf = docs.sparkSession.conf
+    if conf.get(name, "64m") in ("67108864b", "64m"):
+        conf.set(name, most)
+    return docs
+
+
 def slices(batch: pa.RecordBatch, column: str, most_bytes: int, most_rows: int) -> Iterator[pa.RecordBatch]:
     """A batch in slices of at most so many rows and so many bytes of one column; a longer value stands alone."""
     size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
