@@ -39,6 +39,14 @@ def rows():
     return [(*r, None, 1, "b", 0.5) for r in found]
 
 
+@pytest.fixture(scope="session", autouse=True)
+def several_partitions(spark):
+    """Groups that must meet do so by their keys, not because all rows lie in one partition."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 @pytest.fixture(scope="session")
 def docs(spark, rows):
     return spark.createDataFrame(rows, SCHEMA).repartition(3)

@@ -60,7 +60,7 @@ def _flush(tables: list[pa.Table]) -> Iterator[pa.RecordBatch]:
     for rows in np.split(order, cuts):
         some = rest.take(pa.array(rows))
         blob = packed(**{c: some[c].combine_chunks() for c in some.column_names})
-        yield pa.record_batch({"chunk": pa.array([int(chunk[rows[0]])], pa.int32()), "docs": pa.array([blob], pa.binary())})
+        yield pa.record_batch({"chunk": pa.array([int(chunk[rows[0]])], pa.int64()), "docs": pa.array([blob], pa.binary())})
 
 
 def _pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,10 +88,10 @@ def in_chunks(
     text = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
     carried = [F.col(c).alias(f"carried_{i}") for i, c in enumerate(carry)]
     slim = bounded(docs).select(F.col(id_col).cast("long").alias("id"), text.alias("text"), *carried)
-    slim = slim.withColumn("chunk", F.pmod(F.xxhash64("id", "text"), F.lit(n_chunks)).cast("int"))
+    slim = slim.withColumn("chunk", F.pmod(F.xxhash64("id", "text"), F.lit(n_chunks)).cast("long"))
     if below is not None:
         slim = slim.filter(F.col("chunk") < below)
-    return slim.mapInArrow(_pack, "chunk int, docs binary")
+    return slim.mapInArrow(_pack, "chunk long, docs binary")
 
 
 def chunk_table(rows: pa.Table) -> pa.Table:

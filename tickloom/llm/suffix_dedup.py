@@ -198,6 +198,11 @@ def _edges(covered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(steps > 0), np.flatnonzero(steps < 0)
 
 
+_ENTRIES = pa.schema(
+    {"to": pa.int64(), "chunk": pa.int64(), "content": pa.binary(), "off": pa.int8(), "doc": pa.int64(), "row": pa.int32(), "start": pa.int32(), "end": pa.int32()}
+)
+
+
 def _chunk_suffixes(length: int, way: Exchange, ranges: Ranges):
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table, answers: pa.Table) -> pa.Table:
         release()
@@ -229,25 +234,12 @@ def _chunk_suffixes(length: int, way: Exchange, ranges: Ranges):
             if starts:  # settled here; such ranges only pass through
                 runs_of = zip(*_edges(_spread(starts, ends, len(text))), strict=True)
                 dealt.setdefault(node % ranges.size, []).extend((b"", SETTLED, doc, row, int(s), int(e)) for s, e in runs_of)
-        for entries in dealt.values():
-            entries.sort(key=lambda x: (x[0][max(x[1], 0) :], x[1]))
-        ordered = sorted(dealt)
-        flat = [x for at in ordered for x in dealt[at]]
-        content, off, doc, row, start, end = zip(*flat, strict=True) if flat else ([],) * 6
-        to = np.repeat(np.array(ordered, np.int64), [len(dealt[at]) for at in ordered])
-        whole = pa.table(
-            {
-                "to": pa.array(to),
-                "chunk": pa.array(np.full(len(flat), node, np.int64)),
-                "content": pa.array(content, pa.binary()),
-                "off": pa.array(off, pa.int8()),
-                "doc": pa.array(doc, pa.int64()),
-                "row": pa.array(row, pa.int32()),
-                "start": pa.array(start, pa.int32()),
-                "end": pa.array(end, pa.int32()),
-            }
-        )
-        return sent(way, node, 0, whole)
+        whole = [_ENTRIES.empty_table()]
+        for to in sorted(dealt):
+            entries = sorted(dealt.pop(to), key=lambda x: (x[0][max(x[1], 0) :], x[1]))
+            columns = [[to] * len(entries), [node] * len(entries), *zip(*entries, strict=True)]
+            whole.append(pa.table([pa.array(c, f.type) for c, f in zip(columns, _ENTRIES, strict=True)], schema=_ENTRIES))
+        return sent(way, node, 0, pa.concat_tables(whole))
 
     return run
 
