@@ -62,8 +62,11 @@ def test_ranges_and_quality(spark):
     bars = B.build_bars(ticks(spark, [("09:15:00", 1.0, 1, 0, None), ("09:16:00", 1.0, 1, 0, None), ("09:17:00", 1.0, 1, 0, None)]))
     between = B.bars_between(bars, 1, F.lit("2024-01-01 09:15:00").cast("timestamp"), F.lit("2024-01-01 09:16:30").cast("timestamp"))
     assert between.count() == 2
-    q = one(B.bar_quality(bars))
+    q = one(B.bar_quality(bars.withColumn("arrival", F.col("event_time"))))
     assert (q["bars"], q["out_of_order"], q["empty"], q["outside_range"]) == (3, 0, 0, 0)
+    late = F.when(F.minute("event_time") == 16, F.lit(0)).otherwise(F.minute("event_time"))
+    q = one(B.bar_quality(bars.withColumn("arrival", late).withColumn("high", F.lit(0.5)).withColumn("trade_count", F.lit(0))))
+    assert (q["bars"], q["out_of_order"], q["empty"], q["outside_range"]) == (3, 1, 3, 3)
 
 
 def plain_features(bars, p=14):
@@ -112,6 +115,18 @@ def test_features_equal_a_plain_loop_over_many_blocks(spark):
                 assert x is None or g[name] == pytest.approx(x, rel=1e-8, abs=1e-10), name
 
 
+@pytest.mark.parametrize("period", [1, 2, 50, 100, 500])
+def test_smoothing_for_any_period(spark, period):
+    flat = lambda i: 130.0 if 900 <= i < 900 + min(1500, 240 * period) else 100 + 10 * math.sin(i / 7) + (i * 7919 % 13) / 5
+    rows = [(flat(i) + 1 + i % 3, flat(i) - 1, flat(i), 1, 1) for i in range(3000)]
+    df = spark.createDataFrame([(1, i, *r, 0) for i, r in enumerate(rows)], "security_id long, k long, high double, low double, close double, volume long, oi_close long, revision int")
+    got = X.compute_features(df.withColumn("event_time", F.timestamp_seconds(F.col("k") * 60)), period=period).orderBy("event_time").collect()
+    for w, g in zip(plain_features(rows, period), got, strict=True):
+        for name in ("atr", "rsi"):
+            assert (w[name] is None) == (g[name] is None), name
+            assert w[name] is None or g[name] == pytest.approx(w[name], rel=1e-8, abs=1e-10), (name, g["event_time"])
+
+
 def test_parity_and_available_time(spark):
     df = spark.createDataFrame([(1, 0, 1.0, None), (1, 60, 2.0, 3.0)], "security_id long, t long, a double, b double").withColumn("event_time", F.timestamp_seconds("t"))
     off = df.withColumn("a", F.col("a") + F.when(F.col("t") == 60, 1e-6).otherwise(0.0)).withColumn("b", F.lit(3.0))

@@ -17,4 +17,4 @@ def test_leakage_whole(spark, tmp_path):
     even, odd = ([r for r in rows if r[2] % 2 == k] for k in (0, 1))
     want = {a[0] for a in even if any(a[1] <= b[1] + hold and a[1] + hold >= b[1] for b in odd)}
     assert want == {0, 2, 4, 8}
-    assert {r["row_id"] for r in entry.queries()["leakage_whole"](spark, str(tmp_path)).collect()} == want
+    assert {r["row_id"] for r in entry.queries()["leakage_pairs"](spark, str(tmp_path)).collect()} == want

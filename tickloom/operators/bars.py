@@ -120,9 +120,10 @@ def bars_between(bars: DataFrame, security_id: int, start: Column, end: Column)
     return bars.filter((F.col("security_id") == security_id) & F.col("event_time").between(start, end))
 
 
-def bar_quality(bars: DataFrame) -> DataFrame:
-    """For each security: bars, bars out of order by arrival, empty bars, bars whose range does not hold open and close."""
-    order = Window.partitionBy("security_id").orderBy("event_time")
+def bar_quality(bars: DataFrame, arrival: str = "arrival") -> DataFrame:
+    """For each security: bars, bars not later than the one that arrived before, empty bars, bars whose range does not hold
+    open and close. arrival: the column that tells in which order bars came, which differs from row to row."""
+    order = Window.partitionBy("security_id").orderBy(arrival)
     flagged = bars.withColumn("before", F.lag("event_time").over(order))
     inside = F.col("open").between(F.col("low"), F.col("high")) & F.col("close").between(F.col("low"), F.col("high"))
     return flagged.groupBy("security_id").agg(

@@ -1,8 +1,9 @@
 """Technical features of bars, in one pass over windows of a security.
 
-Wilder's smoothing a_t = r a_(t-1) + x_t / p is a linear recurrence. Rows of a key are cut into blocks of BLOCK rows; inside
-a block it is a running sum of x r^-i, and what earlier blocks carry over is added from the sums at their ends. So no
-window runs a loop in Python, and blocks share the key's one shuffle.
+Wilder's smoothing a_t = r a_(t-1) + x_t / p is a linear recurrence. Rows of a key are cut into blocks; inside a block it is a
+running sum of x r^-i, and the ends of the blocks before carry over, each decayed by its distance. A block is so long that a
+value fades by e^60 or more along it, so the ends of the last 12 blocks are all that a double can hold. All columns are
+smoothed together by windows over the key: no loop in Python, no join, and the key's one shuffle.
 """
 
 from __future__ import annotations
@@ -15,7 +16,8 @@ from pyspark.sql.window import Window
 
 from tickloom.functions.scalars import ratio
 
-BLOCK = 256
+#: A block has so many periods: a value fades by e to this power along it. Ends of so many blocks are carried over.
+FADE, CARRIED = 60, 12
 
 
 def _keys(session_col: str | None) -> list[str]:
@@ -30,41 +32,40 @@ def true_range() -> Column:
     )
 
 
-def wilder(df: DataFrame, columns: dict[str, str], period: int, first: int, keys: Iterable[str] = ("security_id",)) -> DataFrame:
-    """Wilder averages of columns {input: output}; df has row number n (from 1) within keys.
+def wilder(df: DataFrame, columns: dict[str, tuple[str, int]], period: int, keys: Iterable[str] = ("security_id",)) -> DataFrame:
+    """Wilder averages of columns {input: (output, first row)}; df has row number n (from 1) within keys.
 
     The average starts at row n = first + period - 1 as the mean of the period rows from row first on; before that it is
-    null.
+    null. Inputs are 0 or more; a null counts as 0.
     """
     keys = list(keys)
     keep = (period - 1) / period
-    start = first + period - 1
-    seed_rows = F.col("n").between(first, start)
-    whole = Window.partitionBy(*keys)
-    k = F.col("n") - start
-    df = df.withColumn("_block", F.floor(k / BLOCK)).withColumn("_j", F.pmod(k, F.lit(BLOCK)))
+    block = FADE * period if period > 1 else 1
+    recent = Window.partitionBy(*keys).orderBy("n").rowsBetween(1 - period, 0)
     inside = Window.partitionBy(*keys, "_block").orderBy("n").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    for x, y in columns.items():
-        seed = F.sum(F.when(seed_rows, F.col(x))).over(whole) / period
-        df = df.withColumn(f"_y_{y}", F.when(F.col("n") == start, seed).when(F.col("n") > start, F.col(x) / period))
-    for y in columns.values():
+    ends = Window.partitionBy(*keys).orderBy("_block").rangeBetween(-CARRIED, -1)
+    df = df.withColumn("_block", F.floor((F.col("n") - 1) / block)).withColumn("_j", F.pmod(F.col("n") - 1, F.lit(block)))
+    names = {}
+    for x, (y, first) in columns.items():
+        start = first + period - 1
+        own = F.when(F.col("n") == start, F.sum(x).over(recent) / period).when(F.col("n") > start, F.col(x) / period)
+        names[y] = start
+        df = df.withColumn(f"_y_{y}", own)
+    for y in names:
         running = F.sum(F.col(f"_y_{y}") * F.pow(F.lit(keep), -F.col("_j"))).over(inside)
-        df = df.withColumn(f"_s_{y}", F.when(k >= 0, running * F.pow(F.lit(keep), F.col("_j"))))
-    last = df.filter((F.col("_j") == BLOCK - 1) & (k >= 0)).select(
-        *keys, (F.col("_block") + 1).alias("_block"), *[F.col(f"_s_{y}").alias(f"_e_{y}") for y in columns.values()]
-    )
-    ends = Window.partitionBy(*keys).orderBy("_block")
-    decay = keep**BLOCK
-    for y in columns.values():
-        one, two = (F.coalesce(F.lag(f"_e_{y}", n).over(ends), F.lit(0.0)) for n in (1, 2))
-        last = last.withColumn(f"_c_{y}", F.col(f"_e_{y}") + one * decay + two * decay * decay)
-    last = last.select(*keys, "_block", *[f"_c_{y}" for y in columns.values()])
-    df = df.join(last, [*keys, "_block"], "left")
-    for y in columns.values():
-        carried = F.coalesce(F.col(f"_c_{y}") * F.pow(F.lit(keep), F.col("_j") + 1), F.lit(0.0))
-        df = df.withColumn(y, F.when(F.col("n") >= start, F.col(f"_s_{y}") + carried))
-    helpers = ["_block", "_j", *[f"_{p}_{y}" for p in "ysc" for y in columns.values()]]
-    return df.drop(*helpers)
+        df = df.withColumn(f"_s_{y}", F.coalesce(running * F.pow(F.lit(keep), F.col("_j")), F.lit(0.0)))
+    last = F.struct(F.col("_block").alias("block"), *[F.col(f"_s_{y}").alias(y) for y in names])
+    df = df.withColumn("_ends", F.collect_list(F.when(F.col("_j") == block - 1, last)).over(ends))
+
+    def carried(y: str) -> Column:
+        """The ends of the blocks before, each decayed by the rows since."""
+        return F.aggregate(
+            "_ends", F.lit(0.0), lambda total, end: total + end[y] * F.pow(F.lit(keep), (F.col("_block") - 1 - end["block"]) * block + F.col("_j") + 1)
+        )
+
+    for y, start in names.items():
+        df = df.withColumn(y, F.when(F.col("n") >= start, F.col(f"_s_{y}") + carried(y)))
+    return df.drop("_block", "_j", "_ends", *[f"_{p}_{y}" for p in "ys" for y in names])
 
 
 def compute_features(
@@ -101,8 +102,7 @@ def compute_features(
         .withColumn("gain", F.greatest(change, F.lit(0.0)))
         .withColumn("loss", F.greatest(-change, F.lit(0.0)))
     )
-    df = wilder(df, {"true_range": "atr"}, period, 1, keys)
-    df = wilder(df, {"gain": "avg_gain", "loss": "avg_loss"}, period, 2, keys)
+    df = wilder(df, {"true_range": ("atr", 1), "gain": ("avg_gain", 2), "loss": ("avg_loss", 2)}, period, keys)
     rsi = F.when(F.col("avg_loss") == 0, F.lit(100.0)).otherwise(100 - 100 / (1 + F.col("avg_gain") / F.col("avg_loss")))
     df = df.withColumn("rsi", F.when(F.col("avg_loss").isNotNull(), rsi))
     if expiry is None:

@@ -101,12 +101,17 @@ def route_status(spark, sf_dir):
 
 @query(
     "conservation",
-    f"""WITH {PACKETS_SQL} SELECT count(*) AS received, count_if({_ROUTED} AND seq % 20 <> 0)::BIGINT AS persisted,
-    count_if(NOT ({_ROUTED}))::BIGINT AS quarantined, 0::BIGINT AS queued, count_if({_ROUTED} AND seq % 20 = 0)::BIGINT AS spooled,
-    0::BIGINT AS dropped, true AS balanced FROM ids""",
+    f"""WITH {PACKETS_SQL}, o AS (SELECT CASE WHEN NOT ({_ROUTED}) THEN 'quarantined' WHEN seq % 20 = 0 THEN 'spooled' WHEN seq % 20 = 1 THEN 'queued' WHEN seq % 20 = 2 THEN 'dropped'
+        WHEN seq % 20 = 3 AND security_id % 7 = 0 THEN 'lost' ELSE 'persisted' END AS outcome FROM ids),
+    c AS (SELECT count(*) AS received, count_if(outcome = 'persisted')::BIGINT AS persisted, count_if(outcome = 'quarantined')::BIGINT AS quarantined,
+        count_if(outcome = 'queued')::BIGINT AS queued, count_if(outcome = 'spooled')::BIGINT AS spooled, count_if(outcome = 'dropped')::BIGINT AS dropped FROM o)
+    SELECT *, received = persisted + quarantined + queued + spooled + dropped AS balanced FROM c""",
 )
 def conservation(spark, sf_dir):
-    outcome = F.when(F.col("decode_status") != "success", "quarantined").when(F.col("seq") % 20 == 0, "spooled").otherwise("persisted")
+    """Some packets get no outcome that is known, so what was received does not balance."""
+    nth = F.col("seq") % 20
+    outcome = F.when(F.col("decode_status") != "success", "quarantined").when(nth == 0, "spooled").when(nth == 1, "queued").when(nth == 2, "dropped")
+    outcome = outcome.when((nth == 3) & (F.col("security_id") % 7 == 0), "lost").otherwise("persisted")
     return E.conservation_check(packets(spark, sf_dir).withColumn("outcome", outcome))
 
 

@@ -97,11 +97,23 @@ def bar_range(spark, sf_dir):
 
 @query(
     "bar_quality",
-    f"""WITH {DAILY_SQL} SELECT security_id, count(*) AS bars, 0::BIGINT AS out_of_order, count_if(trade_count = 0)::BIGINT AS empty,
-    count_if(NOT (open BETWEEN low AND high AND close BETWEEN low AND high))::BIGINT AS outside_range FROM bars GROUP BY 1""",
+    f"""WITH {DAILY_SQL}, faulty AS (SELECT * REPLACE (CASE WHEN volume % 4 = 0 THEN low ELSE high END AS high, CASE WHEN volume % 7 = 0 THEN 0 ELSE trade_count END AS trade_count),
+        event_time + CASE WHEN day(event_time) % 3 = 0 THEN INTERVAL 60 HOUR ELSE INTERVAL 0 HOUR END AS arrival FROM bars),
+    o AS (SELECT *, lag(event_time) OVER (PARTITION BY security_id ORDER BY arrival) AS before FROM faulty)
+    SELECT security_id, count(*) AS bars, count_if(event_time <= before)::BIGINT AS out_of_order, count_if(trade_count = 0)::BIGINT AS empty,
+    count_if(NOT (open BETWEEN low AND high AND close BETWEEN low AND high))::BIGINT AS outside_range FROM o GROUP BY 1""",
 )
 def bar_quality(spark, sf_dir):
-    return B.bar_quality(daily_bars(spark, sf_dir))
+    """Bars of every third day come 60 hours late, some are empty, and some have lost their high."""
+    late = F.when(F.dayofmonth("event_time") % 3 == 0, F.make_dt_interval(hours=F.lit(60))).otherwise(F.make_dt_interval())
+    faulty = daily_bars(spark, sf_dir).withColumns(
+        {
+            "high": F.when(F.col("volume") % 4 == 0, F.col("low")).otherwise(F.col("high")),
+            "trade_count": F.when(F.col("volume") % 7 == 0, F.lit(0)).otherwise(F.col("trade_count")),
+            "arrival": F.col("event_time") + late,
+        }
+    )
+    return B.bar_quality(faulty)
 
 
 _FEATURES = f"""WITH RECURSIVE {DAILY_SQL},
