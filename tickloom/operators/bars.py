@@ -120,6 +120,20 @@ def bars_between(bars: DataFrame, security_id: int, start: Column, end: Column)
     return bars.filter((F.col("security_id") == security_id) & F.col("event_time").between(start, end))
 
 
+def bar_at(bars: DataFrame, asked: DataFrame) -> DataFrame:
+    """For each (security_id, at) the newest bar that had begun then; rows without one are left out.
+
+    Bars and questions are ordered together in one window of a security, so nothing is compared pair by pair.
+    """
+    values = F.struct(*bars.columns)
+    both = bars.select("security_id", F.col("event_time").alias("_t"), F.lit(0).alias("_asks"), values.alias("_bar")).unionByName(
+        asked.select("security_id", F.col("at").alias("_t"), F.lit(1).alias("_asks")), allowMissingColumns=True
+    )
+    upto = Window.partitionBy("security_id").orderBy("_t", "_asks").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = both.withColumn("_bar", F.last("_bar", ignorenulls=True).over(upto)).filter("_asks = 1 AND _bar IS NOT NULL")
+    return found.select(F.col("_t").alias("at"), "_bar.*")
+
+
 def bar_quality(bars: DataFrame, arrival: str = "arrival") -> DataFrame:
     """For each security: bars, bars not later than the one that arrived before, empty bars, bars whose range does not hold
     open and close. arrival: the column that tells in which order bars came, which differs from row to row."""

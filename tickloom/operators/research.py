@@ -77,3 +77,17 @@ def combinatorial_folds(df: DataFrame, groups: int = 8, tests: int = 2, purge_s:
     near = F.exists("tests", lambda t: (start <= wide(t["high"], purge_s)) & (end >= wide(t["low"], -purge_s)) | (start > t["high"]) & (start <= wide(t["high"], embargo_s)))
     role = F.when(F.exists("tests", lambda t: t["own"] == F.col("own")), "test").when(near, "purged").otherwise("train")
     return every.withColumn("role", role).drop("own", "tests")
+
+
+def model_input_iv(df: DataFrame, max_age_s: int = 60, max_spread: float = 0.05) -> DataFrame:
+    """iv and iv_source: the local volatility if its search converged, else the provider's if it is fresh and its spread
+    tight, else null. df: local_iv, converged, provider_iv, age_s, spread."""
+    local = F.coalesce(F.col("converged") & (F.col("local_iv") > 0), F.lit(False))
+    provider = (F.col("provider_iv") > 0) & (F.col("age_s") <= max_age_s) & (F.col("spread") <= max_spread)
+    provider = F.coalesce(provider, F.lit(False))
+    return df.withColumns(
+        {
+            "iv": F.when(local, F.col("local_iv")).when(provider, F.col("provider_iv")),
+            "iv_source": F.when(local, "local").when(provider, "provider").otherwise("none"),
+        }
+    )

@@ -34,11 +34,19 @@ def spot_asof(prices: DataFrame, at: Column) -> DataFrame:
     return prices.filter(F.col("ts") <= at).groupBy("symbol").agg(F.max_by("price", order).alias("spot"))
 
 
-def select_atm(strikes: DataFrame, spot: DataFrame, by: tuple[str, ...] = ("symbol", "expiry_date")) -> DataFrame:
-    """The listed strike nearest to the spot, the higher one if two are."""
-    joined = strikes.join(spot, "symbol")
-    ranked = joined.withColumn("_nth", nearest_rank(list(by), "strike", "spot")).filter("_nth = 1")
-    return ranked.select(*by, "spot", F.col("strike").alias("atm"))
+def select_atm(
+    strikes: DataFrame, spot: DataFrame, by: tuple[str, ...] = ("symbol", "expiry_date"), fallback: bool = False
+) -> DataFrame:
+    """The listed strike nearest to the spot, the higher one if two are.
+
+    fallback: symbols without a spot get their lowest listed strike, marked by is_fallback; else they are left out.
+    """
+    joined = strikes.join(spot, "symbol", "left" if fallback else "inner")
+    if fallback:
+        joined = joined.withColumn("_target", F.coalesce("spot", F.min("strike").over(Window.partitionBy(*by))))
+    ranked = joined.withColumn("_nth", nearest_rank(list(by), "strike", "_target" if fallback else "spot")).filter("_nth = 1")
+    marked = [F.col("spot").isNull().alias("is_fallback")] if fallback else []
+    return ranked.select(*by, "spot", F.col("strike").alias("atm"), *marked)
 
 
 def keep_atm(atm: DataFrame, before: DataFrame, strikes: DataFrame, ratio: float | None = 0.5, spot_threshold: float | None = None) -> DataFrame:
