@@ -296,6 +296,12 @@ def test_threshold_stops_early():
     lists = SortedLists(np.arange(2000), vectors)
     ids, scores = lists.top(-1, np.array([3, 4]), 1)
     assert ids.tolist() == [7] and scores.tolist() == [7000]
+    assert lists.rows_read < 300  # of 2000
+    lists.rows_read = 0
+    assert lists.top(-1, np.array([3, 4]), 1, floor=7001)[0].tolist() == [] and lists.rows_read == 0  # no row can reach it
+    assert lists.top(-1, np.array([3, 4]), 1, floor=7000)[0].tolist() == [7]
+    ids, scores = lists.top(-1, np.array([3, 4]), 5, floor=28)
+    assert ids[0] == 7 and set(scores[1:]) <= {28}
 
 
 # -- op 7 -------------------------------------------------------------------------------------------------------------
