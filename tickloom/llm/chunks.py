@@ -284,10 +284,12 @@ def forwarded(rows: DataFrame, way: Exchange) -> DataFrame:
 
 def sent(way: Exchange, node: int, level: int, entries: pa.Table) -> pa.Table:
     """Rows (node, entries) of one step towards the column to."""
+    entries = entries.combine_chunks()
     out = way.deal(node, level, entries["to"].to_numpy().astype(np.int64))
     blobs = []
     for _, at in out:
-        some = entries.take(pa.array(at)).combine_chunks()
+        whole = at[-1] - at[0] + 1 == len(at)  # places ascend
+        some = entries.slice(int(at[0]), len(at)) if whole else entries.take(pa.array(at))
         blobs.append(packed(**{c: some[c].combine_chunks() for c in some.column_names}))
     return pa.table({"node": pa.array([n for n, _ in out], pa.int64()), "entries": pa.array(blobs, pa.binary())})
 

@@ -9,8 +9,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+_last_stage: dict[str, int | None] = {}
 _INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -20,7 +22,13 @@ def listed(values: pa.Array | pa.ChunkedArray) -> list:
 
 
 def release() -> None:
-    """Hand memory that a worker no longer uses back to the system: workers live on, and what they keep is lost to others."""
+    """Hand memory that a worker no longer uses back to the system when it begins with another stage: workers live on, and
+    what they keep is lost to others. Inside a stage the next group needs as much again."""
+    context = TaskContext.get()
+    stage = context.stageId() if context else None
+    if stage == _last_stage.get("id", -1):
+        return
+    _last_stage["id"] = stage
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
