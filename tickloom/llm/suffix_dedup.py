@@ -297,6 +297,11 @@ def repeated_windows(contents: list[bytes], off: np.ndarray, docs: np.ndarray, l
     return mask
 
 
+def _set_bits(masks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The mask and the place of each bit that is set."""
+    return np.nonzero(np.unpackbits(masks.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
+
+
 def _compare(length: int, way: Exchange):
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         release()
@@ -305,17 +310,19 @@ def _compare(length: int, way: Exchange):
         settled, own = np.flatnonzero(off == SETTLED), np.flatnonzero(off != SETTLED)
         mask = repeated_windows(listed(whole["content"].take(pa.array(own))), off[own], docs[own], length)
         at = np.flatnonzero(mask)
-        bits = np.unpackbits(mask[at].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        entry, nth = np.nonzero(bits)
+        mask = mask[at]
+        # windows in a row make one range
+        entry, nth = _set_bits(mask & ~(mask << np.uint64(1)))
+        last = _set_bits(mask & ~(mask >> np.uint64(1)))[1]
         entry = own[at[entry]]
-        first = start[entry] + nth
+        first, last = start[entry] + nth, start[entry] + last
         every = np.concatenate([settled, entry])
         found = pa.table(
             {
                 "to": pa.array(chunk[every]),
                 "row": pa.array(row[every].astype(np.int32)),
                 "start": pa.array(np.concatenate([start[settled], first]).astype(np.int32)),
-                "end": pa.array(np.concatenate([end[settled], first + length]).astype(np.int32)),
+                "end": pa.array(np.concatenate([end[settled], last + length]).astype(np.int32)),
             }
         )
         return sent(way, key[0].as_py(), 0, found)
