@@ -132,3 +132,27 @@ def snapshot_log_row(df: DataFrame, date: Column, status: str = "loaded") -> Dat
     return df.agg(F.count("*").alias("row_count"), h.cast("string").alias("checksum")).select(
         date.alias("snapshot_date"), F.current_timestamp().alias("loaded_at"), "row_count", "checksum", F.lit(status).alias("status")
     )
+
+
+#: Fields of an exchange's daily file of derivatives, and what they are called and typed here.
+DAILY_FIELDS = {
+    "INSTRUMENT": ("instrument_type", "string"), "SYMBOL": ("symbol", "string"), "EXPIRY": ("expiry_date", "date"), "STRIKE": ("strike_price", "double"),
+    "OPTION_TYPE": ("option_type", "string"), "OPEN": ("open", "double"), "HIGH": ("high", "double"), "LOW": ("low", "double"), "CLOSE": ("close", "double"),
+    "SETTLE_PR": ("settle_price", "double"), "CONTRACTS": ("contracts", "bigint"), "VAL_INLAKH": ("value_lakh", "double"), "OPEN_INT": ("oi", "bigint"),
+    "CHG_IN_OI": ("oi_change", "bigint"),
+}
+
+
+def read_daily_derivatives(spark: SparkSession, path: str) -> DataFrame:
+    """Options of an exchange's daily files (CSV with a header, 14 fields in any order): index and stock options only.
+
+    Expiry is like 29-Feb-2024. A value that does not parse is null; a field that a file lacks raises.
+    """
+    raw = spark.read.csv(path, header=True)
+    raw = raw.toDF(*[c.strip().upper() for c in raw.columns])
+
+    def typed(field: str, kind: str) -> Column:
+        text = F.trim(field)
+        return F.to_date(F.try_to_timestamp(text, F.lit("dd-MMM-yyyy"))) if kind == "date" else text.try_cast(kind)
+
+    return raw.select(*[typed(f, kind).alias(name) for f, (name, kind) in DAILY_FIELDS.items()]).filter(F.col("instrument_type").isin("OPTIDX", "OPTSTK"))
