@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 from tickloom.plans.feed import ORACLES as ORACLES_FEED
 from tickloom.plans.feed import PACKETS_SQL, _sets, identified, packets
 from tickloom.plans.market import _FEATURES
-from tickloom.plans.views import DAILY_SQL, TICKS_SQL, daily_bars, naive, ticks
+from tickloom.plans.views import AS_OF, DAILY_SQL, TICKS_SQL, daily_bars, naive, ticks
 from tickloom.session import shared_dir, written
 from tickloom.sources.frames import decode_frames
 from tickloom.streaming import stateful, stateless
@@ -136,6 +136,18 @@ def stream_route(spark, sf_dir):
     return both[0].unionByName(both[1])
 
 
+@query(
+    "stream_late",
+    f"""WITH {TICKS_SQL} SELECT seq, CASE WHEN epoch_us(TIMESTAMP '{AS_OF}') // 1000000 - epoch_us(event_time) // 60000000 * 60 > 300 THEN 'late' ELSE 'kept' END AS sink FROM ticks""",
+)
+def stream_late(spark, sf_dir):
+    """All ticks as a stream, each written to the table of those in time or to that of late ones."""
+    base, stream = f"{shared_dir(spark)}/tickloom/late-{uuid.uuid4().hex}", _as_stream(ticks(spark, sf_dir).select("seq", "event_time"), "ticks")
+    stateless.run_to_end(stream, f"{base}/checkpoint", "append", each=stateless.late_batch(f"{base}/kept", f"{base}/late", F.lit(AS_OF)))
+    both = [spark.read.schema(stream.schema).parquet(f"{base}/{x}").select("seq", F.lit(x).alias("sink")) for x in ("kept", "late")]
+    return both[0].unionByName(both[1])
+
+
 def _frames(spark, sf_dir) -> DataFrame:
     """Each tick as a frame of an open-interest packet, written natively: header and body as little-endian bytes."""
     hex_le = lambda c, n: F.concat(*[F.substring(F.lpad(F.hex(c), 2 * n, "0"), 2 * (n - i) - 1, 2) for i in range(n)])

@@ -58,6 +58,19 @@ def route_batch(kept_path: str, quarantine_path: str):
     return run
 
 
+def late_batch(kept_path: str, late_path: str, as_of: Column, window_s: int = 300, interval_s: int = 60):
+    """A foreachBatch function that writes ticks in time to one table and late ones to another; a batch that is run again
+    overwrites its own folder."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        for rows, path in zip(late_events(batch, as_of, window_s, interval_s), (kept_path, late_path)):
+            rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        batch.unpersist()
+
+    return run
+
+
 def run_to_end(stream: DataFrame, checkpoint: str, mode: str = "append", path: str | None = None, each=None):
     """Run a stream over what is there now and stop: the same captured data gives the same result again."""
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
