@@ -11,12 +11,14 @@ from pyspark.sql.window import Window
 from tickloom.plans.feed import ORACLES as ORACLES_FEED
 from tickloom.plans.feed import PACKETS_SQL, _sets, identified, packets
 from tickloom.plans.market import _FEATURES
-from tickloom.plans.views import AS_OF, DAILY_SQL, TICKS_SQL, daily_bars, naive, ticks
+from tickloom.plans.views import AS_OF, DAILY_SQL, DAY, TICKS_SQL, daily_bars, naive, ticks
 from tickloom.session import shared_dir, written
 from tickloom.sources.frames import decode_frames
 from tickloom.streaming import stateful, stateless
 
 QUERIES, ORACLES = {}, {}
+#: Rows that a run of a replayed stream takes.
+AT_ONCE = 1_000_000
 
 
 def query(name: str, sql: str | None = None):
@@ -52,15 +54,46 @@ def _result(stream: DataFrame, name: str, mode: str = "append", keys: list[str]
     return spark.read.schema(schema).parquet(f"{base}/out")
 
 
+def _replayed(rows: DataFrame, name: str, build, at_once: int = AT_ONCE) -> DataFrame:
+    """What the stream that build makes leaves in append mode, fed in the order of time."""
+    spark, base = rows.sparkSession, f"{shared_dir(rows.sparkSession)}/tickloom/{name}-{uuid.uuid4().hex}"
+    stream = stateless.replay(rows, base, build, lambda s, checkpoint: stateless.run_to_end(s, checkpoint, "append", f"{base}/out"), at_once)
+    return spark.read.schema(stream.schema).parquet(f"{base}/out")
+
+
 def _stateful(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
-@query("stream_bars", f"WITH {DAILY_SQL} SELECT * EXCLUDE (volume_delta) FROM bars")
+@query("stream_bars", f"WITH {DAILY_SQL} SELECT * FROM bars")
 def stream_bars(spark, sf_dir):
     """Bars of one day each, as the stream of all ticks leaves them."""
     stream = _as_stream(ticks(spark, sf_dir), "ticks")
-    return naive(_result(stateless.stream_bars(stream, "1 day", "60 days"), "bars", "update", ["security_id", "event_time"]), "event_time")
+    bars = _result(stateless.stream_bars(stream, "1 day", "60 days"), "bars", "update", ["security_id", "event_time"])
+    return naive(bars.drop("last_tick"), "event_time")
+
+
+@query(
+    "stream_bars_revised",
+    f"""WITH {DAILY_SQL}, first AS (SELECT security_id, date_trunc('day', event_time)::TIMESTAMP AS day, bool_or(seq % 10 <> 0) AS known, bool_or(seq % 10 = 0) AS more
+            FROM ticks GROUP BY ALL),
+        seen AS (SELECT max(event_time) AS seen FROM ticks WHERE seq % 10 <> 0),
+        flagged AS (SELECT security_id, day, known AND more AND day + INTERVAL 1 DAY <= seen AS late FROM first, seen)
+        SELECT bars.*, late::INT AS revision, late AS is_corrected, CASE WHEN late THEN event_time END AS correction_of
+        FROM bars JOIN flagged ON bars.security_id = flagged.security_id AND event_time = day""",
+)
+def stream_bars_revised(spark, sf_dir):
+    """Bars of one day; every tenth tick comes after all others, so that bars whose day was over are corrected."""
+    base, rows = f"{shared_dir(spark)}/tickloom/revised-{uuid.uuid4().hex}", ticks(spark, sf_dir)
+    rows.filter("seq % 10 <> 0").write.parquet(f"{base}/in")
+    stream = stateless.stream_bars(spark.readStream.schema(rows.schema).parquet(f"{base}/in"), "1 day", "60 days")
+    each = stateless.revised_bars(f"{base}/out", DAY)
+    stateless.run_to_end(stream, f"{base}/checkpoint", "update", each=each)
+    rows.filter("seq % 10 = 0").write.mode("append").parquet(f"{base}/in")
+    stateless.run_to_end(stream, f"{base}/checkpoint", "update", each=each)
+    return naive(stateless.newest_bars(spark.read.parquet(f"{base}/out")).drop("last_tick"), "event_time", "correction_of")
+
+
 
 
 @query("stream_dedup", f"WITH {PACKETS_SQL} SELECT event_id, seq, ts AS event_time FROM ids")
@@ -82,7 +115,7 @@ _SAME = ["returns", "range", "atr", "vwap", "rsi", "rvol", "oi_change"]
 def stream_features(spark, sf_dir):
     _stateful(spark)
     bars = daily_bars(spark, sf_dir).select("security_id", "event_time", "high", "low", "close", "volume", "oi_close")
-    found = _result(stateful.stream_features(_as_stream(bars, "bars")), "features")
+    found = _replayed(bars, "features", stateful.stream_features)
     return naive(found.withColumns({c: F.round(c, 6) for c in _SAME}), "event_time")
 
 
@@ -93,36 +126,52 @@ def stream_atm(spark, sf_dir):
     t = ticks(spark, sf_dir).select(F.col("security_id").cast("string").alias("symbol"), "event_time", "price")
     spots = t.select("symbol", "event_time", F.lit("spot").alias("kind"), F.col("price").alias("value"))
     strikes = t.select("symbol", F.lit("2000-01-01").cast("timestamp").alias("event_time"), F.lit("strike").alias("kind"), (F.round(F.col("price") / 10) * 10).alias("value")).distinct()
-    return naive(_result(stateful.stream_atm(_as_stream(strikes.unionByName(spots), "spots"), 0.3), "atm"), "event_time")
+    return naive(_replayed(strikes.unionByName(spots), "atm", lambda s: stateful.stream_atm(s, 0.3)), "event_time")
+
+
+def _group(n: int):
+    """Name of the group of n neighbouring securities: groups grow in number, not in securities."""
+    return F.floor(F.col("security_id") / n).cast("string")
 
 
 @query("stream_atm_shifts")
 def stream_atm_shifts(spark, sf_dir):
-    """Candidates are ticks' prices in steps of 50, for each tenth of the securities."""
+    """Candidates are ticks' prices in steps of 50; ten neighbouring securities have one underlying."""
     _stateful(spark)
     c = ticks(spark, sf_dir).select(
-        (F.col("security_id") % 10).cast("string").alias("underlying"), "event_time", F.lit(0.0).alias("old_atm"), (F.round(F.col("price") / 50) * 50).alias("candidate_atm")
+        _group(10).alias("underlying"), "event_time", F.lit(0.0).alias("old_atm"), (F.round(F.col("price") / 50) * 50).alias("candidate_atm")
     )
-    return naive(_result(stateful.confirm_atm_shift(_as_stream(c, "candidates")), "shifts"), "event_time")
+    return naive(_replayed(c, "shifts", stateful.confirm_atm_shift), "event_time")
 
 
-@query("stream_switches")
-def stream_switches(spark, sf_dir):
+def switch_rows(spark, sf_dir) -> DataFrame:
     """Sign-ups ask for a universe of two securities, clicks and purchases say that one is ready."""
-    _stateful(spark)
     t = ticks(spark, sf_dir)
     kind = F.when(F.col("event_type") == "signup", "request").when(F.col("event_type").isin("click", "purchase"), "ready").otherwise("tick")
     v = F.col("volume") % 2
     ids = F.when(kind == "request", F.array(v, v + 1)).when(kind == "ready", F.array(v, v + 1, v + 2))
-    rows = t.select((F.col("security_id") % 10).cast("string").alias("underlying"), "event_time", kind.alias("kind"), ids.alias("security_ids"))
-    return naive(_result(stateful.universe_switch_timeline(_as_stream(rows, "requests"), 3600, 7200, 3600), "switches"), "event_time")
+    return t.select(_group(10).alias("underlying"), "event_time", kind.alias("kind"), ids.alias("security_ids"))
+
+
+@query("stream_switches")
+def stream_switches(spark, sf_dir, at_once: int = AT_ONCE):
+    _stateful(spark)
+    build = lambda s: stateful.universe_switch_timeline(s, 3600, 7200, 3600, "1 second")
+    return naive(_replayed(switch_rows(spark, sf_dir), "switches", build, at_once), "event_time")
+
+
+def health_rows(spark, sf_dir) -> DataFrame:
+    """Packets of lines of 100 neighbouring securities each; a line's generation changes every ten days."""
+    generation = F.floor(F.dayofyear("ts") / 10)
+    return packets(spark, sf_dir).select(_group(100).alias("connection_id"), F.col("ts").alias("event_time"), "security_id", generation.alias("generation"))
 
 
 @query("stream_feed_health")
-def stream_feed_health(spark, sf_dir):
+def stream_feed_health(spark, sf_dir, at_once: int = AT_ONCE):
     _stateful(spark)
-    p = packets(spark, sf_dir).select("connection_id", F.col("ts").alias("event_time"), "security_id", (F.month("ts") % 2).alias("generation"))
-    return naive(_result(stateful.feed_health(_as_stream(p, "packets"), _sets(spark, sf_dir)["desired"], 30, 1800), "health"), "event_time")
+    desired = written(_sets(spark, sf_dir)["desired"].select("security_id").distinct(), "desired")
+    build = lambda s: stateful.feed_health(s, desired, 30, 1800, "1 second")
+    return naive(_replayed(health_rows(spark, sf_dir), "health", build, at_once), "event_time")
 
 
 @query("stream_route", f"WITH {PACKETS_SQL} SELECT event_id, CASE WHEN decode_status = 'success' THEN 'kept' ELSE 'failed' END AS sink FROM ids")

@@ -10,10 +10,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 PERIOD, RVOL_ROWS = 14, 20
+#: Rows of results that a task holds before it hands them on.
+HELD = 10_000
 
 
 class _JsonState(StatefulProcessor):
-    """One JSON value of state for each key, and rows handled in the order of time."""
+    """One JSON value of state for each key, and rows handled in the order of time.
+
+    A task holds the rows of a key in one micro-batch, so micro-batches must be bounded (stateless.replay, or the limits of
+    the source).
+    """
 
     order = ["event_time"]
 
@@ -31,8 +37,12 @@ class _JsonState(StatefulProcessor):
         frames = [f for f in rows if len(f)]
         state, out = self.load(), []
         if frames:
-            for row in pd.concat(frames).sort_values(self.order, kind="stable").to_dict("records"):
-                out += self.step(key, state, row)
+            ordered = pd.concat(frames).sort_values(self.order, kind="stable")
+            for values in ordered.itertuples(index=False, name=None):
+                out += self.step(key, state, dict(zip(ordered.columns, values)))
+                if len(out) >= HELD:
+                    yield pd.DataFrame(out)
+                    out = []
         self.save(state)
         if out:
             yield pd.DataFrame(out)
