@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import ctypes
 import re
+import threading
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,6 +15,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 _last_stage: dict[str, int | None] = {}
+#: Seconds between two looks at whether a worker is idle.
+LOOK_S = 0.5
 _INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -21,18 +25,34 @@ def listed(values: pa.Array | pa.ChunkedArray) -> list:
     return values.to_numpy(zero_copy_only=False).tolist() if isinstance(values, pa.Array) else values.to_numpy().tolist()
 
 
+def _give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def _watch_idle() -> None:
+    """Give memory back once a worker has had no task for two looks in a row, and then not again before its next task."""
+    idle = 0
+    while True:
+        time.sleep(LOOK_S)
+        idle = idle + 1 if TaskContext.get() is None else 0
+        if idle == 2:
+            _give_back()
+
+
 def release() -> None:
-    """Hand memory that a worker no longer uses back to the system when it begins with another stage: workers live on, and
-    what they keep is lost to others. Inside a stage the next group needs as much again."""
+    """Hand memory that a worker no longer uses back to the system when it begins with another stage, and when it falls
+    idle: workers live on, and what they keep is lost to others. Inside a stage the next group needs as much again."""
     context = TaskContext.get()
     stage = context.stageId() if context else None
     if stage == _last_stage.get("id", -1):
         return
+    if not _last_stage and context:
+        threading.Thread(target=_watch_idle, daemon=True).start()
     _last_stage["id"] = stage
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim is not None:
-        trim(0)
+    _give_back()
 
 
 def bounded(docs: DataFrame, most: str = "8m") -> DataFrame:
