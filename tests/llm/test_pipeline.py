@@ -36,7 +36,7 @@ def test_stages(spark, docs, rows, tmp_path):
 def test_registered():
     from tickloom.llm.queries import ORACLE_SQL, QUERIES
 
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(ORACLE_SQL) <= set(QUERIES)
 
 

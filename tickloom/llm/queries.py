@@ -9,11 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm.byte_bpe import encode_documents
+from tickloom.llm.conversations import audit_conversations
+from tickloom.llm.divergence import source_divergence
 from tickloom.llm.host_rules import judge_documents
 from tickloom.llm.hyperminhash import near_duplicates
 from tickloom.llm.lang_id import identify
 from tickloom.llm.maxent_lm import score_documents
 from tickloom.llm.mixing import mix_sources
+from tickloom.llm.quality import judge_quality
 from tickloom.llm.sharding import byte_shards
 from tickloom.llm.suffix_dedup import remove_repeats
 from tickloom.llm.token_orc import read_tokens, token_index, tokens_path, write_tokens
@@ -75,6 +78,20 @@ def op10_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_index(read_tokens(spark, path))
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged first by the hashes of their rows."""
+    return audit_conversations(table(spark, sf_dir, "conversations"))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No SQL: the model is learned; tests hold scores against brute force and held-out labels."""
+    return judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_maxent_lm": op1_maxent_lm,
     "op2_lang_id": op2_lang_id,
@@ -86,6 +103,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_hyperminhash": op9_hyperminhash,
     "op10_token_orc": op10_token_orc,
+    "op11_repair": op11_repair,
+    "op12_divergence": op12_divergence,
+    "op13_quality": op13_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -206,4 +226,94 @@ ORACLE_SQL: dict[str, str] = {
             ('0x' || substr(md5('17:k|' || doc_id || '|' || copy_no), 1, 15))::BIGINT AS mix_key
         FROM copies
     """,
+    "op11_repair": r"""
+        WITH RECURSIVE crcs AS (
+            SELECT list(list_reduce(range(0, 8), lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b)::BIGINT ORDER BY b) AS t
+            FROM range(0, 256) AS r(b)
+        ),
+        given AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+        hashed AS (
+            SELECT given.*, xor(4294967295, list_reduce(list_transform(range(1, length(key) + 1), lambda i: ascii(substr(key, i, 1))::BIGINT),
+                lambda a, x: xor(a >> 8, t[1 + xor(a & 255, x)]), 4294967295::BIGINT)) % 20 AS h FROM given, crcs
+        ),
+        damaged AS (
+            SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+                CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+            FROM hashed, range(0, CASE h WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END) AS r(copy)
+        ),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS again, left(role, 1) AS initial
+            FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged)
+        ),
+        rows AS (
+            SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b' WHEN again > 1 THEN 'd' WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 't' ELSE '' END AS fault,
+                lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair FROM placed
+        ),
+        stats AS (
+            SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(fault = 'b') AS blank,
+                count_if(fault = 'd') AS duplicate, count_if(fault = 't') AS truncated, count_if(pair NOT IN ('su', 'ua', 'au')) AS illegal FROM rows GROUP BY 1
+        ),
+        back AS (
+            SELECT conv_id, n AS i, 0 AS c0, 4 AS c1, 2 AS c2, 0 AS c3 FROM stats
+            UNION ALL
+            SELECT conv_id, i, least(d0, 2 + least(d2, 2 + d3)), least(d1, 2 + least(d2, 2 + d3)), least(d2, 2 + d3), least(d3, 2 + d2) FROM (
+                SELECT b.conv_id, b.i - 1 AS i,
+                    least(3 + c0, stay + least(CASE initial WHEN 's' THEN c1 WHEN 'u' THEN c2 ELSE 9999 END, 2 + c2)) AS d0,
+                    least(3 + c1, stay + least(CASE WHEN initial = 'u' THEN c2 ELSE 9999 END, 2 + c2)) AS d1,
+                    least(3 + c2, stay + least(CASE WHEN initial = 'a' THEN c3 ELSE 9999 END, 2 + c3)) AS d2,
+                    least(3 + c3, stay + least(CASE WHEN initial = 'u' THEN c2 ELSE 9999 END, 2 + c2)) AS d3
+                FROM back b JOIN (SELECT *, CASE fault WHEN 'b' THEN 9999 WHEN 'd' THEN 9999 WHEN 't' THEN 1 ELSE 0 END AS stay FROM rows) r ON r.conv_id IS NOT DISTINCT FROM b.conv_id AND r.i = b.i
+            )
+        ),
+        costs AS (SELECT conv_id, i, [c0, c1, c2, c3] AS c FROM back),
+        walk AS (
+            SELECT conv_id, 0::BIGINT AS i, 1 AS s, '' AS audit, []::VARCHAR[] AS kept FROM stats
+            UNION ALL
+            SELECT conv_id, CASE WHEN edit = 'I' THEN i ELSE i + 1 END, CASE edit WHEN 'D' THEN s WHEN 'K' THEN k ELSE m END, audit || edit,
+                CASE edit WHEN 'D' THEN kept WHEN 'K' THEN list_append(kept, role || ':' || text)
+                    ELSE list_append(kept, CASE WHEN s = 3 THEN 'assistant:' ELSE 'user:' END || CASE edit WHEN 'R' THEN text ELSE '' END) END
+            FROM (
+                SELECT w.*, role, text, k, m, CASE WHEN fault IS NOT NULL AND here = 3 + after[s] THEN 'D' WHEN here = 2 + costs.c[m] THEN 'I'
+                    WHEN fault NOT IN ('b', 'd') AND here = (fault = 't')::INT + after[k] THEN 'K' ELSE 'R' END AS edit
+                FROM (
+                    SELECT walk.*, [3, 3, 4, 3][s] AS m, r.role, r.text, r.fault, here.c[s] AS here, here.c AS now, next.c AS after,
+                        CASE WHEN s = 1 AND initial = 's' THEN 2 WHEN s <> 3 AND initial = 'u' THEN 3 WHEN s = 3 AND initial = 'a' THEN 4 END AS k
+                    FROM walk JOIN costs here ON here.conv_id IS NOT DISTINCT FROM walk.conv_id AND here.i = walk.i
+                    LEFT JOIN costs next ON next.conv_id IS NOT DISTINCT FROM walk.conv_id AND next.i = walk.i + 1
+                    LEFT JOIN rows r ON r.conv_id IS NOT DISTINCT FROM walk.conv_id AND r.i = walk.i + 1
+                    WHERE next.i IS NOT NULL OR s NOT IN (1, 4)
+                ) w JOIN costs ON costs.conv_id IS NOT DISTINCT FROM w.conv_id AND costs.i = w.i
+            )
+        ),
+        ended AS (SELECT conv_id, arg_max(audit, length(audit)) AS audit, arg_max(kept, length(audit)) AS kept FROM walk GROUP BY 1)
+        SELECT g.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+            coalesce(illegal, 0)::BIGINT AS illegal, coalesce(costs.c[1], 0)::BIGINT AS cost, coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(kept, chr(10)), '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM given) g LEFT JOIN stats ON stats.conv_id IS NOT DISTINCT FROM g.conv_id
+        LEFT JOIN ended ON ended.conv_id IS NOT DISTINCT FROM g.conv_id LEFT JOIN costs ON costs.conv_id IS NOT DISTINCT FROM g.conv_id AND costs.i = 0
+    """,
+    "op12_divergence": r"""
+        WITH t AS (
+            SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w,
+                row_number() OVER () AS row FROM documents
+        ),
+        w AS (SELECT lang, source, row, unnest(w) AS term FROM t),
+        kept AS (SELECT lang, term, count(*) AS n FROM w GROUP BY ALL HAVING count(DISTINCT row) >= 10),
+        c AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+        l AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY 1),
+        g AS (SELECT lang, source, coalesce(any_value(v), 0) AS v, coalesce(sum(n), 0) AS total FROM (SELECT DISTINCT lang, source FROM t) LEFT JOIN l USING (lang) LEFT JOIN c USING (lang, source) GROUP BY ALL),
+        p AS (
+            SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n, 1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 2) // (g.total + 2 * g.v) AS p,
+                1 + 1000000000::HUGEINT * (kept.n + 2) // (l.total + 2 * l.v) AS q
+            FROM g JOIN kept USING (lang) JOIN l USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term
+        ),
+        f AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)), 0)::BIGINT AS value
+            FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source
+            LEFT JOIN p y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term WHERE x.term IS NULL OR y.term IS NOT NULL GROUP BY ALL
+            UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::BIGINT FROM p WHERE n > 0 AND p > q
+        ),
+        r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM f)
+        SELECT lang, source, part, item, value, rank FROM r WHERE part = 'pair' OR rank <= 10
+    """,
 }
