@@ -5,6 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from tickloom.functions import scalars
 from tickloom.operators import bars as B
 from tickloom.operators import features as X
 
@@ -52,6 +53,34 @@ def test_correction(spark):
     assert one(B.merge_bar_revisions(closed.limit(0), late))["revision"] == 0
 
 
+def test_three_partials_fold_like_a_loop(spark):
+    """Rows with and without a closed bar, without prices or open interest, folded one by one and in one go."""
+    rows = [("09:15:10", 150.0, 100, 0, 50), ("09:15:50", 155.0, 50, 1, None), ("09:15:20", None, 5, 0, 40), ("09:15:30", 149.0, 7, -1, None)]
+    pieces = [B.build_bars(ticks(spark, [r])) for r in rows]
+    values = ["open", "high", "low", "close", "volume", "volume_delta", "oi_open", "oi_high", "oi_low", "oi_close", "trade_count", "revision", "is_corrected"]
+    for first in (pieces[0], pieces[0].limit(0)):
+        kept = [(min, "open"), (max, "high"), (min, "low"), (max, "oi_high"), (min, "oi_low")]
+        bars = [one(p) for p in ([pieces[0]] if first is pieces[0] else []) + pieces[1:]]
+        want = bars[0]
+        for p in bars[1:]:
+            both = lambda c: [x for x in (want[c], p[c]) if x is not None]  # noqa: B023, E731
+            want = want | {c: f(both(c), default=None) for f, c in kept} | {c: sum(both(c)) if both(c) else None for c in ("volume", "volume_delta", "trade_count")}
+            want |= {c: p[c] if p[c] is not None else want[c] for c in ("close", "oi_close")} | {"revision": want["revision"] + 1, "is_corrected": True}
+        late = [p.withColumn("came", F.lit(i)) for i, p in enumerate(pieces[1:])]
+        (got,) = B.merge_bar_revisions(first, late[2].unionByName(late[0]).unionByName(late[1]), "came").collect()
+        assert [got[c] for c in values] == [want[c] for c in values] and got["revision"] == len(bars) - 1
+    with pytest.raises(Exception, match="several partials"):
+        B.merge_bar_revisions(pieces[0], pieces[1].unionByName(pieces[2])).collect()
+
+
+def test_nanoseconds_are_whole_numbers(spark):
+    day = 86_400 * 10**9
+    ns = [1_705_000_000_331_141_767, 19_800 * day - 1, 19_800 * day, -1, 0]
+    df = spark.createDataFrame([(n,) for n in ns], "ns long")
+    got = df.select(F.unix_micros(scalars.micros(F.col("ns"))).alias("us"), F.datediff(scalars.utc_date(F.col("ns")), F.lit("1970-01-01").cast("date")).alias("day")).collect()
+    assert [(r["us"], r["day"]) for r in got] == [(n // 1000, n // day) for n in ns]
+
+
 @pytest.mark.parametrize("at,kept", [("09:13:00", True), ("09:12:59", True), ("09:12:30", True), ("09:11:59", False), ("10:17:30", True)])
 def test_lateness_counts_from_the_start_of_the_bucket(spark, at, kept):
     df = ticks(spark, [(at, 1.0, 1, 0, None)])

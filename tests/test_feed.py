@@ -1,14 +1,19 @@
 """Frames, events, coverage and state machines on literal rows."""
 
 import datetime as dt
+import random
 import struct
 
 import pandas as pd
+import pyarrow as pa
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 from pyspark.sql import functions as F
 
 from tickloom.operators import coverage as C
 from tickloom.operators import events as E
-from tickloom.sources.frames import decode_frames, packets_of
+from tickloom.sources import schemas
+from tickloom.sources.frames import LAYOUTS, decode_batch, decode_frames
 from tickloom.streaming.stateful import AtmState, HealthState, ShiftState, SwitchState
 
 
@@ -16,11 +21,64 @@ def packet(code, security_id, body, segment=2, length=None):
     return struct.pack("<BHbI", code, length or 8 + len(body), segment, security_id) + body
 
 
+def target():
+    return to_arrow_schema(StructType.fromDDL(schemas.PACKETS))
+
+
+def packets_of(frame):
+    """The packets of one frame without what they lack."""
+    _, columns = decode_batch(pa.array([frame], pa.binary()), target())
+    return [{k: v for k, v in row.items() if v is not None} for row in pa.table(columns).to_pylist()]
+
+
+def plain_packets(frame):
+    """The same, by a loop."""
+    at, nth, out = 0, 0, []
+    while at + 8 <= len(frame):
+        code, length, segment, security_id = struct.unpack_from("<BHbI", frame, at)
+        if length < 8 or at + length > len(frame):
+            break
+        if code in LAYOUTS:
+            kind, layout, names = LAYOUTS[code]
+            size = struct.calcsize(layout)
+            if length >= 8 + size:
+                row = {k: v for k, v in zip(names, struct.unpack_from(layout, frame, at + 8)) if k in target().names}
+                if kind == "full":
+                    levels = [struct.unpack_from("<iiHHff", frame, at + 8 + size + 20 * i) for i in range(min(5, (length - 8 - size) // 20))]
+                    row["depth"] = [dict(zip(("bid_qty", "ask_qty", "bid_orders", "ask_orders", "bid", "ask"), x)) for x in levels]
+                out.append(row | {"packet_offset": nth, "packet_type": kind, "response_code": code, "exchange_segment": segment, "security_id": security_id})
+        at, nth = at + length, nth + 1
+    return out
+
+
+def test_packets_of_many_frames(spark):
+    """Frames of all codes, unknown ones, short bodies, cut ends and nulls, as slices of an array too."""
+    pick = random.Random(4)
+    numbers = lambda layout: struct.pack(layout, *[pick.uniform(-9, 9) if c == "f" else pick.randint(0, 99) for c in layout[1:]])
+    frames = [None, b""]
+    for _ in range(300):
+        parts = []
+        for _ in range(pick.randint(0, 6)):
+            code = pick.choice([2, 4, 5, 6, 8, 8, 1, 7, 50, 200])
+            body = numbers(LAYOUTS[code][1]) if code in LAYOUTS else b"x" * pick.randint(0, 9)
+            if code == 8:
+                body += b"".join(numbers("<iiHHff") for _ in range(pick.randint(0, 6)))
+            parts.append(packet(code, pick.randint(0, 2**32 - 1), body[: len(body) - pick.choice([0, 0, 0, 0, 1, 3])], pick.randint(-128, 127)))
+        whole = b"".join(parts)
+        frames.append(whole[: len(whole) - pick.choice([0, 0, 0, 1, 5])])
+    want = [(i, p) for i, f in enumerate(frames) for p in plain_packets(f or b"")]
+    for first in (0, 7):
+        rows, columns = decode_batch(pa.array(frames, pa.binary())[first:], target())
+        got = [{k: v for k, v in row.items() if v is not None} for row in pa.table(columns).to_pylist()]
+        assert list(zip((rows + first).tolist(), got)) == [(i, p) for i, p in want if i >= first]
+    assert len({p["packet_type"] for _, p in want}) == 5
+
+
 QUOTE = struct.pack("<fhIfIIIffff", 25230.0, 5, 1700000000, 25200.0, 900, 10, 20, 1.0, 2.0, 3.0, 0.5)
 OI = struct.pack("<i", 1250000)
 
 
-def test_packets_of_a_frame():
+def test_packets_of_a_frame(spark):
     frame = packet(4, 57340, QUOTE) + packet(5, 57340, OI) + packet(5, 57341, OI, 99)
     got = list(packets_of(frame))
     assert [(p["packet_type"], p["security_id"], p["packet_offset"]) for p in got] == [("quote", 57340, 0), ("oi", 57340, 1), ("oi", 57341, 2)]
@@ -28,18 +86,19 @@ def test_packets_of_a_frame():
     assert [p["prev_oi"] for p in packets_of(packet(6, 1, struct.pack("<fi", 25100.0, 1200000)))] == [1200000]
 
 
-def test_odd_frames():
+def test_odd_frames(spark):
     good = packet(5, 1, OI)
     for frame, n in [(b"", 0), (good[:5], 0), (packet(50, 1, b"xx"), 0), (packet(50, 1, b"xx") + good, 1), (packet(5, 1, OI, 2, 9999), 0), (good + good[:9], 1), (good + bytes(8), 1)]:
         assert len(list(packets_of(frame))) == n
     assert list(packets_of(struct.pack("<BHbI", 5, 0, 0, 1) + OI)) == []
 
 
-def test_full_packet_has_depth():
+def test_full_packet_has_depth(spark):
     body = struct.pack("<fhIfIIIiiiffff", 1.5, 1, 2, 3.0, 4, 5, 6, 7, 8, 9, 1.0, 2.0, 3.0, 4.0) + b"".join(struct.pack("<iiHHff", i, i, 1, 1, i + 0.5, i + 1.5) for i in range(5))
     (p,) = packets_of(packet(8, 9, body))
     assert (p["oi"], len(p["depth"]), p["depth"][4]["ask"]) == (7, 5, 5.5)
-    assert list(packets_of(packet(8, 9, body[:-1]))) == []
+    assert len(packets_of(packet(8, 9, body[:-1]))[0]["depth"]) == 4
+    assert packets_of(packet(8, 9, body[:51])) == [] and [p["packet_offset"] for p in packets_of(packet(5, 9, OI[:3]) + packet(5, 9, OI))] == [1]
 
 
 def test_decode_job(spark):

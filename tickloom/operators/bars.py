@@ -9,6 +9,25 @@ from pyspark.sql.window import Window
 from tickloom.functions.scalars import bucket_start
 
 
+def bar_aggregates(time_col: str = "event_time") -> list[Column]:
+    """What a bar has of its ticks. A tick without a price adds open interest alone; ties on time are broken by seq."""
+    order, trade = F.struct(F.col(time_col).alias("t"), F.col("seq").alias("s")), F.col("price").isNotNull()
+    trade_order, oi_order = F.when(trade, order), F.when(F.col("oi").isNotNull(), order)
+    return [
+        F.min_by("price", trade_order).alias("open"),
+        F.max("price").alias("high"),
+        F.min("price").alias("low"),
+        F.max_by("price", trade_order).alias("close"),
+        F.sum(F.when(trade, F.col("volume")).otherwise(F.lit(0))).alias("volume"),
+        F.sum(F.when(trade & (F.col("trade_sign") != 0), F.col("volume") * F.col("trade_sign"))).alias("volume_delta"),
+        F.min_by("oi", oi_order).alias("oi_open"),
+        F.max("oi").alias("oi_high"),
+        F.min("oi").alias("oi_low"),
+        F.max_by("oi", oi_order).alias("oi_close"),
+        F.count_if(trade).alias("trade_count"),
+    ]
+
+
 def build_bars(ticks: DataFrame, interval_s: int = 60, time_col: str = "event_time", zero_price_fill: bool = False) -> DataFrame:
     """Bars of (security_id, bucket): prices, volume, signed volume, open interest, trades; revision 0.
 
@@ -18,25 +37,9 @@ def build_bars(ticks: DataFrame, interval_s: int = 60, time_col: str = "event_ti
     """
     price = F.coalesce("price", F.lit(0.0)) if zero_price_fill else F.col("price")
     ticks = ticks.filter(F.col(time_col).isNotNull()).withColumn("price", price)
-    order = F.struct(F.col(time_col).alias("t"), F.col("seq").alias("s"))
-    trade = F.col("price").isNotNull()
-    trade_order = F.when(trade, order)
-    oi_order = F.when(F.col("oi").isNotNull(), order)
     return (
         ticks.groupBy("security_id", bucket_start(F.col(time_col), interval_s).alias("event_time"))
-        .agg(
-            F.min_by("price", trade_order).alias("open"),
-            F.max("price").alias("high"),
-            F.min("price").alias("low"),
-            F.max_by("price", trade_order).alias("close"),
-            F.sum(F.when(trade, F.col("volume")).otherwise(F.lit(0))).alias("volume"),
-            F.sum(F.when(trade & (F.col("trade_sign") != 0), F.col("volume") * F.col("trade_sign"))).alias("volume_delta"),
-            F.min_by("oi", oi_order).alias("oi_open"),
-            F.max("oi").alias("oi_high"),
-            F.min("oi").alias("oi_low"),
-            F.max_by("oi", oi_order).alias("oi_close"),
-            F.count_if(trade).alias("trade_count"),
-        )
+        .agg(*bar_aggregates(time_col))
         .withColumn("revision", F.lit(0))
         .withColumn("is_corrected", F.lit(False))
         .withColumn("correction_of", F.lit(None).cast("timestamp"))
@@ -62,36 +65,33 @@ def roll_up(bars: DataFrame, interval_s: int) -> DataFrame:
     ).withColumnRenamed("bucket", "event_time")
 
 
-def merge_bar_revisions(bars: DataFrame, partials: DataFrame) -> DataFrame:
-    """Fold one later partial bar for each key into the closed bars.
+def merge_bar_revisions(bars: DataFrame, partials: DataFrame, arrival: str | None = None) -> DataFrame:
+    """Fold later partial bars, in the order of arrival, into the closed bars: one row for each key.
 
-    A corrected bar has the lesser open, the outer high and low, the partial's close, and summed volumes and counts; open
-    interest keeps its old open, takes the outer high and low, and the partial's close if it has one; the revision goes
-    up by one. A partial without a closed bar becomes a bar of its own.
+    Each partial corrects what is there: the lesser open, the outer high and low, the partial's close, summed volumes and
+    counts; open interest keeps its old open, takes the outer high and low, and the partial's close if it has one; the
+    revision goes up by one. Without a closed bar the first partial becomes one. These rules are sums, extremes, and the
+    first or last in order, so any number of partials folds in one aggregation, which begins in each task. arrival: a
+    column of partials whose values differ within a key; without it a second partial of a key raises.
     """
     keys = ["security_id", "event_time"]
-    values = ["open", "high", "low", "close", "volume", "volume_delta", "oi_open", "oi_high", "oi_low", "oi_close", "trade_count"]
-    old = bars.select(*keys, *[F.col(c).alias(f"old_{c}") for c in values], F.col("revision").alias("old_revision"))
-    new = partials.select(*keys, *[F.col(c).alias(f"new_{c}") for c in values], F.lit(True).alias("late"))
-    o, n = (lambda c: F.col(f"old_{c}")), (lambda c: F.col(f"new_{c}"))
-    corrected = F.coalesce("late", F.lit(False)) & F.col("old_revision").isNotNull()
-
-    def total(c: str) -> Column:
-        return F.when(o(c).isNull() & n(c).isNull(), None).otherwise(F.coalesce(o(c), F.lit(0)) + F.coalesce(n(c), F.lit(0)))
-
-    return old.join(new, keys, "full").select(
-        *keys,
-        F.least(o("open"), n("open")).alias("open"),
-        F.greatest(o("high"), n("high")).alias("high"),
-        F.least(o("low"), n("low")).alias("low"),
-        F.coalesce(n("close"), o("close")).alias("close"),
-        *[total(c).alias(c) for c in ("volume", "volume_delta")],
-        F.when(corrected, o("oi_open")).otherwise(F.coalesce(o("oi_open"), n("oi_open"))).alias("oi_open"),
-        F.greatest(o("oi_high"), n("oi_high")).alias("oi_high"),
-        F.least(o("oi_low"), n("oi_low")).alias("oi_low"),
-        F.coalesce(n("oi_close"), o("oi_close")).alias("oi_close"),
-        total("trade_count").alias("trade_count"),
-        (F.coalesce("old_revision", F.lit(0)) + corrected.cast("int")).alias("revision"),
+    kept = [*keys, "open", "high", "low", "close", "volume", "volume_delta", "oi_open", "oi_high", "oi_low", "oi_close", "trade_count"]
+    closed = bars.select(*kept, F.col("revision").alias("_revision"), F.lit(0).alias("_late"), F.lit(None).alias("_arrival"))
+    late = partials.select(*kept, F.lit(None).cast("int").alias("_revision"), F.lit(1).alias("_late"), (F.col(arrival) if arrival else F.lit(None)).alias("_arrival"))
+    order = F.struct("_late", "_arrival")
+    last = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), order)).alias(c)
+    folded = closed.unionByName(late).groupBy(*keys).agg(
+        F.min("open").alias("open"), F.max("high").alias("high"), F.min("low").alias("low"), last("close"), F.sum("volume").alias("volume"), F.sum("volume_delta").alias("volume_delta"),
+        F.min_by("oi_open", order).alias("oi_open"), F.max("oi_high").alias("oi_high"), F.min("oi_low").alias("oi_low"), last("oi_close"), F.sum("trade_count").alias("trade_count"),
+        F.max("_revision").alias("_revision"), F.count("*").alias("_pieces"), F.sum("_late").alias("_lates"),
+    )
+    if not arrival:
+        twice = F.raise_error(F.lit("several partials of a bar need a column that tells in which order they came"))
+        folded = folded.withColumn("_pieces", F.when(F.col("_lates") > 1, twice.cast("long")).otherwise(F.col("_pieces")))
+    corrected = F.col("_pieces") > 1
+    return folded.select(
+        *kept,
+        (F.coalesce("_revision", F.lit(0)) + F.col("_pieces") - 1).cast("int").alias("revision"),
         corrected.alias("is_corrected"),
         F.when(corrected, F.col("event_time")).alias("correction_of"),
     )

@@ -197,11 +197,15 @@ def stream_late(spark, sf_dir):
     return both[0].unionByName(both[1])
 
 
+def _hex_le(c, n: int):
+    """n little-endian bytes of a whole number, as hexadecimal text."""
+    return F.concat(*[F.substring(F.lpad(F.hex(c), 2 * n, "0"), 2 * (n - i) - 1, 2) for i in range(n)])
+
+
 def _frames(spark, sf_dir) -> DataFrame:
     """Each tick as a frame of an open-interest packet, written natively: header and body as little-endian bytes."""
-    hex_le = lambda c, n: F.concat(*[F.substring(F.lpad(F.hex(c), 2 * n, "0"), 2 * (n - i) - 1, 2) for i in range(n)])
     t = ticks(spark, sf_dir)
-    body = F.concat(F.lit("05"), hex_le(F.lit(12), 2), F.lit("02"), hex_le(F.col("security_id"), 4), hex_le(F.coalesce("oi", F.lit(0)), 4))
+    body = F.concat(F.lit("05"), _hex_le(F.lit(12), 2), F.lit("02"), _hex_le(F.col("security_id"), 4), _hex_le(F.coalesce("oi", F.lit(0)), 4))
     return t.select(
         F.unhex(F.concat(body, body)).alias("frame"), (F.unix_micros("event_time") * 1000).alias("receive_ts_ns"), F.lit("line").alias("connection_id"),
         F.col("seq").cast("int").alias("websocket_message_id"),
@@ -221,3 +225,71 @@ def decoded(spark, sf_dir):
 def stream_decode(spark, sf_dir):
     """The same frames as a stream, replayed from files."""
     return _result(decode_frames(_as_stream(_frames(spark, sf_dir), "frames")).select("websocket_message_id", "packet_offset", "packet_type", "security_id", "oi"), "packets")
+
+
+def _packed(*fields):
+    """Fields (layout letter of struct, whole number from 1 on for floats) as the hexadecimal text of their little-endian
+    bytes. The highest bit of a float's number gives its exponent, the rest the fraction."""
+    size = {"h": 2, "H": 2, "i": 4, "I": 4, "f": 4}
+    given = F.array(*[F.struct(v.cast("long").alias("v"), F.lit(size[k]).alias("n"), F.lit(k == "f").alias("real")) for k, v in fields])
+
+    def text(x):
+        v, e = x["v"], (F.length(F.bin(x["v"])) - 1).cast("double")
+        power = F.pow(F.lit(2.0), e).cast("long")
+        bits = F.when(x["real"], (e.cast("long") + 127) * 8388608 + (v - power) * F.pow(F.lit(2.0), 23 - e).cast("long")).otherwise(v)
+        digits = F.lpad(F.hex(bits), 8, "0")
+        return F.array_join(F.transform(F.sequence(F.lit(1), x["n"]), lambda i: F.substring(digits, 9 - 2 * i, F.lit(2))), "")
+
+    return F.array_join(F.transform(given, text), "")
+
+
+def _mixed_frames(spark, sf_dir) -> DataFrame:
+    """Each tick as a frame of two packets: one of a kind that changes from tick to tick, or of an unknown code, with a full
+    packet of no to five levels; then one of open interest. Every seventh frame lacks its last three bytes."""
+    t, v, seq = ticks(spark, sf_dir), F.col("volume") % 200 + 1, F.col("seq")
+    head = [("f", v), ("h", v), ("I", F.unix_seconds("event_time"))]
+    quote = [*head, ("f", v + 1), *[("I", v + i) for i in (2, 3, 4)]]
+    day = [("f", v + i) for i in (5, 6, 7, 8)]
+    levels = v % 6
+    depth = [x for i in range(5) for x in (("i", v + i), ("i", v + 10 + i), ("H", F.lit(i)), ("H", F.lit(2 * i)), ("f", v + 20 + i), ("f", v + 30 + i))]
+
+    def packet(code: int, body, size):
+        header = F.concat(F.lit(f"{code:02X}"), _packed(("H", F.lit(8) + size)), F.lit("02"), _packed(("I", F.col("security_id"))))
+        return F.concat(header, body)
+
+    full = F.concat(_packed(*quote, *[("i", v + i) for i in (40, 41, 42)], *day), F.substring(_packed(*depth), F.lit(1), (levels * 40).cast("int")))
+    first = (
+        F.when(seq % 6 == 0, packet(2, _packed(head[0], head[2]), F.lit(8)))
+        .when(seq % 6 == 1, packet(4, _packed(*quote, *day), F.lit(42)))
+        .when(seq % 6 == 2, packet(6, _packed(("f", v), ("i", v + 9)), F.lit(8)))
+        .when(seq % 6 == 3, packet(8, full, 54 + 20 * levels))
+        .when(seq % 6 == 4, packet(50, F.lit("0102"), F.lit(2)))
+        .otherwise(packet(4, _packed(*quote), F.lit(26)))  # a quote that is cut short inside
+    )
+    whole = F.concat(first, packet(5, _packed(("i", v)), F.lit(4)))
+    frame = F.unhex(F.when(seq % 7 == 0, F.substring(whole, F.lit(1), F.length(whole) - 6)).otherwise(whole))
+    return t.select(frame.alias("frame"), (F.unix_micros("event_time") * 1000).alias("receive_ts_ns"), F.lit("line").alias("connection_id"), seq.cast("int").alias("websocket_message_id"))
+
+
+_MIXED = f"""WITH {TICKS_SQL}, t AS (SELECT seq, security_id, volume % 200 + 1 AS v, epoch_us(event_time) // 1000000 AS s, seq % 6 AS k FROM ticks),
+a AS (SELECT seq, 0 AS packet_offset, CASE k WHEN 0 THEN 'ticker' WHEN 1 THEN 'quote' WHEN 2 THEN 'prev_close' ELSE 'full' END AS packet_type, CASE k WHEN 0 THEN 2 WHEN 1 THEN 4 WHEN 2 THEN 6 ELSE 8 END AS response_code,
+    security_id, CASE WHEN k <> 2 THEN v END AS ltp, CASE WHEN k <> 2 THEN s END AS last_trade_time, CASE WHEN k IN (1, 3) THEN v END AS last_trade_qty, CASE WHEN k IN (1, 3) THEN v + 1 END AS atp,
+    CASE WHEN k IN (1, 3) THEN v + 2 END AS volume, CASE WHEN k IN (1, 3) THEN v + 4 END AS total_buy_qty, CASE WHEN k IN (1, 3) THEN v + 7 END AS day_high, CASE k WHEN 3 THEN v + 40 END AS oi,
+    CASE k WHEN 2 THEN v END AS prev_close, CASE k WHEN 2 THEN v + 9 END AS prev_oi, CASE k WHEN 3 THEN v % 6 END AS levels,
+    CASE WHEN k = 3 AND v % 6 > 0 THEN v + 20 END AS best_bid, CASE WHEN k = 3 AND v % 6 > 0 THEN v + 30 + v % 6 - 1 END AS last_ask FROM t WHERE k < 4),
+b AS (SELECT seq, 1 AS packet_offset, 'oi' AS packet_type, 5 AS response_code, security_id, v AS oi FROM t WHERE seq % 7 <> 0)
+SELECT seq::INT AS websocket_message_id, packet_offset::INT AS packet_offset, packet_type, response_code::INT AS response_code, security_id, ltp::DOUBLE AS ltp, last_trade_time, last_trade_qty::INT AS last_trade_qty,
+    atp::DOUBLE AS atp, volume, total_buy_qty, day_high::DOUBLE AS day_high, oi, prev_close::DOUBLE AS prev_close, prev_oi, levels::INT AS levels, best_bid::DOUBLE AS best_bid, last_ask::DOUBLE AS last_ask
+FROM (SELECT * FROM a UNION ALL BY NAME SELECT * FROM b)"""
+
+
+@query("decode_packets", _MIXED)
+def decode_packets(spark, sf_dir):
+    """Frames of all kinds of packets, of unknown codes, with bodies and ends that are cut short."""
+    found = decode_frames(_mixed_frames(spark, sf_dir))
+    level = lambda i, field: F.try_element_at("depth", F.lit(i))[field].cast("double")
+    return found.select(
+        "websocket_message_id", "packet_offset", "packet_type", "response_code", "security_id", F.col("ltp").cast("double").alias("ltp"), "last_trade_time", "last_trade_qty",
+        F.col("atp").cast("double").alias("atp"), "volume", "total_buy_qty", F.col("day_high").cast("double").alias("day_high"), "oi", F.col("prev_close").cast("double").alias("prev_close"), "prev_oi",
+        F.when(F.col("depth").isNotNull(), F.size("depth")).alias("levels"), level(1, "bid").alias("best_bid"), level(-1, "ask").alias("last_ask"),
+    )

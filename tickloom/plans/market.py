@@ -68,6 +68,27 @@ def bars_revised(spark, sf_dir):
     return naive(_revised(spark, sf_dir), "event_time", "correction_of")
 
 
+_FOLDED = f"""WITH {TICKS_SQL}, part AS (SELECT *, CASE WHEN seq % 5 <> 0 OR security_id % 4 = 0 AND seq % 2 = 0 THEN 0 ELSE seq % 15 + 1 END AS arrival FROM ticks),
+b AS (SELECT security_id, date_trunc('day', event_time)::TIMESTAMP AS event_time, arrival, arg_min(price, (event_time, seq)) AS open, max(price) AS high, min(price) AS low, arg_max(price, (event_time, seq)) AS close,
+    sum(volume)::BIGINT AS volume, sum(CASE WHEN trade_sign <> 0 THEN volume * trade_sign END)::BIGINT AS volume_delta, arg_min(oi, (event_time, seq)) FILTER (oi IS NOT NULL) AS oi_open, max(oi) AS oi_high,
+    min(oi) AS oi_low, arg_max(oi, (event_time, seq)) FILTER (oi IS NOT NULL) AS oi_close, count(*) AS trade_count FROM (SELECT * FROM part) p GROUP BY security_id, date_trunc('day', p.event_time)::TIMESTAMP, arrival),
+l AS (SELECT security_id, event_time, list({{o: open, h: high, l: low, c: close, v: volume, d: volume_delta, oo: oi_open, oh: oi_high, ol: oi_low, oc: oi_close, n: trade_count, r: 0}} ORDER BY arrival) AS pieces FROM b GROUP BY ALL),
+f AS (SELECT security_id, event_time, list_reduce(pieces, lambda a, p: {{o: least(a.o, p.o), h: greatest(a.h, p.h), l: least(a.l, p.l), c: coalesce(p.c, a.c), v: a.v + p.v,
+    d: CASE WHEN a.d IS NULL AND p.d IS NULL THEN NULL ELSE coalesce(a.d, 0) + coalesce(p.d, 0) END, oo: a.oo, oh: greatest(a.oh, p.oh), ol: least(a.ol, p.ol), oc: coalesce(p.oc, a.oc), n: a.n + p.n, r: a.r + 1}}) AS x FROM l)
+SELECT security_id, event_time, x.o AS open, x.h AS high, x.l AS low, x.c AS close, x.v AS volume, x.d AS volume_delta, x.oo AS oi_open, x.oh AS oi_high, x.ol AS oi_low, x.oc AS oi_close, x.n AS trade_count,
+    x.r::INT AS revision, x.r > 0 AS is_corrected, CASE WHEN x.r > 0 THEN event_time END AS correction_of FROM f"""
+
+
+@query("bars_folded", _FOLDED)
+def bars_folded(spark, sf_dir):
+    """Closed bars and up to three partials of each, told apart by when they arrived; some bars have partials alone."""
+    t = ticks(spark, sf_dir)
+    late = (F.col("seq") % 5 == 0) & ~((F.col("security_id") % 4 == 0) & (F.col("seq") % 2 == 0))
+    partials = [B.build_bars(t.filter(late & (F.col("seq") % 15 == k)), DAY).withColumn("arrival", F.lit(k)) for k in (0, 5, 10)]
+    whole = partials[0].unionByName(partials[1]).unionByName(partials[2])
+    return naive(B.merge_bar_revisions(B.build_bars(t.filter(~late), DAY), whole, "arrival"), "event_time", "correction_of")
+
+
 _LATE = f"epoch(TIMESTAMP '{AS_OF}')::BIGINT - (epoch_us(event_time) // 60000000) * 60 > 300"
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.functions.scalars import utc_date
+from tickloom.functions.scalars import micros, utc_date
 from tickloom.sources import schemas
 
 #: Columns of a vendor's instrument file and what they are called here.
@@ -50,7 +50,7 @@ def bronze_to_ticks(bronze: DataFrame) -> DataFrame:
     """Ticks that bars are built from: capture time, price, volume (missing: 0), open interest."""
     return bronze.select(
         F.col("security_id").cast("bigint").alias("security_id"),
-        F.timestamp_micros(F.floor(F.col("capture_timestamp_ns") / 1000)).alias("event_time"),
+        micros(F.col("capture_timestamp_ns")).alias("event_time"),
         F.col("capture_timestamp_ns").alias("seq"),
         F.nanvl("ltp", F.lit(None).cast("double")).alias("price"),
         F.coalesce("last_trade_volume", F.lit(0)).alias("volume"),

@@ -239,12 +239,12 @@ class SwitchState(_TimedState):
         if release := state.get("release"):
             found.append((release["at"], True))
         if state.get("phase") == "WAITING":
-            found.append((state["since"] + (self.total_s if state["ready"] else min(self.ready_s, self.total_s)), False))
+            found.append((state["since"] + (self.total_s if state["ready"] else min(self.ready_s, self.total_s)), True))
         return min(found, default=None)
 
     def passed(self, key, state, at):
         release = state.get("release")
-        if release and self.limit(state) == (release["at"], True):
+        if release and self.limit(state)[0] == release["at"]:
             state.pop("release")
             return [self._go(key, state, at, "RELEASED", state["phase"], release["ids"])]
         return [self._go(key, state, at, "FAILED", "FAILED", state["desired"])]

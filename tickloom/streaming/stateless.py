@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, IntegerType, LongType, StructField, StructType, TimestampType
 
-from tickloom.operators.bars import drop_late
+from tickloom.operators.bars import bar_aggregates, drop_late
 from tickloom.operators.events import ready_flags, route_by_status
 
 REVISION = [StructField("revision", IntegerType()), StructField("is_corrected", BooleanType()), StructField("correction_of", TimestampType())]
@@ -14,12 +14,8 @@ REVISION = [StructField("revision", IntegerType()), StructField("is_corrected",
 
 def stream_bars(ticks: DataFrame, interval: str = "1 minute", lateness: str = "5 minutes") -> DataFrame:
     """Tumbling bars of a stream of ticks; use update mode. Late ticks re-emit their bar until the watermark drops it."""
-    order = F.struct("event_time", "seq")
-    oi_order = F.when(F.col("oi").isNotNull(), order)
     bars = ticks.withWatermark("event_time", lateness).groupBy("security_id", F.window("event_time", interval).alias("w")).agg(
-        F.min_by("price", order).alias("open"), F.max("price").alias("high"), F.min("price").alias("low"), F.max_by("price", order).alias("close"),
-        F.sum("volume").alias("volume"), F.sum(F.when(F.col("trade_sign") != 0, F.col("volume") * F.col("trade_sign"))).alias("volume_delta"), F.min_by("oi", oi_order).alias("oi_open"), F.max("oi").alias("oi_high"), F.min("oi").alias("oi_low"),
-        F.max_by("oi", oi_order).alias("oi_close"), F.count("*").alias("trade_count"), F.max("event_time").alias("last_tick"),
+        *bar_aggregates(), F.max("event_time").alias("last_tick")
     )
     return bars.select("security_id", F.col("w.start").alias("event_time"), *[c for c in bars.columns if c not in ("security_id", "w")])
 
