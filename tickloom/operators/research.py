@@ -59,26 +59,66 @@ def horizon_labels(bars: DataFrame, minutes: list[int], tolerance_s: int = 86_40
     return bars.withColumns({f"label_{m}": (later(m) > F.col("close")).cast("int") for m in minutes})
 
 
+def path_numbers(groups: int, tests: int) -> list[tuple[int, int, int]]:
+    """(split, group, path): the splits that test a group are dealt one to each path, so that a path tests every group once.
+
+    With 8 groups and 2 tests there are 28 splits and 28 * 2 / 8 = 7 paths.
+    """
+    seen, found = [0] * groups, []
+    for split, chosen in enumerate(combinations(range(groups), tests)):
+        for g in chosen:
+            found.append((split, g, seen[g]))
+            seen[g] += 1
+    return found
+
+
 def combinatorial_folds(df: DataFrame, groups: int = 8, tests: int = 2, purge_s: int = 1800, embargo_s: int = 300, keys: tuple[str, ...] = ("prediction_time", "row_id")) -> DataFrame:
-    """(split, role) of each row for all ways to choose test groups among contiguous groups in time.
+    """(split, role, path) of each row for all ways to choose test groups among contiguous groups in time.
 
     A row outside the test groups is purged if its interval meets one of theirs, widened by purge_s, or if it starts within
-    embargo_s after one. The bounds of groups and the splits are a few rows, set by groups and tests.
+    embargo_s after one. A test row has the path (path_numbers) that its group and split belong to: the test rows of a path are
+    all rows, once. The bounds of groups and the splits are a few rows, set by groups and tests.
     """
     placed = global_position(event_intervals(df), list(keys))
     placed = placed.withColumn("own", F.least(F.floor(F.col("position") * groups / F.col("n_rows")), F.lit(groups - 1)).cast("int")).drop("position", "n_rows")
     bounds = placed.groupBy("own").agg(F.min("prediction_time").alias("low"), F.max("evaluation_time").alias("high"))
-    ways = [(split, g) for split, chosen in enumerate(combinations(range(groups), tests)) for g in chosen]
-    ways = df.sparkSession.createDataFrame(ways, "split int, own int").join(F.broadcast(bounds), "own")
-    ways = ways.groupBy("split").agg(F.collect_list(F.struct("own", "low", "high")).alias("tests"))
+    ways = df.sparkSession.createDataFrame(path_numbers(groups, tests), "split int, own int, path int").join(F.broadcast(bounds), "own", "left")
+    ways = ways.groupBy("split").agg(F.collect_list(F.struct("own", "path", "low", "high")).alias("tests"))
     every = placed.join(F.broadcast(ways))
     wide = lambda c, s: c + F.make_dt_interval(secs=F.lit(s))
     start, end = F.col("prediction_time"), F.col("evaluation_time")
     near = F.exists("tests", lambda t: (start <= wide(t["high"], purge_s)) & (end >= wide(t["low"], -purge_s)) | (start > t["high"]) & (start <= wide(t["high"], embargo_s)))
-    role = F.when(F.exists("tests", lambda t: t["own"] == F.col("own")), "test").when(near, "purged").otherwise("train")
+    path = F.get(F.filter("tests", lambda t: t["own"] == F.col("own")), F.lit(0))["path"]
+    every = every.withColumn("path", path)
+    role = F.when(F.col("path").isNotNull(), "test").when(F.coalesce(near, F.lit(False)), "purged").otherwise("train")
     return every.withColumn("role", role).drop("own", "tests")
 
 
+def path_gains(folds: DataFrame, by: str = "security_id", value: str = "value") -> DataFrame:
+    """Test rows of combinatorial_folds with what a split's train rows of the same security teach, put together by path.
+
+    learned: the sum of their values, chance: the share of them that are above 0 (null without any); gain: the row's value
+    held long or short by the sign of learned. Each row is in each path once. Train rows are summed in each task first, and
+    what is joined has one row for each split and security.
+    """
+    taught = folds.filter("role = 'train'").groupBy("split", by).agg(F.sum(value).alias("learned"), F.avg((F.col(value) > 0).cast("double")).alias("chance"))
+    test = folds.filter("role = 'test'").join(taught, ["split", by], "left")
+    return test.withColumn("gain", F.signum(F.coalesce(F.col("learned").cast("double"), F.lit(0.0))) * F.col(value))
+
+
+def path_performance(gains: DataFrame, candidate: str = "candidate") -> DataFrame:
+    """n, total and ratio (mean to standard deviation, null if that is 0) of each candidate's gains along each path."""
+    per = gains.groupBy(candidate, "path").agg(F.count("*").alias("n"), F.sum("gain").alias("total"), F.avg("gain").alias("m"), F.stddev_samp("gain").alias("sd"))
+    return per.withColumn("ratio", F.when(F.col("sd") > 0, F.col("m") / F.col("sd"))).drop("m", "sd")
+
+
+def calibration_error(gains: DataFrame, candidate: str = "candidate", value: str = "value", bins: int = 10) -> DataFrame:
+    """For each candidate the mean distance of the chance from the share that came true, over equal bins of the chance."""
+    some = gains.filter("chance IS NOT NULL").withColumn("bin", F.least(F.floor(F.col("chance") * bins), F.lit(bins - 1)))
+    per = some.groupBy(candidate, "bin").agg(F.count("*").alias("n"), F.sum("chance").alias("said"), F.count_if(F.col(value) > 0).alias("came"))
+    return per.groupBy(candidate).agg((F.sum(F.abs(F.col("said") - F.col("came"))) / F.sum("n")).alias("calibration_error"))
+
+
 def model_input_iv(df: DataFrame, max_age_s: int = 60, max_spread: float = 0.05) -> DataFrame:
     """iv and iv_source: the local volatility if its search converged, else the provider's if it is fresh and its spread
     tight, else null. df: local_iv, converged, provider_iv, age_s, spread."""

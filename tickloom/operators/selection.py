@@ -10,14 +10,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tickloom.operators.research import calibration_error, path_performance
 from tickloom.operators.validation import purged_kfold
 
 EULER = 0.5772156649015329
-#: What a candidate must show (a number of at least or below a limit), and where a probability of overfitting
-#: asks for a justification and where it rejects.
+#: What a candidate must show (a number of at least, above or at most a limit), and where a probability of
+#: overfitting asks for a justification and where it rejects. The limits of the last four are this library's.
 GATES = [
     ("leakage_suite", "at_least", 1.0), ("dsr", "at_least", 0.95), ("calibration_acceptable", "at_least", 1.0), ("live_replay_parity", "at_least", 1.0),
     ("shadow_performance", "at_least", 1.0), ("no_single_stock_dependency", "at_least", 1.0), ("no_single_month_dependency", "at_least", 1.0), ("pbo", "at_most", 0.40),
+    ("median_path", "above", 0.0), ("worst_decile_path", "at_least", -0.25), ("outer_folds", "at_least", 0.6), ("stable_holdout", "at_most", 0.5),
 ]
 PBO_PASS = 0.25
 
@@ -94,16 +96,63 @@ def deflated_sharpe(returns: DataFrame, target: float = 0.0, confidence: float =
     return per.withColumn("significant", F.coalesce(F.col("dsr") >= confidence, F.lit(False)))
 
 
+def _share(df: DataFrame, by: str, value: str = "value") -> DataFrame:
+    """For each candidate the part that its largest group by has of all groups' absolute sums."""
+    sums = df.groupBy("candidate", by).agg(F.abs(F.sum(value)).alias("a"))
+    return sums.groupBy("candidate").agg((F.max("a") / F.sum("a")).alias(f"{by}_share"))
+
+
+def candidate_metrics(
+    rows: DataFrame, gains: DataFrame, replayed: DataFrame, leaks: DataFrame, folds: int = 5, holdout: float = 0.2, period: str = "month", most_error: float = 0.15, most_share: float = 0.5
+) -> DataFrame:
+    """Metrics (candidate, metric, value) of promotion_gates that returns can show; all but pbo and dsr.
+
+    rows: candidate, security_id, event_time, value; gains: path_gains with candidate; replayed: candidate, same (whether a
+    row's value is what a replay gives); leaks: candidate, n (train rows that touch their test rows). median_path and
+    worst_decile_path: of the ratios of the candidate's paths. outer_folds: the part of equal spans of time whose sum is
+    above 0. stable_holdout: the distance of the last part's ratio from the ratio before. shadow_performance: whether the
+    last span's sum is above 0. One security or period may not have more than most_share of the absolute sums. Each input is
+    summed by candidate once, and a candidate's metrics are one wide row before they are stacked.
+    """
+    t = F.unix_seconds("event_time")
+    span = rows.agg(F.min(t).alias("low"), (F.max(t) - F.min(t) + 1).alias("length"))
+    daily = rows.groupBy("candidate", "event_time").agg(F.sum("value").alias("value")).join(F.broadcast(span))  # one row
+    at = (t - F.col("low")) / F.col("length")
+    late, v = at >= 1 - holdout, F.col("value")
+    sums = [F.sum(F.when(F.floor(at * folds) == i, v)).alias(f"fold_{i}") for i in range(folds)]
+    ratio = lambda keep: F.avg(F.when(keep, v)) / F.nullif(F.stddev_samp(F.when(keep, v)), F.lit(0.0))
+    wide = daily.groupBy("candidate").agg(*sums, F.abs(ratio(late) - ratio(~late)).alias("stable_holdout"))
+    positive = sum((F.coalesce(F.col(f"fold_{i}") > 0, F.lit(False)).cast("int") for i in range(folds)), F.lit(0))
+    wide = wide.select("candidate", "stable_holdout", (positive / folds).alias("outer_folds"), F.coalesce(F.col(f"fold_{folds - 1}") > 0, F.lit(False)).alias("shadow_performance"))
+    paths = path_performance(gains).groupBy("candidate").agg(F.percentile("ratio", F.lit(0.5)).alias("median_path"), F.percentile("ratio", F.lit(0.1)).alias("worst_decile_path"))
+    others = [
+        paths, calibration_error(gains), _share(rows, "security_id"), _share(rows.withColumn("period", F.date_trunc(period, "event_time")), "period"),
+        replayed.groupBy("candidate").agg(F.bool_and("same").alias("live_replay_parity")), leaks.groupBy("candidate").agg((F.sum("n") == 0).alias("leakage_suite")),
+    ]
+    for other in others:  # one row for each candidate
+        wide = wide.join(other, "candidate", "left")
+    wide = wide.withColumns(
+        {
+            "calibration_acceptable": F.col("calibration_error") <= most_error,
+            "no_single_stock_dependency": F.col("security_id_share") <= most_share,
+            "no_single_month_dependency": F.col("period_share") <= most_share,
+        }
+    )
+    names = [name for name, _, _ in GATES if name not in ("pbo", "dsr")]
+    pairs = F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).cast("double").alias("value")) for n in names])
+    return wide.select("candidate", F.inline(pairs))
+
+
 def promotion_gates(metrics: DataFrame) -> DataFrame:
     """For each candidate of metrics (candidate, metric, value) the gates it fails, in the order of GATES, and a verdict:
     reject if any fails, warning if only its probability of overfitting asks for a justification, else promote. A metric
     that is missing, null or not a number fails its gate; of several values of one metric the worse counts."""
     found = metrics.groupBy("candidate").agg(
-        *[(F.min if kind == "at_least" else F.max)(F.when(F.col("metric") == name, F.col("value"))).alias(name) for name, kind, _ in GATES],
+        *[(F.max if kind == "at_most" else F.min)(F.when(F.col("metric") == name, F.col("value"))).alias(name) for name, kind, _ in GATES],
         *[F.bool_or((F.col("metric") == name) & (F.col("value").isNull() | F.isnan("value"))).alias(f"_{name}") for name, _, _ in GATES],
     )
     fails = [
-        F.when(~F.coalesce((F.col(name) >= limit) if kind == "at_least" else (F.col(name) <= limit), F.lit(False)) | F.coalesce(F.col(f"_{name}"), F.lit(False)), F.lit(name))
+        F.when(~F.coalesce({"at_least": F.col(name) >= limit, "above": F.col(name) > limit, "at_most": F.col(name) <= limit}[kind], F.lit(False)) | F.coalesce(F.col(f"_{name}"), F.lit(False)), F.lit(name))
         for name, kind, limit in GATES
     ]
     failed = F.filter(F.array(*fails), lambda x: x.isNotNull())

@@ -265,3 +265,15 @@ def horizon_labels(spark, sf_dir):
 def combinatorial_folds(spark, sf_dir):
     """8 groups, 2 of them for tests: 28 splits."""
     return R.combinatorial_folds(_rows(spark, sf_dir)).select("row_id", "split", "role")
+
+
+@query(
+    "combinatorial_paths",
+    f"""WITH {_ROWS}, o AS (SELECT row_id, least(floor((row_number() OVER (ORDER BY prediction_time, row_id) - 1) * 8 / count(*) OVER ()), 7)::INT AS own FROM rows),
+    g AS (SELECT unnest(range(8)) AS g), s AS (SELECT row_number() OVER (ORDER BY a.g, c.g) - 1 AS split, a.g AS g1, c.g AS g2 FROM g a, g c WHERE a.g < c.g),
+    w AS (SELECT split, g.g AS own, row_number() OVER (PARTITION BY g.g ORDER BY split) - 1 AS path FROM s JOIN g ON g.g IN (g1, g2))
+    SELECT row_id, split::INT AS split, path::INT AS path FROM o JOIN w USING (own)""",
+)
+def combinatorial_paths(spark, sf_dir):
+    """The path of each test row: 7 paths, each of them all rows."""
+    return R.combinatorial_folds(_rows(spark, sf_dir)).filter("role = 'test'").select("row_id", "split", "path")

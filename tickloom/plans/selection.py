@@ -7,9 +7,11 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.operators import research as R
 from tickloom.operators import selection as S
+from tickloom.operators.bars import build_bars, roll_up
 from tickloom.plans.checks import _ROWS, _rows
-from tickloom.plans.views import DAILY_SQL, TICKS_SQL, daily_bars, naive, ticks
+from tickloom.plans.views import DAILY_SQL, DAY, TICKS_SQL, daily_bars, naive, ticks
 from tickloom.session import shared_dir, written
 from tickloom.sources.tables import DAILY_FIELDS, read_daily_derivatives
 
@@ -76,35 +78,92 @@ def deflated_sharpe(spark, sf_dir):
     return found.withColumns({c: F.round(c, 6) for c in ("sharpe", "skew", "kurtosis", "lucky_sharpe", "dsr")} | {"min_track_record": F.round("min_track_record", 3)})
 
 
-_REPORTS = ["leakage_suite", "calibration_acceptable", "live_replay_parity", "shadow_performance", "no_single_month_dependency"]
+def _daily_rows(spark, sf_dir) -> DataFrame:
+    """What each bar gains from open to close, in cents: predicted at its start, known a day later."""
+    cents = lambda c: F.round(F.col(c) * 100)
+    rows = daily_bars(spark, sf_dir).select((F.col("security_id") % TRIALS).alias("candidate"), "security_id", "event_time", (cents("close") - cents("open")).alias("value"))
+    day = F.make_dt_interval(days=F.lit(1))
+    return rows.withColumns({"row_id": F.col("security_id"), "prediction_time": F.col("event_time"), "evaluation_time": F.col("event_time") + day})
+
+
+_PATHS = f"""rows AS (SELECT security_id % {TRIALS} AS candidate, security_id, event_time, event_time AS t0, event_time + INTERVAL 1 DAY AS t1, round(100 * close) - round(100 * open) AS value FROM bars),
+own AS (SELECT *, least(floor((row_number() OVER (ORDER BY t0, security_id) - 1) * 8 / count(*) OVER ()), 7)::INT AS own FROM rows),
+bound AS (SELECT own AS g, min(t0) AS low, max(t1) AS high FROM own GROUP BY 1),
+ways AS (SELECT row_number() OVER (ORDER BY a.g, c.g) - 1 AS split, a.g AS g1, c.g AS g2, a.low AS l1, a.high AS h1, c.low AS l2, c.high AS h2 FROM bound a, bound c WHERE a.g < c.g),
+numbered AS (SELECT split, g, row_number() OVER (PARTITION BY g ORDER BY split) - 1 AS path FROM ways JOIN bound ON g IN (g1, g2)),
+fold AS (SELECT own.*, ways.*, own IN (g1, g2) AS test, t0 <= h1 + INTERVAL 30 MINUTE AND t1 >= l1 - INTERVAL 30 MINUTE OR t0 > h1 AND t0 <= h1 + INTERVAL 5 MINUTE
+    OR t0 <= h2 + INTERVAL 30 MINUTE AND t1 >= l2 - INTERVAL 30 MINUTE OR t0 > h2 AND t0 <= h2 + INTERVAL 5 MINUTE AS near FROM own, ways),
+taught AS (SELECT split, security_id, sum(value) AS learned, avg((value > 0)::INT) AS chance FROM fold WHERE NOT test AND NOT near GROUP BY ALL),
+gain AS (SELECT f.candidate, f.security_id, f.event_time, f.split, path, value, chance, sign(coalesce(learned, 0)) * value AS gain FROM fold f JOIN numbered n ON n.split = f.split AND n.g = own
+    LEFT JOIN taught ON taught.split = f.split AND taught.security_id = f.security_id WHERE test),
+perf AS (SELECT candidate, path, count(*) AS n, sum(gain) AS total, avg(gain) / nullif(stddev_samp(gain), 0) AS ratio FROM gain GROUP BY ALL)"""
+
+
+@query("path_performance", f"WITH {DAILY_SQL}, {_PATHS} SELECT candidate, path::INT AS path, n, total, round(ratio, 6) AS ratio FROM perf")
+def path_performance(spark, sf_dir):
+    """Each security is held by the sign of what it gained in a split's train rows; every tenth security is one candidate."""
+    gains = R.path_gains(R.combinatorial_folds(_daily_rows(spark, sf_dir)))
+    return R.path_performance(gains).withColumn("ratio", F.round("ratio", 6))
+
+
+_METRICS = f"""{_PATHS}, times AS (SELECT min(epoch_us(event_time) // 1000000) AS low, max(epoch_us(event_time) // 1000000) - min(epoch_us(event_time) // 1000000) + 1 AS length FROM rows),
+day AS (SELECT candidate, event_time, sum(value) AS v, any_value((epoch_us(event_time) // 1000000 - low) / length) AS place FROM rows, times GROUP BY 1, 2),
+five AS (SELECT candidate, floor(place * 5) AS k, sum(v) > 0 AS up FROM day GROUP BY ALL),
+outer_folds AS (SELECT candidate, count_if(up) / 5 AS outer_folds, coalesce(bool_or(up) FILTER (k = 4), false) AS shadow FROM five GROUP BY 1),
+hold AS (SELECT candidate, abs(avg(v) FILTER (place >= 0.8) / nullif(stddev_samp(v) FILTER (place >= 0.8), 0) - avg(v) FILTER (place < 0.8) / nullif(stddev_samp(v) FILTER (place < 0.8), 0)) AS stable FROM day GROUP BY 1),
+path AS (SELECT candidate, quantile_cont(ratio, 0.5) AS median_path, quantile_cont(ratio, 0.1) AS worst_path FROM perf GROUP BY 1),
+bin AS (SELECT candidate, least(floor(chance * 10), 9) AS bin, count(*) AS n, sum(chance) AS said, count_if(value > 0) AS came FROM gain WHERE chance IS NOT NULL GROUP BY ALL),
+cal AS (SELECT candidate, sum(abs(said - came)) / sum(n) AS error FROM bin GROUP BY 1),
+stock AS (SELECT candidate, max(a) / sum(a) AS share FROM (SELECT candidate, security_id, abs(sum(value)) AS a FROM rows GROUP BY ALL) GROUP BY 1),
+week AS (SELECT candidate, max(a) / sum(a) AS share FROM (SELECT candidate, date_trunc('week', event_time) AS w, abs(sum(value)) AS a FROM rows GROUP BY ALL) GROUP BY 1),
+leak AS (SELECT candidate, count_if(NOT test AND NOT near AND (t0 <= h1 AND t1 >= l1 OR t0 <= h2 AND t1 >= l2)) AS n FROM fold GROUP BY 1),
+metric AS (SELECT candidate, leak.n = 0 AS leakage, error <= 0.15 AS calibrated, shadow, stock.share <= 0.5 AS stock, week.share <= 0.5 AS week, median_path, worst_path, outer_folds, stable
+    FROM outer_folds JOIN hold USING (candidate) JOIN path USING (candidate) JOIN cal USING (candidate) JOIN stock USING (candidate) JOIN week USING (candidate) JOIN leak USING (candidate))"""
+
+
+def _metrics(spark, sf_dir) -> DataFrame:
+    """Bars rolled up from hours replay those of a day; train rows leak if their time meets a test group's."""
+    rows = written(_daily_rows(spark, sf_dir), "candidate-rows")
+    folds = written(R.combinatorial_folds(rows), "candidate-folds")
+    bounds = folds.filter("role = 'test'").groupBy("split", "path").agg(F.min("prediction_time").alias("low"), F.max("evaluation_time").alias("high"))
+    meets = (F.col("prediction_time") <= F.col("high")) & (F.col("evaluation_time") >= F.col("low"))
+    train = folds.filter("role = 'train'").drop("path").join(F.broadcast(bounds), "split")  # 56 bounds
+    leaks = train.groupBy("candidate").agg(F.count_if(meets).alias("n"))
+    daily, rolled = daily_bars(spark, sf_dir), roll_up(build_bars(ticks(spark, sf_dir), 3600), DAY)
+    same = lambda c: F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
+    both = daily.alias("a").join(rolled.alias("b"), ["security_id", "event_time"], "full")
+    replayed = both.select((F.col("security_id") % TRIALS).alias("candidate"), (same("open") & same("close") & same("volume") & same("oi_close")).alias("same"))
+    return S.candidate_metrics(rows, R.path_gains(folds), replayed, leaks, period="week")
+
+
+@query(
+    "candidate_metrics",
+    f"""WITH {DAILY_SQL}, {_METRICS} SELECT candidate, unnest([{{metric: 'leakage_suite', value: leakage::DOUBLE}}, {{metric: 'calibration_acceptable', value: calibrated::DOUBLE}}, {{metric: 'live_replay_parity', value: 1.0::DOUBLE}},
+    {{metric: 'shadow_performance', value: shadow::DOUBLE}}, {{metric: 'no_single_stock_dependency', value: stock::DOUBLE}}, {{metric: 'no_single_month_dependency', value: week::DOUBLE}},
+    {{metric: 'median_path', value: round(median_path, 6)}}, {{metric: 'worst_decile_path', value: round(worst_path, 6)}}, {{metric: 'outer_folds', value: round(outer_folds, 6)}}, {{metric: 'stable_holdout', value: round(stable, 6)}}], recursive := true) FROM metric""",
+)
+def candidate_metrics(spark, sf_dir):
+    return _metrics(spark, sf_dir).withColumn("value", F.round("value", 6))
 
 
 @query(
     "promotion_gates",
-    f"""{_SPLITS}, {_DSR}, stock AS (SELECT trial, (max(a) <= 0.5 * sum(a))::INT AS ok FROM (SELECT security_id % {TRIALS} AS trial, security_id, abs(sum(round(100 * close) - round(100 * open))) AS a
-        FROM bars GROUP BY ALL) GROUP BY 1),
-    report AS (SELECT trial, list_transform(range(5), lambda j: (trial + j) % 5 <> 0) AS ok FROM dev),
-    f AS (SELECT trial AS candidate, pbo, list_filter([CASE WHEN NOT report.ok[1] THEN 'leakage_suite' END, CASE WHEN NOT coalesce(dsr >= 0.95, false) THEN 'dsr' END,
-        CASE WHEN NOT report.ok[2] THEN 'calibration_acceptable' END, CASE WHEN NOT report.ok[3] THEN 'live_replay_parity' END, CASE WHEN NOT report.ok[4] THEN 'shadow_performance' END,
-        CASE WHEN stock.ok = 0 THEN 'no_single_stock_dependency' END, CASE WHEN NOT report.ok[5] THEN 'no_single_month_dependency' END, CASE WHEN pbo > 0.4 THEN 'pbo' END],
-        lambda x: x IS NOT NULL) AS failed FROM d JOIN stock USING (trial) JOIN report USING (trial), pbo)
+    f"""{_SPLITS}, {_DSR}, {_METRICS}, f AS (SELECT trial AS candidate, pbo, list_filter([CASE WHEN NOT leakage THEN 'leakage_suite' END, CASE WHEN NOT coalesce(dsr >= 0.95, false) THEN 'dsr' END,
+        CASE WHEN NOT calibrated THEN 'calibration_acceptable' END, CASE WHEN NOT shadow THEN 'shadow_performance' END, CASE WHEN NOT stock THEN 'no_single_stock_dependency' END,
+        CASE WHEN NOT week THEN 'no_single_month_dependency' END, CASE WHEN pbo > 0.4 THEN 'pbo' END, CASE WHEN NOT coalesce(median_path > 0, false) THEN 'median_path' END,
+        CASE WHEN NOT coalesce(worst_path >= -0.25, false) THEN 'worst_decile_path' END, CASE WHEN outer_folds < 0.6 THEN 'outer_folds' END, CASE WHEN NOT coalesce(stable <= 0.5, false) THEN 'stable_holdout' END],
+        lambda x: x IS NOT NULL) AS failed FROM d JOIN metric ON trial = candidate, pbo)
     SELECT candidate, array_to_string(failed, ',') AS failed, CASE WHEN len(failed) > 0 THEN 'reject' WHEN pbo >= 0.25 THEN 'warning' ELSE 'promote' END AS verdict FROM f""",
 )
 def promotion_gates(spark, sf_dir):
-    """Overfitting, deflated ratios and the share of one security are measured; of each other report every fifth trial has none."""
+    """Twelve gates on what was measured of each candidate."""
     returns = written(_returns(spark, sf_dir), "returns")
     pbo = S.overfit_probability(S.overfit_splits(returns)).select("pbo")
     row = lambda name, value: (F.lit(name).alias("metric"), value.cast("double").alias("value"))
     trials = returns.select(F.col("trial").alias("candidate")).distinct()
     metrics = trials.join(F.broadcast(pbo)).select("candidate", *row("pbo", F.col("pbo")))  # one row
     metrics = metrics.unionByName(S.deflated_sharpe(returns).select(F.col("trial").alias("candidate"), *row("dsr", F.col("dsr"))))
-    gains = daily_bars(spark, sf_dir).groupBy((F.col("security_id") % TRIALS).alias("candidate"), "security_id").agg(
-        F.abs(F.sum(F.round(F.col("close") * 100) - F.round(F.col("open") * 100))).alias("a")
-    )
-    metrics = metrics.unionByName(gains.groupBy("candidate").agg(F.max("a").alias("most"), F.sum("a").alias("whole")).select("candidate", *row("no_single_stock_dependency", F.col("most") <= 0.5 * F.col("whole"))))
-    for j, name in enumerate(_REPORTS):
-        metrics = metrics.unionByName(trials.filter((F.col("candidate") + j) % 5 != 0).select("candidate", *row(name, F.lit(1))))
-    return S.promotion_gates(metrics).withColumn("failed", F.array_join("failed", ","))
+    return S.promotion_gates(metrics.unionByName(_metrics(spark, sf_dir))).withColumn("failed", F.array_join("failed", ","))
 
 
 @query(
