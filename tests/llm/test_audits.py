@@ -172,11 +172,10 @@ def test_divergence(spark, monkeypatch, cells, held, piece):
     assert got == plain_divergence(rows, 8, 3)
 
 
-def test_terms_are_not_cut(monkeypatch):
-    monkeypatch.setattr(divergence, "PIECE_BYTES", 10)
+def test_terms_are_not_cut():
     text = "Über den Wolken, ABC-defghijklmnopqrstuvwxyz 123 a's " * 5
     want = re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", "".join(c.lower() if c < "\x80" else c for c in text))
-    assert [t.decode() for piece in term_pieces(text.encode()) for t in piece] == want
+    assert [t.decode() for piece in term_pieces(text.encode(), 10) for t in piece] == want
 
 
 def test_shared_paths_are_one_node():

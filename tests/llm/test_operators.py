@@ -12,7 +12,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from tickloom.llm import hyperminhash, maxent_lm, suffix_dedup
+from tickloom.llm import byte_bpe, hyperminhash, maxent_lm, suffix_dedup
 from tickloom.llm.byte_bpe import encode_documents, load_ranks
 from tickloom.llm.chunks import Exchange
 from tickloom.llm.host_rules import host_rates, judge_documents, repeated_words
@@ -211,6 +211,25 @@ def test_bpe_of_very_long_words(spark):
         assert bytes(got[i]["decoded"]) == text.encode()
 
 
+def test_bpe_of_every_character(spark):
+    """Each code point beside letters, digits, contractions and signs, as the library's own tables class it."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=load_ranks(path), special_tokens={})
+    points = [*range(0xD800), *range(0xE000, 0x110000)]
+    texts = ["".join(f"a{chr(p)}'s {chr(p)}7{chr(p)}! " for p in points[i : i + 64]) for i in range(0, len(points), 64) if not 0x20000 <= points[i] < 0xE0000 or i % 4096 == 0]
+    got = by_id(encode_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), path, public_tokenizers.PATTERN, keep_decoded=False))
+    assert [i for i, text in enumerate(texts) if got[i]["token_ids"] != library.encode_ordinary(text)] == []
+    assert "decoded" not in next(iter(got.values())).asDict() and byte_bpe.stand_ins()[0x558] == "!"
+
+
+def test_texts_are_put_together_in_slices(docs, rows, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "UNITS_AT_ONCE", 7)
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    got = by_id(encode_documents(docs, path, public_tokenizers.PATTERN))
+    assert all(bytes(got[i]["decoded"]) == (text or "").encode() and got[i]["n_tokens"] == len(got[i]["token_ids"]) for i, text, *_ in rows)
+    assert all(got[i]["ids_sha256"] == hashlib.sha256(" ".join(map(str, got[i]["token_ids"])).encode()).hexdigest() for i, *_ in rows)
+
+
 def test_bpe_of_no_documents_and_copies(spark, no_docs):
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     assert encode_documents(no_docs, path, public_tokenizers.PATTERN).count() == 0

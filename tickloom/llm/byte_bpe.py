@@ -35,6 +35,8 @@ from tickloom.llm.units import as_text, listed, one_line, release, split_units
 
 #: Words of more bytes than this are cut, without effect on their ids.
 LONG = 512
+#: Units whose texts are put together at once, from some 6 bytes each.
+UNITS_AT_ONCE = 250_000
 #: The rank map is a list of this many small maps, as Spark searches a map from its start.
 RANK_MAPS = 8192
 NO_RANK = 2**31 - 1
@@ -166,33 +168,66 @@ def safe_pieces(word: str, ranks: dict[bytes, int]) -> list[str]:
 # -- around the fold: words of a chunk, and texts from the ids of its words ----------------------------------------------
 
 
+def stand_ins() -> dict[int, str]:
+    """Characters that the tiktoken library's tables of letters and digits class otherwise than the regex module's, which
+    are of another version of Unicode, each with a character of the class that the library gives it.
+
+    One call for each class asks the library which of all characters it matches.
+    """
+    import regex
+    import tiktoken
+
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    found: dict[int, str] = {}
+    for kind, instead in ((r"\p{L}", "x"), (r"\p{N}", "0")):
+        library = tiktoken.Encoding("class", pat_str=kind, mergeable_ranks={bytes([i]): i for i in range(256)}, special_tokens={})
+        theirs = {*bytes(library.encode_ordinary(every)).decode()}
+        ours = {*regex.findall(kind, every)}
+        found |= {ord(c): "!" for c in ours - theirs if ord(c) not in found} | {ord(c): instead for c in theirs - ours}
+    return found
+
+
+def _ranged(points: Iterable[int]) -> str:
+    """A character class of code points."""
+    runs: list[list[int]] = []
+    for p in sorted(points):
+        if runs and runs[-1][1] == p - 1:
+            runs[-1][1] = p
+        else:
+            runs.append([p, p])
+    return "[" + "".join(f"\\U{a:08X}-\\U{b:08X}" for a, b in runs) + "]"
+
+
 class _Words:
     """The distinct words of a chunk's texts, the words of each distinct unit, and the units of each text."""
 
-    def __init__(self, raw: pa.Array, pattern: str, ranks: dict[bytes, int]):
+    def __init__(self, raw: pa.Array, pattern: str, ranks: dict[bytes, int], instead: dict[int, str]):
         units, self.units, self.sizes = split_units(as_text(raw))
-        self._find_words(units, pattern, ranks)
+        self._find_words(units, pattern, ranks, instead)
 
-    def _find_words(self, units: list[str], pattern: str, ranks: dict[bytes, int]) -> None:
-        """Units without inner white space are searched in one go, a line for each; line ends are words of their own.
+    def _find_words(self, units: list[str], pattern: str, ranks: dict[bytes, int], instead: dict[int, str]) -> None:
+        """Units without inner white space are searched in one go, a line for each; line ends are words of their own. A unit
+        with a character of instead is searched alone, with the characters that stand in for them.
 
         Words ascend, and stand in for the pieces of a word longer than LONG, cut where no merge reaches across.
         """
         import regex
 
-        matches = regex.compile(pattern).findall
+        compiled = regex.compile(pattern)
+        other = regex.compile(_ranged(instead)).search if instead else lambda text: None
 
-        def find(text: str) -> list[str]:
-            found = matches(text)
+        def find(text: str, plain: bool = True) -> list[str]:
+            found = compiled.findall(text) if plain else [text[slice(*m.span())] for m in compiled.finditer(text.translate(instead))]
             if len(text) > LONG // 4 and any(len(w) > LONG // 4 and len(w.encode()) > LONG for w in found):
                 found = [p for w in found for p in safe_pieces(w, ranks)]
             return found
 
-        plain = list(map(one_line, units))
+        usual = [True] * len(units) if not other("\n".join(units)) else [not other(u) for u in units]
+        plain = [a and one_line(u) for a, u in zip(usual, units, strict=True)]
         found = pa.array(find("\n".join([u for u, p in zip(units, plain, strict=True) if p])), pa.string())
         ends = np.append(np.flatnonzero(pc.equal(found, "\n").to_numpy(zero_copy_only=False)), len(found))
         sizes = np.diff(ends, prepend=-1) - 1
-        single = [find(u) for u, p in zip(units, plain, strict=True) if not p]
+        single = [find(u, a) for u, p, a in zip(units, plain, usual, strict=True) if not p]
         words = pa.concat_arrays([found, pa.array([w for x in single for w in x], pa.string())]).dictionary_encode()
         index = words.indices.to_numpy().astype(np.int64)
         # where the words of each unit start in index, and how many there are
@@ -232,10 +267,10 @@ def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return ends[upto] - ends[upto - sizes]
 
 
-def _chunk_words(pattern: str, ranks: dict[bytes, int], way: Exchange):
+def _chunk_words(pattern: str, ranks: dict[bytes, int], instead: dict[int, str], way: Exchange):
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         release()
-        return asked(way, key[0].as_py(), 0, _Words(chunk_documents(rows)[1], pattern, ranks).words)
+        return asked(way, key[0].as_py(), 0, _Words(chunk_documents(rows)[1], pattern, ranks, instead).words)
 
     return run
 
@@ -255,38 +290,52 @@ def _answer_words(way: Exchange):
     return run
 
 
-def _encode_chunk(pattern: str, ranks: dict[bytes, int], way: Exchange, pieces: list[bytes], keep_ids: bool):
+def _text_slices(sizes: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """Ranges of texts that have at most so many units together; a longer text stands alone."""
+    upto, cuts = np.cumsum(sizes), [0]
+    while cuts[-1] < len(sizes):
+        before = int(upto[cuts[-1] - 1]) if cuts[-1] else 0
+        cuts.append(max(cuts[-1] + 1, int(np.searchsorted(upto, before + most, "right"))))
+    return list(zip(cuts, cuts[1:]))
+
+
+def _encode_chunk(pattern: str, ranks: dict[bytes, int], instead: dict[int, str], way: Exchange, pieces: list[bytes], keep_ids: bool, keep_decoded: bool, at_once: int):
     def run(key: tuple[pa.Scalar, ...], docs: pa.Table, answers: pa.Table) -> pa.Table:
         release()
         ids, texts = chunk_documents(docs)
-        chunk = _Words(texts, pattern, ranks)
+        chunk = _Words(texts, pattern, ranks, instead)
+        del texts, docs
         found = collected(way, key[0].as_py(), 0, chunk.words, answers)
         if found is None:
             found = pa.array([], pa.list_(pa.int32()))
         tokens, counts = found.flatten(), pc.list_value_length(found).to_numpy(zero_copy_only=False).astype(np.int64)
         every = np.arange(len(tokens))
-        # from tokens to words, from words to units, from units to texts
+        # from tokens to words and from words to units, each distinct one once; then, a slice at a time, from units to texts
         words = chunk.unit_words
-        names = _joined(tokens.cast(pa.string()), every, counts, " ")
-        names = _joined(names, words, chunk.unit_sizes, " ")
-        names = _joined(names, chunk.units, chunk.sizes, " ")
-        raw = _joined(pa.array(pieces, pa.binary()).take(tokens), every, counts, b"")
-        raw = _joined(raw, words, chunk.unit_sizes, b"")
-        raw = _joined(raw, chunk.units, chunk.sizes, b"")
+        names = _joined(_joined(tokens.cast(pa.string()), every, counts, " "), words, chunk.unit_sizes, " ")
+        raw = _joined(_joined(pa.array(pieces, pa.binary()).take(tokens), every, counts, b""), words, chunk.unit_sizes, b"")
         in_units = _sums(counts[words], chunk.unit_sizes)
-        columns = {
-            "id": pa.array(ids, pa.int64()),
-            "n_tokens": pa.array(_sums(in_units[chunk.units], chunk.sizes)),
-            "ids_sha256": pa.array([sha256(x.as_buffer()).hexdigest() for x in names.cast(pa.binary())], pa.string()),
-            "decoded_sha256": pa.array([sha256(x.as_buffer()).hexdigest() for x in raw], pa.string()),
-        }
+        n_tokens = _sums(in_units[chunk.units], chunk.sizes)
+        at_word = _ranges((np.cumsum(counts) - counts)[words], counts[words]) if keep_ids else None
+        first, unit = np.cumsum(in_units) - in_units, np.append(0, np.cumsum(chunk.sizes))
+        hashed: dict[str, list[str]] = {"ids_sha256": [], "decoded_sha256": []}
+        kept: dict[str, list[pa.Array]] = {"token_ids": [], "decoded": []}
+        for begin, end in _text_slices(chunk.sizes, at_once):
+            units, sizes = chunk.units[unit[begin] : unit[end]], chunk.sizes[begin:end]
+            for name, values, between in (("ids_sha256", names, " "), ("decoded_sha256", raw, b"")):
+                whole = _joined(values, units, sizes, between).cast(pa.binary())
+                hashed[name] += [sha256(x.as_buffer()).hexdigest() for x in whole]
+                if keep_decoded and name == "decoded_sha256":
+                    kept["decoded"].append(whole)
+            if keep_ids:
+                at = at_word[_ranges(first, in_units, units)]
+                ends = np.append(0, np.cumsum(n_tokens[begin:end])).astype(np.int32)
+                kept["token_ids"].append(pa.ListArray.from_arrays(pa.array(ends), tokens.take(pa.array(at))))
+        columns = {"id": pa.array(ids, pa.int64()), "n_tokens": pa.array(n_tokens)} | {c: pa.array(v, pa.string()) for c, v in hashed.items()}
         if keep_ids:
-            starts = np.cumsum(counts) - counts
-            at = _ranges(starts[words], counts[words])
-            at = at[_ranges(np.cumsum(in_units) - in_units, in_units, chunk.units)]
-            ends = np.append(0, np.cumsum(columns["n_tokens"].to_numpy())).astype(np.int32)
-            columns["token_ids"] = pa.ListArray.from_arrays(pa.array(ends), tokens.take(pa.array(at)))
-            columns["decoded"] = raw
+            columns["token_ids"] = pa.chunked_array(kept["token_ids"], pa.list_(pa.int32()))
+        if keep_decoded:
+            columns["decoded"] = pa.chunked_array(kept["decoded"], pa.binary())
         return pa.table(columns)
 
     return run
@@ -301,6 +350,7 @@ def encode_documents(
     text_col: str = "text",
     chunk_bytes: int = CHUNK_BYTES,
     fan: int = FAN,
+    keep_decoded: bool | None = None,
 ) -> DataFrame:
     """Token ids of every text by the given ranks, each match of pattern encoded on its own, and the decoded bytes.
 
@@ -310,26 +360,29 @@ def encode_documents(
     steps of at most fan rows for each task (chunks.Exchange). The fold's work grows with the square of a word's length;
     words over LONG bytes, however long, are cut first where no merge reaches across.
 
+    Letters and digits are those of the tiktoken library's tables (stand_ins).
+
     Returns one row for each row of docs: id_col, n_tokens, ids_sha256 (of the decimal ids joined by spaces),
-    decoded_sha256, and with keep_ids token_ids and decoded. A null or empty text has no tokens. Repeated rows give
+    decoded_sha256, with keep_ids token_ids, and with keep_decoded (if not given: with keep_ids) decoded. A null or empty text has no tokens. Repeated rows give
     repeated rows; null ids stay null. Extra columns are ignored.
     """
-    ranks = load_ranks(ranks_path)
+    keep_decoded = keep_ids if keep_decoded is None else keep_decoded
+    ranks, instead = load_ranks(ranks_path), stand_ins()
     n_chunks = parts_for(text_bytes(docs, text_col), chunk_bytes)
     way = Exchange.of(n_chunks, fan)
     chunks = in_chunks(docs, id_col, text_col, n_chunks)
-    asks = asked_further(chunks.groupBy("chunk").applyInArrow(_chunk_words(pattern, ranks, way), ASKED), way)
+    asks = asked_further(chunks.groupBy("chunk").applyInArrow(_chunk_words(pattern, ranks, instead, way), ASKED), way)
     distinct = asks[-1].groupBy("node").applyInArrow(_distinct_words, "node long, word binary")
     encoded = distinct.select("node", "word", encode_word(F.col("word"), rank_literal(ranks)).alias("ids"))
     found = encoded.groupBy("node").cogroup(asks[-1].groupBy("node")).applyInArrow(_answer_words(way), ANSWERED)
     answers = answered_back(asks, found, way)
-    schema = "id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", token_ids array<int>, decoded binary" * keep_ids
+    schema = "id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", token_ids array<int>" * keep_ids + ", decoded binary" * keep_decoded
     pieces = [b""] * (max(ranks.values()) + 1)
     for piece, i in ranks.items():
         pieces[i] = piece
     done = (
         chunks.groupBy("chunk")
         .cogroup(answers.groupBy("node"))
-        .applyInArrow(_encode_chunk(pattern, ranks, way, pieces, keep_ids), schema)
+        .applyInArrow(_encode_chunk(pattern, ranks, instead, way, pieces, keep_ids, keep_decoded, UNITS_AT_ONCE), schema)
     )
     return done.withColumnRenamed("id", id_col)

@@ -22,11 +22,11 @@ TREE_CELLS = 1_000_000
 ONE = 1_000_000_000
 
 
-def term_pieces(text: bytes) -> Iterator[list[bytes]]:
-    """The terms of a text, in lists of bounded size; no term is cut."""
+def term_pieces(text: bytes, most: int) -> Iterator[list[bytes]]:
+    """The terms of a text, in lists of about so many bytes; no term is cut."""
     plain, at = text.translate(_LETTERS), 0
     while at < len(plain):
-        upto = len(plain) if len(plain) - at <= PIECE_BYTES else plain.find(b" ", at + PIECE_BYTES)
+        upto = len(plain) if len(plain) - at <= most else plain.find(b" ", at + most)
         upto = len(plain) if upto < 0 else upto
         yield plain[at:upto].split()
         at = upto
@@ -46,22 +46,25 @@ def _handed_on(held: dict[tuple[str, str], tuple[Counter, Counter]]) -> Iterator
         )
 
 
-def _count_terms(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    release()
-    held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
-    for batch in batches:
-        for some in slices(batch, "text", PIECE_BYTES, 4096):
-            for lang, source, text in zip(*(listed(some.column(c)) for c in ("lang", "source", "text")), strict=True):
-                counts, docs = held.setdefault((lang, source), (Counter(), Counter()))
-                seen: set[bytes] = set()
-                for terms in term_pieces(text):
-                    counts.update(terms)
-                    seen.update(terms)
-                docs.update(seen)
-            if sum(len(c) for c, _ in held.values()) > MOST_HELD:
-                yield from _handed_on(held)
-                held = {}
-    yield from _handed_on(held)
+def _count_terms(piece_bytes: int, most_held: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+        for batch in batches:
+            for some in slices(batch, "text", piece_bytes, 4096):
+                for lang, source, text in zip(*(listed(some.column(c)) for c in ("lang", "source", "text")), strict=True):
+                    counts, docs = held.setdefault((lang, source), (Counter(), Counter()))
+                    seen: set[bytes] = set()
+                    for terms in term_pieces(text, piece_bytes):
+                        counts.update(terms)
+                        seen.update(terms)
+                    docs.update(seen)
+                if sum(len(c) for c, _ in held.values()) > most_held:
+                    yield from _handed_on(held)
+                    held = {}
+        yield from _handed_on(held)
+
+    return run
 
 
 def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
@@ -71,7 +74,7 @@ def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     """
     empty = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (lang_col, source_col, text_col)]
     slim = bounded(docs).select(empty[0].alias("lang"), empty[1].alias("source"), empty[2].cast("binary").alias("text"))
-    counted = slim.mapInArrow(_count_terms, "lang string, source string, term string, n long, docs long")
+    counted = slim.mapInArrow(_count_terms(PIECE_BYTES, MOST_HELD), "lang string, source string, term string, n long, docs long")
     return counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
@@ -129,34 +132,37 @@ def _summed(parts: list[np.ndarray]) -> np.ndarray:
     return np.column_stack([keys, total])
 
 
-def _grow_trees(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    release()
-    for batch in batches:
-        items = batch.column("path")
-        flat = items.flatten()
-        cells = np.column_stack([flat.field(c).to_numpy().astype(np.int64) for c in ("k", "p", "z")])
-        at = items.offsets.to_numpy().astype(np.int64)
-        at -= at[0]
-        langs, times = listed(batch.column("lang")), batch.column("terms").to_numpy()
-        begin = 0
-        while begin < len(langs):
-            end, widest = begin, 0
-            while end < len(langs) and langs[end] == langs[begin]:
-                widest = max(widest, int(at[end + 1] - at[end]))
-                if end > begin and widest * (end + 1 - begin) > TREE_CELLS:
-                    break
-                end += 1
-            pairs, nodes = tree_sums([cells[at[i] : at[i + 1]] for i in range(begin, end)], times[begin:end])
-            for kind, sums in (("pair", pairs), ("node", nodes)):
-                if len(sums):
-                    yield pa.record_batch(
-                        {
-                            "kind": pa.array([kind] * len(sums)),
-                            "lang": pa.array([langs[begin]] * len(sums), pa.string()),
-                            **{c: pa.array(sums[:, i]) for i, c in enumerate("abv")},
-                        }
-                    )
-            begin = end
+def _grow_trees(most: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        for batch in batches:
+            items = batch.column("path")
+            flat = items.flatten()
+            cells = np.column_stack([flat.field(c).to_numpy().astype(np.int64) for c in ("k", "p", "z")])
+            at = items.offsets.to_numpy().astype(np.int64)
+            at -= at[0]
+            langs, times = listed(batch.column("lang")), batch.column("terms").to_numpy()
+            begin = 0
+            while begin < len(langs):
+                end, widest = begin, 0
+                while end < len(langs) and langs[end] == langs[begin]:
+                    widest = max(widest, int(at[end + 1] - at[end]))
+                    if end > begin and widest * (end + 1 - begin) > most:
+                        break
+                    end += 1
+                pairs, nodes = tree_sums([cells[at[i] : at[i + 1]] for i in range(begin, end)], times[begin:end])
+                for kind, sums in (("pair", pairs), ("node", nodes)):
+                    if len(sums):
+                        yield pa.record_batch(
+                            {
+                                "kind": pa.array([kind] * len(sums)),
+                                "lang": pa.array([langs[begin]] * len(sums), pa.string()),
+                                **{c: pa.array(sums[:, i]) for i, c in enumerate("abv")},
+                            }
+                        )
+                begin = end
+
+    return run
 
 
 def _pair_values(kept: DataFrame, groups: DataFrame) -> DataFrame:
@@ -166,7 +172,7 @@ def _pair_values(kept: DataFrame, groups: DataFrame) -> DataFrame:
     # equal rows of different terms are one path of the tree; ranges of paths meet where they share what they begin with
     paths = written(rows.groupBy("lang", "path").agg(F.count("*").alias("terms")), "divergence-paths")
     ranged = paths.repartitionByRange("lang", "path").sortWithinPartitions("lang", "path")
-    sums = written(ranged.mapInArrow(_grow_trees, "kind string, lang string, a long, b long, v long"), "divergence-sums")
+    sums = written(ranged.mapInArrow(_grow_trees(TREE_CELLS), "kind string, lang string, a long, b long, v long"), "divergence-sums")
     one = groups.select("lang", F.col("k").alias("a"), F.col("z").alias("za"), "vocabulary")
     two = groups.select("lang", F.col("k").alias("b"), F.col("z").alias("zb"))
     both = one.join(two, "lang").filter("a <> b")
