@@ -14,7 +14,7 @@ from tickloom.plans.market import _FEATURES
 from tickloom.plans.views import AS_OF, DAILY_SQL, DAY, TICKS_SQL, daily_bars, naive, ticks
 from tickloom.session import shared_dir, written
 from tickloom.sources.frames import decode_frames
-from tickloom.streaming import stateful, stateless
+from tickloom.streaming import keyed, stateful, stateless
 
 QUERIES, ORACLES = {}, {}
 #: Rows that a run of a replayed stream takes.
@@ -84,16 +84,61 @@ def stream_bars(spark, sf_dir):
 )
 def stream_bars_revised(spark, sf_dir):
     """Bars of one day; every tenth tick comes after all others, so that bars whose day was over are corrected."""
+    _stateful(spark)
     base, rows = f"{shared_dir(spark)}/tickloom/revised-{uuid.uuid4().hex}", ticks(spark, sf_dir)
-    rows.filter("seq % 10 <> 0").write.parquet(f"{base}/in")
-    stream = stateless.stream_bars(spark.readStream.schema(rows.schema).parquet(f"{base}/in"), "1 day", "60 days")
-    each = stateless.revised_bars(f"{base}/out", DAY)
-    stateless.run_to_end(stream, f"{base}/checkpoint", "update", each=each)
-    rows.filter("seq % 10 = 0").write.mode("append").parquet(f"{base}/in")
-    stateless.run_to_end(stream, f"{base}/checkpoint", "update", each=each)
-    return naive(stateless.newest_bars(spark.read.parquet(f"{base}/out")).drop("last_tick"), "event_time", "correction_of")
+    stream = None
+    for part in ("seq % 10 <> 0", "seq % 10 = 0"):
+        rows.filter(part).write.mode("append").parquet(f"{base}/in")
+        stream = stream or keyed.stream_revised_bars(spark.readStream.schema(rows.schema).parquet(f"{base}/in"), DAY, 60 * DAY, DAY)
+        stateless.run_to_end(stream, f"{base}/checkpoint", "append", f"{base}/out")
+    return naive(keyed.newest_bars(spark.read.schema(stream.schema).parquet(f"{base}/out")), "event_time", "correction_of")
 
 
+@query(
+    "stream_bars_rejected",
+    f"""WITH {TICKS_SQL}, seen AS (SELECT max(epoch_us(event_time)) // 1000 AS seen FROM ticks WHERE seq % 10 <> 0)
+    SELECT seq, event_time FROM ticks, seen WHERE seq % 10 = 0 AND seen - epoch_us(event_time) // 3600000000 * 3600000 > 10 * 86400000""",
+)
+def stream_bars_rejected(spark, sf_dir):
+    """Bars of an hour; of the tenth of the ticks that come last, those over ten days behind are rejected."""
+    _stateful(spark)
+    base, rows = f"{shared_dir(spark)}/tickloom/rejected-{uuid.uuid4().hex}", ticks(spark, sf_dir)
+    stream = None
+    for part in ("seq % 10 <> 0", "seq % 10 = 0"):
+        rows.filter(part).write.mode("append").parquet(f"{base}/in")
+        stream = stream or keyed.stream_revised_bars(spark.readStream.schema(rows.schema).parquet(f"{base}/in"), 3600, 10 * DAY, 60 * DAY)
+        stateless.run_to_end(stream, f"{base}/checkpoint", "append", f"{base}/out")
+    return naive(spark.read.schema(stream.schema).parquet(f"{base}/out").filter("kind = 'late'").select("seq", "event_time"), "event_time")
+
+
+_ATM_ROWS = f"""{TICKS_SQL}, x AS (SELECT * FROM (VALUES ('far', 25), ('near', 10)) t(expiry, step)),
+k AS (SELECT DISTINCT security_id::VARCHAR AS symbol, expiry, floor(price / step + 0.5) * step AS strike FROM ticks, x),
+g AS (SELECT symbol, expiry, min(gap) AS gap FROM (SELECT *, lead(strike) OVER (PARTITION BY symbol, expiry ORDER BY strike) - strike AS gap FROM k) GROUP BY ALL),
+s AS (SELECT security_id::VARCHAR AS symbol, expiry, event_time, seq, price AS spot, event_time >= TIMESTAMP '2024-01-15' AS later, row_number() OVER (PARTITION BY security_id, expiry ORDER BY event_time, seq) AS n FROM ticks, x),
+near AS (SELECT s.*, gap, (SELECT max_by(strike, (-abs(strike - spot), strike)) FROM k WHERE k.symbol = s.symbol AND k.expiry = s.expiry) AS nearest FROM s JOIN g USING (symbol, expiry)),
+held AS (SELECT symbol, expiry, n, nearest AS atm, later FROM near WHERE n = 1
+    UNION ALL SELECT near.symbol, near.expiry, near.n, CASE WHEN held.later = near.later AND gap > 0 AND abs(nearest - held.atm) < 2.5 * gap THEN held.atm ELSE nearest END, near.later
+    FROM held JOIN near ON near.symbol = held.symbol AND near.expiry = held.expiry AND near.n = held.n + 1)"""
+
+
+@query(
+    "stream_atm_expiries",
+    f"""WITH RECURSIVE {_ATM_ROWS} SELECT symbol, expiry, event_time, seq, spot, atm, lag(CASE WHEN later THEN NULL ELSE atm END) OVER w IS DISTINCT FROM atm AND NOT later
+        OR later AND lag(CASE WHEN later THEN atm END) OVER w IS DISTINCT FROM atm AS changed FROM held JOIN near USING (symbol, expiry, n, later) WINDOW w AS (PARTITION BY symbol, expiry ORDER BY n)""",
+)
+def stream_atm_expiries(spark, sf_dir, at_once: int = AT_ONCE):
+    """Two expiries of each symbol list strikes of their own; what they hold is forgotten in the middle of January."""
+    _stateful(spark)
+    steps = spark.createDataFrame([("far", 25), ("near", 10)], "expiry string, step int")
+    t = ticks(spark, sf_dir).select(F.col("security_id").cast("string").alias("symbol"), "event_time", "seq", "price").join(F.broadcast(steps))  # two rows
+    row = lambda kind, time, seq, value: [F.lit(kind).alias("kind"), time.alias("event_time"), seq.alias("seq"), value.alias("value")]
+    at = lambda d: F.lit(d).cast("timestamp")
+    strike, none = F.floor(F.col("price") / F.col("step") + 0.5) * F.col("step"), F.lit(-1).cast("long")
+    spots = t.select("symbol", "expiry", *row("spot", F.col("event_time"), F.col("seq"), F.col("price")))
+    listed = t.select("symbol", "expiry", *row("strike", at("2000-01-01"), none, strike.cast("double"))).distinct()
+    resets = t.select("symbol", "expiry", *row("reset", at("2024-01-15"), none, F.lit(0.0))).distinct()
+    rows = spots.unionByName(listed).unionByName(resets)
+    return naive(_replayed(rows, "expiries", lambda s: keyed.stream_atm_by_expiry(s, 2.5), at_once), "event_time")
 
 
 @query("stream_dedup", f"WITH {PACKETS_SQL} SELECT event_id, seq, ts AS event_time FROM ids")

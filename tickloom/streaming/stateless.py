@@ -4,14 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, IntegerType, LongType, StructField, StructType, TimestampType
 
 from tickloom.operators.bars import bar_aggregates, drop_late
 from tickloom.operators.events import ready_flags, route_by_status
 
-REVISION = [StructField("revision", IntegerType()), StructField("is_corrected", BooleanType()), StructField("correction_of", TimestampType())]
-
-
 def stream_bars(ticks: DataFrame, interval: str = "1 minute", lateness: str = "5 minutes") -> DataFrame:
     """Tumbling bars of a stream of ticks; use update mode. Late ticks re-emit their bar until the watermark drops it."""
     bars = ticks.withWatermark("event_time", lateness).groupBy("security_id", F.window("event_time", interval).alias("w")).agg(
@@ -20,48 +16,6 @@ def stream_bars(ticks: DataFrame, interval: str = "1 minute", lateness: str = "5
     return bars.select("security_id", F.col("w.start").alias("event_time"), *[c for c in bars.columns if c not in ("security_id", "w")])
 
 
-def revised_bars(path: str, interval_s: int):
-    """A foreachBatch function that writes the changed bars of stream_bars with revision, is_corrected and correction_of.
-
-    A bar whose time was over when ticks still came for it is corrected: its revision goes up by one with each batch that
-    brings some. What grows while its time runs is no correction. The newest batch of a key holds (newest_bars). A batch
-    that is run again overwrites its own folders, and reads those of earlier ones alone.
-    """
-    span, seen_type = F.make_dt_interval(secs=F.lit(interval_s)), "seen timestamp"
-
-    def run(bars: DataFrame, batch_id: int) -> None:
-        spark = bars.sparkSession
-        bars.write.mode("overwrite").parquet(f"{path}-changed/batch={batch_id}")
-        bars = spark.read.schema(bars.schema).parquet(f"{path}-changed/batch={batch_id}")
-        schema = StructType([*bars.schema, *REVISION])
-        if batch_id:
-            before = spark.read.schema(seen_type).parquet(f"{path}-seen/batch={batch_id - 1}")
-            first = bars.agg(F.min("event_time")).first()[0]  # parts of the table with older bars alone are not read
-            old = spark.read.schema(StructType([*schema, StructField("batch", LongType())])).parquet(path).filter(F.col("batch") < batch_id)
-            old = newest_bars(old.filter(F.col("event_time") >= F.lit(first)))
-        else:
-            before = spark.createDataFrame([(None,)], seen_type)
-            old = spark.createDataFrame([], schema)
-        seen = F.broadcast(before)  # one row
-        old = old.select("security_id", "event_time", F.col("revision").alias("_revision"), F.lit(True).alias("_known"))
-        late = F.coalesce(F.col("_known") & (F.col("event_time") + span <= F.col("seen")), F.lit(False))
-        found = bars.join(old, ["security_id", "event_time"], "left").join(seen)
-        found = found.withColumn("revision", (F.coalesce("_revision", F.lit(0)) + late.cast("int")).cast("int"))
-        found = found.withColumn("is_corrected", F.col("revision") > 0).withColumn("correction_of", F.when(F.col("is_corrected"), F.col("event_time")))
-        found.select(*schema.fieldNames()).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-        now = bars.agg(F.max("last_tick").alias("now")).join(seen).select(F.greatest("now", "seen").alias("seen"))
-        now.write.mode("overwrite").parquet(f"{path}-seen/batch={batch_id}")
-
-    return run
-
-
-def newest_bars(bars: DataFrame) -> DataFrame:
-    """Of bars that revised_bars wrote, each key's newest."""
-    values = [c for c in bars.columns if c not in ("security_id", "event_time", "batch")]
-    newest = bars.groupBy("security_id", "event_time").agg(F.max_by(F.struct(*values), "batch").alias("_bar"))
-    return newest.select("security_id", "event_time", "_bar.*")
-
-
 def late_events(ticks: DataFrame, as_of: Column, window_s: int = 300, interval_s: int = 60) -> tuple[DataFrame, DataFrame]:
     """Ticks in time, and those too late at as_of (the clock, in a live stream), which another sink takes."""
     kept = drop_late(ticks, as_of, window_s, interval_s)
