@@ -167,7 +167,7 @@ def test_snapshots(spark, tmp_path):
     path = f"{tmp_path}/universe"
     S.save_universe_snapshot(one, path)
     S.save_universe_snapshot(one, path)
-    assert spark.read.parquet(path).count() == 1
+    assert S.universe_snapshots(spark, path).count() == 1
     back = S.latest_universe_snapshot(spark, path).first()
     assert back["contract_count"] == 4 and len(back["contracts"]) == 4 and back["atm_strikes"] == {"X": 100.0}
     assert S.snapshot_log_row(contracts, day("2026-07-01")).first()["row_count"] == 4

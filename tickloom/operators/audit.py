@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,87 +16,101 @@ VOLUME_SEMANTICS = ("derived", "reported", "cumulative")
 SURVIVORSHIP = ("full", "current_only", "known_gaps", "unknown")
 
 
-def source_profile(bars: DataFrame, time_col: str = "event_time") -> DataFrame:
-    """One row: coverage, contracts, days, rows, and a checksum of the content that no order of rows changes."""
-    day = F.col(time_col).cast("date")
-    content = F.bit_xor(F.xxhash64(*sorted(bars.columns)))
-    return bars.agg(
-        F.min(day).alias("coverage_start"), F.max(day).alias("coverage_end"), F.count_distinct("security_id").alias("contract_count"),
-        F.count_distinct(day).alias("day_count"), F.count("*").alias("row_count"), content.alias("checksum"),
-    )
-
-
-def dataset_fingerprint(df: DataFrame) -> DataFrame:
-    """One row: a hash of the content that no order of rows or columns changes, and the number of rows."""
-    h = F.xxhash64(*sorted(df.columns))
-    return df.agg(F.bit_xor(h).alias("mixed"), F.sum(h.cast("decimal(38,0)")).cast("string").alias("summed"), F.count("*").alias("rows"))
+def row_text(df: DataFrame) -> Column:
+    """A row as text that any engine can write: its columns in the order of their names, joined by |, with ~ for null.
 
+    Doubles have six decimals (or are nan), times are microseconds since the epoch, nested values JSON.
+    """
 
-def _metadata(key: str) -> Column:
-    return F.try_element_at(F.col("metadata"), F.lit(key))
+    def text(name: str, kind: str) -> Column:
+        c = F.col(f"`{name}`")
+        if kind in ("double", "float"):
+            c = F.when(F.isnan(c), "nan").otherwise(c.try_cast("decimal(28,6)").cast("string"))
+        elif kind.startswith("timestamp"):
+            c = F.unix_micros(c.cast("timestamp")).cast("string")
+        elif kind.startswith(("array", "map", "struct")):
+            c = F.to_json(c)
+        return F.coalesce(c.cast("string"), F.lit("~"))
 
+    return F.concat_ws("|", *[text(n, k) for n, k in sorted(df.dtypes)])
 
-def _flag(key: str, *allowed: str) -> Callable[..., DataFrame]:
-    return lambda bars, contracts, manifest: manifest.agg(F.bool_and(F.coalesce(_metadata(key).isin(*allowed), F.lit(False))).alias("passed"))
 
+def content_checksum(df: DataFrame) -> Column:
+    """An aggregate that no order of rows changes: the sum of the first 48 bits of the md5 of each row_text, as text.
 
-def _zone(bars, contracts, manifest):
-    good = _metadata("timezone").isin(*ZONES) & _metadata("timestamp_precision").isin(*PRECISIONS)
-    return manifest.agg(F.bool_and(F.coalesce(good, F.lit(False))).alias("passed"))
+    Repeated rows count as often as they stand there, and tasks add up their own rows first.
+    """
+    bits = F.conv(F.substring(F.md5(row_text(df)), 1, 12), 16, 10).cast("decimal(28,0)")
+    return F.coalesce(F.sum(bits), F.lit(0).cast("decimal(38,0)")).cast("string")
 
 
-def _identity(bars, contracts, manifest):
-    return validate_contracts(contracts).agg(F.coalesce(F.bool_and("is_valid"), F.lit(False)).alias("passed"))
-
-
-def _expiry(bars, contracts, manifest):
-    first = manifest.select(F.min("coverage_start").alias("first"))  # one row
-    good = F.col("expiry_date").isNotNull() & (F.col("expiry_date") >= F.col("first"))
-    return contracts.join(F.broadcast(first)).agg(F.coalesce(F.bool_and(good), F.lit(False)).alias("passed"))
+def source_profile(bars: DataFrame, time_col: str = "event_time") -> DataFrame:
+    """One row: coverage, contracts, days, rows, and content_checksum."""
+    day = F.col(time_col).cast("date")
+    return bars.agg(
+        F.min(day).alias("coverage_start"), F.max(day).alias("coverage_end"), F.count_distinct("security_id").alias("contract_count"),
+        F.count_distinct(day).alias("day_count"), F.count("*").alias("row_count"), content_checksum(bars).alias("checksum"),
+    )
 
 
-def _missing_rate(bars, contracts, manifest):
-    rate = F.regexp_replace(_metadata("missing_minute_rate"), "%", "").try_cast("double")
-    return manifest.agg(F.bool_and(F.coalesce(rate.between(0, 100), F.lit(False))).alias("passed"))
+def dataset_fingerprint(df: DataFrame) -> DataFrame:
+    """One row: two hashes of the content that no order of rows or columns changes, content_checksum, and the number of rows."""
+    h = F.xxhash64(*sorted(df.columns))
+    return df.agg(F.bit_xor(h).alias("mixed"), F.sum(h.cast("decimal(38,0)")).cast("string").alias("summed"), content_checksum(df).alias("checksum"), F.count("*").alias("rows"))
 
 
-def _no_duplicates(bars, contracts, manifest):
-    again = bars.groupBy("security_id", "event_time").agg(F.count("*").alias("n"))
-    return again.agg((F.count_if(F.col("n") > 1) == 0).alias("passed"))
+def _said(key: str, *allowed: str) -> Column:
+    return F.try_element_at(F.col("metadata"), F.lit(key)).isin(*allowed)
 
 
-def _no_negative(bars, contracts, manifest):
-    return bars.agg((F.count_if(F.col("volume") < 0) == 0).alias("passed"))
+def _manifest_checks() -> dict[str, Column]:
+    """What each line of a manifest must say."""
+    value = lambda key: F.try_element_at(F.col("metadata"), F.lit(key))
+    zone = F.coalesce(value("timezone"), F.lit(""))
+    rate = F.regexp_replace(value("missing_minute_rate"), "%", "").try_cast("double")
+    return {
+        "timestamp_timezone_precision": _said("timezone", *ZONES) & _said("timestamp_precision", *PRECISIONS),
+        "strike_adjustment": _said("strike_adjustment", "true"),
+        "oi_semantics": _said("oi_semantics", *OI_SEMANTICS),
+        "volume_semantics": _said("volume_semantics", *VOLUME_SEMANTICS),
+        "bid_ask_availability": _said("bid_ask_available", "true", "false"),
+        "missing_minute_rate": rate.between(0, 100),
+        "timezone_ambiguity": F.when(zone == "", False).when(zone.isin("IST", "Asia/Kolkata"), True).otherwise(value("dst_policy").isNotNull()),
+        "corporate_action_handling": _said("corporate_actions", "true"),
+        "late_correction_policy": _said("late_corrections", "true"),
+        "survivorship_coverage": _said("survivorship", *SURVIVORSHIP),
+    }
 
 
-def _zone_clear(bars, contracts, manifest):
-    zone = F.coalesce(_metadata("timezone"), F.lit(""))
-    clear = F.when(zone == "", False).when(zone.isin("IST", "Asia/Kolkata"), True).otherwise(_metadata("dst_policy").isNotNull())
-    return manifest.agg(F.bool_and(clear).alias("passed"))
+def manifest_lines(manifest: DataFrame) -> DataFrame:
+    """Whether each line of a manifest passes each check that it alone decides."""
+    return manifest.withColumns({name: F.coalesce(good, F.lit(False)) for name, good in _manifest_checks().items()})
 
 
-CHECKS: dict[str, Callable[..., DataFrame]] = {
-    "contract_identity_accuracy": _identity,
-    "timestamp_timezone_precision": _zone,
-    "expiry_mapping": _expiry,
-    "strike_adjustment": _flag("strike_adjustment", "true"),
-    "oi_semantics": _flag("oi_semantics", *OI_SEMANTICS),
-    "volume_semantics": _flag("volume_semantics", *VOLUME_SEMANTICS),
-    "bid_ask_availability": _flag("bid_ask_available", "true", "false"),
-    "missing_minute_rate": _missing_rate,
-    "duplicate_primary_keys": _no_duplicates,
-    "unexplained_negative_volume": _no_negative,
-    "timezone_ambiguity": _zone_clear,
-    "corporate_action_handling": _flag("corporate_actions", "true"),
-    "late_correction_policy": _flag("late_corrections", "true"),
-    "survivorship_coverage": _flag("survivorship", *SURVIVORSHIP),
-}
+#: The order in which a report lists its checks.
+CHECKS = (
+    "contract_identity_accuracy", "timestamp_timezone_precision", "expiry_mapping", "strike_adjustment", "oi_semantics", "volume_semantics", "bid_ask_availability",
+    "missing_minute_rate", "duplicate_primary_keys", "unexplained_negative_volume", "timezone_ambiguity", "corporate_action_handling", "late_correction_policy",
+    "survivorship_coverage",
+)
 
 
 def audit_source(bars: DataFrame, contracts: DataFrame, manifest: DataFrame) -> DataFrame:
-    """One row for each check: its name and whether the source passes; what cannot be told is a fail."""
-    rows = [f(bars, contracts, manifest).select(F.lit(name).alias("check"), F.coalesce("passed", F.lit(False)).alias("passed")) for name, f in CHECKS.items()]
-    return reduce(DataFrame.unionByName, rows)
+    """One row for each check: its name and whether the source passes; what cannot be told is a fail.
+
+    Bars, contracts and manifest are aggregated once each; the three rows that are left are put side by side and stacked.
+    All lines of the manifest and all contracts must pass; no bar may come twice or have a negative volume.
+    """
+    every = lambda good: F.coalesce(F.bool_and(F.coalesce(good, F.lit(False))), F.lit(False))
+    said = manifest.agg(*[every(good).alias(name) for name, good in _manifest_checks().items()], F.min("coverage_start").alias("_first"))
+    keys = bars.groupBy("security_id", "event_time").agg(F.count("*").alias("n"), F.count_if(F.col("volume") < 0).alias("negative"))
+    found = keys.agg((F.count_if(F.col("n") > 1) == 0).alias("duplicate_primary_keys"), (F.coalesce(F.sum("negative"), F.lit(0)) == 0).alias("unexplained_negative_volume"))
+    checked = validate_contracts(contracts)
+    identity, first = every(F.col("is_valid")).alias("contract_identity_accuracy"), F.min("expiry_date").alias("_expiry")
+    known = checked.agg(identity, first, every(F.col("expiry_date").isNotNull()).alias("_all_known"))
+    whole = said.join(F.broadcast(found)).join(F.broadcast(known))  # one row each
+    whole = whole.withColumn("expiry_mapping", F.coalesce(F.col("_all_known") & (F.col("_expiry") >= F.col("_first")), F.lit(False)))
+    return whole.select(F.inline(F.array(*[F.struct(F.lit(n).alias("check"), F.col(n).alias("passed")) for n in CHECKS])))
 
 
 def audit_verdict(report: DataFrame, source: str) -> DataFrame:

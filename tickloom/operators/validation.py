@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tickloom.operators.order import global_position
+from tickloom.session import written
 
 ROLES = ("train", "early_stopping", "calibration", "outer_test", "final_vault")
 #: Roles that a purpose must not see.
@@ -94,22 +95,25 @@ def purged_kfold(
     return every.withColumn("role", role).drop("low", "high", "own_fold")
 
 
-def temporal_leakage(train: DataFrame, test: DataFrame, bucket_s: int = 86_400) -> DataFrame:
+def temporal_leakage(train: DataFrame, test: DataFrame) -> DataFrame:
     """Train rows whose event interval meets that of a test row.
 
-    Test intervals are first reduced to one (low, high) for each bucket of time they touch, which both sides then join on,
-    so rows are never compared all with all and no interval list is in one place.
+    A train row leaks if some test row that starts at or before its end ends at or after its start, so what counts is the
+    latest end among the test rows that start by then. Ends of train rows and starts of test rows are put in one order of
+    time, cut into ranges of equal size (a busy moment can be cut too); each range finds its latest end, those few are
+    carried from range to range, and a window inside a range does the rest. Nothing is compared pair by pair.
     """
-    day = lambda c: F.floor(F.unix_seconds(c) / bucket_s)
-    spread = lambda df: df.withColumn("bucket", F.explode(F.sequence(day(F.col("prediction_time")), day(F.col("evaluation_time")))))
-    tests = spread(event_intervals(test)).select("bucket", "prediction_time", "evaluation_time")
-    order = Window.partitionBy("bucket").orderBy("prediction_time", "evaluation_time")
-    reach = F.max("evaluation_time").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    tests = tests.withColumn("new", F.when(F.col("prediction_time") <= reach, 0).otherwise(1)).withColumn("island", F.sum("new").over(order))
-    tests = tests.groupBy("bucket", "island").agg(F.min("prediction_time").alias("low"), F.max("evaluation_time").alias("high")).drop("island")
-    rows = spread(event_intervals(train)).join(tests, "bucket")
-    hit = rows.filter(_overlaps(F.col("prediction_time"), F.col("evaluation_time"), F.col("low"), F.col("high")))
-    return hit.select(*train.columns).distinct()
+    n = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ends = event_intervals(train).select(F.col("evaluation_time").alias("_moment"), F.lit(1).alias("_kind"), F.col("prediction_time").alias("_low"), F.struct(*train.columns).alias("_row"))
+    starts = event_intervals(test).select(F.col("prediction_time").alias("_moment"), F.lit(0).alias("_kind"), F.col("evaluation_time").alias("_reach"))
+    # the number tells rows of one moment apart, so that no range must take all of them
+    sweep = starts.unionByName(ends, allowMissingColumns=True).withColumn("_nth", F.monotonically_increasing_id())
+    sweep = written(written(sweep, "leak-rows").repartitionByRange(n, "_moment", "_kind", "_nth").withColumn("_range", F.spark_partition_id()), "leak-ranges")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = sweep.groupBy("_range").agg(F.max("_reach").alias("_most")).select("_range", F.max("_most").over(before).alias("_carried"))  # one row for each range
+    upto = Window.partitionBy("_range").orderBy("_moment", "_kind", "_nth").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    swept = sweep.join(F.broadcast(carried), "_range").withColumn("_latest", F.greatest("_carried", F.max("_reach").over(upto)))
+    return swept.filter("_kind = 1 AND _latest >= _low").select("_row.*")
 
 
 def lineage_integrity(predictions: DataFrame, snapshots: DataFrame) -> DataFrame:

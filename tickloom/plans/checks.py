@@ -11,9 +11,9 @@ from tickloom.operators import coverage as C
 from tickloom.operators import research as R
 from tickloom.operators import validation as V
 from tickloom.plans.feed import PACKETS_SQL, packets
-from tickloom.plans.market import _FEATURES, features
+from tickloom.plans.market import _FEATURES, BAR, features
 from tickloom.plans.master import MASTER, master
-from tickloom.plans.views import AS_OF, DAILY_SQL, TICKS_SQL, bars_sql, daily_bars, naive, ticks
+from tickloom.plans.views import AS_OF, DAILY_SQL, TICKS_SQL, bars_sql, checksum_sql, daily_bars, naive, ticks
 
 QUERIES, ORACLES = {}, {}
 
@@ -43,10 +43,10 @@ def _manifest(bars: DataFrame) -> DataFrame:
 @query(
     "source_profile",
     f"""WITH {DAILY_SQL} SELECT min(event_time)::DATE AS coverage_start, max(event_time)::DATE AS coverage_end, count(DISTINCT security_id) AS contract_count,
-    count(DISTINCT event_time::DATE) AS day_count, count(*) AS row_count FROM bars""",
+    count(DISTINCT event_time::DATE) AS day_count, count(*) AS row_count, {checksum_sql(event_time="time", **{c: "double" for c in ("open", "high", "low", "close")}, **{c: "" for c in BAR[6:] + ["security_id"]})} AS checksum FROM bars""",
 )
 def source_profile(spark, sf_dir):
-    return A.source_profile(daily_bars(spark, sf_dir)).drop("checksum")
+    return A.source_profile(daily_bars(spark, sf_dir).select(*BAR))
 
 
 _CHECKS = f"""{MASTER}, {DAILY_SQL}, audited AS (SELECT security_id, event_time, CASE WHEN trade_count % 10 = 9 THEN -volume ELSE volume END AS volume FROM bars
@@ -82,6 +82,25 @@ def audit_verdict(spark, sf_dir):
     return A.audit_verdict(_audit(spark, sf_dir), "vendor").drop("failures")
 
 
+@query(
+    "manifest_checks",
+    f"""WITH {MASTER}, m AS (SELECT s_suppkey AS k FROM supplier), c AS (SELECT k, k % 5 <> 0 AS zone, k % 7 <> 0 AS oi, k % 3 <> 0 AS rate, k % 4 <> 0 AS dst, k % 2 = 0 AS actions FROM m)
+    SELECT k AS manifest, zone AS timestamp_timezone_precision, oi AS oi_semantics, rate AS missing_minute_rate, k % 5 <> 0 AND dst AS timezone_ambiguity, actions AS corporate_action_handling FROM c""",
+)
+def manifest_checks(spark, sf_dir):
+    """Manifests that say different things, each of them judged on its own."""
+    from tickloom.session import table
+
+    k = F.col("s_suppkey")
+    says = {
+        "timezone": F.when(k % 5 != 0, "UTC"), "timestamp_precision": F.lit("second"), "oi_semantics": F.when(k % 7 != 0, "EOD").otherwise("unclear"),
+        "missing_minute_rate": F.when(k % 3 == 0, "300%").otherwise("3.5%"), "dst_policy": F.when(k % 4 != 0, "none"), "corporate_actions": F.when(k % 2 == 0, "true").otherwise("false"),
+    }
+    said = F.map_filter(F.create_map(*[x for name, value in says.items() for x in (F.lit(name), value)]), lambda _, v: v.isNotNull())
+    checks = A.manifest_lines(table(spark, sf_dir, "supplier").select(k.alias("manifest"), said.alias("metadata")))
+    return checks.select("manifest", "timestamp_timezone_precision", "oi_semantics", "missing_minute_rate", "timezone_ambiguity", "corporate_action_handling")
+
+
 @query(
     "sample_contracts",
     f"""WITH {MASTER}, p AS (SELECT security_id, symbol, row_number() OVER (ORDER BY security_id) - 1 AS position, count(*) OVER () AS n FROM master)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tickloom.operators.events import OUTCOMES
 from tickloom.plans.feed import ORACLES as ORACLES_FEED
 from tickloom.plans.feed import PACKETS_SQL, _sets, identified, packets
 from tickloom.plans.market import _FEATURES
@@ -230,6 +231,28 @@ def stream_route(spark, sf_dir):
     return both[0].unionByName(both[1])
 
 
+@query(
+    "stream_route_counters",
+    f"""WITH {PACKETS_SQL}, n AS (SELECT count(*) + count_if(seq % 4 = 0)::BIGINT AS received, count_if(decode_status = 'success')::BIGINT AS persisted,
+        count_if(decode_status <> 'success')::BIGINT AS quarantined, count_if(seq % 4 = 0)::BIGINT AS dropped FROM ids)
+    SELECT received, persisted, quarantined, 0::BIGINT AS queued, 0::BIGINT AS spooled, dropped, received = persisted + quarantined + dropped AS balanced FROM n""",
+)
+def stream_route_counters(spark, sf_dir):
+    """What the micro-batches of a routed stream with repeats observed, added up."""
+    base = f"{shared_dir(spark)}/tickloom/counted-{uuid.uuid4().hex}"
+    events = identified(spark, sf_dir).select("event_id", "seq", F.col("ts").alias("event_time"), "decode_status", F.col("payload").alias("decoded_payload"))
+    rows = events.unionByName(events.filter("seq % 4 = 0"))
+    rows.repartition(8).write.parquet(f"{base}/in")
+    source = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 3).parquet(f"{base}/in")
+    stream = stateless.counted_route(source, horizon="60 days")
+    done = stateless.run_to_end(stream, f"{base}/checkpoint", "append", each=stateless.route_batch(f"{base}/kept", f"{base}/failed"))
+    counts = [stateless.batch_counters(p) for p in done.recentProgress]  # a row for each micro-batch
+    names = ("received", *OUTCOMES)
+    per = spark.createDataFrame([tuple(c[n] for n in names) for c in counts], ", ".join(f"{n} long" for n in names))
+    sums = per.agg(*[F.sum(n).alias(n) for n in names])
+    return sums.withColumn("balanced", F.col("received") == sum((F.col(o) for o in OUTCOMES), F.lit(0)))
+
+
 @query(
     "stream_late",
     f"""WITH {TICKS_SQL} SELECT seq, CASE WHEN epoch_us(TIMESTAMP '{AS_OF}') // 1000000 - epoch_us(event_time) // 60000000 * 60 > 300 THEN 'late' ELSE 'kept' END AS sink FROM ticks""",

@@ -441,7 +441,11 @@ def build_contracts(spark, sf_dir):
         string_agg(e::VARCHAR, ',' ORDER BY symbol) AS expiries, sum(atm) AS atm_sum, sum(n)::INT AS contract_count FROM c""",
 )
 def universe(spark, sf_dir):
-    one = U.resolve_universe(_universe(spark, sf_dir), on())
+    return flat_universe(U.resolve_universe(_universe(spark, sf_dir), on()))
+
+
+def flat_universe(one: DataFrame) -> DataFrame:
+    """A snapshot without lists and maps."""
     total = F.aggregate(F.map_values("atm_strikes"), F.lit(0.0), lambda a, x: a + x)
     return one.select(
         "universe_snapshot_id", F.array_join("eligible", ",").alias("eligible"), F.array_join(F.map_values("expiry_dates"), ",").alias("expiries"), total.alias("atm_sum"), "contract_count"

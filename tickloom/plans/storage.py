@@ -13,10 +13,11 @@ from tickloom.operators import events as E
 from tickloom.operators import features as X
 from tickloom.operators import research as R
 from tickloom.operators import universe as U
+from tickloom.operators.order import global_position
 from tickloom.plans import master as M
 from tickloom.plans.feed import PACKETS_SQL, packets
 from tickloom.plans.market import BAR, features
-from tickloom.plans.views import AS_OF, DAILY_SQL, TICKS_SQL, daily_bars, naive, ticks
+from tickloom.plans.views import AS_OF, DAILY_SQL, TICKS_SQL, checksum_sql, daily_bars, naive, ticks
 from tickloom.session import shared_dir, table
 from tickloom.sources import tables as S
 
@@ -158,20 +159,24 @@ def vendor_range(spark, sf_dir):
     return naive(S.read_vendor_range(daily_bars(spark, sf_dir), contracts, day("2024-01-05"), day("2024-01-20")).select(*BAR), "event_time")
 
 
-@query("universe_saved", f"SELECT universe_snapshot_id, contract_count, eligible FROM ({M.ORACLES['universe']})")
+@query("universe_saved", M.ORACLES["universe"])
 def universe_saved(spark, sf_dir):
-    """A snapshot that is saved twice, and read back as the newest one."""
+    """A snapshot that is saved twice, and read back as the newest one with its lists and maps."""
     path = _fresh(spark, "universe")
     one = U.resolve_universe(M._universe(spark, sf_dir), M.on())
     S.save_universe_snapshot(one, path)
     S.save_universe_snapshot(one, path)
-    kept = S.latest_universe_snapshot(spark, path)
-    return kept.select("universe_snapshot_id", "contract_count", F.array_join("eligible", ",").alias("eligible"))
+    return M.flat_universe(S.latest_universe_snapshot(spark, path))
 
 
-@query("snapshot_load", "SELECT DATE '2024-02-01' AS snapshot_date, count(*) AS row_count, 'loaded' AS status FROM part")
+@query(
+    "snapshot_load",
+    f"""WITH {M.MASTER} SELECT DATE '2024-02-01' AS snapshot_date, count(*) AS row_count, {checksum_sql(**{c: "double" if c == "strike_price" else "" for c in M.COLUMNS})} AS checksum,
+    'loaded' AS status FROM master""",
+)
 def snapshot_load(spark, sf_dir):
-    return S.snapshot_log_row(M.master(spark, sf_dir), F.lit("2024-02-01").cast("date")).select("snapshot_date", "row_count", "status")
+    rows = M.master(spark, sf_dir).select(*M.COLUMNS)
+    return S.snapshot_log_row(rows, F.lit("2024-02-01").cast("date")).select("snapshot_date", "row_count", "checksum", "status")
 
 
 @query("manifest_lines", "SELECT event_type, count(*) AS n, min(ts)::VARCHAR AS first FROM events GROUP BY 1")
@@ -182,18 +187,23 @@ def manifest_lines(spark, sf_dir):
     return spark.read.schema("event_type string, n long, first string").json(path)
 
 
+_EVENTS = checksum_sql(event_id="", ts="", user_id="", event_type="", value="double", props="")
+
+
 @query(
     "fingerprints",
-    """SELECT count(*) AS rows, true AS same_shuffled, (SELECT count_if(event_id % 1000 = 0) FROM events) = 0 AS same_changed FROM events""",
+    f"""WITH e AS (SELECT * REPLACE (epoch_us(ts) AS ts) FROM events), c AS (SELECT * REPLACE (value + (event_id % 1000 = 0)::INT AS value) FROM e)
+    SELECT count(*) AS rows, {_EVENTS} AS checksum, {_EVENTS} AS shuffled, (SELECT {_EVENTS} FROM c) AS changed FROM e""",
 )
 def fingerprints(spark, sf_dir):
-    """The content's hash holds when rows and columns are dealt anew, and falls when a few values change."""
+    """The content's hashes when rows and columns are dealt anew, and when a few values change."""
     df = table(spark, sf_dir, "events")
     one, two = A.dataset_fingerprint(df), A.dataset_fingerprint(df.select(*reversed(df.columns)).repartition("event_type"))
     changed = A.dataset_fingerprint(df.withColumn("value", F.col("value") + (F.col("event_id") % 1000 == 0).cast("int")))
-    named = [d.select(F.struct("mixed", "summed", "rows").alias(n)) for d, n in ((one, "a"), (two, "b"), (changed, "c"))]
-    whole = named[0].join(F.broadcast(named[1])).join(F.broadcast(named[2]))  # one row each
-    return whole.select(F.col("a.rows").alias("rows"), (F.col("a") == F.col("b")).alias("same_shuffled"), (F.col("a") == F.col("c")).alias("same_changed"))
+    named = [d.select(F.struct("mixed", "summed", "checksum").alias(n)) for d, n in ((two, "b"), (changed, "c"))]
+    whole = one.join(F.broadcast(named[0])).join(F.broadcast(named[1]))  # one row each
+    same = (F.col("mixed") == F.col("b.mixed")) & (F.col("summed") == F.col("b.summed"))
+    return whole.select("rows", "checksum", F.when(same, F.col("b.checksum")).alias("shuffled"), F.col("c.checksum").alias("changed"))
 
 
 @query(
@@ -248,3 +258,33 @@ def model_input_iv(spark, sf_dir):
         "seq", (F.col("price") / 1000).alias("local_iv"), (v % 3 == 0).alias("converged"), F.when(v % 11 != 0, F.col("price") / 900).alias("provider_iv"), v.alias("age_s"), (v % 7 / 100).alias("spread")
     )
     return R.model_input_iv(rows, max_age_s=60, max_spread=0.03).select("seq", "iv", "iv_source")
+
+
+_SILVER = f"""{TICKS_SQL}, s AS (SELECT *, row_number() OVER (PARTITION BY security_id, event_time, price, volume ORDER BY seq) > 1 AS is_duplicate,
+    epoch(TIMESTAMP '{AS_OF}')::BIGINT - epoch_us(event_time) // 1000000 > 300 AS is_late, price <= 0 OR seq % 50 = 0 OR seq % 31 = 0 AS is_invalid FROM ticks)"""
+
+
+def _silver(spark, sf_dir) -> str:
+    """Ticks of which some have no price and some a negative volume, written as silver."""
+    path, t = _fresh(spark, "silver"), ticks(spark, sf_dir)
+    odd = t.withColumns({"price": F.when(F.col("seq") % 50 != 0, F.col("price")), "volume": F.when(F.col("seq") % 31 == 0, -1 - F.col("volume")).otherwise(F.col("volume"))})
+    S.write_silver(R.silver_flags(odd, F.lit(AS_OF)), path)
+    return path
+
+
+@query(
+    "silver_range",
+    f"""WITH {_SILVER} SELECT seq, security_id, event_time, is_duplicate, is_late, row_number() OVER (ORDER BY event_time, security_id, seq) - 1 AS position FROM s
+    WHERE NOT is_invalid AND event_time BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-12'""",
+)
+def silver_range(spark, sf_dir):
+    """Ticks of two days, of which alone the files are read, in the order of a replay."""
+    at = lambda d: F.lit(d).cast("timestamp")
+    found = S.read_silver(spark, _silver(spark, sf_dir), at("2024-01-10"), at("2024-01-12"))
+    placed = global_position(found, ["event_time", "security_id", "seq"])
+    return naive(placed.select("seq", "security_id", "event_time", "is_duplicate", "is_late", "position"), "event_time")
+
+
+@query("silver_quarantine", f"WITH {_SILVER} SELECT seq, security_id, event_time, is_late FROM s WHERE is_invalid")
+def silver_quarantine(spark, sf_dir):
+    return naive(S.read_silver_quarantine(spark, _silver(spark, sf_dir)).select("seq", "security_id", "event_time", "is_late"), "event_time")

@@ -61,3 +61,14 @@ DAILY_SQL = TICKS_SQL + "," + bars_sql(DAY)
 def naive(df: DataFrame, *columns: str) -> DataFrame:
     """Timestamps without a zone, as the SQL has them."""
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
+
+
+def checksum_sql(**columns: str) -> str:
+    """audit.content_checksum in SQL. columns: the kind of each column, as far as its text differs from a plain cast."""
+
+    def text(name: str, kind: str) -> str:
+        value = {"double": f"CASE WHEN isnan({name}) THEN 'nan' ELSE CAST({name} AS DECIMAL(28,6))::VARCHAR END", "time": f"epoch_us({name})::VARCHAR"}.get(kind, f"{name}::VARCHAR")
+        return f"coalesce({value}, '~')"
+
+    whole = ", ".join(text(n, k) for n, k in sorted(columns.items()))
+    return f"coalesce(sum(('0x' || substr(md5(concat_ws('|', {whole})), 1, 12))::BIGINT), 0)::VARCHAR"

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.functions.scalars import micros, utc_date
+from tickloom.operators.audit import content_checksum
 from tickloom.sources import schemas
 
 #: Columns of a vendor's instrument file and what they are called here.
@@ -106,30 +110,90 @@ def append_manifest(df: DataFrame, path: str) -> None:
 
 
 def save_universe_snapshot(snapshot: DataFrame, path: str) -> None:
-    """Append a snapshot unless its id is there already; lists and maps are stored as JSON."""
+    """Save the one row of a snapshot unless its id is there already; lists and maps are stored as JSON.
+
+    The row goes to a folder of this attempt, then a file named by the id is made to say which attempt counts. There is one
+    such file for each id and it is made once, so of writers that save one snapshot at the same time one row is left, and
+    what a failed one leaves is not read.
+    """
     spark = snapshot.sparkSession
     nested = [c for c, t in snapshot.dtypes if t.startswith(("array", "map"))]
     flat = snapshot.withColumns({c: F.to_json(c) for c in nested}).withColumn("created_at", F.current_timestamp())
+    attempt = uuid.uuid4().hex
+    flat.withColumn("attempt", F.lit(attempt)).write.mode("append").partitionBy("attempt").parquet(f"{path}/rows")
+    for row in spark.read.parquet(f"{path}/rows/attempt={attempt}").select("universe_snapshot_id").distinct().collect():
+        _made_once(spark, f"{path}/commits/{row[0]}", attempt)
+
+
+def _made_once(spark: SparkSession, file: str, text: str) -> bool:
+    """Make a file, unless it is there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(file)
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
     try:
-        held = spark.read.parquet(path).select("universe_snapshot_id")
-        flat = flat.join(held, "universe_snapshot_id", "left_anti")
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e):
+        out = fs.create(place, False)
+    except Py4JJavaError as e:
+        if "AlreadyExists" not in e.java_exception.getClass().getName():
             raise
-    flat.write.mode("append").parquet(path)
+        return False
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
+def universe_snapshots(spark: SparkSession, path: str) -> DataFrame:
+    """All saved snapshots with their lists and maps, one row for each id."""
+    counts = spark.read.text(f"{path}/commits").select(F.col("value").alias("attempt"), F.element_at(F.split("_metadata.file_path", "/"), -1).alias("universe_snapshot_id"))
+    kinds = {"eligible": "array<string>", "contracts": "array<string>", "expiry_dates": "map<string,string>", "atm_strikes": "map<string,double>"}
+    rows = spark.read.parquet(f"{path}/rows").withColumn("attempt", F.col("attempt").cast("string"))
+    return rows.join(counts, ["attempt", "universe_snapshot_id"], "left_semi").drop("attempt").withColumns({c: F.from_json(c, t) for c, t in kinds.items()})
 
 
 def latest_universe_snapshot(spark: SparkSession, path: str) -> DataFrame:
     """The newest snapshot with its lists and maps."""
-    newest = spark.read.parquet(path).orderBy(F.desc("created_at"), "universe_snapshot_id").limit(1)
-    kinds = {"eligible": "array<string>", "contracts": "array<string>", "expiry_dates": "map<string,string>", "atm_strikes": "map<string,double>"}
-    return newest.withColumns({c: F.from_json(c, t) for c, t in kinds.items()})
+    return universe_snapshots(spark, path).orderBy(F.desc("created_at"), "universe_snapshot_id").limit(1)
+
+
+def write_silver(flagged: DataFrame, path: str) -> None:
+    """Write ticks with the marks of research.silver_flags: valid ones to one folder in the order of event_time, security_id
+    and seq, invalid ones to another, in the same pass; and an index of the valid files.
+
+    Ranges of that order are written by one task each and sorted inside, so a file holds a span of time, which the index
+    names (file, low, high, n_rows), and readers of a span open its files alone.
+    """
+    order = ["event_time", "security_id", "seq"]
+    sink = F.when(F.col("is_invalid"), "quarantine").otherwise("silver")
+    rows = flagged.withColumn("sink", sink).repartitionByRange(*order).sortWithinPartitions("sink", *order)
+    rows.write.partitionBy("sink").parquet(f"{path}/rows")
+    files = _silver(flagged.sparkSession, path, flagged.schema, "silver").groupBy(F.col("_metadata.file_path").alias("file"))
+    files.agg(F.min("event_time").alias("low"), F.max("event_time").alias("high"), F.count("*").alias("n_rows")).coalesce(1).write.parquet(f"{path}/index")
+
+
+def _silver(spark: SparkSession, path: str, schema, sink: str) -> DataFrame:
+    """Rows of one sink; none if nothing went there."""
+    return spark.read.schema(schema.add("sink", "string") if "sink" not in schema.names else schema).parquet(f"{path}/rows").filter(F.col("sink") == sink)
+
+
+def silver_files(spark: SparkSession, path: str, low: Column, high: Column) -> list[str]:
+    """Files that can hold ticks from low to high."""
+    index = spark.read.schema("file string, low timestamp, high timestamp, n_rows long").parquet(f"{path}/index")
+    return sorted(r["file"] for r in index.filter((F.col("high") >= low) & (F.col("low") <= high)).select("file").collect())
+
+
+def read_silver(spark: SparkSession, path: str, low: Column, high: Column) -> DataFrame:
+    """Valid ticks from low to high, both included; files of other times are not opened."""
+    whole = spark.read.parquet(f"{path}/rows").drop("sink")
+    files = silver_files(spark, path, low, high)
+    some = spark.read.schema(whole.schema).parquet(*files) if files else whole.limit(0)
+    return some.filter(F.col("event_time").between(low, high))
+
+
+def read_silver_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/rows").filter("sink = 'quarantine'").drop("sink")
 
 
 def snapshot_log_row(df: DataFrame, date: Column, status: str = "loaded") -> DataFrame:
-    """One row for the log of loads: rows and an order-free checksum."""
-    h = F.bit_xor(F.xxhash64(*sorted(df.columns)))
-    return df.agg(F.count("*").alias("row_count"), h.cast("string").alias("checksum")).select(
+    """One row for the log of loads: rows and content_checksum."""
+    return df.agg(F.count("*").alias("row_count"), content_checksum(df).alias("checksum")).select(
         date.alias("snapshot_date"), F.current_timestamp().alias("loaded_at"), "row_count", "checksum", F.lit(status).alias("status")
     )
 

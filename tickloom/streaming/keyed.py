@@ -22,9 +22,8 @@ _NAMES = [c.split()[0] for c in (*_VALUES, *_MOMENTS)]
 BARS = "kind string, security_id long, event_time timestamp, seq long, " + ", ".join(_VALUES)
 
 
-def _plain(x):
-    """A value for Spark: NumPy numbers as Python's, missing ones as None."""
-    return None if x is None or x != x else x.item() if isinstance(x, np.generic) else x
+def _number(x):
+    return x.item() if isinstance(x, np.generic) else x
 
 
 class BarState(StatefulProcessor):
@@ -73,17 +72,17 @@ class BarState(StatefulProcessor):
     def _add(self, bar: dict, f: pd.DataFrame) -> None:
         """Ticks of one frame, folded in by columns."""
         at, seq = f["event_time"].to_numpy().astype("datetime64[us]").astype(np.int64), f["seq"].to_numpy()
-        for column, names, some in (("price", ("open", "close", "high", "low"), f["price"].notna()), ("oi", ("oi_open", "oi_close", "oi_high", "oi_low"), f["oi"].notna())):
-            rows = np.flatnonzero(some.to_numpy())
+        for column, names in (("price", ("open", "close", "high", "low")), ("oi", ("oi_open", "oi_close", "oi_high", "oi_low"))):
+            value = f[column].to_numpy(np.float64 if column == "price" else None)
+            rows = np.flatnonzero(pd.notna(value))
             if not len(rows):
                 continue
             ordered = rows[np.lexsort((seq[rows], at[rows]))]
-            value = f[column].to_numpy()
             for name, i, earlier in ((names[0], ordered[0], True), (names[1], ordered[-1], False)):
                 moment, held = (int(at[i]), int(seq[i])), (bar[f"{name}_at"], bar[f"{name}_seq"])
                 if held[0] is None or (moment < held) == earlier:
-                    bar[name], (bar[f"{name}_at"], bar[f"{name}_seq"]) = value[i].item(), moment
-            high, low = value[rows].max().item(), value[rows].min().item()
+                    bar[name], (bar[f"{name}_at"], bar[f"{name}_seq"]) = _number(value[i]), moment
+            high, low = _number(value[rows].max()), _number(value[rows].min())
             bar[names[2]] = high if bar[names[2]] is None else max(bar[names[2]], high)
             bar[names[3]] = low if bar[names[3]] is None else min(bar[names[3]], low)
             if column == "oi":
@@ -99,7 +98,7 @@ class BarState(StatefulProcessor):
     def _out(self, kind: str, security_id: int, times, seqs, bar: dict) -> pd.DataFrame:
         n = len(times)
         columns = {"kind": [kind] * n, "security_id": [security_id] * n, "event_time": list(times), "seq": list(seqs)}
-        return pd.DataFrame(columns | {c.split()[0]: [_plain(bar.get(c.split()[0]))] * n for c in _VALUES}).astype({"seq": "Int64"} | {c.split()[0]: "Int64" for c in _VALUES if not c.endswith("double")})
+        return pd.DataFrame(columns | {c: [bar.get(c)] * n for c in _NAMES[: len(_VALUES)]}, dtype=object)
 
 
 def stream_revised_bars(ticks: DataFrame, interval_s: int = 60, lateness_s: int = 300, grace_s: int = 300) -> DataFrame:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from tickloom.operators.bars import bar_aggregates, drop_late
-from tickloom.operators.events import ready_flags, route_by_status
+from tickloom.operators.events import OUTCOMES, ready_flags, route_by_status
 
 def stream_bars(ticks: DataFrame, interval: str = "1 minute", lateness: str = "5 minutes") -> DataFrame:
     """Tumbling bars of a stream of ticks; use update mode. Late ticks re-emit their bar until the watermark drops it."""
@@ -53,6 +54,48 @@ def route_batch(kept_path: str, quarantine_path: str):
     return run
 
 
+def counted_route(events: DataFrame, time_col: str = "event_time", horizon: str = "1 hour") -> DataFrame:
+    """stream_dedup of events, which counts what comes in (received) and what route_batch will keep (persisted) or not
+    (quarantined) as observed metrics of each micro-batch."""
+    ok = F.coalesce((F.col("decode_status") == "success") & F.col("decoded_payload").isNotNull(), F.lit(False))
+    once = stream_dedup(events.observe("came", F.count("*").alias("received")), time_col, horizon)
+    return once.observe("went", F.count_if(ok).alias("persisted"), F.count_if(~ok).alias("quarantined"))
+
+
+def batch_counters(progress) -> dict[str, int]:
+    """Counters of one micro-batch of counted_route from its progress; dropped: repeats that the state turned away."""
+    seen = {k: v or 0 for row in progress.observedMetrics.values() for k, v in row.asDict().items()}
+    dropped = sum(int(s.customMetrics.get("numDroppedDuplicateRows", 0)) for s in progress.stateOperators)
+    return {"batch": progress.batchId} | {c: seen.get(c, 0) for c in ("received", "persisted", "quarantined")} | {"queued": 0, "spooled": 0, "dropped": dropped}
+
+
+class RouteCounters(StreamingQueryListener):
+    """Sums of batch_counters over all micro-batches of a running query, for a session's listeners; balanced says whether all
+    that was received is accounted for."""
+
+    def __init__(self):
+        self.batches, self.sums = 0, dict.fromkeys(("received", *OUTCOMES), 0)
+
+    @property
+    def balanced(self) -> bool:
+        return self.sums["received"] == sum(self.sums[o] for o in OUTCOMES)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self.batches += 1
+        for name, n in batch_counters(event.progress).items():
+            if name in self.sums:
+                self.sums[name] += n
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
 def late_batch(kept_path: str, late_path: str, as_of: Column, window_s: int = 300, interval_s: int = 60):
     """A foreachBatch function that writes ticks in time to one table and late ones to another; a batch that is run again
     overwrites its own folder."""
