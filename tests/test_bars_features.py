@@ -160,6 +160,6 @@ def test_parity_and_available_time(spark):
     df = spark.createDataFrame([(1, 0, 1.0, None), (1, 60, 2.0, 3.0)], "security_id long, t long, a double, b double").withColumn("event_time", F.timestamp_seconds("t"))
     off = df.withColumn("a", F.col("a") + F.when(F.col("t") == 60, 1e-6).otherwise(0.0)).withColumn("b", F.lit(3.0))
     got = {r["feature"]: tuple(r)[1:] for r in X.feature_parity(df, off, ["a", "b"]).collect()}
-    assert got == {"a": (2, 0, 1, 0), "b": (2, 0, 0, 1)}
+    assert got == {"a": (2, 0, 1, 0, 0), "b": (2, 0, 0, 1, 1)}
     assert X.causal_filter(df, F.timestamp_seconds(F.lit(61))).count() == 1
     assert X.causal_filter(df, F.timestamp_seconds(F.lit(60))).count() == 0

@@ -10,7 +10,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickloom.operators import audit as A
+from tickloom.operators import instruments as I
 from tickloom.operators import research as R
+from tickloom.operators import universe as U
 from tickloom.operators import validation as V
 from tickloom.sources import tables as S
 from tickloom.streaming import stateless
@@ -125,3 +127,31 @@ def test_route_counters_balance(spark, tmp_path):
     batches = [stateless.batch_counters(p) for p in done.recentProgress]
     assert (sum(b["persisted"] for b in batches), sum(b["quarantined"] for b in batches), sum(b["dropped"] for b in batches)) == (kept, failed, 20)
     assert kept + failed == 40 and listener.balanced and listener.sums["received"] == 60 and listener.batches == len(batches) >= 4
+
+
+def test_replays_differ_by_rows_and_repeats(spark):
+    a = spark.createDataFrame([(1, "x"), (1, "x"), (2, None)], "k int, v string")
+    b = spark.createDataFrame([("x", 1), (None, 2), ("y", 3)], "v string, k int")
+    assert tuple(stateless.replay_difference(a, b).first()) == (3, 3, 1, 1)
+    assert tuple(stateless.replay_difference(a, a.repartition(2)).first()) == (3, 3, 0, 0)
+
+
+def test_segments_start_anew(spark):
+    rows = [(1, i, 100.0 if i < 2 else 200.0, 10.0 + i, 10, 4 + i) for i in range(4)]
+    df = spark.createDataFrame(rows, "slot int, event_time int, strike double, close double, volume long, oi_close long").withColumns({"high": F.col("close"), "low": F.col("close")})
+    got = [(r["rolling_segment_id"], r["oi_change"], r["vwap"]) for r in R.segment_features(df).orderBy("event_time").collect()]
+    assert got == [(0, None, 10.0), (0, 0.25, 10.5), (1, None, 12.0), (1, 1 / 6, 12.5)]
+
+
+def test_intervals_of_rows(spark):
+    rows = [(1, "OPTSTK", "a", 10.0), (2, "OPTSTK", "a", 25.0), (3, "EQUITY", "a", 0.0), (4, "OPTSTK", "b", 5.0), (5, "OPTSTK", "c", 0.0), (6, "OPTIDX", None, 5.0)]
+    df = spark.createDataFrame(rows, "security_id int, instrument_type string, symbol string, strike_price double").withColumn("expiry_date", F.lit("2024-01-25").cast("date"))
+    assert {r["security_id"]: r["strike_interval"] for r in I.with_strike_interval(df).collect()} == {1: 15.0, 2: 15.0, 3: 0.0, 4: 10.0, 5: 0.0, 6: 0.0}
+
+
+def test_strike_is_kept_by_its_share_of_the_least_gap(spark):
+    keys = {"symbol": F.lit("X"), "expiry_date": F.lit("2024-01-25").cast("date")}
+    strikes = spark.createDataFrame([(100.0,), (105.0,), (125.0,)], "strike double").withColumns(keys)
+    for new, old, ratio, want in [(105.0, 100.0, 0.5, 105.0), (105.0, 100.0, 1.5, 100.0), (125.0, 100.0, 5.0, 125.0), (125.0, 100.0, 5.5, 100.0), (105.0, 110.0, 9.0, 105.0)]:
+        atm, before = (spark.createDataFrame([(x, x)], "spot double, atm double").withColumns(keys) for x in (new, old))
+        assert U.keep_atm(atm, before, strikes, ratio=ratio).first()["atm"] == want

@@ -75,6 +75,31 @@ def test_guarded_train_needs_controls(spark, rows):
     found = T.guarded_train(split, FEATURES, folds=2, trees=3, depth=2, patience=1, controls=metrics(spark))[1].first()
     assert found["negative_control_passed"] is True and 1 <= found["trees"] <= 3 and found["max_depth"] == 2
     assert found["train_rows"] < 400
+    assert (found["dataset_ids"], found["dataset_roles"], found["early_stopping_dataset"]) == (["d-early_stopping", "d-train"], ["early_stopping", "train"], ["d-early_stopping"])
+    assert {f for f in T.MANIFEST if found[f] is None} == {"feature_version", "label_version", "embargo", "study_id", "git_commit"} and found["guardian_status"] == "passed"
+    assert (found["splitter"], found["purge"], found["best_iteration"]) == ("purged_kfold(2)", "1800s", found["trees"]) and len(found["data_hash"]) > 5
+    with pytest.raises(ValueError, match="colour"):
+        T.training_manifest(split, FEATURES, colour="red")
+
+
+def test_a_study_must_not_see_the_vault(spark, rows):
+    split = rows.selectExpr("*", "CASE WHEN row_id < 400 THEN 'train' WHEN row_id < 480 THEN 'early_stopping' ELSE 'final_vault' END AS role").selectExpr("*", "concat('d-', role) AS dataset_id")
+    with pytest.raises(V.LeakageError, match="study s1"):
+        T.guarded_train(split, FEATURES, controls=metrics(spark), study_id="s1")
+    with pytest.raises(V.LeakageError, match="training must not hold d-final_vault"):
+        T.guarded_train(split, FEATURES, controls=metrics(spark))
+
+
+def test_roles_name_some_datasets_and_count_all(spark):
+    df = spark.range(30).selectExpr("concat('d', lpad(id, 2, '0')) AS dataset_id", "CASE WHEN id < 20 THEN 'final_vault' WHEN id = 20 THEN NULL ELSE 'train' END AS role")
+    with pytest.raises(V.LeakageError, match="d00, d01, d02 and 18 more"):
+        V.assert_roles(df, "training", named=3)
+
+
+def test_medians_over_seeds(spark):
+    df = spark.createDataFrame([("a", s, x, x / 2, -x) for s, x in enumerate([0.1, 0.9, 0.4])] + [("b", 0, 0.2, 0.2, 0.2)], "k string, seed int, accuracy double, balanced_accuracy double, mcc double")
+    got = {r["k"]: tuple(r)[1:] for r in V.median_metrics(df, ("k",)).collect()}
+    assert got == {"a": (3, 0.4, 0.2, -0.4), "b": (1, 0.2, 0.2, 0.2)}
 
 
 def test_query_gives_controls_and_surveyed_sizes(spark, monkeypatch):

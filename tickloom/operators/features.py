@@ -125,23 +125,27 @@ def causal_filter(features: DataFrame, decision: Column, bar_s: int = 60, delay_
 
 
 def feature_parity(a: DataFrame, b: DataFrame, columns: list[str], atol: float = 1e-10, rtol: float = 1e-8) -> DataFrame:
-    """For each column: rows in both, rows in one alone, values that differ, and nulls on one side alone."""
+    """For each column: rows in both, rows in one alone, values that differ, nulls on one side alone, and securities whose first
+    valid row is not the same one. Counts are made for each security first."""
     keys = ["security_id", "event_time"]
     left = a.select(*keys, *[F.col(c).alias(f"a_{c}") for c in columns], F.lit(1).alias("in_a"))
     right = b.select(*keys, *[F.col(c).alias(f"b_{c}") for c in columns], F.lit(1).alias("in_b"))
     both = left.join(right, keys, "full")
     paired = F.col("in_a").isNotNull() & F.col("in_b").isNotNull()
-    counts = []
+    counts, totals = [F.count_if(paired).alias("rows"), F.count_if(~paired).alias("unpaired")], []
     for c in columns:
         x, y = F.col(f"a_{c}"), F.col(f"b_{c}")
-        off = F.abs(x - y) > atol + rtol * F.abs(y)
-        counts.append(
+        first = lambda v: F.min(F.when(v.isNotNull(), F.col("event_time")))
+        counts += [
+            F.count_if(paired & (F.abs(x - y) > atol + rtol * F.abs(y))).alias(f"differ_{c}"),
+            F.count_if(paired & (x.isNull() != y.isNull())).alias(f"nulls_{c}"),
+            (~first(x).eqNullSafe(first(y))).cast("long").alias(f"first_{c}"),
+        ]
+        total = lambda name: F.coalesce(F.sum(name), F.lit(0))
+        totals.append(
             F.struct(
-                F.lit(c).alias("feature"),
-                F.count_if(paired).alias("rows"),
-                F.count_if(~paired).alias("unpaired"),
-                F.count_if(paired & off).alias("differ"),
-                F.count_if(paired & (x.isNull() != y.isNull())).alias("null_differ"),
+                F.lit(c).alias("feature"), total("rows").alias("rows"), total("unpaired").alias("unpaired"), total(f"differ_{c}").alias("differ"),
+                total(f"nulls_{c}").alias("null_differ"), total(f"first_{c}").alias("first_differ"),
             ).alias(c)
-        )
-    return both.agg(*counts).select(F.inline(F.array(*columns)))
+        )
+    return both.groupBy("security_id").agg(*counts).agg(*totals).select(F.inline(F.array(*columns)))

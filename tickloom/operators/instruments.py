@@ -67,6 +67,12 @@ def strike_interval(df: DataFrame) -> DataFrame:
     return counts.groupBy("symbol", "expiry_date").agg(F.coalesce(best, F.lit(10.0)).alias("strike_interval"))
 
 
+def with_strike_interval(df: DataFrame) -> DataFrame:
+    """df with strike_interval: that of an option's symbol and expiry, 0 for what is no option or has no known strike beside it."""
+    found = df.join(strike_interval(df), ["symbol", "expiry_date"], "left")
+    return found.withColumn("strike_interval", F.when(F.col("instrument_type").isin(*OPTIONS), F.coalesce("strike_interval", F.lit(0.0))).otherwise(F.lit(0.0)))
+
+
 def snapshot_diff(old: DataFrame, new: DataFrame, key: str = "security_id") -> DataFrame:
     """Keys that were added, removed or updated, by a checksum of DIFFED columns that both tables have."""
     columns = tuple(c for c in DIFFED if c in old.columns and c in new.columns)

@@ -22,6 +22,22 @@ def rolling_segments(df: DataFrame, slot: str = "slot", strike: str = "strike",
     return df.withColumn("returns", F.when(before != 0, (F.col(value) - before) / before))
 
 
+def segment_features(df: DataFrame, slot: str = "slot", strike: str = "strike", time_col: str = "event_time") -> DataFrame:
+    """rolling_segments with oi_change (to the bar before) and vwap (of the segment so far), which start anew in each segment
+    too. df: slot, strike, time_col, high, low, close, volume, oi_close."""
+    found = rolling_segments(df, slot, strike, time_col)
+    order = Window.partitionBy(slot, "rolling_segment_id").orderBy(time_col)
+    so_far, before = order.rowsBetween(Window.unboundedPreceding, Window.currentRow), F.lag("oi_close").over(order)
+    typical = (F.col("high") + F.col("low") + F.col("close")) / 3
+    volume = F.sum("volume").over(so_far)
+    return found.withColumns(
+        {
+            "oi_change": F.when(before != 0, (F.col("oi_close") - before) / before),
+            "vwap": F.when(volume == 0, F.lit(0.0)).otherwise(F.sum(typical * F.col("volume")).over(so_far) / volume),
+        }
+    )
+
+
 def silver_flags(ticks: DataFrame, as_of, window_s: int = 300) -> DataFrame:
     """Mark repeats of (security_id, event_time, price, volume), late ticks, and those without a proper price or time."""
     again = Window.partitionBy("security_id", "event_time", "price", "volume").orderBy("seq")

@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 
 from tickloom.operators.research import calibration_error, path_performance
 from tickloom.operators.validation import purged_kfold
+from tickloom.session import written
 
 EULER = 0.5772156649015329
 #: What a candidate must show (a number of at least, above or at most a limit), and where a probability of
@@ -32,11 +33,11 @@ def overfit_splits(returns: DataFrame, blocks: int = 8) -> DataFrame:
     multiplied by the splits (70 for 8 blocks) does not grow with the rows. Trials without two different values in a half
     have no ratio there and don't count in that split. Equal ratios inside: the greater trial.
     """
-    low, high = returns.agg(F.min(F.unix_seconds("event_time")), F.max(F.unix_seconds("event_time"))).first()
-    low, high = low or 0, high or 0
-    block = F.floor((F.unix_seconds("event_time") - low) * blocks / F.lit(high - low + 1)).cast("int")
+    t = F.unix_seconds("event_time")
+    span = returns.agg(F.min(t).alias("_low"), (F.max(t) - F.min(t) + 1).alias("_length"))
+    block = F.floor((t - F.col("_low")) * blocks / F.col("_length")).cast("int")
     v = F.col("value")
-    sums = returns.groupBy("trial", block.alias("block")).agg(F.count("value").alias("n"), F.sum(v).alias("s"), F.sum(v * v).alias("q"))
+    sums = returns.join(F.broadcast(span)).groupBy("trial", block.alias("block")).agg(F.count("value").alias("n"), F.sum(v).alias("s"), F.sum(v * v).alias("q"))
     ways = [(i, b, b in chosen) for i, chosen in enumerate(combinations(range(blocks), blocks // 2)) for b in range(blocks)]
     ways = returns.sparkSession.createDataFrame(ways, "split int, block int, inside boolean")  # set by blocks alone
 
@@ -85,7 +86,7 @@ def deflated_sharpe(returns: DataFrame, target: float = 0.0, confidence: float =
     per = returns.groupBy("trial").agg(
         F.count("value").alias("n"), F.avg("value").alias("m"), F.stddev_samp("value").alias("sd"), F.skewness("value").alias("skew"), (F.kurtosis("value") + 3).alias("kurtosis")
     )
-    per = per.withColumn("sharpe", F.when(F.col("sd") > 0, F.col("m") / F.col("sd"))).drop("m", "sd")
+    per = written(per.withColumn("sharpe", F.when(F.col("sd") > 0, F.col("m") / F.col("sd"))).drop("m", "sd"), "trials")
     trials, variance = per.agg(F.count("*"), F.var_samp("sharpe")).first()
     luck = math.sqrt(variance or 0.0) * expected_best(trials)
     sr = F.col("sharpe")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+from datetime import datetime, timezone
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 from statistics import median
@@ -12,7 +14,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.operators.audit import dataset_fingerprint
+from tickloom.operators.audit import content_checksum
 from tickloom.operators.order import global_position
 from tickloom.operators.validation import (
     LeakageError,
@@ -26,6 +28,12 @@ from tickloom.session import written
 
 #: The controls that must all hold.
 CONTROLS = ("as_is", "label_shuffle", "noise_features", "duplicate_rows", "missing_values", "reversed_time")
+#: Fields of a training manifest that do not come from the rows.
+MANIFEST = {
+    "model_id": "string", "model_type": "string", "version": "string", "feature_version": "string", "label_version": "string", "splitter": "string", "purge": "string", "embargo": "string",
+    "study_id": "string", "best_iteration": "int", "guardian_status": "string", "git_commit": "string", "train_timestamp": "string", "negative_control_passed": "boolean",
+    "seed": "int", "trees": "int", "max_depth": "int",
+}
 #: Stands for a missing value in trees.
 MISSING = -1e300
 #: Models that are trained at the same time.
@@ -171,18 +179,38 @@ def _stopped_early(train: DataFrame, held: DataFrame, features: list[str], label
     return (model if best + 1 == rounds else _fit(train, features, label, seed, best + 1, depth, 0.05)), best + 1
 
 
+def training_manifest(df: DataFrame, features: list[str], **settings) -> DataFrame:
+    """One row that says what a model was trained on and how: the datasets of df (dataset_id, role) with their roles, the
+    early_stopping ones, the number and checksum of the train rows' labels and features, and what settings hold of the
+    other fields (MANIFEST); a field that is not given is null, and one that is none raises."""
+    unknown = settings.keys() - MANIFEST.keys()
+    if unknown:
+        raise ValueError(f"no fields of a manifest: {', '.join(sorted(unknown))}")
+    ids = df.groupBy("dataset_id", "role").agg(F.count("*").alias("n")).agg(
+        F.array_sort(F.collect_set("dataset_id")).alias("dataset_ids"), F.array_sort(F.collect_set("role")).alias("dataset_roles"),
+        F.array_sort(F.collect_set(F.when(F.col("role") == "early_stopping", F.col("dataset_id")))).alias("early_stopping_dataset"),
+    )  # fmt: skip  # a row for each dataset and role
+    train = df.filter("role = 'train'").select("label", *features)
+    content = train.agg(F.count("*").alias("train_rows"), content_checksum(train).alias("data_hash"))
+    given = {c: F.lit(settings.get(c)).cast(kind).alias(c) for c, kind in MANIFEST.items()}
+    return ids.join(F.broadcast(content)).select("*", F.lit(",".join(features)).alias("features"), *given.values())
+
+
 def guarded_train(
     df: DataFrame, features: list[str], folds: int = 5, purge_s: int = 1800, trees: int = 200, depth: int = 6, seed: int = 42,
-    controls: DataFrame | None = None, patience: int = 20, require_controls: bool = True,
+    controls: DataFrame | None = None, patience: int = 20, require_controls: bool = True, study_id: str | None = None, **settings,
 ):
     """Train boosted trees if every guard holds; else raise LeakageError. Returns the model and a manifest (one row).
 
     df: row_id, dataset_id, role, prediction_time, evaluation_time, label, features. Guards: roles of the training and the
     evaluation rows, proper event intervals, no train row of a purged fold that meets its test interval, no train row that
     meets an early_stopping one after those that do were purged, and passed negative controls (negative_controls of the
-    same rows), unless require_controls is switched off. Trees stop early on the early_stopping rows, after patience rounds
+    same rows), unless require_controls is switched off. A tuning study (study_id) must not see final_vault data, which is
+    looked for on its own. settings: further fields of the manifest (training_manifest). Trees stop early on the early_stopping rows, after patience rounds
     without a better one.
     """
+    if study_id is not None and not df.filter("role = 'final_vault'").isEmpty():
+        raise LeakageError(f"study {study_id} must not see final_vault data")
     assert_roles(df, "training")
     assert_roles(df.filter("role <> 'train'"), "eval_set")
     if controls is None and require_controls:
@@ -202,9 +230,11 @@ def guarded_train(
     purged = written(train.join(leaks.select("row_id"), "row_id", "left_anti"), "purged-train")
     model, rounds = _stopped_early(purged, held, features, "label", seed, trees, depth, patience)
     metrics = classification_metrics(_predict(model, held, features).select("prediction", "label"))
-    manifest = metrics.join(F.broadcast(dataset_fingerprint(purged.select("row_id", "label", *features)))).select(
-        F.lit("gbt").alias("model_type"), F.lit(seed).alias("seed"), F.lit(rounds).alias("trees"), F.lit(depth).alias("max_depth"),
-        F.lit(",".join(features)).alias("features"), F.col("rows").alias("train_rows"), F.concat_ws(":", F.col("mixed").cast("string"), "summed").alias("fingerprint"),
-        "accuracy", "balanced_accuracy", "mcc", F.lit(passed).cast("boolean").alias("negative_control_passed"),
-    )  # one row each
-    return model, manifest
+    settings |= {
+        "model_id": settings.get("model_id") or f"gbt-{uuid.uuid4().hex[:8]}", "model_type": "gbt", "version": f"spark-{df.sparkSession.version}", "splitter": f"purged_kfold({folds})",
+        "purge": f"{purge_s}s", "study_id": study_id, "best_iteration": rounds, "guardian_status": "passed" if require_controls else "controls not required",
+        "train_timestamp": datetime.now(timezone.utc).isoformat(), "negative_control_passed": passed, "seed": seed, "trees": rounds, "max_depth": depth,
+    }
+    seen = purged.select("dataset_id", "role", "label", *features).unionByName(held.select("dataset_id", "role", "label", *features))
+    manifest = training_manifest(seen, features, **settings).join(F.broadcast(metrics.select("accuracy", "balanced_accuracy", "mcc")))  # one row each
+    return model, written(manifest, "training-manifest")

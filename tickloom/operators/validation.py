@@ -18,14 +18,16 @@ class LeakageError(ValueError):
     """A guard found data that its purpose must not see."""
 
 
-def assert_roles(df: DataFrame, purpose: str) -> None:
+def assert_roles(df: DataFrame, purpose: str, named: int = 1000) -> None:
     """Raise LeakageError, naming dataset ids, if df (dataset_id, role) holds a role that purpose forbids, an unknown role,
-    or, as an eval_set, no early_stopping data. Only distinct (dataset_id, role) reach the driver."""
-    found = {(r["dataset_id"], r["role"]) for r in df.select("dataset_id", "role").distinct().collect()}
-    bad = sorted(str(d) for d, r in found if r not in ROLES or r in FORBIDDEN[purpose])
-    if bad:
-        raise LeakageError(f"{purpose} must not hold {', '.join(bad)}")
-    if purpose == "eval_set" and not any(r == "early_stopping" for _, r in found):
+    or, as an eval_set, no early_stopping data. At most so many ids reach the driver and are named; all are counted."""
+    known = [r for r in ROLES if r not in FORBIDDEN[purpose]]
+    bad = df.filter(~F.coalesce(F.col("role").isin(*known), F.lit(False))).select("dataset_id").distinct()
+    first = bad.orderBy("dataset_id").limit(named).collect()
+    if first:
+        more = bad.count() - len(first)
+        raise LeakageError(f"{purpose} must not hold {', '.join(str(r[0]) for r in first)}" + f" and {more} more" * (more > 0))
+    if purpose == "eval_set" and df.filter("role = 'early_stopping'").isEmpty():
         raise LeakageError("an eval_set needs early_stopping data")
 
 
@@ -137,3 +139,8 @@ def classification_metrics(df: DataFrame, by: tuple[str, ...] = (), prediction:
             "mcc": F.when(root > 0, (tp * tn - fp * fn) / root).otherwise(F.lit(0.0)),
         }
     )
+
+
+def median_metrics(metrics: DataFrame, by: tuple[str, ...] = (), names: tuple[str, ...] = ("accuracy", "balanced_accuracy", "mcc")) -> DataFrame:
+    """The median of each metric over the rows (seeds) of a group."""
+    return metrics.groupBy(*by).agg(F.count("*").alias("seeds"), *[F.percentile(n, F.lit(0.5)).alias(n) for n in names])

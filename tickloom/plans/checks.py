@@ -215,6 +215,23 @@ def classification_metrics(spark, sf_dir):
     return found.withColumns({c: F.round(c, 6) for c in ("accuracy", "balanced_accuracy", "mcc")})
 
 
+@query(
+    "seed_medians",
+    f"""{_LABELLED}, guess AS (SELECT security_id % 10 AS k, seed, (day(event_time) * seed + security_id) % 3 = 0 AS p, label = 1 AS y FROM labelled, (SELECT unnest([7, 19, 42, 73, 101]) AS seed)),
+    conf AS (SELECT k, seed, count_if(p AND y)::DOUBLE AS tp, count_if(NOT p AND NOT y)::DOUBLE AS tn, count_if(p AND NOT y)::DOUBLE AS fp, count_if(NOT p AND y)::DOUBLE AS fn FROM guess GROUP BY ALL),
+    met AS (SELECT k, (tp + tn) / (tp + tn + fp + fn) AS accuracy, (coalesce(tp / nullif(tp + fn, 0), 0) + coalesce(tn / nullif(tn + fp, 0), 0)) / 2 AS balanced_accuracy,
+        coalesce((tp * tn - fp * fn) / nullif(sqrt((tp + fp) * (tp + fn) * (tn + fp) * (tn + fn)), 0), 0) AS mcc FROM conf)
+    SELECT k, count(*) AS seeds, round(median(accuracy), 6) AS accuracy, round(median(balanced_accuracy), 6) AS balanced_accuracy, round(median(mcc), 6) AS mcc FROM met GROUP BY 1""",
+)
+def seed_medians(spark, sf_dir):
+    """Guesses of five seeds, measured for each tenth of the securities and seed, and their medians."""
+    seed = F.explode(F.array(*map(F.lit, (7, 19, 42, 73, 101))))
+    guessed = labelled(spark, sf_dir).select((F.col("security_id") % 10).alias("k"), "security_id", F.dayofmonth("event_time").alias("day"), "label", seed.alias("seed"))
+    guessed = guessed.withColumn("prediction", ((F.col("day") * F.col("seed") + F.col("security_id")) % 3 == 0).cast("int"))
+    found = V.median_metrics(V.classification_metrics(guessed, ("k", "seed")), ("k",))
+    return found.withColumns({c: F.round(c, 6) for c in ("accuracy", "balanced_accuracy", "mcc")})
+
+
 # -- research ---------------------------------------------------------------------------------------------------------
 
 _SLOTS = f"""WITH {DAILY_SQL}, s AS (SELECT security_id AS slot, event_time, close, round(close, -2) AS strike FROM bars),
@@ -232,6 +249,21 @@ def rolling_segments(spark, sf_dir):
     return naive(R.rolling_segments(slots).withColumn("returns", F.round("returns", 6)).drop("close"), "event_time")
 
 
+@query(
+    "segment_features",
+    f"""WITH {DAILY_SQL}, s AS (SELECT *, round(close, -2) AS strike FROM bars),
+    c AS (SELECT *, coalesce(strike <> lag(strike) OVER w, false) AS segment_boundary FROM s WINDOW w AS (PARTITION BY security_id ORDER BY event_time)),
+    g AS (SELECT *, (sum(segment_boundary::INT) OVER (PARTITION BY security_id ORDER BY event_time))::BIGINT AS segment FROM c)
+    SELECT security_id, event_time, segment AS rolling_segment_id, round((close - lag(close) OVER w) / nullif(lag(close) OVER w, 0), 6) AS returns,
+        round((oi_close - lag(oi_close) OVER w) / nullif(lag(oi_close) OVER w, 0), 6) AS oi_change,
+        round(coalesce(sum((high + low + close) / 3 * volume) OVER w / nullif(sum(volume) OVER w, 0), 0), 6) AS vwap
+    FROM g WINDOW w AS (PARTITION BY security_id, segment ORDER BY event_time)""",
+)
+def segment_features(spark, sf_dir):
+    found = R.segment_features(daily_bars(spark, sf_dir).withColumn("strike", F.round("close", -2)), slot="security_id")
+    return naive(found.select("security_id", "event_time", "rolling_segment_id", *[F.round(c, 6).alias(c) for c in ("returns", "oi_change", "vwap")]), "event_time")
+
+
 @query(
     "silver_flags",
     f"""WITH {TICKS_SQL} SELECT seq, row_number() OVER (PARTITION BY security_id, event_time, price, volume ORDER BY seq) > 1 AS is_duplicate,

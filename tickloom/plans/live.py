@@ -165,7 +165,17 @@ def stream_features(spark, sf_dir):
     return naive(found.withColumns({c: F.round(c, 6) for c in _SAME}), "event_time")
 
 
-@query("stream_atm")
+_SPOTS = f"""{TICKS_SQL}, k AS (SELECT DISTINCT security_id::VARCHAR AS symbol, round(price / 10) * 10 AS strike FROM ticks),
+s AS (SELECT security_id::VARCHAR AS symbol, event_time, price AS spot, row_number() OVER (PARTITION BY security_id ORDER BY event_time) AS n FROM ticks),
+near AS (SELECT s.*, (SELECT max_by(strike, (-abs(strike - spot), strike)) FROM k WHERE k.symbol = s.symbol) AS nearest FROM s),
+held AS (SELECT symbol, n, nearest AS atm FROM near WHERE n = 1
+    UNION ALL SELECT near.symbol, near.n, CASE WHEN abs(spot - held.atm) < 0.3 * held.atm THEN held.atm ELSE nearest END FROM held JOIN near ON near.symbol = held.symbol AND near.n = held.n + 1)"""
+
+
+@query(
+    "stream_atm",
+    f"""WITH RECURSIVE {_SPOTS} SELECT symbol, event_time, spot, atm, lag(atm) OVER (PARTITION BY symbol ORDER BY n) IS DISTINCT FROM atm AS changed FROM held JOIN near USING (symbol, n)""",
+)
 def stream_atm(spark, sf_dir):
     """Strikes of every tenth unit, listed first, and each tick as a spot price."""
     _stateful(spark)
@@ -180,7 +190,19 @@ def _group(n: int):
     return F.floor(F.col("security_id") / n).cast("string")
 
 
-@query("stream_atm_shifts")
+_CANDIDATES = f"""{TICKS_SQL}, c AS (SELECT (security_id // 10)::VARCHAR AS underlying, event_time, epoch_us(event_time) // 1000 AS ms, round(price / 50) * 50 AS new,
+    row_number() OVER (PARTITION BY security_id // 10 ORDER BY event_time) AS n FROM ticks),
+w AS (SELECT underlying, n, event_time, new, NULL::DOUBLE AS active, new AS pending, ms AS first, 0 AS seen, 'DETECTED' AS event FROM c WHERE n = 1
+    UNION ALL SELECT underlying, n, event_time, new, CASE WHEN kind = 'CONFIRMED' THEN new ELSE active END, CASE kind WHEN 'DETECTED' THEN new WHEN 'CONFIRMED' THEN NULL ELSE pending END,
+        CASE kind WHEN 'DETECTED' THEN ms ELSE first END, CASE kind WHEN 'DETECTED' THEN 0 WHEN 'same' THEN seen + 1 ELSE seen END, CASE WHEN kind IN ('DETECTED', 'CONFIRMED') THEN kind END
+    FROM (SELECT c.*, active, pending, first, seen, CASE WHEN c.new = active THEN 'none' WHEN pending IS NULL OR pending <> c.new AND NOT abs(c.new - pending) < abs(pending) / 2 THEN 'DETECTED'
+        WHEN pending <> c.new THEN 'none' WHEN seen + 1 >= 3 AND ms - first >= 2000 THEN 'CONFIRMED' ELSE 'same' END AS kind FROM w JOIN c ON c.underlying = w.underlying AND c.n = w.n + 1))"""
+
+
+@query(
+    "stream_atm_shifts",
+    f"WITH RECURSIVE {_CANDIDATES} SELECT underlying, event_time, 0.0::DOUBLE AS old_atm, new AS new_atm, event AS event_type FROM w WHERE event IS NOT NULL",
+)
 def stream_atm_shifts(spark, sf_dir):
     """Candidates are ticks' prices in steps of 50; ten neighbouring securities have one underlying."""
     _stateful(spark)
@@ -361,3 +383,25 @@ def decode_packets(spark, sf_dir):
         F.col("atp").cast("double").alias("atp"), "volume", "total_buy_qty", F.col("day_high").cast("double").alias("day_high"), "oi", F.col("prev_close").cast("double").alias("prev_close"), "prev_oi",
         F.when(F.col("depth").isNotNull(), F.size("depth")).alias("levels"), level(1, "bid").alias("best_bid"), level(-1, "ask").alias("last_ask"),
     )
+
+
+@query(
+    "replays_agree",
+    f"""WITH {TICKS_SQL} SELECT 2 * count(*) AS packets, 2 * count(*) AS again, 0::BIGINT AS first_alone, 0::BIGINT AS second_alone,
+        (SELECT count_if(seq % 100 = 0) FROM ticks)::BIGINT AS missed, (SELECT count_if(seq % 100 = 0) FROM ticks)::BIGINT AS changed FROM ticks""",
+)
+def replays_agree(spark, sf_dir):
+    """One capture replayed in one batch and in several, and once more with an open interest off in every hundredth frame."""
+    frames = written(_frames(spark, sf_dir).repartition(6), "frames")
+    path = frames.inputFiles()[0].rpartition("/")[0]
+    columns = ["websocket_message_id", "packet_offset", "packet_type", "security_id", "oi", "receive_ts_ns"]
+    runs = []
+    for at_once in (1000, 2):
+        source = spark.readStream.schema(frames.schema).option("maxFilesPerTrigger", at_once).parquet(path)
+        runs.append(_result(decode_frames(source).select(*columns), "replay"))
+    wrong = (F.col("websocket_message_id") % 100 == 0) & (F.col("packet_offset") == 1)
+    off = runs[1].withColumn("oi", F.when(wrong, F.col("oi") + 1).otherwise(F.col("oi")))
+    same, other = stateless.replay_difference(runs[0], runs[1]), stateless.replay_difference(runs[0], off)
+    return same.join(F.broadcast(other.select(F.col("first_alone").alias("missed"), F.col("second_alone").alias("changed")))).select(
+        F.col("first_rows").alias("packets"), F.col("second_rows").alias("again"), "first_alone", "second_alone", "missed", "changed"
+    )  # one row each

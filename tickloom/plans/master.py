@@ -97,6 +97,19 @@ def strike_interval(spark, sf_dir):
     return I.strike_interval(master(spark, sf_dir))
 
 
+@query(
+    "strike_interval_rows",
+    f"""WITH {MASTER}, s AS ({_STRIKES.format("master")}), g AS (
+        SELECT *, round(lead(strike) OVER (PARTITION BY symbol, expiry_date ORDER BY strike) - strike, 2) AS gap FROM s),
+    n AS (SELECT symbol, expiry_date, gap, count(*) AS n FROM g GROUP BY ALL),
+    r AS (SELECT *, row_number() OVER (PARTITION BY symbol, expiry_date ORDER BY gap IS NULL, n DESC, gap) AS k FROM n)
+    SELECT security_id, CASE WHEN instrument_type = 'OPTSTK' THEN coalesce(CASE WHEN r.k = 1 THEN coalesce(gap, 10.0) END, 0.0) ELSE 0.0 END::DOUBLE AS strike_interval
+    FROM master LEFT JOIN r ON r.symbol = master.symbol AND r.expiry_date = master.expiry_date AND r.k = 1""",
+)
+def strike_interval_rows(spark, sf_dir):
+    return I.with_strike_interval(master(spark, sf_dir)).select("security_id", "strike_interval")
+
+
 def _snapshots(spark, sf_dir):
     m = master(spark, sf_dir).drop("valid_from", "valid_to", "is_current")
     old = m.filter("security_id % 10 <> 0")
@@ -420,6 +433,21 @@ def atm_held(spark, sf_dir):
     return U.keep_atm(atm, before, strikes, spot_threshold=0.1)
 
 
+@query(
+    "atm_kept_by_ratio",
+    f"""WITH {_ATM}, b AS (SELECT symbol, expiry_date, max(strike) AS old FROM s WHERE (symbol, expiry_date) IN (SELECT (symbol, expiry_date) FROM atm) AND strike <=
+        (SELECT a.atm + 200 FROM atm a WHERE a.symbol = s.symbol AND a.expiry_date = s.expiry_date) GROUP BY ALL),
+    gaps AS (SELECT symbol, expiry_date, min(gap) AS gap FROM (SELECT *, lead(strike) OVER (PARTITION BY symbol, expiry_date ORDER BY strike) - strike AS gap FROM s) GROUP BY ALL)
+    SELECT symbol, expiry_date, spot, CASE WHEN abs(atm - old) < 12 * gap THEN old ELSE atm END AS atm FROM atm JOIN b USING (symbol, expiry_date) JOIN gaps USING (symbol, expiry_date)""",
+)
+def atm_kept_by_ratio(spark, sf_dir):
+    """As atm_held, but the strike before stays unless the shift is twelve of the least gaps between strikes or more."""
+    strikes = I.listed_options(master(spark, sf_dir), on())
+    atm = U.select_atm(strikes, _spot(spark, sf_dir))
+    before = strikes.join(atm, ["symbol", "expiry_date"]).filter("strike <= atm + 200").groupBy("symbol", "expiry_date").agg(F.max("strike").alias("atm"))
+    return U.keep_atm(atm, before, strikes, ratio=12.0)
+
+
 _UNIVERSE = f"""{_AROUND}, {MEMBERSHIP}, first AS (SELECT symbol, min(expiry_date) AS expiry_date FROM listed WHERE instrument_type = 'OPTSTK' AND expiry_date >= DATE '{ON}' GROUP BY 1),
     universe AS (SELECT 'NSE' AS exchange, symbol, expiry_date, atm, strike AS strike_price, unnest(['CE', 'PE']) AS option_type FROM around JOIN first USING (symbol, expiry_date)
         WHERE places BETWEEN -5 AND 5 AND symbol IN (FROM members)), keyed AS (SELECT *, {_KEY} AS contract_key FROM universe)"""

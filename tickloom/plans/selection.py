@@ -61,7 +61,7 @@ def overfit_probability(spark, sf_dir):
 
 _DSR = f"""dev AS (SELECT trial, count(value) AS n, avg(value) AS m, stddev_samp(value) AS sd FROM r GROUP BY 1),
 mom AS (SELECT trial, any_value(n) AS n, any_value(m / sd) AS sharpe, avg((value - m) ** 2) AS m2, avg((value - m) ** 3) AS m3, avg((value - m) ** 4) AS m4 FROM r JOIN dev USING (trial) GROUP BY 1),
-ratios AS (SELECT trial, n, sharpe, m3 / m2 ** 1.5 AS skew, m4 / m2 ** 2 AS kurtosis, count(*) OVER () AS trials, sqrt(var_samp(sharpe) OVER ()) * {S.expected_best(TRIALS)!r}::DOUBLE AS lucky_sharpe,
+ratios AS (SELECT trial, n, sharpe, m3 / m2 ** 1.5 AS skew, m4 / m2 ** 2 AS kurtosis, count(*) OVER () AS trials, sqrt(var_samp(sharpe) OVER ()) * 1.57459830134575::DOUBLE AS lucky_sharpe,
     1 - skew * sharpe + (kurtosis - 1) / 4 * sharpe * sharpe AS spread FROM mom),
 z AS (SELECT *, (sharpe - lucky_sharpe) * sqrt(n - 1) / sqrt(spread) AS z, 1 / (1 + 0.2316419::DOUBLE * abs(z)) AS t FROM ratios),
 d AS (SELECT *, exp(-z * z / 2) / sqrt(2 * pi()) * t * (0.319381530::DOUBLE + t * (-0.356563782::DOUBLE + t * (1.781477937::DOUBLE + t * (-1.821255978::DOUBLE + t * 1.330274429::DOUBLE)))) AS upper,

@@ -12,11 +12,12 @@ from tickloom.operators import bars as B
 from tickloom.operators import events as E
 from tickloom.operators import features as X
 from tickloom.operators import research as R
+from tickloom.operators import training as T
 from tickloom.operators import universe as U
 from tickloom.operators.order import global_position
 from tickloom.plans import master as M
 from tickloom.plans.feed import PACKETS_SQL, packets
-from tickloom.plans.market import BAR, features
+from tickloom.plans.market import _FEATURES, BAR, FEATURES, features
 from tickloom.plans.views import AS_OF, DAILY_SQL, TICKS_SQL, checksum_sql, daily_bars, naive, ticks
 from tickloom.session import shared_dir, table
 from tickloom.sources import tables as S
@@ -179,12 +180,25 @@ def snapshot_load(spark, sf_dir):
     return S.snapshot_log_row(rows, F.lit("2024-02-01").cast("date")).select("snapshot_date", "row_count", "checksum", "status")
 
 
-@query("manifest_lines", "SELECT event_type, count(*) AS n, min(ts)::VARCHAR AS first FROM events GROUP BY 1")
+@query(
+    "manifest_lines",
+    f"""WITH {DAILY_SQL}, d AS (SELECT *, CASE WHEN day(event_time) <= 20 THEN 'train' ELSE 'early_stopping' END AS role, 'week-' || (day(event_time) // 7) AS dataset_id FROM bars)
+    SELECT string_agg(DISTINCT dataset_id, ',' ORDER BY dataset_id) AS dataset_ids, string_agg(DISTINCT role, ',' ORDER BY role) AS dataset_roles,
+        string_agg(DISTINCT dataset_id, ',' ORDER BY dataset_id) FILTER (role = 'early_stopping') AS early_stopping_dataset, count_if(role = 'train')::BIGINT AS train_rows,
+        (SELECT {checksum_sql(label="", open="double", close="double")} FROM (SELECT (close > open)::INT AS label, open, close FROM d WHERE role = 'train')) AS data_hash, 'open,close' AS features,
+        'm1' AS model_id, 'purged_kfold(5)' AS splitter, '1800s' AS purge, 7 AS best_iteration, true AS negative_control_passed, NULL::VARCHAR AS study_id FROM d""",
+)
 def manifest_lines(spark, sf_dir):
-    path = _fresh(spark, "manifest")
-    rows = table(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.min("ts").cast("timestamp_ntz").cast("string").alias("first"))
-    S.append_manifest(rows, path)
-    return spark.read.schema("event_type string, n long, first string").json(path)
+    """The manifest of a training set of bars, written as a line of JSON and read again."""
+    path, day = _fresh(spark, "manifest"), F.dayofmonth("event_time")
+    rows = daily_bars(spark, sf_dir).withColumns(
+        {"role": F.when(day <= 20, "train").otherwise("early_stopping"), "dataset_id": F.concat(F.lit("week-"), F.floor(day / 7).cast("string")), "label": (F.col("close") > F.col("open")).cast("int")}
+    )
+    one = T.training_manifest(rows, ["open", "close"], model_id="m1", splitter="purged_kfold(5)", purge="1800s", best_iteration=7, negative_control_passed=True)
+    S.append_manifest(one, path)
+    back = spark.read.schema(one.schema).json(path)
+    lists = {c: F.array_join(c, ",") for c in ("dataset_ids", "dataset_roles", "early_stopping_dataset")}
+    return back.withColumns(lists).select(*lists, "train_rows", "data_hash", "features", "model_id", "splitter", "purge", "best_iteration", "negative_control_passed", "study_id")
 
 
 _EVENTS = checksum_sql(event_id="", ts="", user_id="", event_type="", value="double", props="")
@@ -218,19 +232,21 @@ def bar_at(spark, sf_dir):
     return naive(B.bar_at(bars, asked).select("security_id", "at", "event_time", "close"), "at", "event_time")
 
 
-@query(
-    "parity",
-    f"""WITH {DAILY_SQL}, f AS (SELECT security_id, event_time, CASE WHEN lag(close) OVER w <> 0 THEN (close - lag(close) OVER w) / lag(close) OVER w END AS returns FROM bars
-            WINDOW w AS (PARTITION BY security_id ORDER BY event_time))
-    SELECT 'returns' AS feature, count_if(security_id % 10 <> 3)::BIGINT AS rows, count_if(security_id % 10 = 3)::BIGINT AS unpaired,
-        count_if(security_id % 10 = 4 AND returns IS NOT NULL)::BIGINT AS differ, count_if(security_id % 10 = 5 AND returns IS NOT NULL)::BIGINT AS null_differ FROM f""",
-)
+def _parity_sql(c: str) -> str:
+    first = f"""(SELECT count_if(min_a IS DISTINCT FROM min_b) FROM (SELECT min(event_time) FILTER ({c} IS NOT NULL) AS min_a,
+        min(event_time) FILTER ({c} IS NOT NULL AND k NOT IN (3, 5) AND (k <> 6 OR late)) AS min_b FROM p GROUP BY security_id))"""
+    return f"""SELECT '{c}' AS feature, count_if(k <> 3)::BIGINT AS rows, count_if(k = 3)::BIGINT AS unpaired, count_if(k = 4 AND {c} IS NOT NULL)::BIGINT AS differ,
+        count_if((k = 5 OR k = 6 AND NOT late) AND {c} IS NOT NULL)::BIGINT AS null_differ, {first}::BIGINT AS first_differ FROM p"""
+
+
+@query("parity", f"{_FEATURES}, p AS (SELECT *, security_id % 10 AS k, event_time >= TIMESTAMP '2024-01-10' AS late FROM features) " + " UNION ALL ".join(map(_parity_sql, FEATURES)))
 def parity(spark, sf_dir):
-    """Features against a copy that lacks some securities, is off for some, and null for others."""
-    a = features(spark, sf_dir).select("security_id", "event_time", "returns")
-    kind = F.col("security_id") % 10
-    b = a.filter(kind != 3).withColumn("returns", F.when(kind == 4, F.col("returns") + 0.5).when(kind != 5, F.col("returns")))
-    return X.feature_parity(a, b, ["returns"])
+    """All features against a copy that lacks some securities, is off for some, null for others, and for some begins later."""
+    a = features(spark, sf_dir)
+    kind, late = F.col("security_id") % 10, F.col("event_time") >= F.lit("2024-01-10").cast("timestamp")
+    keep = (kind != 5) & ((kind != 6) | late)
+    b = a.filter(kind != 3).withColumns({c: F.when(kind == 4, F.col(c) + 0.5).when(keep, F.col(c)) for c in FEATURES})
+    return X.feature_parity(a, b, FEATURES)
 
 
 @query(

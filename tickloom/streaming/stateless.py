@@ -129,6 +129,15 @@ def replay(rows: DataFrame, base: str, build, run, at_once: int = 1_000_000, tim
     return stream
 
 
+def replay_difference(first: DataFrame, second: DataFrame) -> DataFrame:
+    """One row: the rows of two replays, and how many of either have no equal in the other, repeats counted."""
+    sides = [df.select(*first.columns).withColumns({"_first": F.lit(int(k == 0)), "_second": F.lit(k)}) for k, df in enumerate((first, second))]
+    per = sides[0].unionByName(sides[1]).groupBy(*first.columns).agg(F.sum("_first").alias("a"), F.sum("_second").alias("b"))
+    alone = lambda x, y: F.coalesce(F.sum(F.greatest(F.col(x) - F.col(y), F.lit(0))), F.lit(0))
+    total = lambda x: F.coalesce(F.sum(x), F.lit(0))
+    return per.agg(total("a").alias("first_rows"), total("b").alias("second_rows"), alone("a", "b").alias("first_alone"), alone("b", "a").alias("second_alone"))
+
+
 def run_to_end(stream: DataFrame, checkpoint: str, mode: str = "append", path: str | None = None, each=None):
     """Run a stream over what is there now and stop: the same captured data gives the same result again."""
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
