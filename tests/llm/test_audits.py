@@ -1,6 +1,7 @@
 """Conversation repair, source divergence and the quality classifier, each against a plain version."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -13,6 +14,7 @@ import pytest
 from tickloom.llm import divergence, quality
 from tickloom.llm.conversations import audit_conversations, cheapest_edits, plan_repairs, repair_conversations
 from tickloom.llm.divergence import source_divergence, term_pieces
+from tickloom.llm.lang_id import code_words, held_out, identify, train_languages
 from tickloom.llm.quality import QualityModel, features, judge_quality, ngrams, score_quality, train_quality
 
 TURNS = "conv_id long, turn long, role string, text string, Kind int, copies string, audit string"
@@ -262,3 +264,51 @@ def test_quality_without_labels_or_documents(spark):
     docs, labels, _ = labelled(spark)
     assert {r["score"] for r in judge_quality(docs, labels.limit(0)).collect()} == {0.5}
     assert judge_quality(docs.limit(0), labels).count() == 0
+
+
+# -- op 2 -------------------------------------------------------------------------------------------------------------
+
+
+def plain_ngrams(text):
+    """Hashed byte pairs and triples of a text, by a loop over its bytes."""
+    letters = "".join(" " if c < "\x80" and not c.isalpha() else c for c in text.lower())
+    b = f" {' '.join(letters.split())} ".encode()
+    found = Counter((b[i] * 0x9E3779B1 + b[i + 1] * 0x85EBCA6B) % 2**32 >> 20 for i in range(len(b) - 1))
+    found.update(4096 + ((b[i] * 0xC2B2AE35 + b[i + 1] * 0x27D4EB2F + b[i + 2] * 0x165667B1) % 2**32 >> 19) for i in range(len(b) - 2))
+    return found
+
+
+def test_language_bits_margins_and_losses(spark, docs, rows):
+    """Weights of each bit, its reliability, and decoding, all from the texts by loops; lang, source and id are no inputs."""
+    out = lambda i: zlib.crc32(str(i).encode()) % 4 == 2
+    letters = lambda t: any(map(str.isalpha, t or ""))
+    taught = defaultdict(Counter)
+    for i, text, lang, *_ in rows:
+        if lang is not None and letters(text) and not out(i):
+            taught[lang].update(plain_ngrams(text))
+    langs = sorted(taught)
+    code = code_words(len(langs))
+    chance = {x: [(taught[x][f] + 0.5) / (sum(taught[x].values()) + 0.5 * 12288) for f in range(12288)] for x in langs}
+    weights, expected = [], []
+    for bit in code.T:
+        sides = [[x for x, b in zip(langs, bit) if b == s] for s in (1, -1)]
+        mean = [[sum(chance[x][f] for x in side) / len(side) for f in range(12288)] for side in sides]
+        w = [math.log(a) - math.log(b) for a, b in zip(*mean)]
+        expected.append(max(1e-6, min(b * sum(c * v for c, v in zip(chance[x], w)) for x, b in zip(langs, bit))))
+        weights.append([v * 6 / expected[-1] for v in w])
+    model = train_languages(docs.filter("doc_id IS NOT NULL").filter(~held_out("doc_id", 4, 2)))
+    assert model.languages == langs and np.allclose(model.weights, np.array(weights).T, rtol=1e-4, atol=1e-3) and np.allclose(model.reliability, np.array(expected) / max(expected))
+    got = {r["doc_id"]: r for r in identify(docs).collect()}
+    for i, text, *_ in rows:
+        r = got[i]
+        if not letters(text):
+            assert (r["lang_pred"], r["score"], r["held_out"]) == ("und", 0, out(i))
+            continue
+        counts = plain_ngrams(text)
+        margins = [sum(n * w[f] for f, n in counts.items()) / sum(counts.values()) for w in weights]
+        losses = [sum(float(np.logaddexp(0, -b * m)) * e / max(expected) for b, m, e in zip(code[k], margins, expected)) for k in range(len(langs))]
+        shares = [math.exp(min(losses) - x) / sum(math.exp(min(losses) - y) for y in losses) for x in losses]
+        first, second = sorted(shares, reverse=True)[:2]
+        assert r["lang_pred"] == langs[shares.index(first)] and r["score"] == pytest.approx(first, rel=1e-3) and r["held_out"] == out(i)
+        if abs(first - second - 0.2) > 1e-3:
+            assert r["ambiguous"] == (first - second < 0.2)

@@ -187,15 +187,15 @@ def stand_ins() -> dict[int, str]:
     return found
 
 
-def _ranged(points: Iterable[int]) -> str:
-    """A character class of code points."""
-    runs: list[list[int]] = []
-    for p in sorted(points):
-        if runs and runs[-1][1] == p - 1:
-            runs[-1][1] = p
-        else:
-            runs.append([p, p])
-    return "[" + "".join(f"\\U{a:08X}-\\U{b:08X}" for a, b in runs) + "]"
+def _with_any(units: list[str], points: Iterable[int]) -> np.ndarray:
+    """Whether each unit has one of some code points, by a table that all characters are looked up in at once."""
+    found, whole = np.zeros(len(units), bool), "".join(units)
+    if not whole.isascii():
+        table = np.zeros(0x110000, bool)
+        table[[*points]] = True
+        ends = np.cumsum(np.fromiter(map(len, units), np.int64, len(units)))
+        found[np.searchsorted(ends, np.flatnonzero(table[np.frombuffer(whole.encode("utf-32-le"), "<u4")]), "right")] = True
+    return found
 
 
 class _Words:
@@ -214,7 +214,6 @@ class _Words:
         import regex
 
         compiled = regex.compile(pattern)
-        other = regex.compile(_ranged(instead)).search if instead else lambda text: None
 
         def find(text: str, plain: bool = True) -> list[str]:
             found = compiled.findall(text) if plain else [text[slice(*m.span())] for m in compiled.finditer(text.translate(instead))]
@@ -222,7 +221,7 @@ class _Words:
                 found = [p for w in found for p in safe_pieces(w, ranks)]
             return found
 
-        usual = [True] * len(units) if not other("\n".join(units)) else [not other(u) for u in units]
+        usual = (~_with_any(units, instead)).tolist()
         plain = [a and one_line(u) for a, u in zip(usual, units, strict=True)]
         found = pa.array(find("\n".join([u for u, p in zip(units, plain, strict=True) if p])), pa.string())
         ends = np.append(np.flatnonzero(pc.equal(found, "\n").to_numpy(zero_copy_only=False)), len(found))
