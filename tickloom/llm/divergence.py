@@ -20,6 +20,8 @@ PIECE_BYTES, MOST_HELD = 1 << 20, 500_000
 #: Numbers of term rows that one tree of a task holds at most (a longer row stands alone).
 TREE_CELLS = 1_000_000
 ONE = 1_000_000_000
+#: Items of a path that decide its range.
+RANGE_ITEMS = 6
 
 
 def term_pieces(text: bytes, most: int) -> Iterator[list[bytes]]:
@@ -171,7 +173,9 @@ def _pair_values(kept: DataFrame, groups: DataFrame) -> DataFrame:
     rows = kept.groupBy("lang", "term").agg(F.array_sort(F.collect_list(item)).alias("path"))
     # equal rows of different terms are one path of the tree; ranges of paths meet where they share what they begin with
     paths = written(rows.groupBy("lang", "path").agg(F.count("*").alias("terms")), "divergence-paths")
-    ranged = paths.repartitionByRange("lang", "path").sortWithinPartitions("lang", "path")
+    # ranges are told apart by how paths begin, so what Spark samples for them is small
+    start = F.transform(F.slice("path", 1, RANGE_ITEMS), lambda x: x["k"] * (1 << 32) + x["p"])
+    ranged = paths.repartitionByRange("lang", start).sortWithinPartitions("lang", "path")
     sums = written(ranged.mapInArrow(_grow_trees(TREE_CELLS), "kind string, lang string, a long, b long, v long"), "divergence-sums")
     one = groups.select("lang", F.col("k").alias("a"), F.col("z").alias("za"), "vocabulary")
     two = groups.select("lang", F.col("k").alias("b"), F.col("z").alias("zb"))
