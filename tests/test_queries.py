@@ -1,4 +1,4 @@
-"""Every registered query of the library against its SQL in DuckDB, on the smallest tables."""
+"""Every registered query of the library against its SQL in DuckDB, on the smallest tables, or on those that TICKLOOM_DATA names."""
 
 import math
 import os
@@ -8,7 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 
-DATA = "/root/testdata/sf0.001"
+DATA = os.environ.get("TICKLOOM_DATA", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 NAMES = sorted(entry.oracle_sql())
 
@@ -17,7 +17,8 @@ NAMES = sorted(entry.oracle_sql())
 def sql():
     con = duckdb.connect()
     for t in TABLES:
-        con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{DATA}/{t}.parquet')")
+        path = f"{DATA}/{t}.parquet"
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{path + '/*.parquet' if os.path.isdir(path) else path}')")
     return con
 
 

@@ -221,11 +221,41 @@ def switch_rows(spark, sf_dir) -> DataFrame:
     return t.select(_group(10).alias("underlying"), "event_time", kind.alias("kind"), ids.alias("security_ids"))
 
 
-@query("stream_switches")
+_SWITCHES = f"""{TICKS_SQL}, r AS (SELECT (security_id // 10)::VARCHAR AS u, epoch_us(event_time) AS us, row_number() OVER (PARTITION BY security_id // 10 ORDER BY event_time) AS n,
+    CASE event_type WHEN 'signup' THEN 'request' WHEN 'click' THEN 'ready' WHEN 'purchase' THEN 'ready' ELSE 'tick' END AS kind,
+    CASE event_type WHEN 'signup' THEN [volume % 2, volume % 2 + 1] ELSE [volume % 2, volume % 2 + 1, volume % 2 + 2] END AS ids FROM ticks),
+w AS (SELECT DISTINCT u, 0::BIGINT AS n, 'STABLE' AS phase, []::BIGINT[] AS active, []::BIGINT[] AS desired, []::BIGINT[] AS ready, 0::BIGINT AS since, 0::BIGINT AS gen, NULL::BIGINT AS rat, []::BIGINT[] AS rids,
+        []::STRUCT(t BIGINT, e VARCHAR, g BIGINT, b VARCHAR, a VARCHAR, i BIGINT[])[] AS events FROM r
+    UNION ALL SELECT u, n, CASE WHEN kind = 'request' THEN 'WAITING' WHEN done THEN 'STABLE' ELSE p1 END, CASE WHEN done THEN desired ELSE active END, CASE kind WHEN 'request' THEN ids ELSE desired END,
+        CASE WHEN kind = 'request' THEN [] WHEN kind = 'ready' AND p1 = 'WAITING' THEN now_ready ELSE ready END, CASE kind WHEN 'request' THEN us ELSE since END, CASE kind WHEN 'request' THEN gen + 1 ELSE gen END,
+        CASE WHEN done AND len(gone) > 0 THEN us + 3600000000 WHEN released THEN NULL ELSE rat END, CASE WHEN done AND len(gone) > 0 THEN gone ELSE rids END,
+        list_filter(list_concat(due, [CASE WHEN kind = 'request' AND p1 = 'WAITING' THEN {{t: us, e: 'SUPERSEDED', g: gen, b: 'WAITING', a: 'STABLE', i: list_sort(desired)}} END,
+            CASE WHEN kind = 'request' THEN {{t: us, e: 'REQUESTED', g: gen + 1, b: CASE p1 WHEN 'WAITING' THEN 'STABLE' ELSE p1 END, a: 'WAITING', i: list_sort(ids)}} END,
+            CASE WHEN done THEN {{t: us, e: 'SWITCHED', g: gen, b: 'WAITING', a: 'STABLE', i: list_sort(desired)}} END]), lambda x: x IS NOT NULL)
+    FROM (SELECT *, kind = 'ready' AND p1 = 'WAITING' AND len(now_ready) = len(list_distinct(desired)) AS done, list_sort(list_filter(active, lambda x: NOT list_contains(desired, x))) AS gone,
+            [CASE WHEN released AND NOT (failed AND fat < rat) THEN {{t: rat, e: 'RELEASED', g: gen, b: phase, a: phase, i: rids}} END,
+             CASE WHEN failed THEN {{t: fat, e: 'FAILED', g: gen, b: 'WAITING', a: 'FAILED', i: list_sort(desired)}} END,
+             CASE WHEN released AND failed AND fat < rat THEN {{t: rat, e: 'RELEASED', g: gen, b: 'FAILED', a: 'FAILED', i: rids}} END] AS due
+        FROM (SELECT *, coalesce(rat <= us, false) AS released, coalesce(fat <= us, false) AS failed, CASE WHEN coalesce(fat <= us, false) THEN 'FAILED' ELSE phase END AS p1,
+                list_sort(list_distinct(list_intersect(list_concat(ready, ids), desired))) AS now_ready
+            FROM (SELECT r.*, w.phase, w.active, w.desired, w.ready, w.since, w.gen, w.rat, w.rids, CASE w.phase WHEN 'WAITING' THEN w.since + CASE WHEN len(w.ready) > 0 THEN 7200000000 ELSE 3600000000 END END AS fat
+                FROM w JOIN r ON r.u = w.u AND r.n = w.n + 1)))),
+last AS (SELECT *, CASE phase WHEN 'WAITING' THEN since + CASE WHEN len(ready) > 0 THEN 7200000000 ELSE 3600000000 END END AS fat, (SELECT max(us) - 1000000 FROM r) AS mark FROM w
+    WHERE n = (SELECT max(n) FROM r WHERE r.u = w.u)),
+told AS (SELECT u, unnest(events) AS x FROM w UNION ALL SELECT u, {{t: rat, e: 'RELEASED', g: gen, b: CASE WHEN fat < rat THEN 'FAILED' ELSE phase END, a: CASE WHEN fat < rat THEN 'FAILED' ELSE phase END, i: rids}} FROM last WHERE rat < mark
+    UNION ALL SELECT u, {{t: fat, e: 'FAILED', g: gen, b: 'WAITING', a: 'FAILED', i: list_sort(desired)}} FROM last WHERE fat < mark)"""
+
+
+@query(
+    "stream_switches",
+    f"""WITH RECURSIVE {_SWITCHES} SELECT u AS underlying, make_timestamp(x.t) AS event_time, x.e AS event_type, x.g AS generation, x.b AS state_before, x.a AS state_after,
+        array_to_string(x.i, ',') AS security_ids FROM told""",
+)
 def stream_switches(spark, sf_dir, at_once: int = AT_ONCE):
     _stateful(spark)
     build = lambda s: stateful.universe_switch_timeline(s, 3600, 7200, 3600, "1 second")
-    return naive(_replayed(switch_rows(spark, sf_dir), "switches", build, at_once), "event_time")
+    found = _replayed(switch_rows(spark, sf_dir), "switches", build, at_once)
+    return naive(found.withColumn("security_ids", F.array_join(F.col("security_ids").cast("array<string>"), ",")), "event_time")
 
 
 def health_rows(spark, sf_dir) -> DataFrame:
@@ -234,7 +264,25 @@ def health_rows(spark, sf_dir) -> DataFrame:
     return packets(spark, sf_dir).select(_group(100).alias("connection_id"), F.col("ts").alias("event_time"), "security_id", generation.alias("generation"))
 
 
-@query("stream_feed_health")
+_HEALTH = f"""{TICKS_SQL}, r AS (SELECT (security_id // 100)::VARCHAR AS line, epoch_us(event_time) AS us, security_id AS id, dayofyear(event_time) // 10 AS gen,
+    row_number() OVER (PARTITION BY security_id // 100 ORDER BY event_time) AS n FROM ticks WHERE security_id IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 5 <> 0)),
+w AS (SELECT line, n, us AS last, gen, 'FIRST_PACKET' AS phase, [id] AS ids, [{{t: us, b: 'SUBSCRIBED', a: 'FIRST_PACKET', k: 1::BIGINT}}] AS events FROM r WHERE n = 1
+    UNION ALL SELECT line, n, us, gen, CASE WHEN healthy THEN 'HEALTHY' ELSE phase3 END, ids, list_filter([
+        CASE WHEN stalled THEN {{t: last + 1800000000, b: old, a: 'STALLED', k: known}} END, CASE WHEN first THEN {{t: us, b: 'SUBSCRIBED', a: 'FIRST_PACKET', k: len(ids)}} END,
+        CASE WHEN healthy THEN {{t: us, b: phase3, a: 'HEALTHY', k: len(ids)}} END], lambda e: e IS NOT NULL)
+    FROM (SELECT *, phase3 IN ('FIRST_PACKET', 'STALLED') AND len(ids) >= 30 AS healthy FROM (SELECT *, CASE WHEN first THEN 'FIRST_PACKET' WHEN stalled THEN 'STALLED' ELSE old END AS phase3,
+        CASE WHEN len(had) < 30 THEN list_distinct(list_append(had, id)) ELSE had END AS ids FROM (SELECT r.*, w.last, w.phase AS old, len(w.ids) AS known, w.gen <> r.gen AS first,
+            w.phase IN ('FIRST_PACKET', 'HEALTHY') AND r.us > w.last + 1800000000 AS stalled, CASE WHEN w.gen <> r.gen THEN [] ELSE w.ids END AS had FROM w JOIN r ON r.line = w.line AND r.n = w.n + 1)))),
+silent AS (SELECT line, last + 1800000000 AS t, phase, len(ids) AS k FROM w WHERE phase IN ('FIRST_PACKET', 'HEALTHY') AND last + 1800000000 < (SELECT max(us) - 1000000 FROM r)
+    AND n = (SELECT max(n) FROM r WHERE r.line = w.line)),
+e AS (SELECT line, unnest(events) AS e FROM w)"""
+
+
+@query(
+    "stream_feed_health",
+    f"""WITH RECURSIVE {_HEALTH} SELECT line AS connection_id, make_timestamp(e.t) AS event_time, e.b AS state_before, e.a AS state_after, e.k AS distinct_ids FROM e
+        UNION ALL SELECT line, make_timestamp(t), phase, 'STALLED', k FROM silent""",
+)
 def stream_feed_health(spark, sf_dir, at_once: int = AT_ONCE):
     _stateful(spark)
     desired = written(_sets(spark, sf_dir)["desired"].select("security_id").distinct(), "desired")
@@ -405,3 +453,19 @@ def replays_agree(spark, sf_dir):
     return same.join(F.broadcast(other.select(F.col("first_alone").alias("missed"), F.col("second_alone").alias("changed")))).select(
         F.col("first_rows").alias("packets"), F.col("second_rows").alias("again"), "first_alone", "second_alone", "missed", "changed"
     )  # one row each
+
+
+@query(
+    "stream_late_counts",
+    f"""WITH {TICKS_SQL}, t AS (SELECT epoch_us(TIMESTAMP '{AS_OF}') // 1000000 - epoch_us(event_time) // 60000000 * 60 > 300 AS late FROM ticks)
+    SELECT count_if(NOT late)::BIGINT AS kept, count_if(late)::BIGINT AS late FROM t""",
+)
+def stream_late_counts(spark, sf_dir):
+    """Late ticks as the micro-batches of a stream of six files counted them."""
+    rows = written(ticks(spark, sf_dir).select("seq", "event_time").repartition(6), "late-ticks")
+    path = rows.inputFiles()[0].rpartition("/")[0]
+    source = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(path)
+    base = f"{shared_dir(spark)}/tickloom/late-counts-{uuid.uuid4().hex}"
+    done = stateless.run_to_end(stateless.counted_late(source, F.lit(AS_OF)), f"{base}/checkpoint", "append", f"{base}/out")
+    found = [(x["kept"], x["late"]) for x in stateless.observed(done, "lateness")]  # a row for each micro-batch
+    return spark.createDataFrame(found, "kept long, late long").agg(F.sum("kept").alias("kept"), F.sum("late").alias("late"))

@@ -26,6 +26,18 @@ def late_events(ticks: DataFrame, as_of: Column, window_s: int = 300, interval_s
     return kept, late
 
 
+def counted_late(ticks: DataFrame, as_of: Column, window_s: int = 300, interval_s: int = 60) -> DataFrame:
+    """ticks, of which each micro-batch counts as an observed metric (lateness) those in time and those too late at as_of."""
+    seconds = F.unix_seconds("event_time")
+    kept = F.coalesce(F.unix_seconds(as_of.cast("timestamp")) - (seconds - F.pmod(seconds, F.lit(interval_s))) <= window_s, F.lit(False))
+    return ticks.observe("lateness", F.count_if(kept).alias("kept"), F.count_if(~kept).alias("late"))
+
+
+def observed(query, name: str) -> list[dict]:
+    """What the latest micro-batches of a query observed under a name, a dict for each."""
+    return [p.observedMetrics[name].asDict() for p in query.recentProgress if name in p.observedMetrics]
+
+
 def stream_dedup(events: DataFrame, time_col: str = "event_time", horizon: str = "1 hour") -> DataFrame:
     """One row for each event_id that comes again within the horizon; older repeats are left to a check of the history."""
     return events.withWatermark(time_col, horizon).dropDuplicatesWithinWatermark(["event_id"])
