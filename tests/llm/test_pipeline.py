@@ -3,6 +3,7 @@
 import hashlib
 
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 
@@ -52,3 +53,22 @@ def test_stages_of_an_empty_table(spark, no_docs):
     whole = no_docs.select("doc_id", "text", "lang", "source", "n_chars")
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, whole, "").count() == 0
+
+
+def test_extra_columns_and_a_very_long_text(spark, docs, tmp_path):
+    """Columns with names that the operators use inside, and a text of a megabyte, go through all stages."""
+    words = [f"{a}{b}{c}ing" for a in "bcdfghjklm" for b in "aeiou" for c in "lmnrst"]
+    long = " ".join(words[i * i % 300] + str(i) for i in range(90_000))
+    more = spark.createDataFrame([(1000, long, "en", "s0", len(long), 4, "b", 0.1)], docs.schema)
+    kept = docs.unionByName(more).withColumns({"copy_no": F.lit("x"), "mix_key": F.lit(1.5), "__kept": F.lit(2), "carried_0": F.lit(True)})
+    columns, texts = kept.columns, {}
+    for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, kept, str(tmp_path))
+        if i < len(corpus_pipeline.STAGES) - 1:
+            assert out.columns == columns
+        out.write.parquet(f"{tmp_path}/{i}")
+        kept = spark.read.parquet(f"{tmp_path}/{i}")
+        if name == "suffix_dedup":
+            texts = {r["doc_id"]: r["text"] for r in kept.collect()}
+            assert texts[1000] == long and {tuple(r) for r in kept.select("copy_no", "mix_key", "__kept", "carried_0").distinct().collect()} == {("x", 1.5, 2, True)}
+    assert all(r["decoded_sha256"] == hashlib.sha256(texts[r["doc_id"]].encode()).hexdigest() for r in kept.collect())
