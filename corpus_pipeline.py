@@ -31,11 +31,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Equal rows count once.
     """
     judged = written(near_duplicates(docs, n_words=5, percent=80).select("doc_id", "kept"), "near-judged")
-    kept = judged.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.bool_or("kept").alias("__kept"), F.count("*").alias("__rows"))
-    whole = docs.join(kept.filter("__kept"), "doc_id")
+    kept = judged.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.bool_or("kept"), F.count("*")).toDF("id", "is_kept", "n_rows")
+    rows = docs.select(F.col("doc_id").alias("id"), F.struct(*docs.columns).alias("row"))  # names of docs clash with none of these
+    whole = rows.join(kept.filter("is_kept"), "id")
     # ids that stand on several rows, and rows without one: equal texts count once; no other text is shuffled for this
-    again = whole.filter("__rows > 1").select(*docs.columns).unionByName(docs.filter("doc_id IS NULL"))
-    return whole.filter("__rows = 1").select(*docs.columns).unionByName(again.dropDuplicates(["doc_id", "text"]))
+    again = whole.filter("n_rows > 1").select("row.*").unionByName(docs.filter("doc_id IS NULL"))
+    return whole.filter("n_rows = 1").select("row.*").unionByName(again.dropDuplicates(["doc_id", "text"]))
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
