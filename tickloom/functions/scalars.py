@@ -61,3 +61,17 @@ def config_hash(config: Column) -> Column:
 def short_id(*parts: Column, digits: int = 8) -> Column:
     """A short id that depends on its parts alone."""
     return F.substring(F.sha2(F.concat_ws("|", *[p.cast("string") for p in parts]), 256), 1, digits)
+
+
+def fused(a: Column, b: Column, c: Column) -> Column:
+    """a * b + c of doubles rounded once, by the errors of the product and of the sum."""
+
+    def halves(x):
+        high = x * 134217729.0 - (x * 134217729.0 - x)
+        return high, x - high
+
+    (a1, a2), (b1, b2), product = halves(a), halves(b), a * b
+    lost = ((a1 * b1 - product) + a1 * b2 + a2 * b1) + a2 * b2
+    total = product + c
+    kept = total - product
+    return total + (((product - (total - kept)) + (c - kept)) + lost)
