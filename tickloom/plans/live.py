@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -18,7 +18,7 @@ from tickloom.sources.frames import decode_frames
 from tickloom.streaming import keyed, stateful, stateless
 
 QUERIES, ORACLES = {}, {}
-#: Rows that a run of a replayed stream takes.
+#: Rows of a key that a run of a replayed stream takes.
 AT_ONCE = 1_000_000
 
 
@@ -55,10 +55,10 @@ def _result(stream: DataFrame, name: str, mode: str = "append", keys: list[str]
     return spark.read.schema(schema).parquet(f"{base}/out")
 
 
-def _replayed(rows: DataFrame, name: str, build, at_once: int = AT_ONCE) -> DataFrame:
-    """What the stream that build makes leaves in append mode, fed in the order of time."""
+def _replayed(rows: DataFrame, name: str, build, key: Column, at_once: int = AT_ONCE) -> DataFrame:
+    """What the stream that build makes leaves in append mode, fed in the order of time; it is keyed by key."""
     spark, base = rows.sparkSession, f"{shared_dir(rows.sparkSession)}/tickloom/{name}-{uuid.uuid4().hex}"
-    stream = stateless.replay(rows, base, build, lambda s, checkpoint: stateless.run_to_end(s, checkpoint, "append", f"{base}/out"), at_once)
+    stream = stateless.replay(rows, base, build, lambda s, checkpoint: stateless.run_to_end(s, checkpoint, "append", f"{base}/out"), key, at_once)
     return spark.read.schema(stream.schema).parquet(f"{base}/out")
 
 
@@ -139,7 +139,7 @@ def stream_atm_expiries(spark, sf_dir, at_once: int = AT_ONCE):
     listed = t.select("symbol", "expiry", *row("strike", at("2000-01-01"), none, strike.cast("double"))).distinct()
     resets = t.select("symbol", "expiry", *row("reset", at("2024-01-15"), none, F.lit(0.0))).distinct()
     rows = spots.unionByName(listed).unionByName(resets)
-    return naive(_replayed(rows, "expiries", lambda s: keyed.stream_atm_by_expiry(s, 2.5), at_once), "event_time")
+    return naive(_replayed(rows, "expiries", lambda s: keyed.stream_atm_by_expiry(s, 2.5), stateful.part_of("symbol", "expiry"), at_once), "event_time")
 
 
 @query("stream_dedup", f"WITH {PACKETS_SQL} SELECT event_id, seq, ts AS event_time FROM ids")
@@ -161,7 +161,7 @@ _SAME = ["returns", "range", "atr", "vwap", "rsi", "rvol", "oi_change"]
 def stream_features(spark, sf_dir):
     _stateful(spark)
     bars = daily_bars(spark, sf_dir).select("security_id", "event_time", "high", "low", "close", "volume", "oi_close")
-    found = _replayed(bars, "features", stateful.stream_features)
+    found = _replayed(bars, "features", stateful.stream_features, stateful.part_of("security_id"))
     return naive(found.withColumns({c: F.round(c, 6) for c in _SAME}), "event_time")
 
 
@@ -182,7 +182,7 @@ def stream_atm(spark, sf_dir):
     t = ticks(spark, sf_dir).select(F.col("security_id").cast("string").alias("symbol"), "event_time", "price")
     spots = t.select("symbol", "event_time", F.lit("spot").alias("kind"), F.col("price").alias("value"))
     strikes = t.select("symbol", F.lit("2000-01-01").cast("timestamp").alias("event_time"), F.lit("strike").alias("kind"), (F.round(F.col("price") / 10) * 10).alias("value")).distinct()
-    return naive(_replayed(strikes.unionByName(spots), "atm", lambda s: stateful.stream_atm(s, 0.3)), "event_time")
+    return naive(_replayed(strikes.unionByName(spots), "atm", lambda s: stateful.stream_atm(s, 0.3), stateful.part_of("symbol")), "event_time")
 
 
 def _group(n: int):
@@ -209,7 +209,7 @@ def stream_atm_shifts(spark, sf_dir):
     c = ticks(spark, sf_dir).select(
         _group(10).alias("underlying"), "event_time", F.lit(0.0).alias("old_atm"), (F.round(F.col("price") / 50) * 50).alias("candidate_atm")
     )
-    return naive(_replayed(c, "shifts", stateful.confirm_atm_shift), "event_time")
+    return naive(_replayed(c, "shifts", stateful.confirm_atm_shift, stateful.part_of("underlying")), "event_time")
 
 
 def switch_rows(spark, sf_dir) -> DataFrame:
@@ -254,7 +254,7 @@ told AS (SELECT u, unnest(events) AS x FROM w UNION ALL SELECT u, {{t: rat, e: '
 def stream_switches(spark, sf_dir, at_once: int = AT_ONCE):
     _stateful(spark)
     build = lambda s: stateful.universe_switch_timeline(s, 3600, 7200, 3600, "1 second")
-    found = _replayed(switch_rows(spark, sf_dir), "switches", build, at_once)
+    found = _replayed(switch_rows(spark, sf_dir), "switches", build, F.col("underlying"), at_once)
     return naive(found.withColumn("security_ids", F.array_join(F.col("security_ids").cast("array<string>"), ",")), "event_time")
 
 
@@ -287,7 +287,7 @@ def stream_feed_health(spark, sf_dir, at_once: int = AT_ONCE):
     _stateful(spark)
     desired = written(_sets(spark, sf_dir)["desired"].select("security_id").distinct(), "desired")
     build = lambda s: stateful.feed_health(s, desired, 30, 1800, "1 second")
-    return naive(_replayed(health_rows(spark, sf_dir), "health", build, at_once), "event_time")
+    return naive(_replayed(health_rows(spark, sf_dir), "health", build, F.col("connection_id"), at_once), "event_time")
 
 
 @query("stream_route", f"WITH {PACKETS_SQL} SELECT event_id, CASE WHEN decode_status = 'success' THEN 'kept' ELSE 'failed' END AS sink FROM ids")

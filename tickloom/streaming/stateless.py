@@ -121,22 +121,37 @@ def late_batch(kept_path: str, late_path: str, as_of: Column, window_s: int = 30
     return run
 
 
-def replay(rows: DataFrame, base: str, build, run, at_once: int = 1_000_000, time_col: str = "event_time") -> DataFrame:
-    """Feed rows to a stream in the order of time, about at_once at a time, and return the stream; rows without a time are
-    left out.
+def _slices(ready: DataFrame, key: Column, at_once: int) -> list[list[str]]:
+    """The files of ready, which follow each other in time, put together as long as no key has over at_once rows."""
+    file = F.col("_metadata.file_path").alias("_file")
+    busiest = ready.select(file, key.alias("_key")).groupBy("_file", "_key").count().groupBy("_file").agg(F.max("count").alias("n"))
+    slices, held = [], at_once
+    for row in sorted(busiest.collect()):  # a row for each file; names follow the ranges
+        if held + row["n"] > at_once:
+            slices.append([])
+            held = 0
+        slices[-1].append(row["_file"])
+        held += row["n"]
+    return slices
+
+
+def replay(rows: DataFrame, base: str, build, run, key: Column, at_once: int = 1_000_000, time_col: str = "event_time") -> DataFrame:
+    """Feed rows to a stream in the order of time, in slices that hold about at_once rows of each of its keys (key) at most, and
+    return the stream; rows without a time are left out.
 
     build makes the stream of the rows' stream, run(stream, checkpoint) runs it over what is there and stops. State goes
     from one run to the next by the checkpoint, so no task holds more of a key than at_once rows (and those of one moment)
-    have. Only names of files pass through the driver.
+    have. A run costs each key it meets some milliseconds, so slices are as few as that allows: more keys don't make more
+    slices. Only names of files and a number for each pass through the driver.
     """
     spark, timed = rows.sparkSession, rows.filter(F.col(time_col).isNotNull())
-    slices = max(1, -(-timed.count() // at_once))
-    timed.repartitionByRange(slices, time_col).write.parquet(f"{base}/slices")
+    parts = max(1, -(-timed.count() // at_once))
+    timed.repartitionByRange(parts, time_col).write.parquet(f"{base}/slices")
     ready = spark.read.schema(rows.schema).parquet(f"{base}/slices")
     timed.limit(0).write.parquet(f"{base}/in")
     stream = build(spark.readStream.schema(rows.schema).parquet(f"{base}/in"))
-    for file in sorted(ready.inputFiles()):  # names follow the ranges
-        spark.read.schema(rows.schema).parquet(file).write.mode("append").parquet(f"{base}/in")
+    for files in _slices(ready, key, at_once):
+        spark.read.schema(rows.schema).parquet(*files).write.mode("append").parquet(f"{base}/in")
         run(stream, f"{base}/checkpoint")
     return stream
 
