@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tickloom.functions.scalars import bucket_start
+from tickloom.streaming.stateful import nearest, part_of
 
 _VALUES = [
     "open double", "high double", "low double", "close double", "volume long", "volume_delta long", "oi_open long", "oi_high long", "oi_low long", "oi_close long",
@@ -22,17 +24,40 @@ _NAMES = [c.split()[0] for c in (*_VALUES, *_MOMENTS)]
 BARS = "kind string, security_id long, event_time timestamp, seq long, " + ", ".join(_VALUES)
 
 
-def _number(x):
-    return x.item() if isinstance(x, np.generic) else x
+#: Neighbouring securities, and buckets of time, whose bars are one key's state.
+SECURITIES, BUCKETS = 256, 24
+#: Bars that a task has put together of a key's ticks before it folds them.
+HELD = 50_000
+_TYPES = {"security_id": "long", "begun": "long"} | {c: t for c, t in (x.split() for x in (*_VALUES, *_MOMENTS))}
+
+
+#: Stands for a missing whole number in arrays; a missing double is NaN.
+NONE, MOST = np.iinfo(np.int64).min, np.iinfo(np.int64).max
+
+
+def _array(values, kind: str) -> np.ndarray:
+    """values (a list or a column, with None or NaN) as an array in which NONE or NaN stands for what is missing."""
+    if kind == "double":
+        return np.asarray(values, np.float64)
+    found = np.asarray(values)
+    if found.dtype.kind in "iu":
+        return found.astype(np.int64)
+    return np.fromiter((NONE if x is None or x != x else int(x) for x in found.tolist()), np.int64, len(found))
+
+
+def _micros(times) -> np.ndarray:
+    return times.to_numpy().astype("datetime64[us]").astype(np.int64)
 
 
 class BarState(StatefulProcessor):
-    """The bar of one security and bucket of time, as bars.build_bars makes it of the same ticks.
+    """The bars of neighbouring securities and buckets of time, as bars.build_bars makes them of the same ticks.
 
     What a micro-batch has of a bucket changes its bar, which is emitted (kind 'bar'); updates counts how often. seen is the
     latest time of all ticks of the batches before, told by the watermark. Ticks that come for a known bar whose time is over
     at seen raise its revision, once for each batch; ticks of a bucket that began over lateness_ms before seen are rejected
-    and emitted as they are (kind 'late'). A timer drops the state when no tick can change it any more.
+    and emitted as they are (kind 'late'). A timer drops the state when no tick can change it any more. A key's bars are read,
+    folded by columns and written once in a batch, as a key costs some milliseconds; a task holds SECURITIES * BUCKETS of them
+    and HELD more at most, however many ticks they have.
     """
 
     def __init__(self, interval_ms: int, lateness_ms: int, delay_ms: int):
@@ -40,77 +65,113 @@ class BarState(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.bar = handle.getValueState("bar", ", ".join((*_VALUES, *_MOMENTS)))
+        self.bars = handle.getValueState("bars", ", ".join(f"{c} array<{t}>" for c, t in _TYPES.items()))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         watermark = timerValues.getCurrentWatermarkInMs()
         seen = watermark + self.delay_ms if watermark > 0 else None
-        security_id, begun = key[0], pd.Timestamp(key[1])
-        begun_ms = begun.value // 1_000_000
-        if seen is not None and seen - begun_ms > self.lateness_ms:
-            for f in rows:
-                yield self._out("late", security_id, f["event_time"], f["seq"], {})
-            return
-        known = dict(zip(_NAMES, self.bar.get())) if self.bar.exists() else None
-        now = dict(known) if known else dict.fromkeys(_NAMES) | {"volume": 0, "trade_count": 0, "revision": 0, "updates": 0}
+        parts, held = [], 0
         for f in rows:
-            self._add(now, f)
-        now["updates"] += 1
-        now["revision"] += int(known is not None and seen is not None and begun_ms + self.interval_ms <= seen)
-        self.bar.update(tuple(now[c] for c in _NAMES))
-        if known is None:
-            self.handle.registerTimer(max(begun_ms, (watermark or 0) - self.lateness_ms) + self.lateness_ms + 1)
-        yield self._out("bar", security_id, [begun], [None], now)
+            begun = _micros(f["bucket"])
+            late = np.zeros(len(f), bool) if seen is None else seen - begun // 1000 > self.lateness_ms
+            if late.any():
+                yield self._out("late", _array(f["security_id"][late], "long"), _micros(f["event_time"][late]), _array(f["seq"][late], "long"))
+            if not late.all():
+                parts.append(self._ticks(f[~late], begun[~late]))
+                held += len(begun)
+            if held > HELD:
+                parts = [self._fold(parts)]
+                held = len(parts[0]["begun"])
+        if not parts:
+            return
+        found = self.bars.get()
+        if found:
+            known = {c: _array(v, t) for (c, t), v in zip(_TYPES.items(), found)}
+            parts.append(known | {"now": np.zeros(len(known["begun"]), bool), "known": np.ones(len(known["begun"]), bool)})
+        bars = self._fold(parts)
+        now = bars["now"]
+        bars["updates"] += now
+        if seen is not None:
+            bars["revision"] += now & bars["known"] & (bars["begun"] // 1000 + self.interval_ms <= seen)
+        self.bars.update(tuple(self._given(bars[c]).tolist() for c in _TYPES))
+        if not found:
+            last = 0 if pd.isna(key[1]) else (int(key[1]) * BUCKETS + BUCKETS - 1) * self.interval_ms
+            self.handle.registerTimer(max(last, (watermark or 0) - self.lateness_ms) + self.lateness_ms + 1)
+        changed = {c: v[now] for c, v in bars.items()}
+        yield self._out("bar", changed["security_id"], changed["begun"], np.full(now.sum(), NONE), changed)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.bar.clear()
+        self.bars.clear()
         yield from ()
 
     def close(self) -> None:
         pass
 
-    def _add(self, bar: dict, f: pd.DataFrame) -> None:
-        """Ticks of one frame, folded in by columns."""
-        at, seq = f["event_time"].to_numpy().astype("datetime64[us]").astype(np.int64), f["seq"].to_numpy()
-        for column, names in (("price", ("open", "close", "high", "low")), ("oi", ("oi_open", "oi_close", "oi_high", "oi_low"))):
-            value = f[column].to_numpy(np.float64 if column == "price" else None)
-            rows = np.flatnonzero(pd.notna(value))
-            if not len(rows):
-                continue
-            ordered = rows[np.lexsort((seq[rows], at[rows]))]
-            for name, i, earlier in ((names[0], ordered[0], True), (names[1], ordered[-1], False)):
-                moment, held = (int(at[i]), int(seq[i])), (bar[f"{name}_at"], bar[f"{name}_seq"])
-                if held[0] is None or (moment < held) == earlier:
-                    bar[name], (bar[f"{name}_at"], bar[f"{name}_seq"]) = _number(value[i]), moment
-            high, low = _number(value[rows].max()), _number(value[rows].min())
-            bar[names[2]] = high if bar[names[2]] is None else max(bar[names[2]], high)
-            bar[names[3]] = low if bar[names[3]] is None else min(bar[names[3]], low)
-            if column == "oi":
-                for name in names:
-                    bar[name] = int(bar[name])
-            else:
-                volume, sign = f["volume"].to_numpy()[rows], f["trade_sign"].to_numpy()[rows]
-                bar["volume"] += int(np.nansum(volume))
-                bar["trade_count"] += len(rows)
-                if (signed := sign != 0).any():
-                    bar["volume_delta"] = (bar["volume_delta"] or 0) + int(np.nansum(volume[signed] * sign[signed]))
-
-    def _out(self, kind: str, security_id: int, times, seqs, bar: dict) -> pd.DataFrame:
-        n = len(times)
-        columns = {"kind": [kind] * n, "security_id": [security_id] * n, "event_time": list(times), "seq": list(seqs)}
-        return pd.DataFrame(columns | {c: [bar.get(c)] * n for c in _NAMES[: len(_VALUES)]}, dtype=object)
+    def _ticks(self, f: pd.DataFrame, begun: np.ndarray) -> dict[str, np.ndarray]:
+        """Each tick as a bar of its own."""
+        price, at = _array(f["price"], "double"), _micros(f["event_time"])
+        oi, volume, sign, seq = (_array(f[c], "long") for c in ("oi", "volume", "trade_sign", "seq"))
+        traded, none = ~np.isnan(price), np.zeros(len(f), np.int64)
+        volume = np.where((volume != NONE) & traded, volume, 0)
+        bar = {"security_id": _array(f["security_id"], "long"), "begun": begun}
+        for value, there, names in ((price, traded, ("open", "high", "low", "close")), (oi, oi != NONE, ("oi_open", "oi_high", "oi_low", "oi_close"))):
+            bar |= dict.fromkeys(names, value)
+            for name in (names[0], names[3]):
+                bar |= {f"{name}_at": np.where(there, at, NONE), f"{name}_seq": np.where(there, seq, NONE)}
+        signed = traded & (sign != 0) & (sign != NONE)
+        bar |= {"volume": volume, "volume_delta": np.where(signed, volume * np.where(signed, sign, 0), NONE), "trade_count": traded.astype(np.int64)}
+        return bar | {"revision": none, "updates": none, "now": none == 0, "known": none > 0}
+
+    def _fold(self, parts: list[dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
+        """The bars that parts of them make together."""
+        every = {c: np.concatenate([p[c] for p in parts]) for c in parts[0]}
+        order = np.lexsort((every["begun"], every["security_id"]))
+        every = {c: v[order] for c, v in every.items()}
+        new = np.append(True, (np.diff(every["security_id"]) != 0) | (np.diff(every["begun"]) != 0))
+        starts, group = np.flatnonzero(new), np.cumsum(new)
+        bars = {c: every[c][starts] for c in ("security_id", "begun")}
+        bars |= {c: np.add.reduceat(every[c], starts) for c in ("volume", "trade_count", "revision", "updates")}
+        bars |= {c: np.logical_or.reduceat(every[c], starts) for c in ("now", "known")}
+        delta = every["volume_delta"]
+        some = np.logical_or.reduceat(delta != NONE, starts)
+        bars["volume_delta"] = np.where(some, np.add.reduceat(np.where(delta != NONE, delta, 0), starts), NONE)
+        bars["high"], bars["low"] = np.fmax.reduceat(every["high"], starts), np.fmin.reduceat(every["low"], starts)
+        low = np.minimum.reduceat(np.where(every["oi_low"] != NONE, every["oi_low"], MOST), starts)
+        bars["oi_high"], bars["oi_low"] = np.maximum.reduceat(every["oi_high"], starts), np.where(low != MOST, low, NONE)
+        for name, first in (("open", True), ("close", False), ("oi_open", True), ("oi_close", False)):
+            at, seq = every[f"{name}_at"], every[f"{name}_seq"]
+            found = np.lexsort((seq, np.where(at != NONE, at, MOST) if first else at, group))  # missing ones come last or first
+            found = found[starts if first else np.append(starts[1:], len(new)) - 1]
+            bars |= {c: every[c][found] for c in (name, f"{name}_at", f"{name}_seq")}
+        return bars
+
+    def _given(self, values: np.ndarray) -> np.ndarray:
+        """values with None for what is missing."""
+        out = values.astype(object)
+        out[np.isnan(values) if values.dtype.kind == "f" else values == NONE] = None
+        return out
+
+    def _out(self, kind: str, security_id: np.ndarray, times: np.ndarray, seqs: np.ndarray, bars: dict[str, np.ndarray] | None = None) -> pd.DataFrame:
+        whole = lambda v: pd.arrays.IntegerArray(v.astype(np.int64), v == NONE)
+        columns = {"kind": [kind] * len(times), "security_id": whole(security_id), "event_time": times.astype("datetime64[us]"), "seq": whole(seqs)}
+        for c in _NAMES[: len(_VALUES)]:
+            v = np.full(len(times), NONE) if bars is None else bars[c]
+            columns[c] = (v if v.dtype.kind == "f" else whole(v)) if bars is not None else self._given(v)
+        return pd.DataFrame(columns)
 
 
 def stream_revised_bars(ticks: DataFrame, interval_s: int = 60, lateness_s: int = 300, grace_s: int = 300) -> DataFrame:
     """Changed bars and rejected ticks (BARS) of a stream of ticks, as BarState makes them; append mode.
 
-    Each security and bucket has a state of its own, so a busy security is many keys and a batch's work depends on its own
-    ticks alone. Ticks up to grace_s older than lateness_s are rejected with a row; Spark drops older ones and counts them.
+    SECURITIES neighbouring securities and BUCKETS buckets share a state, so a batch's work depends on its own ticks and the
+    bars around them. Ticks up to grace_s older than lateness_s are rejected with a row; Spark drops older ones and counts them.
     """
     delay_s = lateness_s + grace_s
     rows = ticks.withWatermark("event_time", f"{delay_s} seconds")
-    rows = rows.select("security_id", bucket_start(F.col("event_time"), interval_s).alias("bucket"), "event_time", "seq", "price", "volume", "trade_sign", "oi")
-    return rows.groupBy("security_id", "bucket").transformWithStateInPandas(BarState(interval_s * 1000, lateness_s * 1000, delay_s * 1000), BARS, "Append", "EventTime")
+    bucket = bucket_start(F.col("event_time"), interval_s)
+    near, span = F.floor(F.col("security_id") / SECURITIES), F.floor(F.unix_seconds(bucket) / (interval_s * BUCKETS))
+    rows = rows.select(near.alias("near"), span.alias("span"), "security_id", bucket.alias("bucket"), "event_time", "seq", "price", "volume", "trade_sign", "oi")
+    return rows.groupBy("near", "span").transformWithStateInPandas(BarState(interval_s * 1000, lateness_s * 1000, delay_s * 1000), BARS, "Append", "EventTime")
 
 
 def newest_bars(changes: DataFrame) -> DataFrame:
@@ -125,48 +186,52 @@ ATM = "symbol string, expiry string, event_time timestamp, seq long, spot double
 
 
 class AtmByExpiry(StatefulProcessor):
-    """The strike at the money of a symbol and expiry among those listed for that expiry.
+    """The strike at the money of a symbol and expiry among those listed for that expiry; a key is a part of the symbols.
 
     Rows in the order of event_time, kind, seq: kind 'reset' forgets the strike held, 'spot' brings a price, 'strike' lists one
     (value). The strike held stays unless the nearest one (the higher of two) is hold times the least gap between listed
-    strikes away from it, or it is held no more. Listed strikes are a map, to which a batch adds its own alone.
+    strikes away from it, or it is held no more. A part's strikes are read and written once in a batch.
     """
 
     def __init__(self, hold: float):
         self.hold = hold
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.listed = handle.getMapState("listed", "strike double", "listed boolean")
-        self.held = handle.getValueState("held", "strike double")
+        self.state = handle.getValueState("state", "symbol array<string>, expiry array<string>, listed array<array<double>>, held array<double>")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         frames = [f for f in rows if len(f)]
         if not frames:
             return
         ordered = pd.concat(frames).sort_values(["event_time", "kind", "seq"], kind="stable")
-        strikes = np.array(sorted(k[0] for k in self.listed.keys()))
-        held = before = self.held.get()[0] if self.held.exists() else None
-        out = []
-        for time, kind, seq, value in zip(*(ordered[c] for c in ("event_time", "kind", "seq", "value"))):
+        # of each symbol and expiry: sorted strikes, their least gap, the one held
+        states = {(s, e): [list(k), self._gap(k), held] for s, e, k, held in zip(*(self.state.get() or ([], [], [], [])))}
+        out, names = [], [c.split()[0] for c in ATM.split(", ")]
+        for symbol, expiry, time, kind, seq, value in zip(*(ordered[c] for c in ("symbol", "expiry", "event_time", "kind", "seq", "value"))):
+            state = states.setdefault((symbol, expiry), [[], 0.0, None])
+            strikes, gap, held = state
             if kind == "reset":
-                held = None
+                state[2] = None
             elif kind == "strike":
-                if value not in strikes:
-                    strikes = np.sort(np.append(strikes, value))
-                    self.listed.updateValue((float(value),), (True,))
-            elif len(strikes):
-                away = np.abs(strikes - value)
-                nearest = strikes[np.flatnonzero(away == away.min())[-1]]
-                gap = np.diff(strikes).min() if len(strikes) > 1 else 0.0
-                atm = held if held is not None and gap > 0 and abs(nearest - held) < self.hold * gap else float(nearest)
-                out.append((*key, time, seq, value, atm, atm != held))
-                held = atm
-        if held is None:
-            self.held.clear()
-        elif held != before:
-            self.held.update((held,))
+                at = bisect_left(strikes, value)
+                if at == len(strikes) or strikes[at] != value:
+                    strikes.insert(at, float(value))
+                    beside = self._gap(strikes[max(at - 1, 0) : at + 2])
+                    state[1] = min(gap, beside) if gap else beside
+            elif strikes:
+                near = nearest(strikes, value)
+                atm = held if held is not None and gap > 0 and abs(near - held) < self.hold * gap else near
+                out.append((symbol, expiry, time, seq, value, atm, atm != held))
+                state[2] = atm
+                if len(out) >= HELD:
+                    yield pd.DataFrame(out, columns=names)
+                    out = []
+        self.state.update(tuple(map(list, zip(*((s, e, k, held) for (s, e), (k, _, held) in states.items())))))
         if out:
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in ATM.split(", ")])
+            yield pd.DataFrame(out, columns=names)
+
+    def _gap(self, strikes: list[float]) -> float:
+        return min((b - a for a, b in zip(strikes, strikes[1:])), default=0.0)
 
     def close(self) -> None:
         pass
@@ -174,4 +239,4 @@ class AtmByExpiry(StatefulProcessor):
 
 def stream_atm_by_expiry(rows: DataFrame, hold: float = 0.5) -> DataFrame:
     """symbol, expiry, event_time, seq, kind, value in; a row (ATM) for each spot that finds listed strikes out."""
-    return rows.groupBy("symbol", "expiry").transformWithStateInPandas(AtmByExpiry(hold), ATM, "Append", "None")
+    return rows.withColumn("_part", part_of("symbol", "expiry")).groupBy("_part").transformWithStateInPandas(AtmByExpiry(hold), ATM, "Append", "None")
