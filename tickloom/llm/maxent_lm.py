@@ -54,8 +54,8 @@ MINIBATCH = 16_384
 RATE = 0.25
 #: Rounds of training; each takes its share of the documents and starts from the mean of the round before.
 ROUNDS = 4
-#: The weights of pairs are fitted on the texts of this many chunks, for words before in so many grades of frequency.
-FIT_CHUNKS, GRADES = 4, 20
+#: The weights of pairs are fitted for words before in so many grades of frequency.
+GRADES = 20
 WEIGHTS = np.array([0.0, 0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.95])
 LN10 = np.log(10.0)
 
@@ -401,8 +401,8 @@ def score_documents(
 
     Counts of words and of pairs cover all training texts: chunks give their distinct words and pairs with counts, as many
     nodes sum them and answer each chunk (chunks.Exchange), and the chunk scores its texts, so no vocabulary is ever in
-    one place. The weights of pairs are fitted on the training texts of FIT_CHUNKS chunks, which are dealt by a hash. Score
-    is the log10 of the chance of the text's tokens and its end; base_score is that of single tokens with counts plus one.
+    one place. The weights of pairs are fitted on all training texts, chunk by chunk. Score is the log10 of the
+    chance of the text's tokens and its end; base_score is that of single tokens with counts plus one.
 
     A null or empty text has its end alone. Null ids are trained on and not held out. Repeated rows count and are scored
     each; extra columns are ignored; an empty table gives no rows. Returns id_col, held_out, n_tokens, n_known,
@@ -417,11 +417,8 @@ def score_documents(
     model = train_classes(docs.filter(~held_out(id_col, folds, fold)), class_model(counted), id_col, text_col)
     answers = answered_back(asks, counted.filter("kind >= 0").select("node", "slot", "answer", "kind"), way, ["kind"])
 
-    some = in_chunks(docs, id_col, text_col, n_chunks, below=FIT_CHUNKS).groupBy("chunk")
     shared = spark.sparkContext.broadcast(model)
-    fitted = some.cogroup(answers.filter(F.col("node") < FIT_CHUNKS).groupBy("node")).applyInArrow(
-        _fit(shared, folds, fold, way), "weight int, grade int, fits double"
-    )
+    fitted = chunks.groupBy("chunk").cogroup(answers.groupBy("node")).applyInArrow(_fit(shared, folds, fold, way), "weight int, grade int, fits double")
     fits = np.zeros((len(WEIGHTS), GRADES))
     for row in fitted.groupBy("weight", "grade").agg(F.sum("fits").alias("fits")).collect():
         fits[row["weight"], row["grade"]] = row["fits"]
