@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.operators.audit import content_checksum
+from tickloom.operators.boosting import boosted_guesses
 from tickloom.operators.order import global_position
 from tickloom.operators.validation import (
     LeakageError,
@@ -36,13 +37,17 @@ MANIFEST = {
 }
 #: Stands for a missing value in trees.
 MISSING = -1e300
-#: Models that are trained at the same time.
+#: Controls whose folds are made at the same time.
 AT_ONCE = 4
 
 
+def _present(df: DataFrame, features: list[str], prefix: str = "") -> DataFrame:
+    return df.withColumns({f"{prefix}{c}": F.when(F.col(c).isNull() | F.isnan(c), MISSING).otherwise(F.col(c)) for c in features})
+
+
 def _vectors(df: DataFrame, features: list[str]) -> DataFrame:
     """_features: the vector of features; a missing value lies below every other, so that one split tells it apart."""
-    ready = df.withColumns({f"_{c}": F.when(F.col(c).isNull() | F.isnan(c), MISSING).otherwise(F.col(c)) for c in features})
+    ready = _present(df, features, "_")
     return VectorAssembler(inputCols=[f"_{c}" for c in features], outputCol="_features").transform(ready)
 
 
@@ -64,7 +69,7 @@ def negative_controls(
     df: row_id, prediction_time, evaluation_time, label, features. Returns control, seed, accuracy, balanced_accuracy, mcc,
     fold_sd (deviation of the folds' accuracies), null_accuracy (that of the most frequent label) and rejected (by the
     guard of time; reversed_time alone, which trains nothing). Labels are shuffled by joining positions in time with
-    positions in a seeded random order.
+    positions in a seeded random order. The models of all controls and folds are trained together (boosting.boosted_guesses).
     """
     placed = global_position(df.select("row_id", "prediction_time", "evaluation_time", "label", *features), ["prediction_time", "row_id"])
     df = written(placed.withColumn("row_id", F.col("position")).drop("position"), "controls")
@@ -98,17 +103,13 @@ def negative_controls(
     def folded(case: tuple[str, int, DataFrame]) -> tuple[str, int, DataFrame]:
         return (*case[:2], written(purged_kfold(written(case[2], case[0]), folds, purge_s).filter("role <> 'purged'"), f"{case[0]}-folds"))
 
-    def scored(one: tuple[tuple[str, int, DataFrame], int]) -> DataFrame:
-        (name, seed, data), fold = one
-        own = data.filter(F.col("fold") == fold)
-        model = _fit(own.filter("role = 'train'"), features, "label", seed or 42, trees, depth)
-        found = _predict(model, own.filter("role = 'test'"), features)
-        return written(found.select(F.lit(name).alias("control"), F.lit(seed).alias("seed"), "fold", "prediction", "label"), "predictions")
-
     with ThreadPool(AT_ONCE) as pool:
         ready = pool.map(inheritable_thread_target(df.sparkSession)(folded), cases)
-        found = pool.map(inheritable_thread_target(df.sparkSession)(scored), [(case, fold) for case in ready for fold in range(folds)], chunksize=1)
-    guesses = written(reduce(DataFrame.unionByName, found), "guesses")
+    each = [data.select(F.lit(i).alias("case"), "fold", "row_id", "role", "label", *features) for i, (_, _, data) in enumerate(ready)]
+    every = _present(reduce(DataFrame.unionByName, each), features).withColumn("model", F.col("case") * folds + F.col("fold"))
+    named = [F.element_at(F.array(*[F.lit(case[i]) for case in cases]), (F.floor(F.col("model") / folds) + 1).cast("int")).alias(c) for i, c in enumerate(("control", "seed"))]
+    found = boosted_guesses(every, features, trees, depth).select(*named, (F.col("model") % folds).alias("fold"), "prediction", "label")
+    guesses = written(found, "guesses")
     case = ("control", "seed")
     spread = classification_metrics(guesses, (*case, "fold")).groupBy(*case).agg(F.stddev_pop("accuracy").alias("fold_sd"))
     ones = (F.col("tp") + F.col("fn")) / (F.col("tp") + F.col("fn") + F.col("tn") + F.col("fp"))
