@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -28,25 +29,48 @@ BARS = "kind string, security_id long, event_time timestamp, seq long, " + ", ".
 SECURITIES, BUCKETS = 256, 24
 #: Bars that a task has put together of a key's ticks before it folds them.
 HELD = 50_000
+#: Ticks of a key that travel as one row, and those that a task gathers before it packs them.
+PACK, GATHERED = 128, 200_000
+_PACKED = ["security_id", "begun", "at", "seq", "price", "volume", "trade_sign", "oi"]
 _TYPES = {"security_id": "long", "begun": "long"} | {c: t for c, t in (x.split() for x in (*_VALUES, *_MOMENTS))}
+#: How the state keeps the numbers of a column.
+_KEPT = {"double": "<f8", "long": "<i8", "int": "<i8"}
 
 
 #: Stands for a missing whole number in arrays; a missing double is NaN.
 NONE, MOST = np.iinfo(np.int64).min, np.iinfo(np.int64).max
 
 
-def _array(values, kind: str) -> np.ndarray:
-    """values (a list or a column, with None or NaN) as an array in which NONE or NaN stands for what is missing."""
-    if kind == "double":
-        return np.asarray(values, np.float64)
-    found = np.asarray(values)
-    if found.dtype.kind in "iu":
-        return found.astype(np.int64)
-    return np.fromiter((NONE if x is None or x != x else int(x) for x in found.tolist()), np.int64, len(found))
+def _packs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ticks of one key (near, span), PACK at most, as a row: the latest of their times, and the bytes of their columns."""
+    parts, held = [], 0
+    for batch in batches:
+        whole = [batch.column(c).fill_null(np.nan).to_numpy().astype("<f8").view("<i8") if c == "price" else batch.column(c).fill_null(NONE).to_numpy() for c in ("near", "span", *_PACKED)]
+        parts.append(np.stack(whole, 1))
+        held += batch.num_rows
+        if held >= GATHERED:
+            yield _packed(np.concatenate(parts))
+            parts, held = [], 0
+    if held:
+        yield _packed(np.concatenate(parts))
 
 
-def _micros(times) -> np.ndarray:
-    return times.to_numpy().astype("datetime64[us]").astype(np.int64)
+def _packed(ticks: np.ndarray) -> pa.RecordBatch:
+    ticks = ticks[np.lexsort((ticks[:, 1], ticks[:, 0]))]
+    first = np.flatnonzero(np.append(True, (np.diff(ticks[:, :2], axis=0) != 0).any(1)))
+    sizes = np.diff(first, append=len(ticks))
+    cuts = np.repeat(first, -(-sizes // PACK))
+    cuts += PACK * (np.arange(len(cuts)) - np.searchsorted(cuts, cuts))
+    whole = lambda v, kind: pa.array(v, kind, mask=v == NONE)
+    near, span, latest = ticks[cuts, 0], ticks[cuts, 1], np.maximum.reduceat(ticks[:, 2 + _PACKED.index("at")], cuts)
+    packs = [ticks[a:b, 2:].astype("<i8").tobytes() for a, b in zip(cuts, np.append(cuts[1:], len(ticks)))]
+    columns = {"near": whole(near, pa.int64()), "span": whole(span, pa.int64()), "event_time": whole(latest, pa.int64()).cast(pa.timestamp("us", "UTC"))}
+    return pa.record_batch(columns | {"ticks": pa.array(packs, pa.binary())})
+
+
+def _unpacked(packs: list[bytes]) -> dict[str, np.ndarray]:
+    ticks = np.frombuffer(b"".join(packs), "<i8").reshape(-1, len(_PACKED)).T.copy()
+    return {c: v.view("<f8") if c == "price" else v for c, v in zip(_PACKED, ticks)}
 
 
 class BarState(StatefulProcessor):
@@ -57,7 +81,8 @@ class BarState(StatefulProcessor):
     at seen raise its revision, once for each batch; ticks of a bucket that began over lateness_ms before seen are rejected
     and emitted as they are (kind 'late'). A timer drops the state when no tick can change it any more. A key's bars are read,
     folded by columns and written once in a batch, as a key costs some milliseconds; a task holds SECURITIES * BUCKETS of them
-    and HELD more at most, however many ticks they have.
+    and HELD more at most, however many ticks they have. A column of bars is kept as the bytes of its numbers: Spark's client
+    would look at each number of a list by itself.
     """
 
     def __init__(self, interval_ms: int, lateness_ms: int, delay_ms: int):
@@ -65,20 +90,20 @@ class BarState(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.bars = handle.getValueState("bars", ", ".join(f"{c} array<{t}>" for c, t in _TYPES.items()))
+        self.bars = handle.getValueState("bars", ", ".join(f"{c} binary" for c in _TYPES))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         watermark = timerValues.getCurrentWatermarkInMs()
         seen = watermark + self.delay_ms if watermark > 0 else None
         parts, held = [], 0
-        for f in rows:
-            begun = _micros(f["bucket"])
-            late = np.zeros(len(f), bool) if seen is None else seen - begun // 1000 > self.lateness_ms
+        for packs in (p[i : i + HELD // PACK] for f in rows for p in [f["ticks"].tolist()] for i in range(0, len(p), HELD // PACK)):
+            ticks = _unpacked(packs)
+            late = np.zeros(len(ticks["at"]), bool) if seen is None else seen - ticks["begun"] // 1000 > self.lateness_ms
             if late.any():
-                yield self._out("late", _array(f["security_id"][late], "long"), _micros(f["event_time"][late]), _array(f["seq"][late], "long"))
+                yield self._out("late", *(ticks[c][late] for c in ("security_id", "at", "seq")))
             if not late.all():
-                parts.append(self._ticks(f[~late], begun[~late]))
-                held += len(begun)
+                parts.append(self._ticks({c: v[~late] for c, v in ticks.items()}))
+                held += len(parts[-1]["begun"])
             if held > HELD:
                 parts = [self._fold(parts)]
                 held = len(parts[0]["begun"])
@@ -86,14 +111,14 @@ class BarState(StatefulProcessor):
             return
         found = self.bars.get()
         if found:
-            known = {c: _array(v, t) for (c, t), v in zip(_TYPES.items(), found)}
+            known = {c: np.frombuffer(v, _KEPT[t]) for (c, t), v in zip(_TYPES.items(), found)}
             parts.append(known | {"now": np.zeros(len(known["begun"]), bool), "known": np.ones(len(known["begun"]), bool)})
         bars = self._fold(parts)
         now = bars["now"]
         bars["updates"] += now
         if seen is not None:
             bars["revision"] += now & bars["known"] & (bars["begun"] // 1000 + self.interval_ms <= seen)
-        self.bars.update(tuple(self._given(bars[c]).tolist() for c in _TYPES))
+        self.bars.update(tuple(bars[c].astype(_KEPT[t]).tobytes() for c, t in _TYPES.items()))
         if not found:
             last = 0 if pd.isna(key[1]) else (int(key[1]) * BUCKETS + BUCKETS - 1) * self.interval_ms
             self.handle.registerTimer(max(last, (watermark or 0) - self.lateness_ms) + self.lateness_ms + 1)
@@ -107,13 +132,12 @@ class BarState(StatefulProcessor):
     def close(self) -> None:
         pass
 
-    def _ticks(self, f: pd.DataFrame, begun: np.ndarray) -> dict[str, np.ndarray]:
+    def _ticks(self, ticks: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
         """Each tick as a bar of its own."""
-        price, at = _array(f["price"], "double"), _micros(f["event_time"])
-        oi, volume, sign, seq = (_array(f[c], "long") for c in ("oi", "volume", "trade_sign", "seq"))
-        traded, none = ~np.isnan(price), np.zeros(len(f), np.int64)
+        price, at, oi, volume, sign, seq = (ticks[c] for c in ("price", "at", "oi", "volume", "trade_sign", "seq"))
+        traded, none = ~np.isnan(price), np.zeros(len(at), np.int64)
         volume = np.where((volume != NONE) & traded, volume, 0)
-        bar = {"security_id": _array(f["security_id"], "long"), "begun": begun}
+        bar = {c: ticks[c] for c in ("security_id", "begun")}
         for value, there, names in ((price, traded, ("open", "high", "low", "close")), (oi, oi != NONE, ("oi_open", "oi_high", "oi_low", "oi_close"))):
             bar |= dict.fromkeys(names, value)
             for name in (names[0], names[3]):
@@ -164,13 +188,16 @@ def stream_revised_bars(ticks: DataFrame, interval_s: int = 60, lateness_s: int
     """Changed bars and rejected ticks (BARS) of a stream of ticks, as BarState makes them; append mode.
 
     SECURITIES neighbouring securities and BUCKETS buckets share a state, so a batch's work depends on its own ticks and the
-    bars around them. Ticks up to grace_s older than lateness_s are rejected with a row; Spark drops older ones and counts them.
+    bars around them. Ticks up to grace_s older than lateness_s are rejected with a row. Spark hands rows to a state one by one,
+    at some 50 microseconds each, so PACK ticks of a key travel as one; Spark drops a pack whose ticks are all older than
+    lateness_s and grace_s together and counts it, older ticks beside others are rejected with a row.
     """
     delay_s = lateness_s + grace_s
-    rows = ticks.withWatermark("event_time", f"{delay_s} seconds")
     bucket = bucket_start(F.col("event_time"), interval_s)
     near, span = F.floor(F.col("security_id") / SECURITIES), F.floor(F.unix_seconds(bucket) / (interval_s * BUCKETS))
-    rows = rows.select(near.alias("near"), span.alias("span"), "security_id", bucket.alias("bucket"), "event_time", "seq", "price", "volume", "trade_sign", "oi")
+    whole = [F.col(c).cast("long").alias(c) for c in ("security_id", "seq", "volume", "trade_sign", "oi")]
+    rows = ticks.select(near.alias("near"), span.alias("span"), F.unix_micros(bucket).alias("begun"), F.unix_micros("event_time").alias("at"), F.col("price").cast("double").alias("price"), *whole)
+    rows = rows.mapInArrow(_packs, "near long, span long, event_time timestamp, ticks binary").withWatermark("event_time", f"{delay_s} seconds")
     return rows.groupBy("near", "span").transformWithStateInPandas(BarState(interval_s * 1000, lateness_s * 1000, delay_s * 1000), BARS, "Append", "EventTime")
 
 
