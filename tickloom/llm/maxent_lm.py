@@ -86,6 +86,27 @@ def class_of(word: bytes) -> int:
     return 1 + crc32(word[:2] + (last if not last.isalnum() and last < b"\x80" else b"")) % (CLASSES - 1)
 
 
+#: Bytes that are signs at the end of a word.
+_SIGN = np.array([i < 128 and not bytes([i]).isalnum() for i in range(256)])
+
+
+def classes_of(words: pa.Array) -> np.ndarray:
+    """class_of of binary words, asked once for those that begin and end alike."""
+    if not len(words):
+        return np.zeros(0, np.int32)
+    ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    size = np.diff(ends)
+    if not size.all():
+        return np.fromiter(map(class_of, listed(words)), np.int32, len(words))
+    data = np.frombuffer(words.buffers()[2], np.uint8)
+    first, last = data[ends[:-1]].astype(np.int64), data[ends[1:] - 1].astype(np.int64)
+    second = np.where(size > 1, data[np.minimum(ends[:-1] + 1, len(data) - 1)].astype(np.int64) + 1, 0)
+    alike = pa.array((first * 257 + second) * 257 + np.where(_SIGN[last], last + 1, 0)).dictionary_encode().indices.to_numpy()
+    one = np.zeros(alike.max() + 1, np.int64)
+    one[alike] = np.arange(len(alike))
+    return np.fromiter(map(class_of, listed(words.take(pa.array(one)))), np.int32, len(one))[alike]
+
+
 def contexts(codes: np.ndarray, sizes: np.ndarray, end: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """The token before each one, and the one before that; an end stands before each text."""
     before = np.append(end, codes)[:-1]
@@ -121,30 +142,42 @@ class ClassModel:
         """The chance of the unknown word where pairs say nothing."""
         return 1 / (self.tokens + self.types + 1)
 
-    def features(self, tokens: list[bytes], codes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def features(self, tokens: pa.Array, codes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The class of each token and the rows of its three features."""
-        classes = np.fromiter(map(class_of, tokens), np.int32, len(tokens))
-        hashes = np.fromiter(map(crc32, tokens), np.int64, len(tokens)).astype(np.int32) % BUCKETS
+        classes = classes_of(tokens)
+        hashes = np.fromiter(map(crc32, listed(tokens)), np.int64, len(tokens)).astype(np.int32) % BUCKETS
         before, further = contexts(codes, sizes)
         pair = (classes[before] * CLASSES + classes[further]) % BUCKETS
         return classes[codes], np.stack([hashes[before], BUCKETS + hashes[further], 2 * BUCKETS + pair])
 
     def logits(self, rows: np.ndarray) -> np.ndarray:
-        z = self.weights[rows[0]]
-        z += self.weights[rows[1]]
-        z += self.weights[rows[2]]
+        z = self.weights.take(rows[0], 0)  # three times as fast as an index
+        z += self.weights.take(rows[1], 0)
+        z += self.weights.take(rows[2], 0)
         z += self.weights[-1]
         return z
 
+    def exponents(self, own: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """exp of the logits, its sum for each token, and the logit of each token's class; where exp would leave float32's
+        range, each token's logits are less by their greatest."""
+        at, z = np.arange(len(own)), self.logits(rows)
+        got = z[at, own]
+        with np.errstate(over="ignore"):
+            sums = np.einsum("ij->i", np.exp(z, out=z))
+        if not (sums.min() > 1e-20 and sums.max() < 1e30):
+            z = self.logits(rows)
+            z -= z.max(1, keepdims=True)
+            got = z[at, own]
+            sums = np.einsum("ij->i", np.exp(z, out=z))
+        return z, sums, got
+
     def class_scores(self, own: np.ndarray, rows: np.ndarray) -> np.ndarray:
         """The natural logarithm of the chance of each token's class."""
         out = np.empty(len(own))
-        for at in range(0, len(own), MINIBATCH):
-            some = slice(at, at + MINIBATCH)
-            z = self.logits(rows[:, some])
-            z -= z.max(1, keepdims=True)
-            got = z[np.arange(len(z)), own[some]]
-            out[some] = got - np.log(np.exp(z, out=z).sum(1))
+        for at in range(0, len(own), MINIBATCH // 4):  # what stays near the processor
+            some = slice(at, at + MINIBATCH // 4)
+            _, sums, got = self.exponents(own[some], rows[:, some])
+            out[some] = got - np.log(sums)
         return out
 
 
@@ -161,18 +194,28 @@ class Trainer:
             self._step(own[at : at + MINIBATCH], rows[:, at : at + MINIBATCH])
 
     def _step(self, own: np.ndarray, rows: np.ndarray) -> None:
-        z = self.model.logits(rows)
-        z -= z.max(1, keepdims=True)
-        np.exp(z, out=z)
-        z /= z.sum(1, keepdims=True)
+        z, sums, _ = self.model.exponents(own, rows)
+        z /= sums[:, None]
         z[np.arange(len(z)), own] -= 1
         for kind in rows:
             order = np.argsort((kind % BUCKETS).astype(np.uint16), kind="stable")
             kind = kind[order]
             first = np.flatnonzero(np.diff(kind, prepend=-1))
-            self._move(kind[first], np.add.reduceat(z[order], first, axis=0), np.diff(first, append=len(kind)))
+            n = np.diff(first, append=len(kind))
+            self._move(kind[first], self._sums(z, order, first, n), n)
         self._move(np.array([ROWS - 1]), z.sum(0, keepdims=True), np.array([len(z)]))
 
+    def _sums(self, z: np.ndarray, order: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Sums of the rows of z in groups of order, which begin at first and have n rows. reduceat takes as long for a group of
+        one or two as for a larger one, and for two numbers (as a complex one) as for one."""
+        sums = z.take(order[first], 0)
+        two, more = np.flatnonzero(n == 2), np.flatnonzero(n > 2)
+        sums[two] += z.take(order[first[two] + 1], 0)
+        if len(more):
+            rows = z.take(order[np.repeat(n > 2, n)], 0).view(np.complex64)
+            sums[more] = np.add.reduceat(rows, np.cumsum(n[more]) - n[more], axis=0).view(np.float32)
+        return sums
+
     def _move(self, at: np.ndarray, gradient: np.ndarray, n: np.ndarray) -> None:
         gradient /= np.sqrt(n)[:, None].astype(np.float32)
         self.moved[at] += np.einsum("ij,ij->i", gradient, gradient)
@@ -236,7 +279,7 @@ def _sum_counts(way: Exchange):
         if kind:
             return found
         known = np.flatnonzero(n)
-        classes = np.fromiter(map(class_of, listed(asks.keys.take(pa.array(known)))), np.int64, len(known))
+        classes = classes_of(asks.keys.take(pa.array(known)))
         weight = np.bincount(classes, weights=n[known] + 1, minlength=CLASSES).astype(np.int64).tolist()
         what, sums = ["tokens", "types", *map(str, range(CLASSES))], [int(n.sum()), len(known), *weight]
         nothing = {c: pa.nulls(len(what), t) for c, t in (("node", pa.int64()), ("slot", pa.int32()), ("answer", pa.binary()))}
@@ -267,7 +310,7 @@ def _train(shared, rate: float):
         for batch in batches:
             for some in slices(batch, "text", 4 << 20, 4096):
                 tokens, codes, sizes = split_tokens(some.column("text"))
-                trainer.learn(*trainer.model.features(listed(tokens), codes, sizes))
+                trainer.learn(*trainer.model.features(tokens, codes, sizes))
         for block in range(0, ROWS, BLOCK_ROWS):
             some = slice(block, block + BLOCK_ROWS)
             if trainer.used[some].any():
@@ -333,7 +376,7 @@ def _chances(model: ClassModel, chunk: _Chunk, way: Exchange, node: int, answers
         found.append(np.zeros(0, np.int64) if got is None else got.to_numpy())
     words, pairs = found
     n = words[chunk.codes]
-    classes = np.fromiter(map(class_of, chunk.tokens), np.int32, len(chunk.tokens))
+    classes = classes_of(chunk.words)
     hashes = (np.fromiter(map(crc32, chunk.tokens), np.int64, len(chunk.tokens)) % BUCKETS).astype(np.int32)
     own, skip = classes[chunk.codes], classes[chunk.before] * CLASSES + classes[chunk.further]
     rows = np.stack([hashes[chunk.before], BUCKETS + hashes[chunk.further], 2 * BUCKETS + skip % BUCKETS])
@@ -355,8 +398,11 @@ def _fit(shared, folds: int, fold: int, way: Exchange):
         n, before, pair, plain = _chances(shared.value, chunk, way, key[0].as_py(), answers)
         own = np.repeat(chunk.learned, chunk.sizes) & (before > 1)
         before, pair, plain = before[own] - 1.0, pair[own] - 1.0, (plain * n / (n + 1))[own]
-        grades = grade(before)
-        sums = [np.bincount(grades, np.log(w * pair / before + (1 - w) * plain), minlength=GRADES) for w in WEIGHTS]
+        grades, met = grade(before), pair > 0
+        share, left = (pair / before)[met], plain[met]
+        # a pair that is met nowhere else has the chance without pairs, times what its weight leaves
+        alone, alone_sum = np.bincount(grades[~met], minlength=GRADES), np.bincount(grades[~met], np.log(plain[~met]), minlength=GRADES)
+        sums = [alone_sum + alone * np.log(1 - w) + np.bincount(grades[met], np.log(w * share + (1 - w) * left), minlength=GRADES) for w in WEIGHTS]
         at, of = np.indices((len(WEIGHTS), GRADES))
         return pa.table({"weight": pa.array(at.ravel(), pa.int32()), "grade": pa.array(of.ravel(), pa.int32()), "fits": pa.array(np.array(sums, np.float64).ravel())})
 
