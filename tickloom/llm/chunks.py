@@ -158,7 +158,7 @@ class Exchange:
         if not len(to):
             return []
         digits = self.digit(to, level)
-        order = np.argsort(digits, kind="stable")
+        order = np.argsort(digits.astype(np.uint16) if self.base <= 1 << 16 else digits, kind="stable")  # small ones by radix
         cuts = np.flatnonzero(np.diff(digits[order])) + 1
         return [(self.beside(node, level, int(digits[at[0]])), at) for at in np.split(order, cuts)]
 
