@@ -170,6 +170,85 @@ def test_repeats_of_equal_ids_and_none(spark, no_docs):
     assert remove_repeats(no_docs).count() == 0
 
 
+def test_windows_meet_in_two_sorts(monkeypatch):
+    rng = np.random.default_rng(3)
+    some = [bytes(rng.integers(97, 99, 70).astype(np.uint8)) for _ in range(4)]
+    entries = []
+    for seed in (some[0][:24], some[1][:24]):
+        for _ in range(400):
+            a, size = int(rng.integers(0, 27)), int(rng.integers(50, 77))
+            left, right = (bytearray(some[int(rng.integers(0, 4))]) for _ in range(2))
+            left[int(rng.integers(0, 70))] = right[int(rng.integers(0, 70))] = int(rng.integers(0, 256))
+            content = (bytes(left)[: max(a, size - 50 - 26 + a)][-a:] if a else b"") + seed + bytes(right)
+            size = min(size, 50 + a, a + 50)
+            entries.append((content[:size], a, int(rng.integers(0, 60))))
+    entries += [(content, a, doc + 1) for content, a, doc in entries[:200]]
+    entries += [(content[:50], -1, doc) for content, _, doc in entries[:100]]
+    sorts = []
+    plain = suffix_dedup.multikey_order
+    monkeypatch.setattr(suffix_dedup, "multikey_order", lambda columns: sorts.append(1) or plain(columns))
+    contents, off, docs_of = zip(*entries, strict=True)
+    got = suffix_dedup.repeated_windows(list(contents), np.array(off), np.array(docs_of), 50)
+    assert len(sorts) <= 2
+    first = {}
+    for content, a, doc in entries:
+        for p in range(len(content) - 49):
+            key = (a < 0, a - p, content[p : p + 50])
+            first[key] = min(doc, first.get(key, doc))
+    want = [sum((first[(a < 0, a - p, c[p : p + 50])] < doc) << p for p in range(len(c) - 49)) for c, a, doc in entries]
+    assert got.tolist() == want
+    assert 0 < sum(map(bool, want)) < len(want)
+
+
+def test_equal_hashes_of_unequal_keys(monkeypatch):
+    columns = [np.array([5, 1, 5, 1, 5], np.uint64), np.array([7, 2, 8, 2, 7], np.uint64)]
+    for base in (suffix_dedup._BASE, np.uint64(0)):  # zero: all hashes are equal
+        monkeypatch.setattr(suffix_dedup, "_BASE", base)
+        order, new = suffix_dedup.alike(columns)
+        assert sorted(x.tolist() for x in np.split(order, np.flatnonzero(new)[1:])) == [[0, 4], [1, 3], [2]]
+
+
+@pytest.mark.parametrize("windows", [1, 7, 1 << 15])
+@pytest.mark.parametrize("length", [24, 50])
+def test_runs_of_many_texts(monkeypatch, windows, length):
+    monkeypatch.setattr(suffix_dedup, "WINDOWS", windows)
+    rng = np.random.default_rng(4)
+    texts = [bytes(rng.integers(97, 100, n).astype(np.uint8)) for n in (0, 200, 49, 50, 0, 51, 23, 300, 0)]
+    texts += [b"x" + texts[1], b"q" * 120, b""]
+    runs = suffix_dedup.anchored_runs(texts, length)
+    found, distance = [], {}
+    for seed, a, p, q, row in zip(runs.hashes, runs.anchors, runs.first, runs.last, runs.row, strict=True):
+        for x in range(p - runs.starts[row], q - runs.starts[row]):
+            found.append((row, x))
+            window = texts[row][x : x + length]
+            assert 0 <= a - runs.starts[row] - x <= length - 24
+            assert distance.setdefault(window, (a - runs.starts[row] - x, seed)) == (a - runs.starts[row] - x, seed)
+    assert found == [(i, x) for i, t in enumerate(texts) for x in range(len(t) - length + 1)]
+    assert len(suffix_dedup.anchored_runs([], length).first) == 0
+
+
+def test_ranges_of_many_prefixes():
+    rng = np.random.default_rng(6)
+    flat = bytes(rng.integers(0, 2, 2000).astype(np.uint8)) + b"\xff" * 60
+    splitters = sorted({flat[i : i + 24] for i in range(0, 1900, 90)})
+    starts = np.arange(len(flat) - 60)
+    ends = starts + np.where(starts % 3, 24, 50)
+    heads = np.array([int.from_bytes(flat[i : i + 8], "big") for i in starts], np.uint64)
+    for cuts, parts in ((splitters, 1), (splitters, 3), ([], 1)):
+        ranges = suffix_dedup.Ranges(cuts, parts)
+        assert ranges.of_all(heads, flat, starts, ends).tolist() == [ranges.of(flat[a:e]) for a, e in zip(starts, ends, strict=True)]
+
+
+@pytest.mark.parametrize("hot, length", [(2000, 50), (1, 50), (2000, 24)])
+def test_repeats_go_in_small_blocks(docs, rows, monkeypatch, hot, length):
+    monkeypatch.setattr(suffix_dedup, "CHUNK_BYTES", 3000)
+    monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", 4000)
+    monkeypatch.setattr(suffix_dedup, "MOST_RANGES", 3)
+    got = by_id(remove_repeats(docs, length=length, hot=hot))
+    want = plain_removal([(r[0], (r[1] or "").encode()) for r in rows], length)
+    assert {i: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for i, r in got.items()} == want
+
+
 def test_multikey_order():
     rng = np.random.default_rng(5)
     words = [rng.integers(0, 3, 500).astype(np.uint64) for _ in range(4)]

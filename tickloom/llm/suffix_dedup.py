@@ -17,6 +17,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,6 +54,9 @@ SAMPLED, SAMPLED_EACH, SAMPLED_SEEDS = 300, 2, 16
 #: Splitters go to all tasks (24 bytes each); where more ranges are needed, each is dealt into equal parts by a hash.
 MOST_RANGES = 65_536
 
+#: Windows that are hashed at once, whatever texts they are of: few enough for a processor's cache.
+WINDOWS = 1 << 15
+
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _HASH_BITS = 48
 NO_ID = 2**63 - 1
@@ -60,46 +64,83 @@ NO_ID = 2**63 - 1
 SETTLED = -2
 
 
+def _eights(b: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one number, without a copy; the first byte is the lowest."""
+    return np.ndarray((max(0, len(b) - 7),), "<u8", b, strides=(1,)) if len(b) else np.zeros(0, np.uint64)
+
+
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """Which rows differ from the row before them."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = columns[0][1:] != columns[0][:-1]
+    for column in columns[1:]:
+        new[1:] |= column[1:] != column[:-1]
+    return new
+
+
 def seed_hashes(b: np.ndarray) -> np.ndarray:
     """A 64-bit hash of the SEED bytes from each place on."""
-    with np.errstate(over="ignore"):
-        whole, length = None, 0
-        part, part_length, factor, rest = b.astype(np.uint64) * np.uint64(0xFF51AFD7ED558CCD) + np.uint64(1), 1, _BASE, SEED
-        while rest:
-            if rest & 1:
-                if whole is None:
-                    whole, length = part, part_length
-                else:
-                    n = len(b) - length - part_length + 1
-                    whole, length = whole[:n] * factor + part[length : length + n], length + part_length
-            rest >>= 1
-            if rest:
-                n = len(b) - 2 * part_length + 1
-                part = part[:n] * factor + part[part_length : part_length + n]
-                factor, part_length = factor * factor, 2 * part_length
-        whole = (whole ^ (whole >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return whole ^ (whole >> np.uint64(32))
-
-
-def anchored_runs(b: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of windows with the same anchor: hash of the anchor's seed, anchor, first window, one after the last."""
-    if len(b) < length:
-        empty = np.zeros(0, np.int64)
-        return np.zeros(0, np.uint64), empty, empty, empty
-    hashes = seed_hashes(b)
-    least, place, covered = hashes, np.arange(len(hashes)), 1
+    n = len(b) - SEED + 1
+    mixed = _eights(b) * np.uint64(0xFF51AFD7ED558CCD)
+    mixed ^= mixed >> np.uint64(32)
+    whole = mixed[:n].copy()
+    for at in range(8, SEED, 8):
+        whole *= _BASE
+        whole += mixed[at : at + n]
+    whole ^= whole >> np.uint64(29)
+    whole *= np.uint64(0xBF58476D1CE4E5B9)
+    whole ^= whole >> np.uint64(32)
+    return whole
+
+
+@dataclass(frozen=True)
+class Runs:
+    """Runs of windows with the same anchor, in the texts one after the other: hash of the anchor's seed, anchor, first
+    window, one after the last, and which text. Places count from the first text on."""
+
+    flat: bytes
+    starts: np.ndarray
+    hashes: np.ndarray
+    anchors: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+    row: np.ndarray
+
+
+def anchored_runs(texts: list[bytes], length: int) -> Runs:
+    """The runs of all windows of each text. A block of windows may cut a run in two."""
+    flat = b"".join(texts)
+    b = np.frombuffer(flat, np.uint8)
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    n = max(0, len(b) - length + 1)
+    # windows across the border of two texts are runs of their own, dropped in the end
+    borders = np.sort(np.concatenate([starts, np.maximum(starts, ends - length + 1)]))
+    # a number holds a hash's leading bits and the place, so that the least is the leftmost of the least hashes
+    low = np.uint64((1 << (WINDOWS + length).bit_length()) - 1)
     width = length - SEED + 1
-    while covered < width:
-        step = min(covered, width - covered)
-        right = least[step:] < least[:-step]
-        place = np.where(right, place[step:], place[:-step])
-        least = np.where(right, least[step:], least[:-step])
-        covered += step
-    first = np.flatnonzero(np.diff(place, prepend=-1))
+    found = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    for at in range(0, n, WINDOWS):
+        hashes = seed_hashes(b[at : at + WINDOWS + length - 1])
+        least, covered = (hashes & ~low) | np.arange(len(hashes), dtype=np.uint64), 1
+        while covered < width:
+            step = min(covered, width - covered)
+            least = np.minimum(least[step:], least[:-step])
+            covered += step
+        place = (least & low).astype(np.int64)
+        new = _changes(place)
+        i, j = np.searchsorted(borders, (at, at + len(place)))
+        new[borders[i:j] - at] = True
+        first = np.flatnonzero(new)
+        found.append((hashes[place[first]], place[first] + at, first + at))
+    own, anchors, first = (np.concatenate(x) for x in zip(*found, strict=True))
+    row = np.searchsorted(starts, first, "right") - 1
+    inside = np.flatnonzero(first + length <= ends[row]) if len(first) else row
     # the least hashes are small numbers: scattered anew, they fill all buckets alike
-    own = (hashes[place[first]] * _BASE) ^ _BASE
+    own = (own[inside] * _BASE) ^ _BASE
     own = ((own ^ (own >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)) >> np.uint64(64 - _HASH_BITS)
-    return own, place[first], first, np.append(first[1:], len(place))
+    return Runs(flat, starts, own, anchors[inside], first[inside], np.append(first[1:], n)[inside], row[inside])
 
 
 def multikey_order(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -108,8 +149,7 @@ def multikey_order(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     Multikey quicksort: rows are sorted by their first word; only those that tie go on to the next.
     """
     order = np.argsort(columns[0], kind="stable")
-    word = columns[0][order]
-    new = np.append(True, word[1:] != word[:-1])
+    new = _changes(columns[0][order])
     for column in columns[1:]:
         tied = ~new
         tied[:-1] |= ~new[1:]
@@ -125,6 +165,25 @@ def multikey_order(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return order, new
 
 
+def alike(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """An order in which rows with equal keys stand together, as they came, and which rows start a new key.
+
+    The order is that of a hash of the whole key. Neighbours of equal hash are compared whole; if any differ, all rows are
+    sorted by their keys.
+    """
+    mixed = np.zeros(len(columns[0]), np.uint64)
+    for column in columns:
+        mixed ^= column
+        mixed *= _BASE
+        mixed ^= mixed >> np.uint64(32)
+    order = np.argsort(mixed, kind="stable")
+    new = _changes(mixed[order])
+    at = np.flatnonzero(~new)
+    if any((c[order[at]] != c[order[at - 1]]).any() for c in columns):
+        return multikey_order(columns)
+    return order, new
+
+
 class _Chunk:
     """The documents of a chunk in the order of their ids, and the runs of their windows."""
 
@@ -135,26 +194,28 @@ class _Chunk:
         self.texts = listed(texts)
         self.length = length
 
-    def runs(self):
-        return [anchored_runs(np.frombuffer(t, np.uint8), self.length) for t in self.texts]
+    def runs(self) -> Runs:
+        return anchored_runs(self.texts, self.length)
 
 
-def _seeds(runs, ids: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct hashes of a chunk in ascending order, and how many ids have each."""
-    alike: dict[int, list[np.ndarray]] = {}
-    for (hashes, *_), i in zip(runs, ids, strict=True):
-        if len(hashes):
-            alike.setdefault(i, []).append(hashes)
-    if not alike:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    return np.unique(np.concatenate([np.unique(np.concatenate(x)) for x in alike.values()]), return_counts=True)
+def _seeds(runs: Runs, ids: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct hashes of a chunk in ascending order, how many ids have each, and the place of each run's in them."""
+    order = np.argsort(runs.hashes, kind="stable")
+    hashes = runs.hashes[order]
+    new = _changes(hashes)
+    place = np.cumsum(new) - 1
+    # texts are in the order of their ids, so equal ids of a hash are neighbours
+    counts = np.bincount(place[_changes(hashes, np.array(ids, np.int64)[runs.row[order]])])
+    index = np.empty(len(order), np.int64)
+    index[order] = place
+    return hashes[new], counts, index
 
 
 def _chunk_seeds(length: int, way: Exchange):
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         release()
         chunk = _Chunk(rows, length)
-        hashes, counts = _seeds(chunk.runs(), chunk.ids)
+        hashes, counts, _ = _seeds(chunk.runs(), chunk.ids)
         return asked(way, key[0].as_py(), 0, pa.array(hashes), n=counts.astype(np.uint32))
 
     return run
@@ -186,6 +247,15 @@ class Ranges:
     def of(self, prefix: bytes) -> int:
         return bisect_right(self.splitters, prefix) * self.parts + (crc32(prefix) % self.parts if self.parts > 1 else 0)
 
+    def of_all(self, heads: np.ndarray, flat: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """of() for many prefixes, from places of flat on; heads: their first eight bytes, the first one highest."""
+        cuts = np.array([int.from_bytes(x[:8], "big") for x in self.splitters], np.uint64)
+        out = np.searchsorted(cuts, heads, "right")
+        # only prefixes that begin as a splitter does have to be looked at whole
+        hard = np.arange(len(heads)) if self.parts > 1 else np.flatnonzero(np.searchsorted(cuts, heads) < out)
+        out[hard] = [self.of(flat[a:e]) for a, e in zip(starts[hard].tolist(), ends[hard].tolist(), strict=True)]
+        return out
+
 
 def _spread(starts: list[int], ends: list[int], size: int) -> np.ndarray:
     """Which of size places lie in any of the ranges."""
@@ -208,92 +278,159 @@ def _chunk_suffixes(length: int, way: Exchange, ranges: Ranges):
         release()
         chunk, node = _Chunk(rows, length), key[0].as_py()
         runs = chunk.runs()
-        hashes, _ = _seeds(runs, chunk.ids)
+        hashes, _, index = _seeds(runs, chunk.ids)
         found = collected(way, node, 0, pa.array(hashes), answers)
-        grade = np.zeros(0, np.uint8) if found is None else found.to_numpy()
-        first_id: dict[tuple[int, bytes], int] = {}
-        dealt: dict[int, list[tuple[bytes, int, int, int, int, int]]] = {}
-        for row, (own, anchors, first, last) in enumerate(runs):
-            text, doc = chunk.texts[row], chunk.ids[row]
-            grades = grade[np.searchsorted(hashes, own)] if len(own) else own
-            starts, ends = [], []
-            for i in np.flatnonzero(grades).tolist():
-                p, q, a = int(first[i]), int(last[i]), int(anchors[i])
-                # a hot seed's windows go one by one, each to the range of all its bytes
-                pieces = [(p, q)] if grades[i] == 1 else [(x, x + 1) for x in range(p, q)]
-                for x, y in pieces:
-                    content = text[x : y - 1 + length]
-                    off = a - x if grades[i] == 1 else -1
-                    before = first_id.setdefault((off, content), doc)
-                    if before < doc:
-                        starts.append(x)
-                        ends.append(y - 1 + length)
-                    else:
-                        to = ranges.of(content[off : off + SEED] if off >= 0 else content)
-                        dealt.setdefault(to, []).append((content, off, doc, row, x, 0))
-            if starts:  # settled here; such ranges only pass through
-                runs_of = zip(*_edges(_spread(starts, ends, len(text))), strict=True)
-                dealt.setdefault(node % ranges.size, []).extend((b"", SETTLED, doc, row, int(s), int(e)) for s, e in runs_of)
-        whole = [_ENTRIES.empty_table()]
-        for to in sorted(dealt):
-            entries = sorted(dealt.pop(to), key=lambda x: (x[0][max(x[1], 0) :], x[1]))
-            columns = [[to] * len(entries), [node] * len(entries), *zip(*entries, strict=True)]
-            whole.append(pa.table([pa.array(c, f.type) for c, f in zip(columns, _ENTRIES, strict=True)], schema=_ENTRIES))
+        grade = np.zeros(0, np.uint8) if found is None else found.to_numpy()[index]
+        at = np.flatnonzero(grade)
+        if not len(at):
+            return sent(way, node, 0, _ENTRIES.empty_table())
+        # a hot seed's windows go one by one, each to the range of all its bytes
+        pieces = np.where(grade[at] > 1, runs.last[at] - runs.first[at], 1)
+        nth = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        at = np.repeat(at, pieces)
+        single = grade[at] > 1
+        start = runs.first[at] + nth
+        end = np.where(single, start, runs.last[at] - 1) + length
+        off = np.where(single, -1, runs.anchors[at] - start)
+        row = runs.row[at]
+        docs = np.array(chunk.ids, np.int64)[row]
+        eights = _eights(np.frombuffer(runs.flat, np.uint8))
+        size = end - start
+        columns = [(size << 8 | off + 1).astype(np.uint64)]
+        columns += [eights[np.minimum(start + j, end - 8)] for j in range(0, int(size.max()), 8)]
+        order, new = alike(columns)
+        before = np.empty(len(at), np.int64)
+        before[order] = docs[order[new]][np.cumsum(new) - 1]  # equal entries are in the order of their ids
+        some, settled = np.flatnonzero(before == docs), np.flatnonzero(before < docs)
+        base = start[some] + np.maximum(off[some], 0)
+        upto = np.where(single[some], base + length, base + SEED)
+        heads = [eights[np.minimum(base + j, len(eights) - 1)].byteswap() for j in range(0, SEED + 8, 8)]
+        to = ranges.of_all(heads[0], runs.flat, base, upto)
+        order, _ = multikey_order([to.astype(np.uint64), *heads])  # neighbours that begin alike are packed well
+        some, to = some[order], to[order]
+        content = [runs.flat[a:e] for a, e in zip(start[some].tolist(), end[some].tolist(), strict=True)]
+        place = start - runs.starts[row]
+        whole = [_entries(to, node, content, off[some], docs[some], row[some], place[some], np.zeros(len(some)))]
+        if len(settled):  # settled here; such ranges only pass through
+            row, place, size = row[settled], place[settled], size[settled]
+            reach = np.maximum.accumulate(end[settled])
+            new = _changes(row)
+            new[1:] |= start[settled][1:] > reach[:-1]
+            first = np.flatnonzero(new)
+            last = np.append(first[1:], len(settled)) - 1
+            row, docs, place = row[first], docs[settled[first]], place[first]
+            upto = reach[last] - runs.starts[row]
+            n = len(first)
+            whole.append(_entries(np.full(n, node % ranges.size), node, [b""] * n, np.full(n, SETTLED), docs, row, place, upto))
         return sent(way, node, 0, pa.concat_tables(whole))
 
     return run
 
 
-def _words(matrix: np.ndarray) -> list[np.ndarray]:
-    """Rows of bytes as columns of big-endian 8-byte words."""
-    wide = -matrix.shape[1] % 8
-    whole = np.ascontiguousarray(np.pad(matrix, ((0, 0), (0, wide)))).view(">u8")
-    return [whole[:, i].astype(np.uint64) for i in range(whole.shape[1])]
+def _entries(to: np.ndarray, node: int, content: list[bytes], *rest: np.ndarray) -> pa.Table:
+    columns = [to, np.full(len(to), node), content, *rest]
+    plain = (c if isinstance(c, list) else c.astype(f.type.to_pandas_dtype()) for c, f in zip(columns, _ENTRIES, strict=True))
+    return pa.table([pa.array(c, f.type) for c, f in zip(plain, _ENTRIES, strict=True)], schema=_ENTRIES)
+
+
+#: What keeps the first 0 to 8 bytes of a number.
+_LEADING = np.array([(1 << 64) - (1 << 8 * (8 - n)) for n in range(9)], np.uint64)
+#: The least numbers of 1 to 8 bytes.
+_BYTES = np.array([1 << 8 * n for n in range(8)], np.uint64)
+
+
+def _words(eights: np.ndarray, at: np.ndarray, sizes: np.ndarray, most: int, ahead: bool = True) -> list[np.ndarray]:
+    """So many bytes from each place on as columns of words that sort as bytes do, zeros after the first sizes ones; if not
+    ahead, the bytes before each place, from the last one back."""
+    return [
+        (eights[at + j].byteswap() if ahead else eights[at - j - 8]) & _LEADING[np.clip(sizes - j, 0, 8)] for j in range(0, most, 8)
+    ]
 
 
-def _not_least(columns: list[np.ndarray], docs: np.ndarray) -> np.ndarray:
-    """Which rows have a key that a row of a smaller document has."""
-    order, new = multikey_order(columns)
-    starts = np.flatnonzero(new)
-    least = np.minimum.reduceat(docs[order], starts)[np.cumsum(new) - 1]
-    out = np.empty(len(docs), bool)
-    out[order] = docs[order] > least
+def _common(columns: list[np.ndarray], order: np.ndarray) -> np.ndarray:
+    """How many leading bytes each row of words shares with the one before it in an order; none for the first one."""
+    out = np.zeros(len(order), np.int64)
+    at = np.arange(1, len(order))
+    for column in columns:
+        equal = 8 - np.searchsorted(_BYTES, column[order[at]] ^ column[order[at - 1]], "right")
+        out[at] += equal
+        at = at[equal == 8]
     return out
 
 
-def repeated_windows(contents: list[bytes], off: np.ndarray, docs: np.ndarray, length: int) -> np.ndarray:
+def _least(order: np.ndarray, new: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """For each row the smallest document of the rows with its key."""
+    least = np.empty(len(docs), docs.dtype)
+    if len(docs):
+        least[order] = np.minimum.reduceat(docs[order], np.flatnonzero(new))[np.cumsum(new) - 1]
+    return least
+
+
+def repeated_windows(contents: list[bytes] | pa.Array, off: np.ndarray, docs: np.ndarray, length: int) -> np.ndarray:
     """For each entry one bit for each of its windows: whether an entry of a smaller document has the same window.
 
     An entry's bytes hold its windows; its anchor's suffix starts off bytes in. off -1: one window, without an anchor.
+
+    Of equal entries one of the smallest document stands for all. These are sorted by the suffixes at their anchors, and once
+    more by the bytes before those, from the anchor back. Entries have the window that starts some bytes before the
+    anchor in common if they share so many bytes back and the rest ahead: such entries stand in a row in either order,
+    and the bytes that neighbours share tell where rows end.
     """
-    mask = np.zeros(len(contents), np.uint64)
+    left = length - SEED
+    contents = pa.array(contents, pa.binary()) if isinstance(contents, list) else contents
+    sizes = pc.binary_length(contents).to_numpy().astype(np.int64)
+    pad = bytes(left + 8)  # words reach across an entry's ends
+    eights = _eights(np.frombuffer(b"".join([pad, *listed(contents), bytes(length + left + 8)]), np.uint8))
+    anchor = len(pad) + np.cumsum(sizes) - sizes + np.maximum(off, 0)
+    mask = np.zeros(len(off), np.uint64)
     single = np.flatnonzero(off < 0)
     if len(single):
-        matrix = np.frombuffer(b"".join([contents[i] for i in single]), np.uint8).reshape(len(single), length)
-        mask[single] = _not_least(_words(matrix), docs[single])
+        own = docs[single]
+        columns = _words(eights, anchor[single], sizes[single], length)
+        mask[single] = own > _least(*alike(columns), own)
     rest = np.flatnonzero(off >= 0)
     if not len(rest):
         return mask
-    left = length - SEED
-    sizes = np.fromiter((len(contents[i]) for i in rest), np.int64, len(rest))
-    flat = np.frombuffer(b"".join([contents[i] for i in rest]), np.uint8)
-    place = np.arange(len(rest)) * (left + length) + left - off[rest]
-    begin = np.cumsum(sizes) - sizes
-    matrix = np.zeros(len(rest) * (left + length), np.uint8)
-    matrix[np.repeat(place - begin, sizes) + np.arange(len(flat))] = flat
-    matrix = matrix.reshape(len(rest), left + length)
-    order, new = multikey_order(_words(matrix[:, left : left + SEED]))
-    group = np.empty(len(rest), np.uint64)
-    group[order] = np.cumsum(new)
-    shared = np.bincount(group.astype(np.int64))[group.astype(np.int64)] > 1
-    windows = sizes - length + 1
+    nth, windows, own, anchor = off[rest], sizes[rest] - length + 1, docs[rest], anchor[rest]
+    ahead = _words(eights, anchor, sizes[rest] - nth, length)
+    back = _words(eights, anchor, nth, max(1, left), ahead=False)
+    order, new = alike([(windows << 8 | nth).astype(np.uint64), *ahead, *back])
+    least = _least(order, new, own)
+    # of each kind of entry, one of the smallest document
+    kind = np.empty(len(rest), np.int64)
+    kind[order] = np.cumsum(new) - 1
+    head = np.empty(int(new.sum()), np.int64)
+    smallest = np.flatnonzero(own == least)
+    head[kind[smallest]] = smallest
+    bits = np.zeros(len(head), np.uint64)
+    # the sparse suffix array of the heads whose seed others have too
+    words = [c[head] for c in ahead]
+    order, _ = multikey_order(words)
+    common = _common(words, order)
+    shared = common >= SEED
+    shared[:-1] |= shared[1:]
+    order, common = order[shared], common[shared]
+    words = [c[head[order]] for c in back]
+    turned, _ = multikey_order(words)
+    common_back = _common(words, turned)
+    nth, windows, own_head = nth[head[order]], windows[head[order]], own[head[order]]
+    side = np.empty(len(order), np.int64)
     for before in range(left + 1):
-        nth = off[rest] - before
-        at = np.flatnonzero(shared & (nth >= 0) & (nth < windows))
-        if len(at):
-            around = np.concatenate([matrix[at, left - before : left], matrix[at, left + SEED : left + length - before]], axis=1)
-            found = _not_least([group[at], *_words(around)], docs[rest[at]])
-            mask[rest[at[found]]] |= np.uint64(1) << nth[at[found]].astype(np.uint64)
+        at = np.flatnonzero((nth >= before) & (nth - before < windows))
+        group = np.cumsum(common < length - before)[at]
+        alone = _changes(group)
+        alone[:-1] &= alone[1:]
+        at, group = at[~alone], group[~alone]
+        if not len(at):
+            continue
+        side[turned] = np.cumsum(common_back < before)
+        both = group * (len(order) + 1) + side[at]
+        by = np.argsort(both, kind="stable")
+        of = own_head[at]
+        found = at[of > _least(by, _changes(both[by]), of)]
+        bits[order[found]] |= np.uint64(1) << (nth[found] - before).astype(np.uint64)
+    every = (np.uint64(1) << (sizes[rest] - length + 1).astype(np.uint64)) - np.uint64(1)
+    mask[rest] = np.where(own > least, every, bits[kind])
     return mask
 
 
@@ -308,7 +445,7 @@ def _compare(length: int, way: Exchange):
         whole = pa.concat_tables([unpacked(x) for x in rows["entries"].to_pylist()]).combine_chunks()
         chunk, row, start, end, off, docs = (whole[c].to_numpy().astype(np.int64) for c in ("chunk", "row", "start", "end", "off", "doc"))
         settled, own = np.flatnonzero(off == SETTLED), np.flatnonzero(off != SETTLED)
-        mask = repeated_windows(listed(whole["content"].take(pa.array(own))), off[own], docs[own], length)
+        mask = repeated_windows(pa.concat_arrays(whole["content"].take(pa.array(own)).chunks), off[own], docs[own], length)
         at = np.flatnonzero(mask)
         mask = mask[at]
         # windows in a row make one range
@@ -377,7 +514,7 @@ def _some_seeds(length: int):
             for some in slices(batch, "text", 4 << 20, 1024):
                 seeds = []
                 for text in listed(some.column("text")):
-                    at = anchored_runs(np.frombuffer(text, np.uint8), length)[1]
+                    at = anchored_runs([text], length).anchors
                     seeds += [text[a : a + SEED] for a in at[:: max(1, -(-len(at) // SAMPLED_SEEDS))].tolist()]
                 yield pa.record_batch({"seed": pa.array(seeds, pa.binary())})
 
