@@ -1,6 +1,8 @@
 """Models that are trained together against MLlib's, each trained by itself."""
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -53,3 +55,34 @@ def test_jobs_do_not_grow_with_models(spark, rows):
     boosting.boosted_guesses(rows, FEATURES, 4, 3).collect()
     spark.sparkContext.setJobGroup("", "")
     assert len(tracker.getJobIdsForGroup(group)) < 4 * 3 + 16
+
+
+def test_bins_hold_a_bounded_number_of_values(spark, monkeypatch):
+    """Of many values a part tells EXACT for each PART_ROWS, and cuts stay within half a step of rank of those of all rows."""
+    monkeypatch.setattr(boosting, "EXACT", 200)
+    values = np.random.default_rng(3).lognormal(size=20_000)
+    batches = [pa.record_batch([pa.array([0] * 1000, pa.int32()), pa.array(v)], ["model", "a"]) for v in values.reshape(20, 1000)]
+    told = list(boosting._counts(["a"], 5000)(batches))
+    counts = [np.frombuffer(t.column("counts")[0].as_py(), np.int64) for t in told]
+    assert [(len(c), c.sum()) for c in counts] == [(200, 5000)] * 4
+    df = spark.createDataFrame(pd.DataFrame({"model": 0, "a": values})).selectExpr("CAST(model AS int) AS model", "a")
+    found, want = boosting._edges(df, {0: 20_000}, ["a"])[0][0], boosting.bin_edges(values)
+    rank = lambda edges: np.searchsorted(np.sort(values), edges) / len(values)
+    assert len(found) == len(want) == 31 and np.abs(rank(found) - rank(want)).max() < 1 / 200
+
+
+def test_blocks_lie_on_disk_between_passes(spark, rows, monkeypatch):
+    """Neither an executor's memory nor a plan holds the rows of all rounds: some lie on disk, and a written one begins anew."""
+    monkeypatch.setattr(boosting, "WRITTEN", 2)
+    kept, written, saved = [], boosting.written, []
+    monkeypatch.setattr(boosting, "written", lambda df, name: (saved.append(name), written(df, name))[1])
+    grow = boosting.Tree.grow
+
+    def seen(*given):
+        kept.extend((x.getStorageLevel().useMemory(), x.getStorageLevel().useDisk()) for x in spark.sparkContext._jsc.getPersistentRDDs().values())
+        grow(*given)
+
+    monkeypatch.setattr(boosting.Tree, "grow", seen)
+    boosting.boosted_guesses(rows, FEATURES, 6, 2)
+    assert set(kept) == {(False, True)} and saved == ["binned", "raised", "raised"]
+    assert not list(spark.sparkContext._jsc.getPersistentRDDs().values())

@@ -2,40 +2,49 @@
 
 The trees are those of MLlib's GBTClassifier (log loss, variance, bins by its rule, every row and feature used). MLlib trains one
 model after the other with some jobs for each tree, so forty-five models of fifty trees are ten thousand jobs; here tasks add up the
-gradients of all models in one pass over binned rows, and the driver gets a histogram for each model and partition.
+gradients of all models in one pass over binned rows, and the driver gets a histogram for each model and partition. Rows lie on disk between
+the passes, and a task holds a batch of them, so memory does not grow with their number.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from itertools import islice
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.session import written
 
 BINS = 32
-#: Of models with up to so many rows bins follow all values, as MLlib has it; of larger ones they follow GRID quantiles of all rows.
+#: Bins follow all values of a model, as MLlib has it, if a part of its rows has up to so many; of more, they follow so many of each part, at equal steps of rank.
 EXACT = 10_000
-GRID = 1_000
 #: Rows that a partition holds if there are many, and at least if there are few.
 PART_ROWS, LEAST_ROWS = 1_000_000, 20_000
+#: Bytes of blocks that go to Python at once; trees after which the blocks' margins are written, so that no plan has more steps than that.
+BATCH, WRITTEN = "2m", 25
 #: No bin is above it: all rows of a node that is not split go left.
 NEVER = 255
-_BLOCKS = "model int, n long, bins binary, label binary, margin binary"
+_BLOCKS = "model int, train boolean, n long, bins binary, label binary, margin binary"
+_COUNTED = "model int, feature int, values binary, counts binary"
 
 
-def bin_edges(values: np.ndarray, bins: int = BINS) -> np.ndarray:
-    """The thresholds between bins by MLlib's rule: midpoints of neighbouring values, at about equal counts if there are many."""
-    distinct, counts = np.unique(values, return_counts=True)
-    splits = min(bins, len(values)) - 1
+def bin_edges(values: np.ndarray, bins: int = BINS, counts: np.ndarray | None = None) -> np.ndarray:
+    """The thresholds between bins by MLlib's rule: midpoints of neighbouring values, at about equal counts if there are many.
+    counts: how often each of values occurs, once if not given."""
+    distinct, at = np.unique(values, return_inverse=True)
+    counts = np.bincount(at, counts)
+    rows = int(counts.sum())
+    splits = min(bins, rows) - 1
     middle = distinct[:-1] / 2 + distinct[1:] / 2
     if len(middle) <= splits:
         return middle
-    stride = len(values) / (splits + 1)
+    stride = rows / (splits + 1)
     target, upto, found = stride, np.cumsum(counts), []
     for i in range(1, len(distinct)):
         if abs(upto[i - 1] - target) < abs(upto[i] - target):
@@ -88,39 +97,77 @@ class Tree:
             self.value = means
 
 
+def _matrix(batch: pa.RecordBatch, features: list[str]) -> np.ndarray:
+    """Features of a batch, each a row."""
+    return np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in features])
+
+
+def _counted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Values in order and how many rows each stands for: all that differ, or EXACT at equal steps of rank if there are more."""
+    distinct, counts = np.unique(values, return_counts=True)
+    if len(distinct) <= EXACT:
+        return distinct, counts
+    cuts = np.arange(EXACT + 1) * len(values) // EXACT
+    return np.sort(values)[(cuts[:-1] + cuts[1:]) // 2], np.diff(cuts)
+
+
+def _counts(features: list[str], most: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The counted values of each model and feature, told anew after most rows, so that no more are held."""
+        held: dict[int, list[np.ndarray]] = {}
+        n = 0
+
+        def told() -> Iterator[pa.RecordBatch]:
+            for model in list(held):
+                own = held.pop(model)
+                for f in range(len(features)):
+                    found = [x.tobytes() for x in _counted(np.concatenate([v[f] for v in own]))]
+                    yield pa.record_batch([pa.array([x], t) for x, t in zip((model, f, *found), (pa.int32(), pa.int32(), pa.binary(), pa.binary()))], ["model", "feature", "values", "counts"])
+
+        for batch in batches:
+            models, values = batch.column("model").to_numpy(), _matrix(batch, features)
+            for model in np.unique(models):
+                held.setdefault(int(model), []).append(values[:, models == model])
+            n += batch.num_rows
+            if n >= most:
+                yield from told()
+                n = 0
+        yield from told()
+
+    return run
+
+
 def _binned(shared, features: list[str]):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows of a batch as one block for each model: bins, labels of 1 and -1, margins of 0."""
+        """Rows of a batch as one block for each model and role: bins, labels of 1 and -1, margins of 0."""
         for batch in batches:
-            models = batch.column("model").to_numpy()
-            values = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in features], 1)
+            models, train, values = batch.column("model").to_numpy(), batch.column("train").to_numpy(zero_copy_only=False), _matrix(batch, features)
             labels = np.where(batch.column("label").to_numpy(zero_copy_only=False) == 1, 1, -1).astype(np.int8)
-            out = []
-            for model in np.unique(models):
-                own = models == model
-                bins = np.stack([np.searchsorted(e, v) for e, v in zip(shared.value[int(model)], values[own].T)]).astype(np.uint8)
-                out.append((int(model), bins.shape[1], bins.tobytes(), labels[own].tobytes(), np.zeros(bins.shape[1]).tobytes()))
-            yield _batch(out)
+            for model, role in np.unique(np.stack([models, train]), axis=1).T.tolist():
+                own = (models == model) & (train == role)
+                bins = np.stack([np.searchsorted(e, v) for e, v in zip(shared.value[model], values[:, own])]).astype(np.uint8)
+                yield _block(model, bool(role), bins, labels[own], np.zeros(bins.shape[1]))
 
     return run
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
-    names = [c.split()[0] for c in _BLOCKS.split(", ")]
-    return pa.record_batch([pa.array(v, t) for v, t in zip(zip(*rows) if rows else [[]] * len(kinds), kinds)], names)
+def _block(model: int, train: bool, bins: np.ndarray, label: np.ndarray, margin: np.ndarray) -> pa.RecordBatch:
+    kinds = [pa.int32(), pa.bool_(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+    values = (model, train, bins.shape[1], bins.tobytes(), label.tobytes(), margin.tobytes())
+    return pa.record_batch([pa.array([v], t) for v, t in zip(values, kinds)], [c.split()[0] for c in _BLOCKS.split(", ")])
 
 
-def _read(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+def _read(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, bool, np.ndarray, np.ndarray, np.ndarray]]:
     for batch in batches:
-        for model, n, bins, label, margin in zip(*(batch.column(c).to_pylist() for c in ("model", "n", "bins", "label", "margin"))):
-            yield model, np.frombuffer(bins, np.uint8).reshape(-1, n), np.frombuffer(label, np.int8), np.frombuffer(margin)
+        for model, train, n, *parts in zip(*(batch.column(c.split()[0]) for c in _BLOCKS.split(", "))):
+            bins, label, margin = (np.frombuffer(x.as_buffer(), kind) for x, kind in zip(parts, (np.uint8, np.int8, np.float64)))
+            yield model.as_py(), train.as_py(), bins.reshape(-1, n.as_py()), label, margin
 
 
 def _histograms(shared, level: int, first: bool):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         growing, sums = shared.value, {}
-        for model, bins, label, margin in _read(batches):
+        for model, _, bins, label, margin in _read(batches):
             y = label.astype(np.float64)
             target = y if first else 4 * y / (1 + np.exp(2 * y * margin))
             node, size = growing[model].nodes(bins, level).astype(np.int64) * BINS, 2**level * BINS
@@ -136,39 +183,79 @@ def _raised(shared):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Blocks with margins raised by a tree of each model."""
         weight, trees = shared.value
-        for batch in batches:
-            yield _batch([(m, b.shape[1], b.tobytes(), y.tobytes(), (f + weight * trees[m](b)).tobytes()) for m, b, y, f in _read([batch])])
+        for model, train, bins, label, margin in _read(batches):
+            yield _block(model, train, bins, label, margin + weight * trees[model](bins))
 
     return run
 
 
 def _guesses(shared):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for model, bins, label, margin in _read(batches):
+        for model, _, bins, label, margin in _read(batches):
             guess = (sum((weight * tree(bins) for weight, tree in shared.value[model]), margin) > 0).astype(np.float64)
             yield pa.record_batch([pa.array([model] * len(guess), pa.int32()), pa.array(guess), pa.array((label > 0).astype(np.float64))], ["model", "prediction", "label"])
 
     return run
 
 
+@contextmanager
+def _small_batches(spark):
+    """Blocks go to Python a few at a time: a batch's limit of rows bounds no bytes, and Spark's own of bytes is a part's."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, BATCH)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _edges(train: DataFrame, sizes: dict[int, int], features: list[str]) -> dict[int, list[np.ndarray]]:
-    """The bins of each model; no task or driver holds more than EXACT rows or GRID quantiles of one."""
-    few, many = ([m for m, n in sizes.items() if (n <= EXACT) == small] for small in (True, False))
-
-    def exact(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"model": [key[0]], "edges": [[bin_edges(rows[c].to_numpy()).tolist() for c in features]]})
-
-    found = {}
-    if few:
-        for row in train.filter(F.col("model").isin(few)).select("model", *features).groupBy("model").applyInPandas(exact, "model int, edges array<array<double>>").collect():
-            found[row["model"]] = [np.array(e) for e in row["edges"]]
-    if many:
-        grid = F.array(*[F.lit((i + 0.5) / GRID) for i in range(GRID)])
-        for row in train.filter(F.col("model").isin(many)).groupBy("model").agg(*[F.percentile_approx(c, grid, 10 * GRID).alias(c) for c in features]).collect():
-            found[row["model"]] = [bin_edges(np.array(row[c])) for c in features]
+    """The bins of each model. A task holds PART_ROWS rows, or the counted values of one feature of a model: EXACT at most of so many rows."""
+
+    def merged(key: tuple, parts: pd.DataFrame) -> pd.DataFrame:
+        values, counts = (np.concatenate([np.frombuffer(x, kind) for x in parts[c]]) for c, kind in (("values", np.float64), ("counts", np.int64)))
+        return pd.DataFrame({"model": [key[0]], "feature": [key[1]], "edges": [bin_edges(values, counts=counts).tolist()]})
+
+    found = {m: [np.array([])] * len(features) for m in sizes}
+    counted = train.select("model", *features).mapInArrow(_counts(features, PART_ROWS), _COUNTED)
+    for row in counted.groupBy("model", "feature").applyInPandas(merged, "model int, feature int, edges array<double>").collect():  # BINS numbers of each
+        found[row["model"]][row["feature"]] = np.array(row["edges"])
     return found
 
 
+def _grown(blocks: DataFrame, models: Iterable[int], features: list[str], depth: int, step: float) -> Iterator[tuple[float, dict[int, Tree]]]:
+    """The trees of all models and their weight, round after round, from blocks that are written. Blocks whose margins a tree raised
+    stay on disk while the next one grows; WRITTEN trees later they are written, so that plans stay short."""
+    spark, before, models, turn = blocks.sparkSession, None, list(models), 0
+    try:
+        while True:
+            growing, weight = {m: Tree(depth) for m in models}, 1.0 if turn == 0 else step
+            for level in range(depth):
+                shared = spark.sparkContext.broadcast(growing)
+                sums: dict[int, np.ndarray] = {}
+                with _small_batches(spark):
+                    rows = blocks.mapInArrow(_histograms(shared, level, turn == 0), "model int, sums binary").collect()
+                shared.destroy()
+                for row in rows:
+                    sums[row["model"]] = sums.get(row["model"], 0.0) + np.frombuffer(row["sums"])
+                for model, found in sums.items():
+                    # (counts or sums, feature, node and bin)
+                    growing[model].grow(level, *found.reshape(2, len(features), 2**level, BINS).swapaxes(1, 2))
+                if before is not None:
+                    before = before.unpersist() and None
+            yield weight, growing
+            turn += 1
+            with _small_batches(spark):
+                raised = blocks.mapInArrow(_raised(spark.sparkContext.broadcast((weight, growing))), _BLOCKS)
+                before = blocks if blocks.is_cached else None
+                blocks = raised.persist(StorageLevel.DISK_ONLY) if turn % WRITTEN else written(raised, "raised")
+    finally:
+        for used in (before, blocks):
+            if used is not None:
+                used.unpersist()
+
+
 def boosted_guesses(df: DataFrame, features: list[str], trees: int, depth: int, step: float = 0.1) -> DataFrame:
     """Train a model for each number (model) on its rows of role 'train' and guess those of role 'test'.
 
@@ -181,26 +268,11 @@ def boosted_guesses(df: DataFrame, features: list[str], trees: int, depth: int,
         raise ValueError("a model has no rows to train on")
     total = sum(s["all"] for s in sizes.values())
     parts = max(-(-total // PART_ROWS), min(spark.sparkContext.defaultParallelism, -(-total // LEAST_ROWS)))
-    edges = spark.sparkContext.broadcast(_edges(df.filter("role = 'train'"), {m: s["train"] for m, s in sizes.items()}, features))
-    placed = df.select("model", "row_id", "role", "label", *features).repartitionByRange(parts, "model", "row_id").drop("row_id")
-    binned = [written(placed.filter(F.col("role") == r).drop("role").mapInArrow(_binned(edges, features), _BLOCKS), f"binned-{r}") for r in ("train", "test")]
-    blocks, before = binned[0].persist(), None
+    placed = df.filter("role IN ('train', 'test')").select("model", "row_id", (F.col("role") == "train").alias("train"), "label", *features).repartitionByRange(parts, "model", "row_id").drop("row_id")
+    edges = spark.sparkContext.broadcast(_edges(placed.filter("train"), {m: s["train"] for m, s in sizes.items()}, features))
+    binned = written(placed.mapInArrow(_binned(edges, features), _BLOCKS), "binned")
     grown: dict[int, list[tuple[float, Tree]]] = {m: [] for m in sizes}
-    for turn in range(trees):
-        growing, weight = {m: Tree(depth) for m in sizes}, 1.0 if turn == 0 else step
-        for level in range(depth):
-            shared = spark.sparkContext.broadcast(growing)
-            sums: dict[int, np.ndarray] = {}
-            for row in blocks.mapInArrow(_histograms(shared, level, turn == 0), "model int, sums binary").collect():
-                sums[row["model"]] = sums.get(row["model"], 0.0) + np.frombuffer(row["sums"])
-            for model, found in sums.items():
-                # (counts or sums, feature, node and bin)
-                growing[model].grow(level, *found.reshape(2, len(features), 2**level, BINS).swapaxes(1, 2))
-            if before is not None:
-                before = before.unpersist() and None
+    for weight, growing in islice(_grown(binned.filter("train"), sizes, features, depth, step), trees):
         for model, tree in growing.items():
             grown[model].append((weight, tree))
-        if turn + 1 < trees:
-            before, blocks = blocks, blocks.mapInArrow(_raised(spark.sparkContext.broadcast((weight, growing))), _BLOCKS).persist()
-    blocks.unpersist()
-    return binned[1].mapInArrow(_guesses(spark.sparkContext.broadcast(grown)), "model int, prediction double, label double")
+    return binned.filter("NOT train").mapInArrow(_guesses(spark.sparkContext.broadcast(grown)), "model int, prediction double, label double")
