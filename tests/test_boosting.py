@@ -86,3 +86,23 @@ def test_blocks_lie_on_disk_between_passes(spark, rows, monkeypatch):
     boosting.boosted_guesses(rows, FEATURES, 6, 2)
     assert set(kept) == {(False, True)} and saved == ["binned", "raised", "raised"]
     assert not list(spark.sparkContext._jsc.getPersistentRDDs().values())
+
+
+@pytest.mark.parametrize("trees,patience", [(8, 2), (5, 20)])
+def test_early_stop_is_that_of_mllib(spark, rows, monkeypatch, trees, patience):
+    """Rounds, guesses and losses are those of MLlib's model, looked at round by round; a missing value may be null or stand below all."""
+    monkeypatch.setattr(boosting, "LEAST_ROWS", 200)
+    train, held = rows.filter("model = 1 AND role = 'train'"), rows.filter("model = 1 AND role = 'test'")
+    model, found = boosting.stopped_early(train, held, FEATURES, trees, 5, 0.9, patience)
+    losses = T._fit(train, FEATURES, "label", 42, trees, 5, 0.9).evaluateEachIteration(T._vectors(held, FEATURES))
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    assert found == best + 1 == len(model.trees) < trees
+    want = T._predict(T._fit(train, FEATURES, "label", 42, best + 1, 5, 0.9), held, FEATURES).select("row_id", "prediction").collect()
+    empty = held.withColumns({c: F.when(F.col(c) != T.MISSING, F.col(c)) for c in FEATURES})
+    for given in (held, empty):
+        assert sorted(map(tuple, model.transform(given).select("row_id", "prediction").collect())) == sorted(map(tuple, want))

@@ -9,7 +9,7 @@ the passes, and a task holds a batch of them, so memory does not grow with their
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from contextlib import contextmanager
+from contextlib import closing, contextmanager
 from itertools import islice
 
 import numpy as np
@@ -256,12 +256,8 @@ def _grown(blocks: DataFrame, models: Iterable[int], features: list[str], depth:
                 used.unpersist()
 
 
-def boosted_guesses(df: DataFrame, features: list[str], trees: int, depth: int, step: float = 0.1) -> DataFrame:
-    """Train a model for each number (model) on its rows of role 'train' and guess those of role 'test'.
-
-    df: model int, row_id, role, label (1 or other), features without nulls. Returns model, prediction, label for each test row. All
-    rows are used in every tree. The rows' margins after a tree are kept while the next one grows, in the job of its first level.
-    """
+def _blocks(df: DataFrame, features: list[str]) -> tuple[DataFrame, dict[int, list[np.ndarray]]]:
+    """The blocks of rows of role 'train' and 'test' (model, row_id, role, label, features without nulls), and the bins of each model."""
     spark = df.sparkSession
     sizes = {r["model"]: {"train": r["train"], "all": r["n"]} for r in df.groupBy("model").agg(F.count_if(F.col("role") == "train").alias("train"), F.count("*").alias("n")).collect()}  # a row for each model
     if not all(s["train"] for s in sizes.values()):
@@ -269,10 +265,76 @@ def boosted_guesses(df: DataFrame, features: list[str], trees: int, depth: int,
     total = sum(s["all"] for s in sizes.values())
     parts = max(-(-total // PART_ROWS), min(spark.sparkContext.defaultParallelism, -(-total // LEAST_ROWS)))
     placed = df.filter("role IN ('train', 'test')").select("model", "row_id", (F.col("role") == "train").alias("train"), "label", *features).repartitionByRange(parts, "model", "row_id").drop("row_id")
-    edges = spark.sparkContext.broadcast(_edges(placed.filter("train"), {m: s["train"] for m, s in sizes.items()}, features))
-    binned = written(placed.mapInArrow(_binned(edges, features), _BLOCKS), "binned")
-    grown: dict[int, list[tuple[float, Tree]]] = {m: [] for m in sizes}
-    for weight, growing in islice(_grown(binned.filter("train"), sizes, features, depth, step), trees):
-        for model, tree in growing.items():
-            grown[model].append((weight, tree))
-    return binned.filter("NOT train").mapInArrow(_guesses(spark.sparkContext.broadcast(grown)), "model int, prediction double, label double")
+    edges = _edges(placed.filter("train"), {m: s["train"] for m, s in sizes.items()}, features)
+    return written(placed.mapInArrow(_binned(spark.sparkContext.broadcast(edges), features), _BLOCKS), "binned"), edges
+
+
+def boosted_guesses(df: DataFrame, features: list[str], trees: int, depth: int, step: float = 0.1) -> DataFrame:
+    """Train a model for each number (model) on its rows of role 'train' and guess those of role 'test'.
+
+    df: model int, row_id, role, label (1 or other), features without nulls. Returns model, prediction, label for each test row. All
+    rows are used in every tree. The rows' margins after a tree are kept while the next one grows, in the job of its first level.
+    """
+    binned, edges = _blocks(df, features)
+    grown: dict[int, list[tuple[float, Tree]]] = {m: [] for m in edges}
+    with closing(_grown(binned.filter("train"), edges, features, depth, step)) as rounds:
+        for weight, growing in islice(rounds, trees):
+            for model, tree in growing.items():
+                grown[model].append((weight, tree))
+    return binned.filter("NOT train").mapInArrow(_guesses(df.sparkSession.sparkContext.broadcast(grown)), "model int, prediction double, label double")
+
+
+class BoostedTrees:
+    """A model: its bins, and its trees with their weights."""
+
+    def __init__(self, features: list[str], edges: list[np.ndarray], trees: list[tuple[float, Tree]]):
+        self.features, self.edges, self.trees = features, edges, trees
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """df with a prediction, 1 or 0. A missing value lies below every other."""
+        shared = df.sparkSession.sparkContext.broadcast((self.edges, self.trees))
+
+        @F.pandas_udf("double")
+        def guess(*columns: pd.Series) -> pd.Series:
+            edges, trees = shared.value
+            bins = np.stack([np.searchsorted(e, c.fillna(-np.inf)) for e, c in zip(edges, columns)]).astype(np.uint8)
+            return pd.Series((sum(weight * tree(bins) for weight, tree in trees) > 0).astype(np.float64))
+
+        return df.withColumn("prediction", guess(*self.features))
+
+
+def _losses(shared):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The number of a part's rows, and the sums of their log loss after each tree."""
+        n, sums = 0, np.zeros(len(shared.value))
+        for _, _, bins, label, margin in _read(batches):
+            n += len(label)
+            for i, (weight, tree) in enumerate(shared.value):
+                margin = margin + weight * tree(bins)
+                sums[i] += 2 * np.logaddexp(0, -2.0 * label * margin).sum()
+        yield pa.record_batch([pa.array([n], pa.int64()), pa.array([sums.tolist()], pa.list_(pa.float64()))], ["n", "sums"])
+
+    return run
+
+
+def stopped_early(train: DataFrame, held: DataFrame, features: list[str], trees: int, depth: int, step: float, patience: int) -> tuple[BoostedTrees, int]:
+    """A model of at most trees rounds, up to the one of least log loss on held before patience rounds brought no better one, and
+    their number. train, held: row_id, label (1 or other), features without nulls. Losses are looked at after each patience rounds."""
+    sides = [rows.select(F.lit(0).alias("model"), "row_id", F.lit(role).alias("role"), "label", *features) for rows, role in ((train, "train"), (held, "test"))]
+    binned, edges = _blocks(sides[0].unionByName(sides[1]), features)
+    grown: list[tuple[float, Tree]] = []
+    with closing(_grown(binned.filter("train"), edges, features, depth, step)) as rounds:
+        for weight, growing in islice(rounds, trees):
+            grown.append((weight, growing[0]))
+            if len(grown) % patience and len(grown) < trees:
+                continue
+            with _small_batches(train.sparkSession):
+                found = binned.filter("NOT train").mapInArrow(_losses(train.sparkSession.sparkContext.broadcast(grown)), "n long, sums array<double>").collect()
+            losses = (np.sum([r["sums"] for r in found], 0) / sum(r["n"] for r in found)).tolist()
+            best = 0
+            for i, loss in enumerate(losses):
+                if loss < losses[best]:
+                    best = i
+                elif i - best >= patience:
+                    return BoostedTrees(features, edges[0], grown[: best + 1]), best + 1
+    return BoostedTrees(features, edges[0], grown[: best + 1]), best + 1

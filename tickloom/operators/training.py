@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.operators.audit import content_checksum
-from tickloom.operators.boosting import boosted_guesses
+from tickloom.operators.boosting import boosted_guesses, stopped_early
 from tickloom.operators.order import global_position
 from tickloom.operators.validation import (
     LeakageError,
@@ -52,6 +52,7 @@ def _vectors(df: DataFrame, features: list[str]) -> DataFrame:
 
 
 def _fit(train: DataFrame, features: list[str], label: str, seed: int, trees: int, depth: int, step: float = 0.1):
+    """MLlib's model, which ours are held against."""
     learner = GBTClassifier(featuresCol="_features", labelCol=label, maxIter=trees, maxDepth=depth, stepSize=step, seed=seed)
     return learner.fit(_vectors(train, features))
 
@@ -156,30 +157,6 @@ def controls_passed(metrics: DataFrame) -> bool:
     return not controls_failed(metrics)
 
 
-def _stopped_early(train: DataFrame, held: DataFrame, features: list[str], label: str, seed: int, trees: int, depth: int, patience: int):
-    """A model of at most trees rounds, up to the one of least log loss on held before patience rounds brought no better one.
-
-    MLlib's own rule has no patience: the losses are looked at after 2 * patience rounds, and after twice as many each time
-    that patience did not run out. With the same seed, fewer rounds are the first ones of more.
-    """
-    rounds, ready = min(trees, 2 * patience), _vectors(held, features)
-    while True:
-        model = _fit(train, features, label, seed, rounds, depth, 0.05)
-        losses = model.evaluateEachIteration(ready)
-        best = 0
-        for i, loss in enumerate(losses):
-            if loss < losses[best]:
-                best = i
-            elif i - best >= patience:
-                break
-        else:
-            if rounds < trees:
-                rounds = min(trees, 2 * rounds)
-                continue
-        break
-    return (model if best + 1 == rounds else _fit(train, features, label, seed, best + 1, depth, 0.05)), best + 1
-
-
 def training_manifest(df: DataFrame, features: list[str], **settings) -> DataFrame:
     """One row that says what a model was trained on and how: the datasets of df (dataset_id, role) with their roles, the
     early_stopping ones, the number and checksum of the train rows' labels and features, and what settings hold of the
@@ -229,8 +206,8 @@ def guarded_train(
             raise LeakageError(f"fold {fold} leaks")
     leaks = temporal_leakage(train.select("row_id", "prediction_time", "evaluation_time"), held.select("row_id", "prediction_time", "evaluation_time"))
     purged = written(train.join(leaks.select("row_id"), "row_id", "left_anti"), "purged-train")
-    model, rounds = _stopped_early(purged, held, features, "label", seed, trees, depth, patience)
-    metrics = classification_metrics(_predict(model, held, features).select("prediction", "label"))
+    model, rounds = stopped_early(_present(purged, features), _present(held, features), features, trees, depth, 0.05, patience)
+    metrics = classification_metrics(model.transform(held).select("prediction", "label"))
     settings |= {
         "model_id": settings.get("model_id") or f"gbt-{uuid.uuid4().hex[:8]}", "model_type": "gbt", "version": f"spark-{df.sparkSession.version}", "splitter": f"purged_kfold({folds})",
         "purge": f"{purge_s}s", "study_id": study_id, "best_iteration": rounds, "guardian_status": "passed" if require_controls else "controls not required",
