@@ -26,8 +26,8 @@ BINS = 32
 EXACT = 10_000
 #: Rows that a partition holds if there are many, and at least if there are few.
 PART_ROWS, LEAST_ROWS = 1_000_000, 20_000
-#: Bytes of blocks that go to Python at once; trees after which the blocks' margins are written, so that no plan has more steps than that.
-BATCH, WRITTEN = "2m", 25
+#: Bytes of blocks that go to Python at once; trees after which the blocks' margins are written, so that few trees are added to them again.
+BATCH, WRITTEN = "2m", 10
 #: No bin is above it: all rows of a node that is not split go left.
 NEVER = 255
 _BLOCKS = "model int, train boolean, n long, bins binary, label binary, margin binary"
@@ -181,10 +181,9 @@ def _histograms(shared, level: int, first: bool):
 
 def _raised(shared):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Blocks with margins raised by a tree of each model."""
-        weight, trees = shared.value
+        """Blocks with margins raised by some trees of each model."""
         for model, train, bins, label, margin in _read(batches):
-            yield _block(model, train, bins, label, margin + weight * trees[model](bins))
+            yield _block(model, train, bins, label, sum((weight * trees[model](bins) for weight, trees in shared.value), margin))
 
     return run
 
@@ -225,35 +224,36 @@ def _edges(train: DataFrame, sizes: dict[int, int], features: list[str]) -> dict
 
 
 def _grown(blocks: DataFrame, models: Iterable[int], features: list[str], depth: int, step: float) -> Iterator[tuple[float, dict[int, Tree]]]:
-    """The trees of all models and their weight, round after round, from blocks that are written. Blocks whose margins a tree raised
-    stay on disk while the next one grows; WRITTEN trees later they are written, so that plans stay short."""
-    spark, before, models, turn = blocks.sparkSession, None, list(models), 0
+    """The trees of all models and their weight, round after round, from blocks that are written. Blocks with margins raised by the trees
+    so far lie on disk while the next one grows; they are written after WRITTEN trees, and made from those written last, so no plan is nested."""
+    spark, models, base, since, first = blocks.sparkSession, list(models), blocks, [], True
     try:
         while True:
-            growing, weight = {m: Tree(depth) for m in models}, 1.0 if turn == 0 else step
+            growing, weight = {m: Tree(depth) for m in models}, 1.0 if first else step
             for level in range(depth):
                 shared = spark.sparkContext.broadcast(growing)
                 sums: dict[int, np.ndarray] = {}
                 with _small_batches(spark):
-                    rows = blocks.mapInArrow(_histograms(shared, level, turn == 0), "model int, sums binary").collect()
+                    rows = blocks.mapInArrow(_histograms(shared, level, first), "model int, sums binary").collect()
                 shared.destroy()
                 for row in rows:
                     sums[row["model"]] = sums.get(row["model"], 0.0) + np.frombuffer(row["sums"])
                 for model, found in sums.items():
                     # (counts or sums, feature, node and bin)
                     growing[model].grow(level, *found.reshape(2, len(features), 2**level, BINS).swapaxes(1, 2))
-                if before is not None:
-                    before = before.unpersist() and None
             yield weight, growing
-            turn += 1
+            blocks.unpersist()
+            first = False
+            since.append((weight, growing))
             with _small_batches(spark):
-                raised = blocks.mapInArrow(_raised(spark.sparkContext.broadcast((weight, growing))), _BLOCKS)
-                before = blocks if blocks.is_cached else None
-                blocks = raised.persist(StorageLevel.DISK_ONLY) if turn % WRITTEN else written(raised, "raised")
+                blocks = base.mapInArrow(_raised(spark.sparkContext.broadcast(since)), _BLOCKS)
+                if len(since) == WRITTEN:
+                    base = blocks = written(blocks, "raised")
+                    since = []
+                else:
+                    blocks = blocks.persist(StorageLevel.DISK_ONLY)
     finally:
-        for used in (before, blocks):
-            if used is not None:
-                used.unpersist()
+        blocks.unpersist()
 
 
 def _blocks(df: DataFrame, features: list[str]) -> tuple[DataFrame, dict[int, list[np.ndarray]]]:
